@@ -8,8 +8,10 @@ operator is a join, never a loop:
   join, so a name shared by a third of all files collapses map-side;
 * "name contains" matches use an n-gram equi-join: a file row is exploded
   into the distinct 1-, 2- and 3-grams of its name; a request joins on the
-  first (up to) 3 characters of its pattern; the exact ``contains`` test then
-  runs on the candidates.  No nested-loop join, no pairs beyond candidates;
+  rarest 3-gram of its pattern (gram frequencies come from one aggregate over
+  the exploded listing), so its candidates are only the files holding that
+  gram; the exact ``contains`` test then runs on the candidates.  No
+  nested-loop join, no pairs beyond candidates;
 * top-n per request is two-phase (salted, then exact), so a request that
   matches a third of the listing is ranked by many tasks.
 """
@@ -43,13 +45,27 @@ def contains_matches(files: DataFrame, requests: DataFrame, name_col: str = "nam
     """
     req_cols = req_cols or requests.columns
     fg = files.withColumn("__g", F.explode(_grams(F.col(name_col))))
+    # how many files hold each gram (partial aggregation; one row per distinct gram)
+    gram_counts = fg.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
     pat = F.col(pattern_col)
-    rq = (requests.where(pat.isNotNull() & (F.length(pat) > 0))
-          .select(*[F.col(c) for c in req_cols], F.substring(pat, 1, GRAM).alias("__g")))
-    joined = fg.join(rq, "__g").drop("__g")
+    rq = requests.where(pat.isNotNull() & (F.length(pat) > 0)).select(*[F.col(c) for c in req_cols])
+    rq_grams = rq.withColumn("__g", F.explode(_pattern_grams(F.col(pattern_col))))
+    # each request joins the listing on its rarest gram: candidates = files holding it
+    chosen = (rq_grams.join(gram_counts, "__g", "left")
+              .groupBy(*req_cols)
+              .agg(F.min_by("__g", F.coalesce(F.col("__n"), F.lit(0))).alias("__g")))
+    joined = fg.join(chosen, "__g").drop("__g")
     return joined.where(F.col(name_col).contains(F.col(pattern_col)))
 
 
+def _pattern_grams(pattern: Column) -> Column:
+    """The GRAM-long substrings of a pattern (the whole pattern when shorter)."""
+    n = F.length(pattern)
+    cut = F.transform(F.sequence(F.lit(1), F.greatest(n - GRAM + 1, F.lit(1))),
+                      lambda i: F.substr(pattern, i, F.lit(GRAM)))
+    return F.array_distinct(cut)
+
+
 def top_n_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Column], n: int | str,
                     salt_buckets: int = TOPN_SALT_BUCKETS) -> DataFrame:
     """Rows ranked 1..n per group (``n`` may be a column name), two-phase.

@@ -557,3 +557,29 @@ def q_copy_tables_report(spark, d):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{loc}'")
     tables = {n: T(spark, d, n) for n in ("orders", "lineitem", "customer")}
     return jobs.copy_tables(spark, tables, db, suffix="_copy")
+
+
+# ---- paged services (F6) ----------------------------------------------------------------------------------------
+
+EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+@register("paged_records", "SELECT * FROM events")
+def q_paged_records(spark, d):
+    from wareloom.session import scratch_path
+    from wareloom.sources import paged as P
+
+    path = scratch_path(spark, "offset-pages")
+    n = P.write_offset_pages(T(spark, d, "events"), path, "event_id", 1000)
+    return P.read(spark, EVENT_SCHEMA, transport="folder", location=path, paging="offset", page_size=1000,
+                  count=n, pages_per_partition=4)
+
+
+@register("paged_cursor", "SELECT * FROM events")
+def q_paged_cursor(spark, d):
+    from wareloom.session import scratch_path
+    from wareloom.sources import paged as P
+
+    path = scratch_path(spark, "cursor-pages")
+    starts = P.write_cursor_pages(T(spark, d, "events"), path, "event_type", "event_id", 500)
+    return P.read(spark, EVENT_SCHEMA, transport="folder", location=path, paging="cursor", starts=starts)

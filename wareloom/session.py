@@ -74,6 +74,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/wareloom-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``wareloom`` importable in Python workers (Python data sources,
+    ``mapInPandas``).  The package is zipped into the shared checkpoint folder
+    and added with ``addPyFile``; a cluster whose checkpoint folder is not a
+    mounted file system must have the package installed on its executors.
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import zipfile
+
+    root = checkpoint_root(spark)
+    if "://" in root and not root.startswith("file:"):
+        _SHIPPED.add(id(sc))
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target_dir = local_path(root.rstrip("/") + "/wareloom-pkg-" + uuid.uuid4().hex[:8])
+    os.makedirs(target_dir, exist_ok=True)
+    zpath = os.path.join(target_dir, "wareloom.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, names in os.walk(pkg_dir):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(base, n)
+                    z.write(full, os.path.join("wareloom", os.path.relpath(full, pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(id(sc))
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for code that must open files directly."""
     if path.startswith("file:"):
