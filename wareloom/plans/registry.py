@@ -583,3 +583,41 @@ def q_paged_cursor(spark, d):
     path = scratch_path(spark, "cursor-pages")
     starts = P.write_cursor_pages(T(spark, d, "events"), path, "event_type", "event_id", 500)
     return P.read(spark, EVENT_SCHEMA, transport="folder", location=path, paging="cursor", starts=starts)
+
+
+# ---- workbooks and streams -------------------------------------------------------------------------------------
+
+@register("workbook_folder", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def q_workbook_folder(spark, d):
+    from wareloom.plans.workbook_fixture import write_customer_workbooks
+    from wareloom.session import scratch_path
+    from wareloom.sources import workbooks as WB
+
+    folder = scratch_path(spark, "workbooks")
+    write_customer_workbooks(T(spark, d, "customer"), folder)
+    return WB.read_folder(spark, folder, sheet=None, skip=1,
+                          column_types={"c_custkey": "bigint", "c_acctbal": "double"})
+
+
+@register("stream_replace_landing", with_("master_orders", "staging_orders") + f"""
+SELECT {ORDER_COLS} FROM master_orders m
+WHERE NOT EXISTS (SELECT 1 FROM staging_orders s WHERE s.o_orderkey = m.o_orderkey)
+UNION ALL SELECT {ORDER_COLS} FROM staging_orders""")
+def q_stream_replace_landing(spark, d):
+    from wareloom import catalog
+    from wareloom.session import scratch_path
+    from wareloom.streaming import landing as LS
+
+    root = scratch_path(spark, "landing")
+    db = "wl_stream_" + root.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/warehouse'")
+    master_table = f"{db}.orders"
+    catalog.publish(FX.master_orders(spark, d), master_table, "overwrite")
+    staging = FX.staging_orders(spark, d)
+    # three drops of staging files with disjoint keys land in the folder
+    for part in range(3):
+        staging.where(F.col("o_orderkey") % 3 == part).write.mode("overwrite").parquet(f"{root}/in/drop={part}")
+    q = LS.load_landing(spark, f"{root}/in/drop=*", staging.schema, master_table, ["o_orderkey"],
+                        checkpoint=f"{root}/checkpoint", max_files_per_trigger=8)
+    q.awaitTermination()
+    return spark.table(master_table)
