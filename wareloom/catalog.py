@@ -44,8 +44,10 @@ def columns(spark: SparkSession, databases: list[str] | None = None) -> DataFram
             schema = spark.table(f"`{db}`.`{t.name}`").schema
             for i, f in enumerate(schema.fields):
                 rows.append((db, t.name, i + 1, f.name, sql_type_name(f), f.nullable))
-    return spark.createDataFrame(
-        rows, "db string, table_name string, ordinal int, column_name string, data_type string, nullable boolean")
+    from wareloom.session import local_rows
+
+    return local_rows(spark, rows,
+                      "db string, table_name string, ordinal int, column_name string, data_type string, nullable boolean")
 
 
 def recover(spark: SparkSession, table: str) -> None:

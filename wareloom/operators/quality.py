@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wareloom.functions.types import sql_type_name
+from wareloom.session import local_rows
 
 CONTRACT_SCHEMA = T.StructType([
     T.StructField("COLUMN_NAME", T.StringType()),
@@ -28,6 +29,7 @@ CONTRACT_SCHEMA = T.StructType([
     T.StructField("NAs", T.BooleanType()),
 ])
 
+CONTRACT_DDL = "COLUMN_NAME string, DATA_TYPE string, NAs boolean"
 REPORT_COLUMNS = ["column_name", "expected_type", "actual_type", "required", "null_count", "status"]
 
 
@@ -37,7 +39,7 @@ class ContractError(RuntimeError):
 
 def contract_from_records(spark: SparkSession, records: list[dict]) -> DataFrame:
     rows = [(r["COLUMN_NAME"], r["DATA_TYPE"], r.get("NAs")) for r in records]
-    return spark.createDataFrame(rows, CONTRACT_SCHEMA)
+    return local_rows(spark, rows, CONTRACT_DDL)
 
 
 def contract_from_json(spark: SparkSession, text_or_path: str) -> DataFrame:
@@ -53,14 +55,14 @@ def actual_columns(df: DataFrame) -> DataFrame:
     """(ordinal, column_name, actual_type, nullable) of a DataFrame, from its schema only."""
     rows = [(i + 1, f.name, sql_type_name(f), f.nullable) for i, f in enumerate(df.schema.fields)]
     schema = "ordinal int, column_name string, actual_type string, nullable boolean"
-    return df.sparkSession.createDataFrame(rows, schema)
+    return local_rows(df.sparkSession, rows, schema)
 
 
 def generate_contract(df: DataFrame, required: list[str] | None = None) -> DataFrame:
     """Contract of a staged table; listed columns get ``NAs = false``, others NULL."""
     required = set(required or [])
     rows = [(f.name, sql_type_name(f), (False if f.name in required else None)) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, CONTRACT_SCHEMA)
+    return local_rows(df.sparkSession, rows, CONTRACT_DDL)
 
 
 def write_contract(contract: DataFrame, path: str) -> None:
@@ -72,7 +74,7 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(column_name, null_count) for the given (default: all) columns, one job."""
     columns = columns if columns is not None else df.columns
     if not columns:
-        return df.sparkSession.createDataFrame([], "column_name string, null_count bigint")
+        return local_rows(df.sparkSession, [], "column_name string, null_count bigint")
     wide = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
     pairs = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', n{i}" for i, c in enumerate(columns))
     return wide.selectExpr(f"stack({len(columns)}, {pairs}) as (column_name, null_count)")
@@ -169,7 +171,7 @@ def schema_reports(df: DataFrame, contracts: dict[str, DataFrame], any_declared:
                  F.col("DATA_TYPE").alias("expected_type"), _required(c, any_declared).alias("required"))
         for v, c in contracts.items()])
     actual_rows = [(v, f.name, sql_type_name(f)) for v in contracts for f in df.schema.fields]
-    act = spark.createDataFrame(actual_rows, "variant string, column_name string, actual_type string")
+    act = local_rows(spark, actual_rows, "variant string, column_name string, actual_type string")
     joined = exp.join(act, ["variant", "column_name"], "full_outer").join(null_counts(df), "column_name", "left")
     status = (F.when(F.col("actual_type").isNull(), "missing")
               .when(F.col("expected_type").isNull(), "extra")

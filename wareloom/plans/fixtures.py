@@ -143,8 +143,10 @@ def cyyddd_codes(spark, d):
                      F.expr("concat('1', date_format(o_orderdate, 'yy'), lpad(CAST(dayofyear(o_orderdate) AS STRING), 3, '0'))")
                      .alias("code"))
     # fixed bad / edge values: day 366 of a non-leap and of a leap year, century 0, junk, NULL
-    bad = spark.createDataFrame([(-1, "123366"), (-2, "124366"), (-3, "099001"), (-4, "x"), (-5, None)],
-                                "key bigint, code string")
+    from wareloom.session import local_rows
+
+    bad = local_rows(spark, [(-1, "123366"), (-2, "124366"), (-3, "099001"), (-4, "x"), (-5, None)],
+                     "key bigint, code string")
     return codes.unionByName(bad)
 
 

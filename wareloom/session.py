@@ -113,3 +113,19 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str):
+    """A small DataFrame of literal rows planned in the JVM (no Python RDD,
+    no Python worker): ``inline(array(struct(...)))`` over a one-row range.
+    Meant for metadata-sized inputs (contracts, schemas, catalog listings)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType, _parse_datatype_string
+
+    st = _parse_datatype_string(schema)
+    if not isinstance(st, StructType):
+        raise ValueError("schema must be a struct")
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

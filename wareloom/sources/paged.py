@@ -133,7 +133,8 @@ class FolderTransport:
         size = int(self.meta()["page_size"])
         if limit != size or offset % size:
             raise ValueError(f"folder pages hold {size} rows; asked offset={offset} limit={limit}")
-        return [json.loads(x) for x in self._lines(os.path.join(self.root, f"page={offset // size}"))]
+        # records are already JSON text: passed through unparsed
+        return self._lines(os.path.join(self.root, f"page={offset // size}"))
 
     def follow(self, link: str):
         lines = self._lines(os.path.join(self.root, link))
@@ -172,6 +173,10 @@ class CursorChain(InputPartition):
         self.chain, self.start = chain, start
 
 
+def _as_text(rec) -> str:
+    return rec if isinstance(rec, str) else json.dumps(rec, separators=(",", ":"))
+
+
 class PagedRecordsReader(DataSourceReader):
     def __init__(self, options: dict):
         self.opts = dict(options)
@@ -196,13 +201,13 @@ class PagedRecordsReader(DataSourceReader):
                 seen.add(link)
                 recs, link = t.follow(link)
                 for r in recs:
-                    yield (page, json.dumps(r, separators=(",", ":")))
+                    yield (page, _as_text(r))
                 page += 1
             return
         for p in range(partition.first_page, partition.first_page + partition.pages):
             recs = t.fetch(p * partition.page_size, partition.page_size)
             for r in recs:
-                yield (p, json.dumps(r, separators=(",", ":")))
+                yield (p, _as_text(r))
             if len(recs) < partition.page_size:
                 break  # a short page is the last one
 
