@@ -193,6 +193,8 @@ class PagedRecordsReader(DataSourceReader):
         return [OffsetWindows(p, min(per, n_pages - p), size) for p in range(0, n_pages, per)]
 
     def read(self, partition):
+        if partition is None:  # no pages planned (an empty service)
+            return
         t = transport(self.opts)
         if isinstance(partition, CursorChain):
             link, page = partition.start, 0
