@@ -110,3 +110,23 @@ def test_parse_xlsx_shared_strings():
                                                '</c></row></sheetData></worksheet>')
     cells = list(WB.parse_xlsx(buf.getvalue()))
     assert cells == [(0, "S", 1, 1, "name"), (0, "S", 2, 1, "Joe"), (0, "S", 2, 3, "TRUE")]
+
+
+def test_typed_pages_push_filters(spark, tmp_path):
+    d = spark.range(0, 3000).select(F.col("id").alias("k"), (F.col("id") % 7).cast("string").alias("g"))
+    path = str(tmp_path / "typed")
+    n = P.write_offset_pages(d, path, "k", 500)
+    typed = P.read_typed(spark, "k bigint, g string", transport="folder", location=path, page_size=500, count=n)
+    got = typed.where((F.col("k") >= 100) & (F.col("g").isin("1", "2")) & F.col("g").isNotNull())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Filter (" not in plan  # every predicate was taken by the source
+    expect = d.where((F.col("k") >= 100) & (F.col("g").isin("1", "2")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expect.collect()))
+
+
+def test_soql_translation():
+    from pyspark.sql import datasource as ds
+
+    w = P.soql_where([ds.EqualTo(("event_type",), "click"), ds.GreaterThan(("value",), 10.5),
+                      ds.Not(ds.IsNull(("ts",)))])
+    assert w == "(event_type = 'click') AND (value > 10.5) AND (NOT (ts IS NULL))"

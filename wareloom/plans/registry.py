@@ -621,3 +621,17 @@ def q_stream_replace_landing(spark, d):
                         checkpoint=f"{root}/checkpoint", max_files_per_trigger=8)
     q.awaitTermination()
     return spark.table(master_table)
+
+
+@register("paged_filtered_count", """
+SELECT event_type, count(*) AS n FROM events WHERE value > 10 AND event_type IN ('click', 'view') GROUP BY event_type""")
+def q_paged_filtered_count(spark, d):
+    from wareloom.session import scratch_path
+    from wareloom.sources import paged as P
+
+    path = scratch_path(spark, "filtered-pages")
+    n = P.write_offset_pages(T(spark, d, "events"), path, "event_id", 1000)
+    df = P.read_typed(spark, EVENT_SCHEMA, transport="folder", location=path, page_size=1000, count=n)
+    # both predicates are offered to the source (pushFilters) and applied per page there
+    return (df.where((F.col("value") > 10) & F.col("event_type").isin("click", "view"))
+            .groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))

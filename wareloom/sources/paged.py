@@ -178,6 +178,8 @@ def _as_text(rec) -> str:
 
 
 class PagedRecordsReader(DataSourceReader):
+    """Raw mode: rows ``(page, record JSON text)``."""
+
     def __init__(self, options: dict):
         self.opts = dict(options)
 
@@ -187,32 +189,171 @@ class PagedRecordsReader(DataSourceReader):
             starts = json.loads(opts["starts"])
             return [CursorChain(i, s) for i, s in enumerate(starts)]
         size = int(opts.get("page_size", DEFAULT_PAGE_SIZE))
-        count = int(opts["count"]) if "count" in opts else transport(opts).count()
+        count = int(opts["count"]) if "count" in opts else self._transport().count()
         n_pages = math.ceil(count / size) if count > 0 else 0
-        per = max(1, int(opts.get("pages_per_partition", 1)))
+        if "pages_per_partition" in opts:
+            per = max(1, int(opts["pages_per_partition"]))
+        else:
+            per = max(1, math.ceil(n_pages / max(1, int(opts.get("target_partitions", 64)))))
         return [OffsetWindows(p, min(per, n_pages - p), size) for p in range(0, n_pages, per)]
 
-    def read(self, partition):
-        if partition is None:  # no pages planned (an empty service)
-            return
-        t = transport(self.opts)
+    def _transport(self):
+        return transport(self.opts)
+
+    def pages(self, partition):
+        """(page number, records) of a partition, fetched in the task."""
+        t = self._transport()
         if isinstance(partition, CursorChain):
             link, page = partition.start, 0
             seen = set()
             while link and link not in seen:
                 seen.add(link)
                 recs, link = t.follow(link)
-                for r in recs:
-                    yield (page, _as_text(r))
+                yield page, recs
                 page += 1
             return
         for p in range(partition.first_page, partition.first_page + partition.pages):
             recs = t.fetch(p * partition.page_size, partition.page_size)
-            for r in recs:
-                yield (p, _as_text(r))
+            yield p, recs
             if len(recs) < partition.page_size:
                 break  # a short page is the last one
 
+    def read(self, partition):
+        if partition is None:  # no pages planned (an empty service)
+            return
+        for page, recs in self.pages(partition):
+            for r in recs:
+                yield (page, _as_text(r))
+
+
+# ---- typed mode with filter pushdown -------------------------------------------
+
+def _supported(f, columns: set) -> bool:
+    from pyspark.sql import datasource as ds
+
+    simple = (ds.EqualTo, ds.EqualNullSafe, ds.GreaterThan, ds.GreaterThanOrEqual, ds.LessThan,
+              ds.LessThanOrEqual, ds.In, ds.IsNull, ds.IsNotNull, ds.StringStartsWith, ds.StringEndsWith,
+              ds.StringContains)
+    if isinstance(f, ds.Not):
+        return _supported(f.child, columns)
+    return isinstance(f, simple) and len(f.attribute) == 1 and f.attribute[0] in columns
+
+
+def _arrow_mask(table, f):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark.sql import datasource as ds
+
+    if isinstance(f, ds.Not):
+        return pc.invert(_arrow_mask(table, f.child))
+    col = table.column(f.attribute[0])
+    if isinstance(f, ds.IsNull):
+        return pc.is_null(col)
+    if isinstance(f, ds.IsNotNull):
+        return pc.is_valid(col)
+    if isinstance(f, ds.In):
+        return pc.is_in(col, value_set=pa.array(list(f.value), type=col.type))
+    if isinstance(f, ds.StringStartsWith):
+        return pc.starts_with(col, f.value)
+    if isinstance(f, ds.StringEndsWith):
+        return pc.ends_with(col, f.value)
+    if isinstance(f, ds.StringContains):
+        return pc.match_substring(col, f.value)
+    if isinstance(f, ds.EqualNullSafe) and f.value is None:
+        return pc.is_null(col)
+    v = pa.scalar(f.value, type=col.type)
+    op = {ds.EqualTo: pc.equal, ds.EqualNullSafe: pc.equal, ds.GreaterThan: pc.greater,
+          ds.GreaterThanOrEqual: pc.greater_equal, ds.LessThan: pc.less, ds.LessThanOrEqual: pc.less_equal}[type(f)]
+    return op(col, v)
+
+
+def _soql_literal(v) -> str:
+    import datetime as dt
+
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (dt.datetime, dt.date)):
+        return "'" + v.isoformat() + "'"
+    return repr(v)
+
+
+def soql_where(filters) -> str | None:
+    """The pushed filters as one SoQL ``$where`` conjunction."""
+    from pyspark.sql import datasource as ds
+
+    def one(f):
+        if isinstance(f, ds.Not):
+            return f"NOT ({one(f.child)})"
+        c = f.attribute[0]
+        if isinstance(f, ds.IsNull) or (isinstance(f, ds.EqualNullSafe) and f.value is None):
+            return f"{c} IS NULL"
+        if isinstance(f, ds.IsNotNull):
+            return f"{c} IS NOT NULL"
+        if isinstance(f, ds.In):
+            return f"{c} IN (" + ", ".join(_soql_literal(v) for v in f.value) + ")"
+        if isinstance(f, ds.StringStartsWith):
+            return f"starts_with({c}, {_soql_literal(f.value)})"
+        if isinstance(f, ds.StringEndsWith):
+            return f"{c} like {_soql_literal('%' + f.value)}"
+        if isinstance(f, ds.StringContains):
+            return f"contains({c}, {_soql_literal(f.value)})"
+        sym = {ds.EqualTo: "=", ds.EqualNullSafe: "=", ds.GreaterThan: ">", ds.GreaterThanOrEqual: ">=",
+               ds.LessThan: "<", ds.LessThanOrEqual: "<="}[type(f)]
+        return f"{c} {sym} {_soql_literal(f.value)}"
+
+    parts = [one(f) for f in filters]
+    return " AND ".join(f"({p})" for p in parts) if parts else None
+
+
+class TypedPagedReader(PagedRecordsReader):
+    """Typed mode (a schema was given): records parsed to Arrow batches in the
+    task; comparisons on top-level columns are pushed to the service (SoQL
+    ``$where`` for http) or applied to each page as it is fetched (folder)."""
+
+    def __init__(self, options: dict, schema):
+        super().__init__(options)
+        self.schema = schema
+        self.pushed = []
+
+    def pushFilters(self, filters):
+        cols = {f.name for f in self.schema.fields}
+        for f in filters:
+            if _supported(f, cols):
+                self.pushed.append(f)
+            else:
+                yield f
+
+    def _transport(self):
+        opts = dict(self.opts)
+        if self.pushed and opts.get("transport", "http") == "http":
+            extra = soql_where(self.pushed)
+            opts["where"] = f"({opts['where']}) AND {extra}" if opts.get("where") else extra
+        return transport(opts)
+
+    def read(self, partition):
+        if partition is None:
+            return
+        import io
+
+        import pyarrow as pa
+        import pyarrow.json as pj
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow_schema = to_arrow_schema(self.schema)
+        popts = pj.ParseOptions(explicit_schema=arrow_schema, unexpected_field_behavior="ignore")
+        for _page, recs in self.pages(partition):
+            if not recs:
+                continue
+            text = "\n".join(_as_text(r) for r in recs).encode("utf-8")
+            table = pj.read_json(io.BytesIO(text), parse_options=popts).select(arrow_schema.names)
+            for f in self.pushed:  # also after a service-side filter: cheap and exact
+                table = table.filter(_arrow_mask(table, f))
+            table = table.cast(arrow_schema)
+            for batch in table.to_batches():
+                yield batch
+
 
 class PagedRecordsSource(DataSource):
     @classmethod
@@ -223,26 +364,42 @@ class PagedRecordsSource(DataSource):
         return OUTPUT_SCHEMA
 
     def reader(self, schema):
-        return PagedRecordsReader(self.options)
+        if [f.name for f in schema.fields] == ["page", "record"]:
+            return PagedRecordsReader(self.options)
+        return TypedPagedReader(self.options, schema)
 
 
 def register(spark: SparkSession) -> None:
     from wareloom.session import ship_package
 
     ship_package(spark)
+    # Python data sources are offered filters only with this on
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PagedRecordsSource)
 
 
-def read(spark: SparkSession, schema: str, **options) -> DataFrame:
-    """Read a paged service and parse its records against ``schema``."""
+def _reader(spark: SparkSession, options: dict):
     register(spark)
     r = spark.read.format("paged_records")
+    options = dict(options)
+    options.setdefault("target_partitions", 4 * spark.sparkContext.defaultParallelism)
     for k, v in options.items():
         r = r.option(k, json.dumps(v) if isinstance(v, (list, dict)) else str(v))
-    raw = r.load()
+    return r
+
+
+def read(spark: SparkSession, schema: str, **options) -> DataFrame:
+    """Read a paged service and parse its records against ``schema`` (JVM ``from_json``)."""
+    raw = _reader(spark, options).load()
     return raw.select(F.from_json("record", schema, JSON_OPTIONS).alias("r")).select("r.*")
 
 
+def read_typed(spark: SparkSession, schema: str, **options) -> DataFrame:
+    """Read a paged service as typed columns; filters on the result are pushed
+    to the service (see ``TypedPagedReader``)."""
+    return _reader(spark, options).schema(schema).load()
+
+
 # ---- page writers (replayable captures and test services) -------------------------
 
 def write_offset_pages(df: DataFrame, path: str, order_col: str, page_size: int) -> int:
