@@ -103,6 +103,9 @@ def with_client(df: DataFrame, client_factory: Callable[[], Callable], address_c
     """
     import pandas as pd
 
+    from wareloom.session import ship_package
+
+    ship_package(df.sparkSession)
     addrs = df.select(F.col(address_col).alias("__addr")).where(F.col("__addr").isNotNull()).distinct()
 
     def run(batches):
@@ -116,3 +119,21 @@ def with_client(df: DataFrame, client_factory: Callable[[], Callable], address_c
 
     res = addrs.mapInPandas(run, f"__addr string, {x} double, {y} double")
     return df.join(res, df[address_col] == res["__addr"], "left").drop("__addr")
+
+
+def run(source: DataFrame, geo_table: str, geocoder: Callable[[DataFrame], DataFrame], id_col: str = "id",
+        address_col: str = "FULL_ADDRESS", incremental: bool = True) -> str:
+    """Load geocodes into ``geo_table``: only pending rows and append when
+    incremental (and the table exists), else geocode all and overwrite;
+    nothing is written when no row is pending (one short ``isEmpty`` job)."""
+    from wareloom import catalog
+
+    spark = source.sparkSession
+    if incremental and catalog.exists(spark, geo_table):
+        todo, mode = pending(source, spark.table(geo_table), id_col, address_col), "append"
+    else:
+        todo, mode = source.dropDuplicates([id_col, address_col]), "overwrite"
+    if todo.isEmpty():
+        return "nothing to geocode"
+    catalog.publish(geocoder(todo), geo_table, mode)
+    return f"{mode} {geo_table}"

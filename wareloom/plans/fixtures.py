@@ -155,8 +155,11 @@ def cyyddd_codes(spark, d):
 def addr(spark, d):
     c = table(spark, d, "customer")
     n = table(spark, d, "nation")
-    return c.join(n, c.c_nationkey == n.n_nationkey).select(
-        F.col("c_custkey").alias("id"), F.concat_ws(", ", "c_name", "n_name").alias("FULL_ADDRESS"))
+    from wareloom.operators.enrich import address
+
+    j = c.join(n, c.c_nationkey == n.n_nationkey).select(F.col("c_custkey").alias("id"), "c_name", "n_name")
+    # the address expression comes as SQL text, as the geocoding job takes it
+    return address(j, "concat_ws(', ', c_name, n_name)").select("id", "FULL_ADDRESS")
 
 
 def locator(spark, d):

@@ -335,10 +335,13 @@ def q_cp1252_repair(spark, d):
 
 
 @register("prepare_export", """
-SELECT CAST(p_partkey AS DOUBLE) AS part_key, p_brand AS http_brand, p_type AS p_type,
-  CAST(p_size AS DOUBLE) AS sizebin, p_retailprice AS retail_price, p_name AS part_name FROM part""")
+SELECT CAST(p_partkey AS DOUBLE) AS part_key, trim(p_brand) AS http_brand, trim(p_type) AS p_type,
+  CAST(p_size AS DOUBLE) AS sizebin, p_retailprice AS retail_price, trim(p_name) AS part_name FROM part""")
 def q_prepare_export(spark, d):
+    from pyspark.sql import types as PT
+
     df = C.snake_case_columns(C.drop_placeholders(FX.part_raw(spark, d)))
+    df = C.across(df, lambda f: isinstance(f.dataType, PT.StringType), lambda c, f: F.trim(c))
     df = C.long_text_last(df, ["part_name"])
     return X.extract_types(df)
 
@@ -635,3 +638,100 @@ def q_paged_filtered_count(spark, d):
     # both predicates are offered to the source (pushFilters) and applied per page there
     return (df.where((F.col("value") > 10) & F.col("event_type").isin("click", "view"))
             .groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
+
+
+# ---- more enrichment and contracts (L1, D6, I9, J5, H4) ---------------------------------------------------------
+
+@register("geocode_client", with_("addr", "addr_g") + """
+SELECT id, FULL_ADDRESS,
+  CASE WHEN id % 11 = 0 THEN NULL ELSE CAST(-80 + (id % 100) * 0.1 AS DOUBLE) END AS longitude,
+  CASE WHEN id % 11 = 0 THEN NULL ELSE CAST(40 + (id % 50) * 0.1 AS DOUBLE) END AS latitude
+FROM addr_g WHERE latitude IS NULL""")
+def q_geocode_client(spark, d):
+    from wareloom.plans.clients import make_customer_client
+
+    failed = E.failures(FX.addr_g(spark, d)).select("id", "FULL_ADDRESS")
+    attempts = E.with_client(failed.dropDuplicates(["id", "FULL_ADDRESS"]), make_customer_client)
+    return E.join_back(failed, attempts, ["id", "FULL_ADDRESS"])
+
+
+@register("geocode_incremental_load", with_("addr", "addr_g", "locator") + """,
+best AS (SELECT * FROM (SELECT upper(trim(regexp_replace(FULL_ADDRESS, '\\s+', ' ', 'g'))) AS k, longitude, latitude,
+    row_number() OVER (PARTITION BY upper(trim(regexp_replace(FULL_ADDRESS, '\\s+', ' ', 'g')))
+                       ORDER BY score DESC, longitude, latitude) AS rn FROM locator) WHERE rn = 1)
+SELECT id, FULL_ADDRESS, longitude, latitude FROM addr_g
+UNION ALL
+SELECT a.id, a.FULL_ADDRESS, b.longitude, b.latitude FROM addr a
+LEFT JOIN best b ON upper(trim(regexp_replace(a.FULL_ADDRESS, '\\s+', ' ', 'g'))) = b.k
+WHERE NOT EXISTS (SELECT 1 FROM addr_g g WHERE g.id = a.id)""")
+def q_geocode_incremental_load(spark, d):
+    from wareloom import catalog
+    from wareloom.session import scratch_path
+
+    root = scratch_path(spark, "geo-load")
+    db = "wl_geo_" + root.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}'")
+    geo_table = f"{db}.addr_G"
+    catalog.publish(FX.addr_g(spark, d), geo_table, "overwrite")
+    loc = FX.locator(spark, d)
+    E.run(FX.addr(spark, d), geo_table,
+          lambda todo: E.geocode(todo, loc).select("id", "FULL_ADDRESS", "longitude", "latitude"))
+    return spark.table(geo_table)
+
+
+@register("misses_csv", with_("addr", "addr_g") + """
+SELECT g.id, g.FULL_ADDRESS, c.c_mktsegment, c.c_acctbal FROM addr_g g
+LEFT JOIN customer c ON c.c_custkey = g.id WHERE g.latitude IS NULL AND c.c_acctbal > 0""")
+def q_misses_csv(spark, d):
+    from wareloom.session import scratch_path
+    from wareloom.sources import files as FS
+
+    src = T(spark, d, "customer").withColumnRenamed("c_custkey", "id")
+    m = E.misses(FX.addr_g(spark, d), src, "id", ["FULL_ADDRESS"], ["c_mktsegment", "c_acctbal"], where="c_acctbal > 0")
+    path = scratch_path(spark, "misses-csv")
+    X.csv(m, path, null_value="", sep=",")
+    return FS.delimited(spark, path, sep=",", schema=m.schema, null_value="")
+
+
+_VALIDATE_TABLES = {
+    "orders": (["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"], "o_orderkey"),
+    "lineitem": (["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                  "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"], "l_orderkey"),
+    "customer": (["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], "c_custkey"),
+}
+
+
+def _validate_many_sql() -> str:
+    acts, nulls = [], []
+    for t, (cols, _key) in _VALIDATE_TABLES.items():
+        acts.append(f"SELECT '{t}' AS table_name, column_name, column_type FROM (DESCRIBE {t})")
+        counts = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in cols)
+        nulls.append(f"SELECT '{t}' AS table_name, column_name, null_count FROM (SELECT {counts} FROM {t}) "
+                     f"UNPIVOT (null_count FOR column_name IN (COLUMNS(*)))")
+    keys = ", ".join(f"('{t}', '{k}')" for t, (_c, k) in _VALIDATE_TABLES.items())
+    return ("WITH act AS (" + " UNION ALL ".join(acts) + "),\n"
+            "typed AS (SELECT table_name, column_name, CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' "
+            "WHEN 'VARCHAR' THEN 'varchar' WHEN 'TIMESTAMP' THEN 'datetime' WHEN 'BOOLEAN' THEN 'bit' "
+            "WHEN 'DOUBLE' THEN 'float' END AS actual_type FROM act),\n"
+            "nulls AS (" + " UNION ALL ".join(nulls) + "),\n"
+            f"req(table_name, column_name) AS (VALUES {keys})\n"
+            "SELECT t.table_name, t.column_name,\n"
+            "  CASE WHEN t.table_name = 'customer' AND t.column_name = 'c_acctbal' THEN 'int' ELSE t.actual_type END AS expected_type,\n"
+            "  t.actual_type, r.column_name IS NOT NULL AS required, n.null_count,\n"
+            "  CASE WHEN t.table_name = 'customer' AND t.column_name = 'c_acctbal' THEN 'type_mismatch'\n"
+            "       WHEN r.column_name IS NOT NULL AND n.null_count > 0 THEN 'null_violation' ELSE 'ok' END AS status\n"
+            "FROM typed t JOIN nulls n ON t.table_name = n.table_name AND t.column_name = n.column_name\n"
+            "LEFT JOIN req r ON t.table_name = r.table_name AND t.column_name = r.column_name")
+
+
+@register("validate_many", _validate_many_sql())
+def q_validate_many(spark, d):
+    tables = {}
+    for t, (_cols, key) in _VALIDATE_TABLES.items():
+        df = T(spark, d, t)
+        contract = Q.generate_contract(df, [key])
+        if t == "customer":  # one declared type differs from the staged table
+            contract = contract.withColumn(
+                "DATA_TYPE", F.when(F.col("COLUMN_NAME") == "c_acctbal", "int").otherwise(F.col("DATA_TYPE")))
+        tables[t] = (df, contract)
+    return Q.validate_all(tables)
