@@ -139,8 +139,16 @@ def long_text_profile(df: DataFrame, limit: int = 255) -> DataFrame:
     ``long_text`` is true when the longest value exceeds ``limit``.
     """
     names = df.columns
-    wide = df.agg(*[F.max(F.length(F.col(f"`{c}`").cast("string"))).alias(f"m{i}") for i, c in enumerate(names)])
-    stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', m{i}" for i, c in enumerate(names))
-    long = wide.selectExpr(f"stack({len(names)}, {stack}) as (column_name, max_length)")
+    lengths = [F.length(F.col(f"`{c}`").cast("string")) for c in names]
+    if len(names) > WIDE_PROFILE_COLUMNS:
+        keyed = {f"m{i}": c for i, c in enumerate(names)}
+        flat = df.select(*[ln.alias(k) for ln, k in zip(lengths, keyed)]).unpivot([], list(keyed), "k", "len")
+        mapping = F.create_map(*[x for k, c in keyed.items() for x in (F.lit(k), F.lit(c))])
+        long = (flat.groupBy("k").agg(F.max("len").alias("max_length"))
+                .select(mapping[F.col("k")].alias("column_name"), "max_length"))
+    else:
+        wide = df.agg(*[F.max(ln).alias(f"m{i}") for i, ln in enumerate(lengths)])
+        stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', m{i}" for i, c in enumerate(names))
+        long = wide.selectExpr(f"stack({len(names)}, {stack}) as (column_name, max_length)")
     return long.select("column_name", F.col("max_length").cast("bigint").alias("max_length"),
                        F.coalesce(F.col("max_length") > F.lit(limit), F.lit(False)).alias("long_text"))

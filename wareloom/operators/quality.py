@@ -30,6 +30,8 @@ CONTRACT_SCHEMA = T.StructType([
 ])
 
 CONTRACT_DDL = "COLUMN_NAME string, DATA_TYPE string, NAs boolean"
+# above this many columns the null counts are computed through an unpivot
+WIDE_COLUMNS = 200
 REPORT_COLUMNS = ["column_name", "expected_type", "actual_type", "required", "null_count", "status"]
 
 
@@ -75,6 +77,16 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     columns = columns if columns is not None else df.columns
     if not columns:
         return local_rows(df.sparkSession, [], "column_name string, null_count bigint")
+    if len(columns) > WIDE_COLUMNS:
+        # hundreds of aggregate expressions overflow codegen: unpivot NULL flags
+        # and count per column instead (partial aggregation keeps the shuffle at
+        # #partitions x #columns rows)
+        flags = df.select(*[F.col(f"`{c}`").isNull().alias(f"n{i}") for i, c in enumerate(columns)])
+        names = {f"n{i}": c for i, c in enumerate(columns)}
+        long = flags.unpivot([], list(names), "k", "is_null")
+        counts = long.groupBy("k").agg(F.count_if("is_null").alias("null_count"))
+        mapping = F.create_map(*[x for k, c in names.items() for x in (F.lit(k), F.lit(c))])
+        return counts.select(mapping[F.col("k")].alias("column_name"), "null_count")
     wide = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
     pairs = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', n{i}" for i, c in enumerate(columns))
     return wide.selectExpr(f"stack({len(columns)}, {pairs}) as (column_name, null_count)")
