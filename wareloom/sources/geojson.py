@@ -48,7 +48,9 @@ def standard_fixes(df: DataFrame, int_cols: list[str] | None = None, float_cols:
     geometry to ``geometry_wkt``."""
     out = D.from_epoch_millis(df, date_cols)
     if int_cols:
-        out = out.withColumns({c: F.col(c).try_cast("int") for c in int_cols})
+        from wareloom.functions.types import safe_cast
+
+        out = out.withColumns({c: safe_cast(F.col(c), "int") for c in int_cols})
     if float_cols:
         out = out.withColumns({c: F.col(c).try_cast("double") for c in float_cols})
     if "geometry" in out.columns:

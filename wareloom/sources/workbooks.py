@@ -131,5 +131,7 @@ def read_folder(spark: SparkSession, path: str, sheet: str | int | None = None,
             wide = wide.withColumn(n, F.lit(None).cast("string"))
     out = wide.select(*(keys if keep_source else []), *[F.col(f"`{n}`") for n in names])
     if column_types:
-        out = out.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in column_types.items() if c in out.columns})
+        from wareloom.functions.types import safe_cast
+
+        out = out.withColumns({c: safe_cast(F.col(f"`{c}`"), t) for c, t in column_types.items() if c in out.columns})
     return out
