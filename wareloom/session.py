@@ -127,5 +127,21 @@ def local_rows(spark: SparkSession, rows: list[tuple], schema: str):
         raise ValueError("schema must be a struct")
     if not rows:
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    # one SQL text (one call into the JVM) instead of a call per literal
+    cols = ", ".join(f"c{i}" for i in range(len(st.fields)))
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    casts = ", ".join(f"CAST(c{i} AS {f.dataType.simpleString()}) AS `{f.name}`" for i, f in enumerate(st.fields))
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({cols})")
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return f"{v}L" if abs(v) > 2**31 - 1 else str(v)
+    if isinstance(v, float):
+        return f"CAST('{v!r}' AS DOUBLE)"
+    s = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{s}'"
