@@ -33,9 +33,9 @@ def address_key(col: Column | str) -> Column:
 
 def pending(source: DataFrame, geocoded: DataFrame, id_col: str = "id", address_col: str = "FULL_ADDRESS") -> DataFrame:
     """Rows of ``source`` whose id is not yet in ``geocoded``, distinct (id, address)."""
-    done = geocoded.select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    todo = source.join(done, id_col, "left_anti")
-    return todo.dropDuplicates([id_col, address_col])
+    from wareloom.operators.load import anti_by_key
+
+    return anti_by_key(source, geocoded, [id_col]).dropDuplicates([id_col, address_col])
 
 
 def failures(geocoded: DataFrame, lat_col: str = "latitude", where: str | None = None) -> DataFrame:
@@ -45,8 +45,9 @@ def failures(geocoded: DataFrame, lat_col: str = "latitude", where: str | None =
 
 def not_attempted(failed: DataFrame, attempted: DataFrame, id_col: str = "id") -> DataFrame:
     """Failures whose id is not among earlier attempts."""
-    prev = attempted.select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    return failed.join(prev, id_col, "left_anti")
+    from wareloom.operators.load import anti_by_key
+
+    return anti_by_key(failed, attempted, [id_col])
 
 
 def best_candidates(locator: DataFrame, address_col: str = "FULL_ADDRESS", score: str = "score",

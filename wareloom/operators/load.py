@@ -45,7 +45,19 @@ def _null_salt(df: DataFrame, keys: list[str], by_position: bool = False) -> Col
     key columns are read) the row's position in its input split, which is
     stable for a file scan."""
     spread = F.monotonically_increasing_id() if by_position else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return F.when(_all_not_null(keys), F.lit(0)).otherwise(F.pmod(spread, F.lit(NULL_SALT_BUCKETS)) + 1)
+    return F.when(_all_not_null(keys), F.lit(0).cast("bigint")).otherwise(
+        F.pmod(spread, F.lit(NULL_SALT_BUCKETS)).cast("bigint") + 1)
+
+
+_KEY = "__wl_key"
+
+
+def _match_key(keys: list[str], salt: Column) -> Column:
+    """The join key ``struct(keys..., salt)``.  A struct is kept whole by the
+    optimizer, so the salt reaches the shuffle's hash partitioning (a plain
+    ``salt = 0`` key on the key-set side is folded into a join condition and
+    would leave every NULL-key row in one partition)."""
+    return F.struct(*[F.col(f"`{k}`").alias(k) for k in keys], salt.alias(_SALT))
 
 
 def key_set(staging: DataFrame, keys: list[str]) -> DataFrame:
@@ -53,12 +65,33 @@ def key_set(staging: DataFrame, keys: list[str]) -> DataFrame:
     return staging.select(*[F.col(f"`{k}`") for k in keys]).where(_all_not_null(keys)).distinct()
 
 
+def _key_side(staging: DataFrame, keys: list[str], key_type=None) -> DataFrame:
+    """Distinct non-NULL staging keys as match keys.
+
+    The distinct is taken on the plain key columns and the join then shuffles
+    the (small) distinct set once more by the match key.  That extra exchange
+    is kept on purpose: with both join inputs coming straight from shuffle
+    stages, AQE can split a master partition that one hot key makes huge
+    (``SortMergeJoin(skew=true)``); with the aggregate directly under the join
+    it could not.  When the key set is small AQE broadcasts it instead.
+    """
+    k = _match_key(keys, F.lit(0).cast("bigint"))
+    if key_type is not None:  # the master side's exact type, so no cast in the join keys
+        k = k.cast(key_type)
+    return key_set(staging, keys).select(k.alias(_KEY))
+
+
+def anti_by_key(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Rows of ``left`` whose key (plain equality: NULL never matches) is not
+    among the keys of ``right``; NULL-key rows are salted, hot keys split by AQE."""
+    keys = _check_keys(keys)
+    m = left.withColumn(_KEY, _match_key(keys, _null_salt(left, keys)))
+    return m.join(_key_side(right, keys, m.schema[_KEY].dataType), _KEY, "left_anti").drop(_KEY)
+
+
 def delete_by_key(master: DataFrame, staging: DataFrame, keys) -> DataFrame:
     """Master rows whose key does not occur in staging (NULL keys never match)."""
-    keys = _check_keys(keys)
-    ks = key_set(staging, keys).withColumn(_SALT, F.lit(0))
-    m = master.withColumn(_SALT, _null_salt(master, keys))
-    return m.join(ks, keys + [_SALT], "left_anti").drop(_SALT)
+    return anti_by_key(master, staging, keys)
 
 
 def replace(master: DataFrame, staging: DataFrame, keys) -> DataFrame:
@@ -153,10 +186,10 @@ def replace_report(master: DataFrame, staging: DataFrame, keys) -> DataFrame:
     """One-row load report of a replace-by-key, computed in one job:
     master_rows, deleted, inserted, result_rows, delta, message."""
     keys = _check_keys(keys)
-    ks = key_set(staging, keys).withColumn(_SALT, F.lit(0)).withColumn("__hit", F.lit(True))
     mk = master.select(*[F.col(f"`{k}`") for k in keys])
-    m = (mk.withColumn(_SALT, _null_salt(mk, keys, by_position=True))
-         .join(ks, keys + [_SALT], "left")
+    mkeys = mk.select(_match_key(keys, _null_salt(mk, keys, by_position=True)).alias(_KEY))
+    ks = _key_side(staging, keys, mkeys.schema[_KEY].dataType).withColumn("__hit", F.lit(True))
+    m = (mkeys.join(ks, _KEY, "left")
          .select(F.lit("m").alias("side"), F.coalesce(F.col("__hit"), F.lit(False)).alias("hit")))
     s = staging.select(F.lit("s").alias("side"), F.lit(False).alias("hit"))
     agg = m.unionByName(s).agg(

@@ -97,9 +97,13 @@ def write_customer_workbooks(customer: DataFrame, folder: str) -> None:
         odd = [r for r in rows if r[0] % 2 == 1]
         seg = str(pdf["c_mktsegment"].iloc[0])
         block = int(pdf["block"].iloc[0])
-        name = os.path.join(target, f"{seg.lower()}-{block}-{uuid.uuid4().hex[:6]}.xlsx")
-        with open(name, "wb") as fh:
+        # one fixed name per group, written aside and renamed into place: a
+        # retried task replaces the file instead of adding a second copy
+        name = os.path.join(target, f"{seg.lower()}-{block}.xlsx")
+        tmp = os.path.join(target, f".{seg.lower()}-{block}.{uuid.uuid4().hex[:8]}.tmp")
+        with open(tmp, "wb") as fh:
             fh.write(workbook_bytes(even, odd))
+        os.replace(tmp, name)
         return pd.DataFrame({"file": [name], "rows": [len(rows)]})
 
     grouped = customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment",
