@@ -64,8 +64,12 @@ def geocode(df: DataFrame, locator: DataFrame, address_col: str = "FULL_ADDRESS"
             x: str = "longitude", y: str = "latitude") -> DataFrame:
     """Left join each row to the best locator candidate of its address (NULL when none)."""
     best = best_candidates(locator, address_col, score, x, y)
-    keyed = df.withColumn("__key", address_key(address_col))
-    return keyed.join(best, "__key", "left").drop("__key")
+    # join on struct(key): the best-candidate aggregate is then re-shuffled
+    # instead of feeding the join directly, which lets AQE split a partition
+    # that one very frequent address makes huge
+    best = best.withColumn("__jk", F.struct("__key")).drop("__key")
+    keyed = df.withColumn("__jk", F.struct(address_key(address_col).alias("__key")))
+    return keyed.join(best, "__jk", "left").drop("__jk")
 
 
 def misses(geocoded: DataFrame, source: DataFrame, id_col: str, geo_cols: list[str], source_cols: list[str],

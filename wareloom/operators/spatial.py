@@ -44,15 +44,22 @@ def locate(points: DataFrame, polygons: DataFrame, attrs: list[str], x: str = "l
            broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Add ``attrs`` of the first containing polygon to every point."""
     cells = polygon_cells(polygons, attrs, rings, order, cell)
-    size = polygons.agg(F.sum(F.size(F.flatten(F.col(rings)))).alias("v"), F.count(F.lit(1)).alias("n")).first()
+    # exact size bound of the cell table: every polygon's vertices are copied
+    # once per grid cell its bounding box covers
+    b = bbox(F.col(rings))
+    n_cells = ((F.floor(b["xmax"] / cell) - F.floor(b["xmin"] / cell) + 1)
+               * (F.floor(b["ymax"] / cell) - F.floor(b["ymin"] / cell) + 1))
+    size = polygons.agg(F.sum(F.size(F.flatten(F.col(rings))) * n_cells).alias("v")).first()
     est = int(size["v"] or 0) * _BYTES_PER_VERTEX
+    # the cell key is a struct so that, without broadcast, the per-cell
+    # aggregate is re-shuffled rather than feeding the join, and AQE may split
+    # a cell that holds a large share of the points
+    cells = cells.withColumn("__cell", F.struct("cx", "cy")).drop("cx", "cy")
     if est <= broadcast_limit:
         cells = F.broadcast(cells)
-    pts = points.withColumns({
-        "__cx": F.floor(F.col(f"`{x}`") / cell).cast("long"),
-        "__cy": F.floor(F.col(f"`{y}`") / cell).cast("long"),
-    })
-    joined = pts.join(cells, (pts["__cx"] == cells["cx"]) & (pts["__cy"] == cells["cy"]), "left")
+    pts = points.withColumn("__cell", F.struct(F.floor(F.col(f"`{x}`") / cell).cast("long").alias("cx"),
+                                               F.floor(F.col(f"`{y}`") / cell).cast("long").alias("cy")))
+    joined = pts.join(cells, "__cell", "left")
     px, py = f"`{x}`", f"`{y}`"
     hit = F.expr(f"try_element_at(filter(cands, p -> {inside_sql(px, py, 'p.rings')}), 1)")
     out = joined.withColumn("__hit", hit)
