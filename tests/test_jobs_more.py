@@ -113,3 +113,14 @@ def test_safe_cast_equals_try_cast(spark):
     for t in ("tinyint", "smallint", "int", "bigint", "decimal(38,0)", "decimal(10,2)", "double"):
         got = d.select(TY.safe_cast("s", t).alias("a"), F.col("s").try_cast(t).alias("b")).collect()
         assert [r["a"] for r in got] == [r["b"] for r in got], t
+
+
+def test_jdbc_column_types_and_errorifexists(spark, tmp_path):
+    from wareloom.sources.jdbc import column_types
+
+    d = spark.createDataFrame([(1, "a", "b")], "k bigint, notes string, c string")
+    assert column_types(d, ["notes"]) == "notes VARCHAR(MAX), c VARCHAR(255)"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS once_t LOCATION '{tmp_path}/once'")
+    catalog.publish(d, "once_t.t", "errorifexists")
+    with pytest.raises(RuntimeError):
+        catalog.publish(d, "once_t.t", "errorifexists")

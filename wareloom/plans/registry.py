@@ -735,3 +735,7 @@ def q_validate_many(spark, d):
                 "DATA_TYPE", F.when(F.col("COLUMN_NAME") == "c_acctbal", "int").otherwise(F.col("DATA_TYPE")))
         tables[t] = (df, contract)
     return Q.validate_all(tables)
+
+
+# more registered queries live in sibling modules
+from wareloom.plans import registry_exports  # noqa: E402,F401

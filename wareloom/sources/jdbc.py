@@ -44,6 +44,37 @@ def table(spark: SparkSession, url: str, dbtable: str, partition_column: str | N
     return r.load()
 
 
+def prepare_export(df: DataFrame, int64_to_int: bool = True) -> DataFrame:
+    """Target-ready columns in one projection: spaces in names become ``_``,
+    dots are dropped, and 64-bit integers narrow to int (overflow -> NULL)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from wareloom.functions.columns import replace_chars, unique_names
+
+    names = unique_names(replace_chars(c) for c in df.columns)
+    cols = []
+    for f, n in zip(df.schema.fields, names):
+        c = F.col(f"`{f.name}`")
+        if int64_to_int and isinstance(f.dataType, T.LongType):
+            c = c.try_cast("int")
+        cols.append(c.alias(n))
+    return df.select(*cols)
+
+
+def column_types(df: DataFrame, long_cols: list[str] | None = None, width: int = 255) -> str:
+    """``createTableColumnTypes`` text: listed long-text columns get an
+    unlimited width, other strings ``VARCHAR(width)``."""
+    from pyspark.sql import types as T
+
+    long_cols = set(long_cols or [])
+    parts = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            parts.append(f"{f.name} {'VARCHAR(MAX)' if f.name in long_cols else f'VARCHAR({width})'}")
+    return ", ".join(parts)
+
+
 def write(df: DataFrame, url: str, dbtable: str, mode: str = "overwrite", column_types: str | None = None,
           properties: dict | None = None, batchsize: int = BATCH_SIZE) -> None:
     """Export to a database table (drop and recreate on overwrite); ``column_types``
