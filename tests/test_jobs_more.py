@@ -124,3 +124,11 @@ def test_jdbc_column_types_and_errorifexists(spark, tmp_path):
     catalog.publish(d, "once_t.t", "errorifexists")
     with pytest.raises(RuntimeError):
         catalog.publish(d, "once_t.t", "errorifexists")
+
+
+def test_cluster_conf_sizes_from_volume():
+    from wareloom.session import cluster_conf
+
+    conf = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(10 * 1024 ** 2, 64)["spark.sql.shuffle.partitions"]) == 192

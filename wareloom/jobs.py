@@ -96,23 +96,24 @@ def run_replace(spark: SparkSession, ref: TableRef, keys: list[str], target_laye
 
 
 def copy_tables(spark: SparkSession, tables: dict[str, DataFrame], target_db: str, suffix: str = "",
-                mode: str = "overwrite", long_text: list[str] | None = None) -> DataFrame:
+                mode: str = "overwrite", long_text: list[str] | None = None, parallel: int = 4) -> DataFrame:
     """Copy tables into ``target_db`` (names get ``suffix``); returns (table_name, rows)
-    read back from the written tables."""
+    read back from the written tables.  Up to ``parallel`` copies are
+    submitted at once, so small tables do not leave the cluster idle."""
     from wareloom.functions.columns import long_text_last
 
     catalog.ensure_database(spark, target_db)
-    written = []
-    for name, df in tables.items():
+
+    def copy(name: str) -> str:
         out = f"{target_db}.{name}{suffix}"
+        df = tables[name]
         if long_text:
             df = long_text_last(df, long_text)
-        if mode == "overwrite":
-            catalog.publish(df, out, "overwrite")
-        else:
-            catalog.publish(df, out, mode)
-        written.append((name, out))
+        catalog.publish(df, out, mode)
+        return out
+
+    written = for_each_table(list(tables), copy, parallel=min(parallel, len(tables)))
     parts = [spark.table(out).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-             for name, out in written]
+             for name, out in written.items()]
     from functools import reduce
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -40,6 +40,33 @@ def build_session(master: str = "local[*]", app: str = "wareloom", shuffle_parti
     return spark
 
 
+MB = 1024 * 1024
+
+
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * MB) -> dict:
+    """Settings for a cluster run sized from the input volume.
+
+    Shuffles start with enough partitions for ``partition_bytes`` each (and
+    at least three waves of tasks); AQE coalesces small ones and splits
+    skewed ones at runtime; scan splits match the shuffle target; static
+    broadcasts stay small while AQE broadcasts from measured sizes.
+    """
+    shuffle = max(3 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
