@@ -132,3 +132,41 @@ def test_cluster_conf_sizes_from_volume():
     conf = cluster_conf(100 * 1024 ** 4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_conf(10 * 1024 ** 2, 64)["spark.sql.shuffle.partitions"]) == 192
+
+
+def test_failed_publish_leaves_master_untouched(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS fail_t LOCATION '{tmp_path}/fail'")
+    good = spark.createDataFrame([(1,), (2,)], "k bigint")
+    catalog.publish(good, "fail_t.m")
+    bad = good.select(F.when(F.col("k") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("k")).alias("k"))
+    with pytest.raises(Exception):
+        catalog.publish(bad, "fail_t.m")
+    assert sorted(r[0] for r in spark.table("fail_t.m").collect()) == [1, 2]
+    catalog.publish(good.where("k = 1"), "fail_t.m")  # the next run still publishes
+    assert [r[0] for r in spark.table("fail_t.m").collect()] == [1]
+
+
+def test_small_public_helpers(spark, tmp_path):
+    from wareloom.functions import columns as C
+    from wareloom.functions import geo as G
+    from wareloom.sources import resource as R
+
+    ref = TableRef("d", "s", "t", "master")
+    assert (ref.geocoded, ref.usps_geocoded) == ("master.d_s_t_G", "master.d_s_t_uspsG")
+    d = spark.createDataFrame([(1, 2, 3)], "`Unnamed: 0` int, `a:@computed_x` int, `Total Amount` int")
+    assert C.drop_matching(d, r"^Unnamed").columns == ["a:@computed_x", "Total Amount"]
+    assert C.clean_columns(d).columns == ["unnamed_0", "a_computed_x", "total_amount"]
+    g = spark.createDataFrame([('{"type":"MultiPolygon","coordinates":[[[[0,0],[1,0],[1,1],[0,0]]],'
+                                '[[[5,5],[6,5],[6,6],[5,5]]]]}',)], "g string")
+    assert len(g.select(G.rings_of_geojson("g")).first()[0]) == 2
+    o = spark.createDataFrame([(dt.datetime(1995, 5, 1),), (dt.datetime(1996, 5, 1),), (dt.datetime(1996, 7, 1),)],
+                              "d timestamp_ntz")
+    assert sorted(map(tuple, R.yearly_counts(o, "d", "1996-01-01").collect())) == [(1996, 2)]
+    m = spark.createDataFrame([(1, 10, "a"), (2, 20, "b")], "row_id bigint, k bigint, v string")
+    s = spark.createDataFrame([(20, "B"), (30, "C")], "k bigint, v string")
+    out = LD.replace_generated_id(m, s, ["k"], "row_id", ["k"])
+    assert sorted(map(tuple, out.collect())) == [(1, 10, "a"), (3, 20, "B"), (4, 30, "C")]
+    (tmp_path / "cp").mkdir()
+    (tmp_path / "cp" / "x.csv").write_bytes(b"name\n\x93caf\xe9\x94 \x80\n")
+    got = FS.delimited_cp1252(spark, str(tmp_path / "cp"), sep=",", schema="name string").first()[0]
+    assert got == "“café” €"

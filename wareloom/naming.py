@@ -5,9 +5,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, replace
 
-# The warehouse layers and the view/copy/geocode suffixes
-# that are removed from source names before a copy.
-LAYERS = ("staging", "master", "reporting", "gis")
+# The view/copy/geocode suffixes removed from source names
+# before a copy, and the suffixes of the enrichment tables.
 STRIP_SUFFIXES = ("_V", "_C", "_G")
 GEOCODED_SUFFIX = "_G"
 USPS_SUFFIX = "_uspsG"
@@ -34,6 +33,16 @@ class TableRef:
     def derived(self, suffix: str) -> str:
         return f"{self.layer}.{self.name}{suffix}"
 
+    @property
+    def geocoded(self) -> str:
+        """The geocoded sibling table (``<name>_G``)."""
+        return self.derived(GEOCODED_SUFFIX)
+
+    @property
+    def usps_geocoded(self) -> str:
+        """The second-chance geocoding results (``<name>_uspsG``)."""
+        return self.derived(USPS_SUFFIX)
+
 
 def strip_host(name: str) -> str:
     """``db.example.org`` style host prefix removed: keep the last dotted part."""

@@ -21,7 +21,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 NULL_SALT_BUCKETS = 64
 _SALT = "__wl_salt"
@@ -250,11 +249,3 @@ def replace_generated_id(master: DataFrame, staging: DataFrame, keys, id_col: st
     start = master.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("m")).first()["m"]
     staged = with_sequence_id(staging.drop(id_col), id_col, order_cols, start=int(start))
     return kept.unionByName(staged.select(*master.columns))
-
-
-def empty_like(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([], df.schema)
-
-
-def copy_report_schema() -> T.StructType:
-    return T.StructType([T.StructField("table_name", T.StringType()), T.StructField("rows", T.LongType())])

@@ -32,7 +32,6 @@ CONTRACT_SCHEMA = T.StructType([
 CONTRACT_DDL = "COLUMN_NAME string, DATA_TYPE string, NAs boolean"
 # above this many columns the null counts are computed through an unpivot
 WIDE_COLUMNS = 200
-REPORT_COLUMNS = ["column_name", "expected_type", "actual_type", "required", "null_count", "status"]
 
 
 class ContractError(RuntimeError):
