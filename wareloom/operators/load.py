@@ -214,8 +214,8 @@ def with_sequence_id(df: DataFrame, id_col: str, order_cols: list[str], start: i
     A global sort (range partitions, with a row hash as tie breaker so a hot
     sort key still spreads) is tagged with ``monotonically_increasing_id``;
     per-partition row counts (one row per partition, a proven small bound)
-    give each partition its offset.  The tagged sort is checkpointed to the
-    shared checkpoint folder so both uses see the same rows after executor loss.
+    give each partition its offset.  The tagged sort is written as a table in
+    the shared checkpoint folder so both uses see the same rows after executor loss.
     """
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__tie")
     tagged = (df.withColumn("__tie", tie)
@@ -223,9 +223,11 @@ def with_sequence_id(df: DataFrame, id_col: str, order_cols: list[str], start: i
               .withColumn("__mono", F.monotonically_increasing_id()))
     tagged = tagged.withColumn("__pid", F.shiftright(F.col("__mono"), 33))
     if checkpoint:
-        from wareloom.session import checkpoint_root
-        checkpoint_root(df.sparkSession)
-        tagged = tagged.checkpoint(eager=True)
+        # a written Parquet table in the shared checkpoint folder: the
+        # per-partition counts and the final join read the same rows, also
+        # after an executor is lost (the ids live in columns, not in the layout)
+        from wareloom.session import cut_lineage
+        tagged = cut_lineage(tagged, "sequence")
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     from pyspark.sql.window import Window
     offsets = counts.select("__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))

@@ -101,6 +101,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/wareloom-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def cut_lineage(df, name: str):
+    """Write ``df`` as a Parquet table below the shared checkpoint folder and
+    read it back: later jobs (and task retries after executor loss) start
+    from the written files instead of recomputing the plan."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 _SHIPPED: set[int] = set()
 
 
