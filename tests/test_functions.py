@@ -116,3 +116,25 @@ def test_wkt_and_split_point(spark):
     s = G.split_point(d, "g")
     assert s.columns == ["longitude", "latitude"]
     assert [tuple(r) for r in s.collect()] == [(1.5, 2.0), (None, None)]
+
+
+def test_keep_leading_zero_codes(spark):
+    d = spark.createDataFrame([("00731", "12"), ("15213", "7")], "zip string, n string")
+    out = I.convert_types(d, keep_leading_zeros=True)
+    assert dict(out.dtypes) == {"zip": "string", "n": "bigint"}
+    assert dict(I.convert_types(d).dtypes) == {"zip": "bigint", "n": "bigint"}
+
+
+def test_workbook_sheet_choice(spark, tmp_path):
+    from wareloom.plans.workbook_fixture import write_customer_workbooks
+    from wareloom.sources import workbooks as WB
+
+    cust = spark.range(0, 10).select(F.col("id").alias("c_custkey"), F.concat(F.lit("n"), F.col("id").cast("string"))
+                                     .alias("c_name"), (F.col("id") * 1.5).alias("c_acctbal"),
+                                     F.lit("BUILDING").alias("c_mktsegment"))
+    write_customer_workbooks(cust, str(tmp_path / "wb"))
+    first = WB.read_folder(spark, str(tmp_path / "wb"), sheet=0, skip=1, column_types={"c_custkey": "bigint"})
+    named = WB.read_folder(spark, str(tmp_path / "wb"), sheet="more", skip=1, column_types={"c_custkey": "bigint"})
+    assert sorted(r[0] for r in first.collect()) == [0, 2, 4, 6, 8]
+    assert sorted(r[0] for r in named.collect()) == [1, 3, 5, 7, 9]
+    assert first.columns == ["c_custkey", "c_name", "c_acctbal"]

@@ -22,6 +22,7 @@ from wareloom.functions.columns import COMPUTED_MARK
 from wareloom.functions.types import safe_cast
 
 DIGITS = r"^[0-9]+$"
+LEADING_ZERO = r"^0[0-9]"
 # bigint holds every 18-digit number; longer digit strings go to decimal(38,0)
 BIGINT_DIGITS = 18
 WIDE_PROFILE_COLUMNS = 200
@@ -33,6 +34,7 @@ class ColumnProfile:
     non_null: int
     non_digit: int
     max_len: int | None
+    leading_zero: int = 0  # values such as codes "007" (digits with a leading zero)
 
     @property
     def all_digits(self) -> bool:
@@ -57,17 +59,20 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> dict[str, Column
                 F.count(ref).alias(f"n{i}"),
                 F.count_if(ref.isNotNull() & ~ref.rlike(DIGITS)).alias(f"b{i}"),
                 F.max(F.length(ref)).alias(f"l{i}"),
+                F.count_if(ref.rlike(LEADING_ZERO)).alias(f"z{i}"),
             ]
         row = df.agg(*aggs).first()
-        return {c: ColumnProfile(c, row[f"n{i}"], row[f"b{i}"], row[f"l{i}"]) for i, c in enumerate(cols)}
+        return {c: ColumnProfile(c, row[f"n{i}"], row[f"b{i}"], row[f"l{i}"], row[f"z{i}"])
+                for i, c in enumerate(cols)}
     long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]).unpivot(
         [], cols, "column_name", "value")
     rows = (long.groupBy("column_name")
             .agg(F.count("value").alias("n"),
                  F.count_if(F.col("value").isNotNull() & ~F.col("value").rlike(DIGITS)).alias("b"),
-                 F.max(F.length("value")).alias("l"))
+                 F.max(F.length("value")).alias("l"),
+                 F.count_if(F.col("value").rlike(LEADING_ZERO)).alias("z"))
             .collect())
-    got = {r["column_name"]: ColumnProfile(r["column_name"], r["n"], r["b"], r["l"]) for r in rows}
+    got = {r["column_name"]: ColumnProfile(r["column_name"], r["n"], r["b"], r["l"], r["z"]) for r in rows}
     return {c: got.get(c, ColumnProfile(c, 0, 0, None)) for c in cols}
 
 
@@ -119,8 +124,8 @@ def convert_types(df: DataFrame, prof: dict[str, ColumnProfile] | None = None,
         if COMPUTED_MARK in name:
             continue
         if p is not None and p.all_digits:
-            if keep_leading_zeros and (p.non_null > 0):
-                out.append(c)  # caller keeps codes such as zip codes as text
+            if keep_leading_zeros and p.leading_zero > 0:
+                out.append(c)  # codes such as "00731" stay text: a number would lose the zeros
             else:
                 out.append(safe_cast(c, digits_type(p)).alias(name))
         elif isinstance(f.dataType, T.StringType) and "date" in name:
