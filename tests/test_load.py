@@ -95,3 +95,12 @@ def test_laws(spark, master, staging):
     # novelty gate empty <=> staging ids are a subset of master ids (NULL-safe)
     new = {k for k, _ in staging} - {k for k, _ in master}
     assert LD.new_ids(s, m, ["k"]).isEmpty() == (len(new) == 0)
+
+
+def test_replace_under_warehouse_collation(spark):
+    m = spark.createDataFrame([("ABC ", 1), ("x", 2), (None, 3)], "k string, v int")
+    s = spark.createDataFrame([("abc", 9)], "k string, v int")
+    exact = sorted(map(tuple, LD.replace(m, s, ["k"]).collect()), key=repr)
+    assert ("ABC ", 1) in exact  # binary comparison: no match
+    ci = sorted(map(tuple, LD.replace(m, s, ["k"], collation="UTF8_LCASE_RTRIM").collect()), key=repr)
+    assert ci == sorted([("x", 2), (None, 3), ("abc", 9)], key=repr)

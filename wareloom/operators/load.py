@@ -51,12 +51,29 @@ def _null_salt(df: DataFrame, keys: list[str], by_position: bool = False) -> Col
 _KEY = "__wl_key"
 
 
-def _match_key(keys: list[str], salt: Column) -> Column:
+def _match_key(keys: list[str], salt: Column, string_keys: set | None = None,
+               collation: str | None = None) -> Column:
     """The join key ``struct(keys..., salt)``.  A struct is kept whole by the
     optimizer, so the salt reaches the shuffle's hash partitioning (a plain
     ``salt = 0`` key on the key-set side is folded into a join condition and
-    would leave every NULL-key row in one partition)."""
-    return F.struct(*[F.col(f"`{k}`").alias(k) for k in keys], salt.alias(_SALT))
+    would leave every NULL-key row in one partition).
+
+    With ``collation`` (e.g. ``UTF8_LCASE_RTRIM``: case-insensitive, trailing
+    spaces ignored, as a warehouse's default collation compares), string keys
+    are compared under that collation."""
+    parts = []
+    for k in keys:
+        c = F.col(f"`{k}`")
+        if collation and string_keys and k in string_keys:
+            c = F.collate(c, collation)
+        parts.append(c.alias(k))
+    return F.struct(*parts, salt.alias(_SALT))
+
+
+def _string_keys(df: DataFrame, keys: list[str]) -> set:
+    from pyspark.sql import types as T
+
+    return {f.name for f in df.schema.fields if f.name in keys and isinstance(f.dataType, T.StringType)}
 
 
 def key_set(staging: DataFrame, keys: list[str]) -> DataFrame:
@@ -64,7 +81,7 @@ def key_set(staging: DataFrame, keys: list[str]) -> DataFrame:
     return staging.select(*[F.col(f"`{k}`") for k in keys]).where(_all_not_null(keys)).distinct()
 
 
-def _key_side(staging: DataFrame, keys: list[str], key_type=None) -> DataFrame:
+def _key_side(staging: DataFrame, keys: list[str], key_type=None, collation: str | None = None) -> DataFrame:
     """Distinct non-NULL staging keys as match keys.
 
     The distinct is taken on the plain key columns and the join then shuffles
@@ -74,30 +91,36 @@ def _key_side(staging: DataFrame, keys: list[str], key_type=None) -> DataFrame:
     (``SortMergeJoin(skew=true)``); with the aggregate directly under the join
     it could not.  When the key set is small AQE broadcasts it instead.
     """
+    skeys = _string_keys(staging, keys)
+    # under a collation the distinct groups "A" and "a " as one key
+    cols = [F.collate(F.col(f"`{k}`"), collation).alias(k) if collation and k in skeys else F.col(f"`{k}`")
+            for k in keys]
+    ks = staging.select(*cols).where(_all_not_null(keys)).distinct()
     k = _match_key(keys, F.lit(0).cast("bigint"))
     if key_type is not None:  # the master side's exact type, so no cast in the join keys
         k = k.cast(key_type)
-    return key_set(staging, keys).select(k.alias(_KEY))
+    return ks.select(k.alias(_KEY))
 
 
-def anti_by_key(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+def anti_by_key(left: DataFrame, right: DataFrame, keys, collation: str | None = None) -> DataFrame:
     """Rows of ``left`` whose key (plain equality: NULL never matches) is not
     among the keys of ``right``; NULL-key rows are salted, hot keys split by AQE."""
     keys = _check_keys(keys)
-    m = left.withColumn(_KEY, _match_key(keys, _null_salt(left, keys)))
-    return m.join(_key_side(right, keys, m.schema[_KEY].dataType), _KEY, "left_anti").drop(_KEY)
+    m = left.withColumn(_KEY, _match_key(keys, _null_salt(left, keys), _string_keys(left, keys), collation))
+    return m.join(_key_side(right, keys, m.schema[_KEY].dataType, collation), _KEY, "left_anti").drop(_KEY)
 
 
-def delete_by_key(master: DataFrame, staging: DataFrame, keys) -> DataFrame:
+def delete_by_key(master: DataFrame, staging: DataFrame, keys, collation: str | None = None) -> DataFrame:
     """Master rows whose key does not occur in staging (NULL keys never match)."""
-    return anti_by_key(master, staging, keys)
+    return anti_by_key(master, staging, keys, collation)
 
 
-def replace(master: DataFrame, staging: DataFrame, keys) -> DataFrame:
+def replace(master: DataFrame, staging: DataFrame, keys, collation: str | None = None) -> DataFrame:
     """Replace by key: delete master rows matched by staging keys, then insert
     every staging row (duplicates kept).  Columns are matched by name."""
     _same_columns(master, staging)
-    return delete_by_key(master, staging, keys).unionByName(staging.select(*[F.col(f"`{c}`") for c in master.columns]))
+    return delete_by_key(master, staging, keys, collation).unionByName(
+        staging.select(*[F.col(f"`{c}`") for c in master.columns]))
 
 
 def _same_columns(master: DataFrame, staging: DataFrame) -> None:
