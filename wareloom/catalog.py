@@ -77,6 +77,7 @@ def publish(df: DataFrame, table: str, mode: str = "overwrite") -> None:
     if mode == "append" and exists(spark, table):
         target_cols = spark.table(table).columns
         df.select(*target_cols).write.mode("append").insertInto(table)
+        spark.catalog.refreshTable(table)
         return
     if mode == "errorifexists" and exists(spark, table):
         raise RuntimeError(f"{table} already exists")
@@ -88,6 +89,8 @@ def publish(df: DataFrame, table: str, mode: str = "overwrite") -> None:
         spark.sql(f"ALTER TABLE {table} RENAME TO {prefix}{name}{OLD}")
     spark.sql(f"ALTER TABLE {new} RENAME TO {prefix}{name}")
     spark.sql(f"DROP TABLE IF EXISTS {old}")
+    # readers planned before the swap cached the old file listing of this name
+    spark.catalog.refreshTable(table)
 
 
 def move(spark: SparkSession, source_table: str, target_table: str) -> None:

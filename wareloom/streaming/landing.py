@@ -22,22 +22,28 @@ from wareloom import catalog
 from wareloom.operators import load
 
 
-def apply_batch(master_table: str, keys: list[str], mode: str = "replace"):
+def apply_batch(master_table: str, keys: list[str], mode: str = "replace", caller: SparkSession | None = None):
+    """The ``foreachBatch`` function (runs on the driver).  Micro-batches run in
+    a cloned session with its own table cache, so the caller's session is
+    refreshed too after each publish."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         if batch.isEmpty():
             return
         if not catalog.exists(spark, master_table):
             catalog.publish(batch, master_table, "overwrite")
-            return
-        master = spark.table(master_table)
-        if mode == "replace":
-            new = load.replace(master, batch, keys)
-        elif mode == "append_new":
-            new = load.append_new(master, batch, keys)
         else:
-            raise ValueError(f"unknown mode {mode!r}")
-        catalog.publish(new, master_table, "overwrite")
+            spark.catalog.refreshTable(master_table)
+            master = spark.table(master_table)
+            if mode == "replace":
+                new = load.replace(master, batch, keys)
+            elif mode == "append_new":
+                new = load.append_new(master, batch, keys)
+            else:
+                raise ValueError(f"unknown mode {mode!r}")
+            catalog.publish(new, master_table, "overwrite")
+        if caller is not None:
+            caller.catalog.refreshTable(master_table)
     return run
 
 
@@ -49,7 +55,7 @@ def load_landing(spark: SparkSession, landing: str, schema, master_table: str, k
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing)
-    writer = (stream.writeStream.foreachBatch(apply_batch(master_table, keys, mode))
+    writer = (stream.writeStream.foreachBatch(apply_batch(master_table, keys, mode, caller=spark))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
