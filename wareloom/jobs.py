@@ -64,7 +64,7 @@ def run_append(spark: SparkSession, ref: TableRef, target_layer: str = "master",
 
 
 def run_replace(spark: SparkSession, ref: TableRef, keys: list[str], target_layer: str = "master",
-                require_new_ids: bool = False) -> dict:
+                require_new_ids: bool = False, collation: str | None = None) -> dict:
     """Replace by key, publish one new version, drop staging, return the report.
 
     The report counts come from ``observe`` metrics of the publishing job
@@ -85,7 +85,7 @@ def run_replace(spark: SparkSession, ref: TableRef, keys: list[str], target_laye
     om, ok, os_ = Observation("master"), Observation("kept"), Observation("staged")
     m = master.observe(om, F.count(F.lit(1)).alias("n"))
     s = staging.observe(os_, F.count(F.lit(1)).alias("n"))
-    kept = load.delete_by_key(m, staging, keys).observe(ok, F.count(F.lit(1)).alias("n"))
+    kept = load.delete_by_key(m, staging, keys, collation).observe(ok, F.count(F.lit(1)).alias("n"))
     new = kept.unionByName(s.select(*master.columns))
     catalog.publish(new, dst, "overwrite")
     catalog.drop(spark, src)
