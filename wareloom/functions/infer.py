@@ -22,7 +22,6 @@ from wareloom.functions.columns import COMPUTED_MARK
 from wareloom.functions.types import safe_cast
 
 DIGITS = r"^[0-9]+$"
-LEADING_ZERO = r"^0[0-9]"
 # bigint holds every 18-digit number; longer digit strings go to decimal(38,0)
 BIGINT_DIGITS = 18
 WIDE_PROFILE_COLUMNS = 200
@@ -34,7 +33,7 @@ class ColumnProfile:
     non_null: int
     non_digit: int
     max_len: int | None
-    leading_zero: int = 0  # values such as codes "007" (digits with a leading zero)
+    leading_zero: int = 0  # values such as codes "007" (read with all_digits: digits with a leading zero)
 
     @property
     def all_digits(self) -> bool:
@@ -59,7 +58,7 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> dict[str, Column
                 F.count(ref).alias(f"n{i}"),
                 F.count_if(ref.isNotNull() & ~ref.rlike(DIGITS)).alias(f"b{i}"),
                 F.max(F.length(ref)).alias(f"l{i}"),
-                F.count_if(ref.rlike(LEADING_ZERO)).alias(f"z{i}"),
+                F.count_if(ref.startswith("0") & (F.length(ref) > 1)).alias(f"z{i}"),
             ]
         row = df.agg(*aggs).first()
         return {c: ColumnProfile(c, row[f"n{i}"], row[f"b{i}"], row[f"l{i}"], row[f"z{i}"])
@@ -70,12 +69,22 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> dict[str, Column
             .agg(F.count("value").alias("n"),
                  F.count_if(F.col("value").isNotNull() & ~F.col("value").rlike(DIGITS)).alias("b"),
                  F.max(F.length("value")).alias("l"),
-                 F.count_if(F.col("value").rlike(LEADING_ZERO)).alias("z"))
+                 F.count_if(F.col("value").startswith("0") & (F.length("value") > 1)).alias("z"))
             .collect())
     got = {r["column_name"]: ColumnProfile(r["column_name"], r["n"], r["b"], r["l"], r["z"]) for r in rows}
     return {c: got.get(c, ColumnProfile(c, 0, 0, None)) for c in cols}
 
 
+def _digits_cast(c, p: ColumnProfile):
+    """Cast an all-digit column: plain ``try_cast`` when the profile proves every
+    value fits (no overflow path possible), the guarded ``safe_cast`` otherwise."""
+    t = digits_type(p)
+    limit = BIGINT_DIGITS if isinstance(t, T.LongType) else t.precision
+    if p.max_len is None or p.max_len <= limit:
+        return c.try_cast(t)
+    return safe_cast(c, t)
+
+
 def digits_type(p: ColumnProfile) -> T.DataType:
     if p.max_len is not None and p.max_len > BIGINT_DIGITS:
         return T.DecimalType(38, 0)
@@ -89,7 +98,7 @@ def digits(df: DataFrame, prof: dict[str, ColumnProfile] | None = None) -> DataF
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         p = prof.get(f.name)
-        cols.append(safe_cast(c, digits_type(p)).alias(f.name) if p is not None and p.all_digits else c)
+        cols.append(_digits_cast(c, p).alias(f.name) if p is not None and p.all_digits else c)
     return df.select(*cols)
 
 
@@ -127,7 +136,7 @@ def convert_types(df: DataFrame, prof: dict[str, ColumnProfile] | None = None,
             if keep_leading_zeros and p.leading_zero > 0:
                 out.append(c)  # codes such as "00731" stay text: a number would lose the zeros
             else:
-                out.append(safe_cast(c, digits_type(p)).alias(name))
+                out.append(_digits_cast(c, p).alias(name))
         elif isinstance(f.dataType, T.StringType) and "date" in name:
             out.append(D.parse_timestamp(c, patterns).alias(name))
         elif "latitude" in name and "longitude" in name:
