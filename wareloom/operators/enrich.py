@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LOOKUP_BROADCAST_ROWS = 1_000_000
+LOOKUP_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def address(df: DataFrame, sql_expr: str, name: str = "FULL_ADDRESS") -> DataFrame:
@@ -86,10 +86,13 @@ def misses(geocoded: DataFrame, source: DataFrame, id_col: str, geo_cols: list[s
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left",
-           broadcast_rows: int = LOOKUP_BROADCAST_ROWS) -> DataFrame:
-    """Dimension lookup join; the dimension is broadcast only after a row-count check."""
-    n = dim.count()
-    side = F.broadcast(dim) if n <= broadcast_rows else dim
+           broadcast_bytes: int = LOOKUP_BROADCAST_BYTES) -> DataFrame:
+    """Dimension lookup join.  The dimension is broadcast only after one small
+    job measured its size (bytes of its rows as JSON text, an upper estimate
+    of the in-memory size); otherwise the planner and AQE choose."""
+    size = dim.agg(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in dim.columns]))))
+                   .alias("b")).first()["b"] or 0
+    side = F.broadcast(dim) if size <= broadcast_bytes else dim
     return df.join(side, on, how)
 
 

@@ -430,7 +430,7 @@ def write_cursor_pages(df: DataFrame, path: str, chain_col: str, order_col: str,
     base = df.select(F.col(chain_col).cast("string").alias("chain"), F.col(order_col).alias("__o"), rec.alias("rec"))
     seq = with_sequence_id(base, "__g", ["chain", "__o"], start=-1)
     bounds = seq.groupBy("chain").agg(F.min("__g").alias("__first"), F.count(F.lit(1)).alias("__n"))
-    pos = seq.join(F.broadcast(bounds), "chain").withColumn("__pos", F.col("__g") - F.col("__first"))
+    pos = seq.join(bounds, "chain").withColumn("__pos", F.col("__g") - F.col("__first"))
     pages = (pos.withColumn("page", F.floor(F.col("__pos") / page_size))
              .groupBy("chain", "page", "__n")
              .agg(F.sort_array(F.collect_list(F.struct("__o", "rec"))).alias("rs")))
