@@ -410,7 +410,9 @@ def write_offset_pages(df: DataFrame, path: str, order_col: str, page_size: int)
     seq = with_sequence_id(df, "__pos", [order_col], start=-1)
     rec = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), JSON_OPTIONS)
     out = seq.select(F.floor(F.col("__pos") / page_size).alias("page"), rec.alias("value"))
-    out.write.mode("overwrite").partitionBy("page").text(path)
+    # cluster by page first: one file per page instead of one per (task, page);
+    # a page holds at most page_size rows, so no partition can grow hot
+    out.repartition("page").write.mode("overwrite").partitionBy("page").text(path)
     n = df.count()
     with open(os.path.join(_local(path), "_meta.json"), "w", encoding="utf-8") as fh:
         json.dump({"count": n, "page_size": page_size}, fh)
