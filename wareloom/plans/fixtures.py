@@ -13,8 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_SCHEMAS: dict[tuple[int, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    """A driver table.  Its Parquet schema is inferred once per session and
+    path (inference is a small job of its own); later reads pass it along."""
+    path = f"{d.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def _dbl(expr: str) -> F.Column:
