@@ -170,3 +170,12 @@ def test_small_public_helpers(spark, tmp_path):
     (tmp_path / "cp" / "x.csv").write_bytes(b"name\n\x93caf\xe9\x94 \x80\n")
     got = FS.delimited_cp1252(spark, str(tmp_path / "cp"), sep=",", schema="name string").first()[0]
     assert got == "“café” €"
+
+
+def test_json_records_infers_schema(spark):
+    from wareloom.sources import resource as R
+
+    d = spark.createDataFrame([(1, '{"a": 1, "b": {"c": "x"}}'), (2, '{"a": 2}'), (3, None)], "id int, j string")
+    out = R.json_records(d, "j")
+    assert out.columns == ["id", "j_a", "j_b_c"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, 1, "x"), (2, 2, None), (3, None, None)], key=str)

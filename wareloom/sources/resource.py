@@ -27,12 +27,18 @@ def json_records(df: DataFrame, text_col: str, schema: T.StructType | str | None
                  keep: list[str] | None = None) -> DataFrame:
     """Parse a JSON-object text column and flatten it to top-level columns.
 
-    Without a schema it is inferred by Spark's JSON reader over the column
-    (a distributed pass), as ``spark.read.json`` does for files.
+    Without a schema it is inferred by Spark's JSON reader over the whole
+    column: the texts are written once as a text table in the shared
+    checkpoint folder and ``spark.read.json`` infers from it (JVM-side,
+    distributed; no Python round trip of the strings).
     """
     spark = df.sparkSession
     if schema is None:
-        schema = spark.read.json(df.select(text_col).rdd.map(lambda r: r[0])).schema
+        from wareloom.session import scratch_path
+
+        path = scratch_path(spark, "json-infer")
+        df.select(F.col(text_col).alias("value")).where(F.col("value").isNotNull()).write.text(path)
+        schema = spark.read.json(path).schema
     keep = keep or [c for c in df.columns if c != text_col]
     parsed = df.select(*[F.col(c) for c in keep], F.from_json(F.col(text_col), schema).alias(text_col))
     return flatten(parsed)
