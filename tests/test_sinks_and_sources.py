@@ -130,3 +130,11 @@ def test_soql_translation():
     w = P.soql_where([ds.EqualTo(("event_type",), "click"), ds.GreaterThan(("value",), 10.5),
                       ds.Not(ds.IsNull(("ts",)))])
     assert w == "(event_type = 'click') AND (value > 10.5) AND (NOT (ts IS NULL))"
+
+
+def test_resolve_by_explicit_id(spark):
+    files = spark.createDataFrame([("1", "a.txt", "/x"), ("2", "a.txt", "/y")], "id string, name string, path string")
+    req = spark.createDataFrame([("r1", "a.txt", None, None), ("r2", "a.txt", None, "2"), ("r3", "a.txt", None, "9")],
+                                "req_id string, name string, path_prefix string, file_id string")
+    got = {r["req_id"]: (r["status"], r["file_id"]) for r in L.resolve(req, files).collect()}
+    assert got == {"r1": ("ambiguous", None), "r2": ("ok", "2"), "r3": ("missing", None)}

@@ -86,9 +86,20 @@ def top_n_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Colum
 def resolve(requests: DataFrame, files: DataFrame) -> DataFrame:
     """Pick exactly one file per request by exact name (and optional path prefix).
 
-    requests: (req_id, name, path_prefix); files: (id, name, path, ...).
+    requests: (req_id, name, path_prefix[, file_id]); files: (id, name, path, ...).
+    A request that names a ``file_id`` (the way to settle an ambiguous name)
+    is resolved by that id alone.
     Returns req_id, n_matches, file_id (when exactly one), status ok/ambiguous/missing.
     """
+    if "file_id" in requests.columns:
+        by_id = requests.where(F.col("file_id").isNotNull()).select("req_id", "file_id")
+        found = by_id.join(files.select(F.col("id").alias("file_id")), "file_id", "left_semi")
+        ids = (by_id.join(found.select("req_id", F.lit(1).cast("bigint").alias("n_matches")), "req_id", "left")
+               .select("req_id", F.coalesce("n_matches", F.lit(0).cast("bigint")).alias("n_matches"), "file_id"))
+        ids = ids.select("req_id", "n_matches", F.when(F.col("n_matches") == 1, F.col("file_id")).alias("file_id"),
+                         F.when(F.col("n_matches") == 1, "ok").otherwise("missing").alias("status"))
+        named = requests.where(F.col("file_id").isNull()).drop("file_id")
+        return resolve(named, files).unionByName(ids)
     by_name_path = files.groupBy("name", "path").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("min_id"))
     r = requests.select("req_id", F.col("name").alias("r_name"), "path_prefix")
     cand = r.join(by_name_path, r["r_name"] == by_name_path["name"], "left")
