@@ -138,8 +138,12 @@ def arrival_status(expectations: DataFrame, files: DataFrame) -> DataFrame:
                          "name", "file_name", ["exp_id", "file_name", "folder_path", "file_types"])
     ok_path = F.col("folder_path").isNull() | F.col("path").startswith(F.col("folder_path"))
     types = F.col("file_types")
-    ok_type = (types.isNull() | (F.size(types) == 0)
-               | F.exists(types, lambda t: F.col("name").endswith(t)))
+    # the file name enters the lambda as an argument (zip_with) rather than as an
+    # outer reference: a filter whose lambda refers to an outer column can be
+    # pushed below the join to the side that lacks that column
+    names = F.array_repeat(F.col("name"), F.size(types))
+    ends = F.zip_with(types, names, lambda t, n: n.endswith(t))
+    ok_type = types.isNull() | (F.size(types) == 0) | F.array_contains(ends, True)
     per = (m.where(ok_path & ok_type).groupBy("exp_id")
            .agg(F.count(F.lit(1)).alias("n_matches"), F.min("name").alias("any_name")))
     out = expectations.select("exp_id").join(per, "exp_id", "left")
