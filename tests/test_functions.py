@@ -50,6 +50,7 @@ def test_parse_timestamp_keeps_wall_time_in_any_zone(spark):
     try:
         d = spark.createDataFrame([("2024-03-10 02:30:00.000",), ("2024-01-05",), ("2024-02-30 00:00:00",)], "t string")
         got = [r[0] for r in d.select(D.parse_timestamp("t")).collect()]
+        assert got[0] == dt.datetime(2024, 3, 10, 2, 30)  # inside the DST gap of the session zone
         assert got[1] == dt.datetime(2024, 1, 5)
         assert got[2] is None
         ms = spark.createDataFrame([(1704067207179,)], "m bigint").select(D.epoch_millis_to_ts("m")).first()[0]

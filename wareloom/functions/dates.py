@@ -30,12 +30,15 @@ def _c(col: Column | str) -> Column:
 def parse_timestamp(col: Column | str, patterns: tuple[str, ...] = DEFAULT_PATTERNS) -> Column:
     """First pattern that parses; anything else NULL.  Returns timestamp_ntz.
 
-    ``try_to_timestamp`` and the cast to ``timestamp_ntz`` use the same
-    session zone, so the wall-clock text is kept whatever the zone is.
+    The text is parsed as UTC (an explicit ``+00:00`` offset is appended) and
+    the instant is turned into a naive timestamp by epoch arithmetic, so the
+    written wall clock is kept exactly in any session zone, also for times
+    that fall into a daylight-saving gap of the session zone.
     """
     c = _c(col)
-    parsed = [F.try_to_timestamp(c, F.lit(p)) for p in patterns]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    utc_text = F.concat(c, F.lit("+00:00"))
+    parsed = [F.try_to_timestamp(utc_text, F.lit(p + "XXX")) for p in patterns]
+    return add_micros(F.expr(EPOCH_NTZ), F.unix_micros(F.coalesce(*parsed)))
 
 
 def try_convert(df: DataFrame, columns: list[str], patterns: tuple[str, ...] = DEFAULT_PATTERNS) -> DataFrame:
