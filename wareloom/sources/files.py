@@ -11,11 +11,14 @@ from wareloom.functions.text import cp1252_fix
 
 def delimited(spark: SparkSession, path: str, sep: str = "\t", header: bool = True,
               schema: T.StructType | str | None = None, null_value: str | None = None,
-              encoding: str | None = None, quote: str = '"', escape: str = '"') -> DataFrame:
+              encoding: str | None = None, quote: str = '"', escape: str = '"',
+              multi_line: bool = False) -> DataFrame:
     """CSV / delimited files (default tab).  Give a schema in production:
-    inference is an extra pass over the data."""
+    inference is an extra pass over the data.  ``multi_line`` (quoted values
+    with line breaks) makes every file one task, so it is off unless needed."""
     r = spark.read.option("header", header).option("sep", sep).option("quote", quote).option("escape", escape)
-    r = r.option("multiLine", True)
+    if multi_line:
+        r = r.option("multiLine", True)
     if null_value is not None:
         r = r.option("nullValue", null_value)
     if encoding is not None:
