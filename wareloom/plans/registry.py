@@ -624,13 +624,13 @@ def q_stream_replace_landing(spark, d):
     catalog.publish(FX.master_orders(spark, d), master_table, "overwrite")
     staging = FX.staging_orders(spark, d)
     # three drops of staging files with disjoint keys land in the folder
-    # (one file per drop, one file per trigger: three micro-batches, each a publish)
+    # three drops land one after another; after each, the job runs once
+    # (availableNow) and the stream checkpoint makes it pick up only the new files
     for part in range(3):
-        (staging.where(F.col("o_orderkey") % 3 == part).coalesce(1)
-         .write.mode("overwrite").parquet(f"{root}/in/drop={part}"))
-    q = LS.load_landing(spark, f"{root}/in/drop=*", staging.schema, master_table, ["o_orderkey"],
-                        checkpoint=f"{root}/checkpoint", max_files_per_trigger=1)
-    q.awaitTermination()
+        staging.where(F.col("o_orderkey") % 3 == part).write.mode("overwrite").parquet(f"{root}/in/drop={part}")
+        q = LS.load_landing(spark, f"{root}/in/drop=*", staging.schema, master_table, ["o_orderkey"],
+                            checkpoint=f"{root}/checkpoint")
+        q.awaitTermination()
     return spark.table(master_table)
 
 
