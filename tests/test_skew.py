@@ -67,3 +67,61 @@ def test_top_n_with_a_hot_group(spark):
     hot = [r["t"] for r in top.where("g = 'hot'").orderBy("rank").collect()]
     assert hot == [5997, 5994, 5991]
     assert top.groupBy("g").count().where("count <> 3").count() == 0
+
+
+def _small_skew_conf(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return old
+
+
+def _restore(spark, old):
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def test_locate_without_broadcast_equals_broadcast(spark, sf):
+    from wareloom.operators.spatial import locate
+    from wareloom.plans import fixtures as FX
+
+    pts, polys = FX.points(spark, sf), FX.counties(spark, sf)
+    small = sorted(map(tuple, locate(pts, polys, ["STATE", "NAME"]).collect()), key=repr)
+    old = _small_skew_conf(spark)
+    try:
+        shuffled = locate(pts, polys, ["STATE", "NAME"], broadcast_limit=0)
+        got = sorted(map(tuple, shuffled.collect()), key=repr)
+        assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        _restore(spark, old)
+    assert got == small
+
+
+def test_geocode_hot_address_is_split(spark):
+    from wareloom.operators import enrich as E
+
+    addrs = spark.range(0, 20000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("1 MAIN ST"))
+                                         .otherwise(F.concat(F.lit("A"), F.col("id").cast("string"))).alias("FULL_ADDRESS"))
+    loc = spark.range(0, 20000, 7).select(F.concat(F.lit("a"), F.col("id").cast("string")).alias("FULL_ADDRESS"),
+                                          F.lit(90).alias("score"), F.lit(1.0).alias("longitude"), F.lit(2.0).alias("latitude"))
+    old = _small_skew_conf(spark)
+    try:
+        out = E.geocode(addrs, loc)
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        _restore(spark, old)
+    assert len(rows) == 20000
+    assert sum(1 for r in rows if r["latitude"] is not None) == len([i for i in range(0, 20000, 7) if i % 3 != 0])
+    assert "SortMergeJoin(skew=true)" in plan
