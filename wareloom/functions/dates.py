@@ -1,8 +1,8 @@
 """Date and time repair as column expressions (all JVM-side, no UDFs).
 
 Results are ``timestamp_ntz`` so that they do not depend on the session
-time zone; epoch arithmetic adds / extracts day-time intervals against
-the epoch instead of using zone-dependent casts.
+time zone; epoch arithmetic uses ``timestamp_add`` / ``timestamp_diff``
+against the epoch instead of zone-dependent casts.
 """
 
 from __future__ import annotations
@@ -48,25 +48,15 @@ def try_convert(df: DataFrame, columns: list[str], patterns: tuple[str, ...] = D
 
 def add_micros(ts: Column, micros: Column) -> Column:
     """timestamp_ntz plus a number of microseconds (zone independent)."""
-    secs = (micros.cast("decimal(38,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
-    return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
-
-
-def interval_micros(iv: Column) -> Column:
-    """Microseconds of a DAY TO SECOND interval."""
-    day = F.extract(F.lit("DAY"), iv).cast("bigint")
-    hour = F.extract(F.lit("HOUR"), iv).cast("bigint")
-    minute = F.extract(F.lit("MINUTE"), iv).cast("bigint")
-    sec = (F.extract(F.lit("SECOND"), iv) * F.lit(1_000_000)).cast("bigint")
-    return ((day * 24 + hour) * 60 + minute) * F.lit(60_000_000) + sec
+    return F.timestamp_add("MICROSECOND", micros.cast("bigint"), ts)
 
 
 def epoch_millis_to_ts(col: Column | str) -> Column:
-    return add_micros(F.expr(EPOCH_NTZ), _c(col).cast("bigint") * F.lit(1000))
+    return F.timestamp_add("MILLISECOND", _c(col).cast("bigint"), F.expr(EPOCH_NTZ))
 
 
 def ts_to_epoch_micros(col: Column | str) -> Column:
-    return interval_micros(_c(col).cast("timestamp_ntz") - F.expr(EPOCH_NTZ))
+    return F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), _c(col).cast("timestamp_ntz"))
 
 
 def ts_to_epoch_millis(col: Column | str) -> Column:
@@ -118,7 +108,7 @@ def day_floor(col: Column | str) -> Column:
 
 def time_of_day_micros(col: Column | str) -> Column:
     c = _c(col).cast("timestamp_ntz")
-    return interval_micros(c - F.to_date(c).cast("timestamp_ntz"))
+    return F.timestamp_diff("MICROSECOND", F.to_date(c).cast("timestamp_ntz"), c)
 
 
 # dayofweek(): Sunday = 1 ... Saturday = 7
