@@ -179,3 +179,18 @@ def test_json_records_infers_schema(spark):
     out = R.json_records(d, "j")
     assert out.columns == ["id", "j_a", "j_b_c"]
     assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, 1, "x"), (2, 2, None), (3, None, None)], key=str)
+
+
+def test_file_listing_without_contents(spark, tmp_path):
+    from wareloom.sources import files as FSRC
+
+    (tmp_path / "in" / "sub").mkdir(parents=True)
+    (tmp_path / "in" / "a.csv").write_text("x\n1\n")
+    (tmp_path / "in" / "sub" / "b.csv").write_text("x\n2\n")
+    (tmp_path / "in" / "sub" / "c.txt").write_text("skip")
+    df = FSRC.listing(spark, str(tmp_path / "in"), glob="*.csv")
+    got = sorted((r["name"], r["path"].endswith("/sub"), r["length"]) for r in df.collect())
+    assert got == [("a.csv", False, 4), ("b.csv", True, 4)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    read_schema = plan[plan.index("ReadSchema:"):].split("\n")[0]
+    assert "content" not in read_schema  # the bytes are never read
