@@ -32,6 +32,9 @@ def build_session(master: str = "local[*]", app: str = "wareloom", shuffle_parti
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # local runs (tools, tests) keep managed tables out of the working directory
+        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="wareloom-warehouse-")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
