@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tools.check_oracle import TABLES, digest
+from tools.check_oracle import TABLES, digest, type_mismatches
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
@@ -36,5 +36,7 @@ def test_query_matches_oracle(spark, duck, sf, name):
     ocols = [c[0] for c in res.description]
     orows = res.fetchall()
     assert sorted(sdf.columns) == sorted(ocols)
+    stypes = [f.dataType.simpleString() for f in sdf.schema.fields]
+    assert type_mismatches(sdf.columns, stypes, ocols, [str(c[1]) for c in res.description]) == []
     assert len(srows) == len(orows)
     assert digest(srows, sdf.columns)[0] == digest(orows, ocols)[0]
