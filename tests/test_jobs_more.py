@@ -194,3 +194,14 @@ def test_file_listing_without_contents(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     read_schema = plan[plan.index("ReadSchema:"):].split("\n")[0]
     assert "content" not in read_schema  # the bytes are never read
+
+
+def test_extract_modes(spark, tmp_path):
+    d = spark.createDataFrame([(1, dt.date(2024, 1, 2))], "k int, d date")
+    path = str(tmp_path / "x")
+    X.extract(d, path, "create")
+    X.extract(d, path, "append")
+    back = spark.read.parquet(path)
+    assert dict(back.dtypes) == {"k": "double", "d": "timestamp_ntz"} and back.count() == 2
+    with pytest.raises(Exception):
+        X.extract(d, path, "create")

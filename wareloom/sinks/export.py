@@ -68,7 +68,13 @@ def extract_types(df: DataFrame, columns: list[str] | None = None, float_cols: l
     return df.select(*cols)
 
 
+# extract modes of the original BI job and their Spark save modes
+EXTRACT_MODES = {"overwrite": "overwrite", "append": "append", "create": "errorifexists"}
+
+
 def extract(df: DataFrame, path: str, mode: str = "overwrite", columns: list[str] | None = None,
             float_cols: list[str] | None = None) -> None:
-    """Write a typed extract (Parquet) in mode overwrite / append / errorifexists."""
-    extract_types(df, columns, float_cols).write.mode(mode).parquet(path)
+    """Write a typed extract (Parquet): ``overwrite``, ``append`` (types stay
+    consistent across runs because every run goes through the same typed
+    projection) or ``create`` (fails if the extract exists)."""
+    extract_types(df, columns, float_cols).write.mode(EXTRACT_MODES[mode]).parquet(path)
