@@ -205,3 +205,18 @@ def test_extract_modes(spark, tmp_path):
     assert dict(back.dtypes) == {"k": "double", "d": "timestamp_ntz"} and back.count() == 2
     with pytest.raises(Exception):
         X.extract(d, path, "create")
+
+
+def test_run_append_adds_files_only(spark, tmp_path):
+    import glob as _glob
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS staging")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS app_m LOCATION '{tmp_path}/app_m'")
+    ref = TableRef("ap", "src", "t")
+    catalog.publish(spark.createDataFrame([(1, "a", "x")], "k bigint, v string, w string"), "app_m.ap_src_t")
+    before = set(_glob.glob(f"{tmp_path}/app_m/ap_src_t/*.parquet"))
+    jobs.stage(spark.createDataFrame([(2, "b")], "k int, v string"), ref)  # narrower type, one column fewer
+    assert jobs.run_append(spark, ref, target_layer="app_m").startswith("appended")
+    after = set(_glob.glob(f"{tmp_path}/app_m/ap_src_t/*.parquet"))
+    assert before < after  # old files kept, new ones added
+    assert sorted(map(tuple, spark.table("app_m.ap_src_t").collect())) == [(1, "a", "x"), (2, "b", None)]

@@ -58,7 +58,9 @@ def run_append(spark: SparkSession, ref: TableRef, target_layer: str = "master",
     master = spark.table(dst)
     if require_new_ids:
         load.require_new_ids(staging, master, id_cols)
-    catalog.publish(load.append_by_name(master, staging, exclude), dst, "overwrite")
+    # only the staging rows are written (new files added to the table); the
+    # master's existing files are not rewritten
+    catalog.publish(load.align_by_name(master, staging, exclude), dst, "append")
     catalog.drop(spark, src)
     return f"appended to {dst}"
 

@@ -129,17 +129,22 @@ def _same_columns(master: DataFrame, staging: DataFrame) -> None:
         raise ValueError(f"staging has columns the master lacks: {extra}")
 
 
-def append_by_name(master: DataFrame, staging: DataFrame, exclude: list[str] | None = None) -> DataFrame:
-    """INSERT ... BY NAME: staging columns absent from master are an error,
-    master columns absent from staging become NULL, types follow master."""
+def align_by_name(master: DataFrame, staging: DataFrame, exclude: list[str] | None = None) -> DataFrame:
+    """Staging rows shaped like master (INSERT ... BY NAME): staging columns
+    absent from master are an error, master columns absent from staging
+    become NULL, types follow master."""
     exclude = list(exclude or [])
     staging = staging.drop(*exclude)
     _same_columns(master, staging)
     mtypes = {f.name: f.dataType for f in master.schema.fields}
-    aligned = staging.select(*[
+    return staging.select(*[
         (F.col(f"`{c}`").cast(mtypes[c]) if c in staging.columns else F.lit(None).cast(mtypes[c])).alias(c)
         for c in master.columns])
-    return master.unionByName(aligned)
+
+
+def append_by_name(master: DataFrame, staging: DataFrame, exclude: list[str] | None = None) -> DataFrame:
+    """The new master of an append: master plus the aligned staging rows."""
+    return master.unionByName(align_by_name(master, staging, exclude))
 
 
 def _null_safe_cond(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:

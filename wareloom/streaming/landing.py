@@ -36,12 +36,13 @@ def apply_batch(master_table: str, keys: list[str], mode: str = "replace", calle
             spark.catalog.refreshTable(master_table)
             master = spark.table(master_table)
             if mode == "replace":
-                new = load.replace(master, batch, keys)
+                catalog.publish(load.replace(master, batch, keys), master_table, "overwrite")
             elif mode == "append_new":
-                new = load.append_new(master, batch, keys)
+                # only the unseen rows are added; the master's files stay as they are
+                fresh = load.align_by_name(master, load.unseen(batch, master, keys))
+                catalog.publish(fresh, master_table, "append")
             else:
                 raise ValueError(f"unknown mode {mode!r}")
-            catalog.publish(new, master_table, "overwrite")
         if caller is not None:
             caller.catalog.refreshTable(master_table)
     return run
