@@ -220,3 +220,26 @@ def test_run_append_adds_files_only(spark, tmp_path):
     after = set(_glob.glob(f"{tmp_path}/app_m/ap_src_t/*.parquet"))
     assert before < after  # old files kept, new ones added
     assert sorted(map(tuple, spark.table("app_m.ap_src_t").collect())) == [(1, "a", "x"), (2, "b", None)]
+
+
+def test_replace_only_touched_partitions(spark, tmp_path):
+    import glob as _glob
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS staging")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS part_m LOCATION '{tmp_path}/part_m'")
+    ref = TableRef("pt", "src", "t")
+    master = spark.createDataFrame([(1, "a", "r1"), (2, "b", "r1"), (3, "c", "r2"), (4, "d", "r3")],
+                                   "id bigint, v string, region string")
+    master.write.partitionBy("region").saveAsTable("part_m.pt_src_t")
+    untouched = set(_glob.glob(f"{tmp_path}/part_m/pt_src_t/region=r2/*")) | \
+        set(_glob.glob(f"{tmp_path}/part_m/pt_src_t/region=r3/*"))
+    jobs.stage(spark.createDataFrame([(2, "B", "r1"), (5, "E", "r1")], "id bigint, v string, region string"), ref)
+    expected = sorted(map(tuple, LD.replace(spark.table("part_m.pt_src_t"), spark.table("staging.pt_src_t"),
+                                            ["region", "id"]).collect()))
+    out = jobs.run_replace_partitions(spark, ref, ["region", "id"], ["region"], target_layer="part_m")
+    assert out["status"].startswith("replaced 1 partition")
+    got = sorted(map(tuple, spark.table("part_m.pt_src_t").select("id", "v", "region").collect()))
+    assert got == expected
+    assert untouched <= set(_glob.glob(f"{tmp_path}/part_m/pt_src_t/region=*/*"))  # r2, r3 files not rewritten
+    with pytest.raises(ValueError):
+        jobs.run_replace_partitions(spark, ref, ["id"], ["region"], target_layer="part_m")

@@ -119,3 +119,43 @@ def copy_tables(spark: SparkSession, tables: dict[str, DataFrame], target_db: st
              for name, out in written.items()]
     from functools import reduce
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def run_replace_partitions(spark: SparkSession, ref: TableRef, keys: list[str], partition_cols: list[str],
+                           target_layer: str = "master") -> dict:
+    """Replace by key on a master partitioned by ``partition_cols``, rewriting
+    only the partitions that staging touches (dynamic partition overwrite).
+
+    Exact only when the partition columns are part of the key (then a key
+    match implies the same partition); this is enforced.  The replaced
+    partitions are first written to the shared checkpoint folder, because a
+    table cannot be overwritten while it is read.
+    """
+    if not set(partition_cols) <= set(keys):
+        raise ValueError("partition columns must be part of the key for a partition-wise replace")
+    from wareloom.session import cut_lineage
+
+    src, dst = ref.at("staging").qualified, ref.at(target_layer).qualified
+    if not catalog.exists(spark, src):
+        return {"status": f"skipped: {src} does not exist"}
+    staging = spark.table(src)
+    if not catalog.exists(spark, dst):
+        catalog.move(spark, src, dst)
+        return {"status": f"moved {src} to {dst}"}
+    master = spark.table(dst)
+    touched = staging.select(*partition_cols).distinct()
+    n_parts = touched.count()
+    affected = master.join(touched, partition_cols, "left_semi")  # partition pruning on the master scan
+    new_parts = cut_lineage(load.replace(affected, staging, keys), "replace-partitions")
+    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        new_parts.select(*spark.table(dst).columns).write.mode("overwrite").insertInto(dst)
+    finally:
+        if previous is None:
+            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+        else:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    spark.catalog.refreshTable(dst)
+    catalog.drop(spark, src)
+    return {"status": f"replaced {n_parts} partition(s) of {dst}"}
