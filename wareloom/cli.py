@@ -1,6 +1,7 @@
 """Command line for the warehouse jobs, configured by environment variables.
 
     python -m wareloom.cli load replace      # staging -> master by key
+    python -m wareloom.cli load replace-partitions   # same, rewriting only touched partitions
     python -m wareloom.cli load append | overwrite
     python -m wareloom.cli validate          # schema + null contract of a staged table
     python -m wareloom.cli generate-schema   # contract of a staged table (JSON on stdout)
@@ -36,6 +37,7 @@ ENV_MAX_COLS = "MAX_COLS"
 # additions of this library
 ENV_SOURCE_PATH = "SOURCE_PATH"
 ENV_COLLATION = "KEY_COLLATION"
+ENV_PARTITION_COLS = "PARTITION_COLS"
 
 
 def _list(env: Mapping[str, str], name: str) -> list[str]:
@@ -70,6 +72,8 @@ def load(mode: str, env: Mapping[str, str]) -> list:
                 raise ValueError(f"{ENV_ID_COLS} is required for a replace")
             out.append(jobs.run_replace(spark, ref, keys, target, require_new_ids=gate,
                                         collation=env.get(ENV_COLLATION) or None))
+        elif mode == "replace-partitions":
+            out.append(jobs.run_replace_partitions(spark, ref, keys, _list(env, ENV_PARTITION_COLS), target))
         elif mode == "append":
             out.append(jobs.run_append(spark, ref, target, id_cols=keys or None, require_new_ids=gate))
         elif mode == "overwrite":
