@@ -56,3 +56,21 @@ def test_no_python_in_core_plans(spark, sf):
 def test_locate_broadcasts_cells_not_points(spark, sf):
     plan = plan_text(R.QUERIES["locate_points"](spark, sf))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_replace_plan_without_broadcast(spark, sf):
+    """The large-data shape: a sort-merge anti join on the salted struct key."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_aqe = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(R.QUERIES["replace_by_key"](spark, sf))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        if old_aqe is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old_aqe)
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan and "__wl_key" in plan
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
