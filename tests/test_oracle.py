@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from wareloom.plans import registry
 from tools.check_oracle import TABLES, digest, type_mismatches
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = dict(registry.QUERIES)
+ORACLES = dict(registry.ORACLES)
 
 
 @pytest.fixture(scope="module")

@@ -113,36 +113,42 @@ def cut_lineage(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``wareloom`` importable in Python workers (Python data sources,
-    ``mapInPandas``).  The package is zipped into the shared checkpoint folder
-    and added with ``addPyFile``; a cluster whose checkpoint folder is not a
-    mounted file system must have the package installed on its executors.
+    ``mapInPandas``).  The package is zipped in memory, written below the
+    shared checkpoint folder with the session's own file system API (so any
+    scheme works) and added with ``addPyFile``, once per application.
     """
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
+    import io
     import zipfile
 
-    root = checkpoint_root(spark)
-    if "://" in root and not root.startswith("file:"):
-        _SHIPPED.add(id(sc))
-        return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    target_dir = local_path(root.rstrip("/") + "/wareloom-pkg-" + uuid.uuid4().hex[:8])
-    os.makedirs(target_dir, exist_ok=True)
-    zpath = os.path.join(target_dir, "wareloom.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for base, _dirs, names in os.walk(pkg_dir):
-            for n in names:
+            for n in sorted(names):
                 if n.endswith(".py"):
                     full = os.path.join(base, n)
                     z.write(full, os.path.join("wareloom", os.path.relpath(full, pkg_dir)))
-    sc.addPyFile(zpath)
-    _SHIPPED.add(id(sc))
+    target = f"{checkpoint_root(spark).rstrip('/')}/wareloom-pkg-{uuid.uuid4().hex[:8]}/wareloom.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(buf.getvalue()))
+    out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder made by ``scratch_path`` once nothing reads it any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def local_path(path: str) -> str:
