@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wareloom.llm import sql
 from wareloom.session import local_rows
@@ -21,6 +22,13 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareloom.llm.line_dedup import dedup_lines
+
+    out = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wareloom.llm.mixing import mix
 
@@ -28,12 +36,22 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).drop("source")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareloom.llm.warc import archive
+
+    return archive(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op6_line_dedup": op6_line_dedup,
     "op8_source_mixing": op8_source_mixing,
+    "op9_warc": op9_warc,
 }
 
 ORACLES: dict[str, str] = {
     "op1_url_filters": sql.OP1,
+    "op6_line_dedup": sql.OP6,
     "op8_source_mixing": sql.OP8,
+    "op9_warc": sql.OP9,
 }

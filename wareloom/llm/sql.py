@@ -48,3 +48,26 @@ runs AS (
 SELECT doc_id, size::BIGINT AS size, source_size, target::DOUBLE AS target, coalesce(t.taken, 0)::BIGINT AS taken
 FROM queued LEFT JOIN (SELECT rid, sum(size) AS taken FROM runs WHERE run <= budget GROUP BY rid) t USING (rid)
 """
+
+OP6 = r"""
+WITH numbered AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, row_number() OVER () AS rid FROM documents),
+lines AS (
+  SELECT rid, doc_id, i, lines[i] AS line,
+         translate(regexp_replace(lines[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT rid, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM numbered)),
+owners AS (SELECT key, min(doc_id) AS owner FROM lines WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+judged AS (SELECT rid, l.doc_id, i, line, owner IS NOT NULL AND owner <> l.doc_id AS dropped FROM lines l LEFT JOIN owners USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY rid
+"""
+
+OP9 = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digests AS (SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM payloads),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM digests)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
