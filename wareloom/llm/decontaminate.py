@@ -34,7 +34,7 @@ from wareloom.llm.text_hash import ALNUM, ngrams, slices, words
 from wareloom.session import cut_lineage, ship_package
 
 K = 5
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 MADE = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 NAMES = [x.strip().split(" ")[0] for x in MADE.split(",")]
 

@@ -22,6 +22,13 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareloom.llm.decontaminate import decontaminate
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate(docs, _table(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wareloom.llm.line_dedup import dedup_lines
 
@@ -29,6 +36,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareloom.llm.token_counts import count_tokens
+
+    return count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wareloom.llm.mixing import mix
 
@@ -44,13 +57,16 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op3_decontamination": op3_decontamination,
     "op6_line_dedup": op6_line_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_source_mixing": op8_source_mixing,
     "op9_warc": op9_warc,
 }
 
 ORACLES: dict[str, str] = {
     "op1_url_filters": sql.OP1,
+    "op3_decontamination": sql.OP3,
     "op6_line_dedup": sql.OP6,
     "op8_source_mixing": sql.OP8,
     "op9_warc": sql.OP9,
