@@ -22,6 +22,13 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareloom.llm.language_id import identify
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wareloom.llm.decontaminate import decontaminate
 
@@ -57,6 +64,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
