@@ -36,6 +36,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(docs, _table(spark, sf_dir, "benchmark")).drop("text")
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareloom.llm.near_dup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wareloom.llm.line_dedup import dedup_lines
 
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_source_mixing": op8_source_mixing,
@@ -75,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_url_filters": sql.OP1,
     "op3_decontamination": sql.OP3,
+    "op4_minhash_near_dedup": sql.OP4,
     "op6_line_dedup": sql.OP6,
     "op8_source_mixing": sql.OP8,
     "op9_warc": sql.OP9,

@@ -92,3 +92,24 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hits USING (rid) LEFT JOIN names USING (rid)
 """
+
+# one vertex per word sequence; pairs meet on a shared shingle, links by full sets, components by label walking
+OP4 = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, array_to_string(w, ' ') AS words,
+         list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+              ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END) AS s FROM split),
+vertices AS (SELECT min(doc_id) AS node, any_value(s) AS s, words FROM sets WHERE len(s) > 0 GROUP BY words),
+shared AS (
+  SELECT a.node AS a, b.node AS b, count(*) AS n_both
+  FROM (SELECT node, unnest(s) AS g FROM vertices) a JOIN (SELECT node, unnest(s) AS g FROM vertices) b ON a.g = b.g AND a.node < b.node GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN vertices x ON x.node = a JOIN vertices y ON y.node = b WHERE 100 * n_both >= 80 * (len(x.s) + len(y.s) - n_both)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, other) AS (SELECT node, node FROM vertices UNION SELECT r.node, l.b FROM reach r JOIN both_ways l ON l.a = r.other),
+groups AS (SELECT node, min(other) AS component FROM reach GROUP BY node)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(component, s.doc_id) AS component_id, s.doc_id = coalesce(component, s.doc_id) AS kept
+FROM sets s LEFT JOIN vertices v ON s.words = v.words LEFT JOIN groups g ON g.node = v.node
+"""
