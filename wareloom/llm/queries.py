@@ -42,6 +42,12 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareloom.llm.embedding_dedup import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wareloom.llm.line_dedup import dedup_lines
 
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_source_mixing": op8_source_mixing,
@@ -83,6 +90,7 @@ ORACLES: dict[str, str] = {
     "op1_url_filters": sql.OP1,
     "op3_decontamination": sql.OP3,
     "op4_minhash_near_dedup": sql.OP4,
+    "op5_embedding_near_dedup": sql.OP5,
     "op6_line_dedup": sql.OP6,
     "op8_source_mixing": sql.OP8,
     "op9_warc": sql.OP9,

@@ -113,3 +113,19 @@ groups AS (SELECT node, min(other) AS component FROM reach GROUP BY node)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(component, s.doc_id) AS component_id, s.doc_id = coalesce(component, s.doc_id) AS kept
 FROM sets s LEFT JOIN vertices v ON s.words = v.words LEFT JOIN groups g ON g.node = v.node
 """
+
+OP5 = """
+WITH RECURSIVE usable AS (
+  SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+good AS (
+  SELECT * FROM usable WHERE vec_id IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(e, lambda x: abs(x))) > 0),
+links AS (
+  SELECT a.rid AS a, b.rid AS b, a.vec_id AS ia, b.vec_id AS ib
+  FROM good a JOIN good b ON a.rid <> b.rid AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(rid, other) AS (SELECT rid, rid FROM good UNION SELECT r.rid, l.b FROM reach r JOIN links l ON l.a = r.other),
+groups AS (SELECT r.rid, min(g.vec_id) AS component_id FROM reach r JOIN good g ON g.rid = r.other GROUP BY r.rid),
+counts AS (SELECT a AS rid, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(vec_id = coalesce(component_id, vec_id), true) AS kept
+FROM usable LEFT JOIN groups USING (rid) LEFT JOIN counts USING (rid)
+"""
