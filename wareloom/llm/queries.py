@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from wareloom.llm import sql
 from wareloom.session import local_rows
 
@@ -74,6 +75,17 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareloom.llm.quality import classify
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return classify(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_language_id": op2_language_id,
@@ -84,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_source_mixing": op8_source_mixing,
     "op9_warc": op9_warc,
+    "op10_quality_crf": op10_quality_crf,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
@@ -95,3 +109,6 @@ ORACLES: dict[str, str] = {
     "op8_source_mixing": sql.OP8,
     "op9_warc": sql.OP9,
 }
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
