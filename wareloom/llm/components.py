@@ -65,3 +65,26 @@ def components(links: DataFrame) -> DataFrame:
     if labels is None:
         return links.sparkSession.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
     return labels
+
+
+def vertex_ids(rows: DataFrame, id_col: str) -> tuple[DataFrame, bool]:
+    """``rows`` (id, digest) with ``_vertex``, an id that no two digests share, and whether any id did.
+
+    An id with several digests stays with the smallest of them; the others get numbers from 2^62 on.
+    """
+    twice = rows.groupBy(id_col).agg(F.min("digest").alias("_own"), F.max("digest").alias("_last")).where("_own < _last").drop("_last")
+    twice = cut_lineage(twice, "repeated-ids")
+    if twice.isEmpty():
+        return rows.withColumn("_vertex", F.col(id_col)), False
+    other = F.lit(1 << 62).bitwiseOR(F.shiftrightunsigned(F.xxhash64("digest"), 2))
+    own = F.col("_own").isNull() | (F.col("_own") == F.col("digest"))
+    return rows.join(twice, id_col, "left").withColumn("_vertex", F.when(own, F.col(id_col)).otherwise(other)).drop("_own"), True
+
+
+def smallest_ids(vertices: DataFrame, groups: DataFrame, repeated: bool) -> DataFrame:
+    """(digest, component_id): the smallest id in the component of each of ``vertices`` (digest, node, least)."""
+    at = vertices.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    if not repeated:
+        return at.select("digest", F.col("component").alias("component_id"))
+    least = at.groupBy("component").agg(F.min("least").alias("component_id"))
+    return at.join(least, "component").select("digest", "component_id")

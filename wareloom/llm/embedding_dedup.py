@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareloom.llm.components import find, forest
 from wareloom.llm.components import components as connected
+from wareloom.llm.components import find, forest, smallest_ids, vertex_ids
 from wareloom.llm.text_hash import BASE, mix
 from wareloom.session import cut_lineage, ship_package
 
@@ -172,7 +172,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     ship_package(vectors.sparkSession)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     units = cut_lineage(rows.mapInArrow(_normalise, "vec_id long, digest binary, unit array<double>"), "units")
-    vertices = units.groupBy("digest").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("times"), F.first("unit").alias("unit"))
+    named, repeated = vertex_ids(units, "vec_id")
+    vertices = named.groupBy("digest").agg(F.min("_vertex").alias("node"), F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("times"), F.first("unit").alias("unit"))
     vertices = cut_lineage(vertices, "vectors")
     k, tables = parameters(vertices.count(), cosine)
 
@@ -196,9 +197,9 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     inside = vertices.join(groups, "node").select("node", "component", "times", "unit")
     counts = _blocks(inside, "component").groupBy("component", "i", "j").applyInArrow(_count(cosine), "node long, links long")
     counts = counts.groupBy("node").agg(F.sum("links").alias("links"))
-    found = vertices.join(groups, "node", "left").join(counts, "node", "left").select(
-        "digest", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
-    linked = units.select("vec_id", "digest").join(found, "digest").select("vec_id", "n_links", "component_id")
+    found = smallest_ids(vertices.select("digest", "node", "least", "times"), groups, repeated)
+    links = vertices.join(counts, "node", "left").select("digest", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    linked = units.select("vec_id", "digest").join(found.join(links, "digest"), "digest").select("vec_id", "n_links", "component_id")
     alone = rows.mapInArrow(_unlinkable, "vec_id long").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareloom.llm.components import components
+from wareloom.llm.components import components, smallest_ids, vertex_ids
 from wareloom.llm.text_hash import BASE, NOT_SPACE, mix, ngrams, slices, words
 from wareloom.session import cut_lineage, ship_package
 
@@ -162,12 +162,15 @@ def _near(percent: int) -> F.Column:
     return sizes & (differ <= math.ceil(SKETCH_BITS * half + 7 * math.sqrt(SKETCH_BITS * half * (1 - half))))
 
 
+PAIR = ["a", "b", "id_a", "id_b", "digest_a", "digest_b"]
+
+
 def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The verified of candidate pairs (a, b, digest_a, digest_b); a > b."""
-    nodes = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    few = cut_lineage(texts.join(nodes, "doc_id", "left_semi"), "candidate-texts")
-    side = lambda x: few.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
-    whole = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "digest_a", "digest_b", "text_a", "text_b")
+    """The verified of candidate pairs: vertices a > b, each with a doc_id and the digest of its text."""
+    ids = pairs.select(F.col("id_a").alias("doc_id")).unionByName(pairs.select(F.col("id_b").alias("doc_id"))).distinct()
+    few = cut_lineage(texts.join(ids, "doc_id", "left_semi"), "candidate-texts")
+    side = lambda x: few.select(F.col("doc_id").alias(f"id_{x}"), F.col("text").alias(f"text_{x}"))
+    whole = pairs.join(side("a"), "id_a").join(side("b"), "id_b").select("a", "b", "digest_a", "digest_b", "text_a", "text_b")
     return cut_lineage(whole.mapInArrow(_verify(k, percent), "a long, b long"), "near-links")
 
 
@@ -176,18 +179,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     ship_package(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = cut_lineage(texts.mapInArrow(_sign(k), "doc_id long, digest binary, n_shingles long, bands array<long>, sketch array<long>"), "signatures")
-    named = sig.where("n_shingles > 0 and doc_id is not null")
-    vertices = named.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    named, repeated = vertex_ids(sig.where("n_shingles > 0 and doc_id is not null"), "doc_id")
+    vertices = named.groupBy("digest").agg(F.min("_vertex").alias("node"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     vertices = cut_lineage(vertices, "vertices")
-    about = vertices.select("node", "digest", "n", "sketch")
+    about = vertices.select("node", "least", "digest", "n", "sketch")
 
     members = vertices.select("node", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("_last")).where("head < _last").drop("_last")
     held = cut_lineage(members.join(shared, "bucket"), "buckets")
-    side = lambda x, node: about.select(F.col("node").alias(node), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch"), F.col("digest").alias(f"digest_{x}"))
+    side = lambda x: about.select(F.col("node").alias(x), F.col("least").alias(f"id_{x}"), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch"), F.col("digest").alias(f"digest_{x}"))
 
     star = held.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-    star = star.join(side("a", "a"), "a").join(side("b", "b"), "b").where(_near(percent)).select("a", "b", "digest_a", "digest_b")
+    star = star.join(side("a"), "a").join(side("b"), "b").where(_near(percent)).select(*PAIR)
     star = cut_lineage(star, "star")
     links = _links(star, texts.where("doc_id is not null"), k, percent)
     groups = components(links)
@@ -196,17 +199,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     open_ = label.groupBy("bucket").agg(F.min("group").alias("_lo"), F.max("group").alias("_hi")).where("_lo < _hi").select("bucket")
     rest = label.join(open_, "bucket", "left_semi").join(about, "node")
     rest = cut_lineage(rest, "open-buckets")
-    one = rest.select("bucket", *[F.col(c).alias(f"a_{c}") for c in ("node", "group", "n", "sketch", "digest")])
-    two = rest.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "group", "n", "sketch", "digest")])
+    columns = ("node", "group", "least", "n", "sketch", "digest")
+    one = rest.select("bucket", *[F.col(c).alias(f"a_{c}") for c in columns])
+    two = rest.select("bucket", *[F.col(c).alias(f"b_{c}") for c in columns])
     on = (one["bucket"] == two["bucket"]) & (F.col("a_node") > F.col("b_node")) & (F.col("a_group") != F.col("b_group")) & _near(percent)
-    cross = one.join(two, on).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), F.col("a_digest").alias("digest_a"), F.col("b_digest").alias("digest_b"))
+    cross = one.join(two, on).select(*[F.col(c).alias(n) for c, n in zip(("a_node", "b_node", "a_least", "b_least", "a_digest", "b_digest"), PAIR)])
     cross = cut_lineage(cross.distinct().join(star.select("a", "b"), ["a", "b"], "left_anti"), "cross")
     if not cross.isEmpty():
         more = _links(cross, texts.where("doc_id is not null"), k, percent)
         groups = components(links.unionByName(more))
 
-    vertex = named.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    out = sig.select("doc_id", "digest", "n_shingles").join(vertex, "digest", "left").join(groups, "node", "left")
-    found = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id")))
-    out = out.select("doc_id", "n_shingles", found.alias("component_id"))
+    found = smallest_ids(vertices.select("digest", "node", "least"), groups, repeated)
+    out = sig.select("doc_id", "digest", "n_shingles").join(found, "digest", "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
+    out = out.select("doc_id", "n_shingles", own.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
