@@ -60,8 +60,8 @@ def test_novelty_gate(spark):
 
 
 def test_report_message():
-    assert LD.Report(5, 3).message.startswith("Difference of 2 rows")
-    assert LD.Report(3, 5).message == "5 records added back"
+    assert LD.Report(5, 3).message == "master shrank by 2: 5 removed, 3 inserted"
+    assert LD.Report(3, 5).message == "5 inserted, 3 removed"
 
 
 def test_sequence_id_is_consecutive(spark):

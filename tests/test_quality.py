@@ -22,7 +22,7 @@ def test_bad_contracts_fail(spark, table, variant):
 
 
 def test_null_check_names_the_column(spark, table):
-    with pytest.raises(Q.ContractError, match="certain id column"):
+    with pytest.raises(Q.ContractError, match="required column id"):
         Q.check_nulls(table, Q.contract_from_records(spark, FX.SAMPLE_CONTRACT))
 
 

@@ -5,12 +5,14 @@ cannot be renamed across databases.  Publishing a new version of
 ``db.t`` therefore writes ``db.t__new`` first, then renames
 ``db.t -> db.t__old``, ``db.t__new -> db.t`` and drops ``db.t__old``.  A
 failure before the first rename leaves ``db.t`` untouched; ``recover`` finishes
-a swap that stopped between the renames.
+a swap that stopped between the renames, and ``exists`` always recovers first, so
+no job takes an interrupted table for a missing one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wareloom.functions.types import sql_type_name
 
@@ -18,9 +20,26 @@ NEW, OLD = "__new", "__old"
 
 
 def exists(spark: SparkSession, table: str) -> bool:
+    """Whether ``table`` exists, after finishing an interrupted swap of it."""
+    recover(spark, table)
     return spark.catalog.tableExists(table)
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    """The properties that users set on a table."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return {r["key"]: r["value"] for r in rows if not r["key"].startswith(("spark.", "transient", "numFiles", "totalSize"))}
+
+
+def set_property(spark: SparkSession, table: str, key: str, value: str) -> None:
+    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{quoted}')")
+
+
 def ensure_database(spark: SparkSession, db: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
 
@@ -50,52 +69,88 @@ def columns(spark: SparkSession, databases: list[str] | None = None) -> DataFram
                       "db string, table_name string, ordinal int, column_name string, data_type string, nullable boolean")
 
 
+def _location(spark: SparkSession, table: str, partition: str = "") -> str:
+    rows = spark.sql(f"DESCRIBE EXTENDED {table} {partition}").collect()
+    return next(r["data_type"] for r in reversed(rows) if r["col_name"].strip() == "Location")
+
+
+def _partition_clause(path: str) -> str:
+    """``PARTITION (...)`` of a partition path such as ``a=1/b=x%20y``."""
+    from urllib.parse import unquote
+
+    pairs = (part.partition("=") for part in path.split("/"))
+    null = "__HIVE_DEFAULT_PARTITION__"
+    quoted = lambda v: "null" if v == null else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return "PARTITION (" + ", ".join(f"`{unquote(k)}` = {quoted(unquote(v))}" for k, _, v in pairs) + ")"
+
+
+def _relocate(spark: SparkSession, table: str) -> None:
+    """After a rename: point partitions at the table's own folder where the
+    catalog (the in-memory one does) left them at the old name's."""
+    if not partition_columns(spark, table):
+        return
+    parts = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    home = _location(spark, table).rstrip("/")
+    if parts and not _location(spark, table, _partition_clause(parts[0])).startswith(home + "/"):
+        for path in parts:
+            spark.sql(f"ALTER TABLE {table} {_partition_clause(path)} SET LOCATION '{home}/{path}'")
+    spark.catalog.refreshTable(table)
+
+
 def recover(spark: SparkSession, table: str) -> None:
     """Finish or roll back an interrupted swap of ``table``."""
+    there = spark.catalog.tableExists
     db, name = _split(table)
     new, old = f"{table}{NEW}", f"{table}{OLD}"
-    if not exists(spark, table) and exists(spark, old):
-        if exists(spark, new):
-            spark.sql(f"ALTER TABLE {new} RENAME TO {db + '.' if db else ''}{name}")
-        else:
-            spark.sql(f"ALTER TABLE {old} RENAME TO {db + '.' if db else ''}{name}")
-    if exists(spark, table) and exists(spark, old):
-        spark.sql(f"DROP TABLE {old}")
+    if not there(old):
+        return
+    if not there(table):
+        spark.sql(f"ALTER TABLE {new if there(new) else old} RENAME TO {db + '.' if db else ''}{name}")
+    _relocate(spark, table)
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
-def publish(df: DataFrame, table: str, mode: str = "overwrite") -> None:
+def publish(df: DataFrame, table: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
     """Make ``df`` the content of ``table``.
 
-    ``overwrite`` goes through the swap (``df`` may read ``table``);
-    ``append`` inserts by name; ``errorifexists`` refuses an existing target.
+    ``overwrite`` goes through the swap (``df`` may read ``table``); the new
+    version keeps the partitioning (unless ``partition_by`` is given) and the
+    properties of the old one.  ``append`` inserts by name; ``errorifexists``
+    refuses an existing target.
     """
     spark = df.sparkSession
     db, name = _split(table)
     if db:
         ensure_database(spark, db)
-    recover(spark, table)
-    if mode == "append" and exists(spark, table):
+    present = exists(spark, table)
+    if mode == "append" and present:
         target_cols = spark.table(table).columns
-        df.select(*target_cols).write.mode("append").insertInto(table)
+        df.select(*[F.col(f"`{c}`") for c in target_cols]).write.mode("append").insertInto(table)
         spark.catalog.refreshTable(table)
         return
-    if mode == "errorifexists" and exists(spark, table):
+    if mode == "errorifexists" and present:
         raise RuntimeError(f"{table} already exists")
     new, old = f"{table}{NEW}", f"{table}{OLD}"
     spark.sql(f"DROP TABLE IF EXISTS {new}")
-    df.write.mode("overwrite").format("parquet").saveAsTable(new)
+    if partition_by is None and present:
+        partition_by = [c for c in partition_columns(spark, table) if c in df.columns]
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(new)
     prefix = f"{db}." if db else ""
-    if exists(spark, table):
+    if present:
+        for key, value in _properties(spark, table).items():
+            set_property(spark, new, key, value)
         spark.sql(f"ALTER TABLE {table} RENAME TO {prefix}{name}{OLD}")
     spark.sql(f"ALTER TABLE {new} RENAME TO {prefix}{name}")
+    _relocate(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {old}")
     # readers planned before the swap cached the old file listing of this name
     spark.catalog.refreshTable(table)
 
 
-def move(spark: SparkSession, source_table: str, target_table: str) -> None:
+def move(spark: SparkSession, source_table: str, target_table: str, partition_by: list[str] | None = None) -> None:
     """Move a table to another database (copy + drop: no cross-database rename)."""
-    publish(spark.table(source_table), target_table, "overwrite")
+    publish(spark.table(source_table), target_table, "overwrite", partition_by)
     spark.sql(f"DROP TABLE IF EXISTS {source_table}")
 
 

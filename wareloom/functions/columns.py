@@ -7,7 +7,9 @@ codegen stage.
 
 from __future__ import annotations
 
+import itertools
 import re
+import string
 from collections.abc import Callable, Iterable
 from functools import reduce
 
@@ -15,40 +17,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The snake-case rewrite, applied in this order
-# (acronym split, camel split, drop symbols, space to underscore,
-# strip up to two leading / trailing underscores, then lower case).
-SNAKE_STEPS = [
-    (r"([A-Z]+)([A-Z][a-z])", r"\1_\2"),
-    (r"([a-z0-9])([A-Z])", r"\1_\2"),
-    (r"[!@#]", ""),
-    (r" ", "_"),
-    (r"^_{,2}", ""),
-    (r"_{,2}$", ""),
-]
-
 # Placeholder header a spreadsheet reader gives an unnamed column.
 UNNAMED_PREFIX = "Unnamed"
 # Columns computed by the open-data portal (dropped on ingest).
 COMPUTED_MARK = ":@computed"
 
 
+UPPER, LOWER, DIGIT = string.ascii_uppercase, string.ascii_lowercase, string.digits
+
+
+def _words(name: str) -> list[str]:
+    """Split where the character class changes: a capital opens a word after a
+    small letter or digit, and the last capital of a run opens one before a small letter."""
+    words = [""]
+    for before, char, after in zip(" " + name, name, name[1:] + " "):
+        opens = char in UPPER and (before in LOWER + DIGIT or before in UPPER and after in LOWER)
+        if opens:
+            words.append("")
+        words[-1] += char
+    return words
+
+
+def _trim(name: str, most: int = 2) -> str:
+    """Without up to ``most`` underscores at either end."""
+    for _ in range(most):
+        name = name.removeprefix("_")
+    for _ in range(most):
+        name = name.removesuffix("_")
+    return name
+
+
 def snake_case(name: str) -> str:
-    for pattern, repl in SNAKE_STEPS:
-        name = re.sub(pattern, repl, name)
-    return name.lower()
+    """Lower words joined by ``_``; ``!``, ``@`` and ``#`` go, spaces become ``_``."""
+    joined = "_".join(_words(name)).translate({ord("!"): None, ord("@"): None, ord("#"): None, ord(" "): "_"})
+    return _trim(joined).lower()
 
 
 def clean_name(name: str) -> str:
-    """Lower snake case with every non-alphanumeric run collapsed to ``_``."""
-    name = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", name)
-    name = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name)
-    name = re.sub(r"[^0-9A-Za-z]+", "_", name).strip("_").lower()
-    if not name:
-        name = "x"
-    if name[0].isdigit():
-        name = "x" + name
-    return name
+    """Lower words of ASCII letters and digits joined by ``_``, never opening with a digit."""
+    alnum = UPPER + LOWER + DIGIT
+    runs = ["".join(g) for w in _words(name) for ok, g in itertools.groupby(w, lambda c: c in alnum) if ok]
+    clean = "_".join(runs).lower()
+    return clean if clean and clean[0] not in DIGIT else "x" + clean
 
 
 def unique_names(names: Iterable[str]) -> list[str]:
@@ -133,6 +143,7 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
     return df.select(*cols)
 
 
+_INTEGER_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 _NUMERIC_ORDER = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType]
 
 
@@ -147,6 +158,14 @@ def _common_type(types: list[T.DataType]) -> T.DataType:
         if any(isinstance(t, (T.FloatType, T.DoubleType)) for t in uniq):
             return T.DoubleType()
         return max(uniq, key=lambda t: _NUMERIC_ORDER.index(type(t)))
+    if all(type(t) in _NUMERIC_ORDER or isinstance(t, T.DecimalType) for t in uniq):
+        if any(isinstance(t, (T.FloatType, T.DoubleType)) for t in uniq):
+            return T.DoubleType()
+        # decimals and integers: room for the most whole digits and the most decimal places
+        whole = [t.precision - t.scale if isinstance(t, T.DecimalType) else _INTEGER_DIGITS[type(t)] for t in uniq]
+        scale = max(t.scale for t in uniq if isinstance(t, T.DecimalType))
+        if max(whole) + scale <= 38:
+            return T.DecimalType(max(whole) + scale, scale)
     if all(isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)) for t in uniq):
         return T.TimestampNTZType() if any(isinstance(t, T.TimestampNTZType) for t in uniq) else T.TimestampType()
     return T.StringType()
@@ -155,7 +174,8 @@ def _common_type(types: list[T.DataType]) -> T.DataType:
 def union_fill(frames: list[DataFrame]) -> DataFrame:
     """Union by name; absent columns become NULL; disagreeing types widen.
 
-    Numeric types widen to the widest (double if any is floating);
+    Numeric types widen to the widest (double if any is floating, a decimal
+    that holds all values if any is decimal and 38 digits suffice);
     timestamps and dates meet as timestamps; anything else meets as string.
     """
     if not frames:

@@ -13,14 +13,19 @@ from pyspark.sql import functions as F
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 # Text patterns tried in order; the first that parses wins.  The first one
-# is the ODBC canonical style with milliseconds (SQL Server style 121).
+# is the ODBC canonical style with a fraction (SQL Server style 121); a
+# fraction has one to six digits.
 DEFAULT_PATTERNS = (
-    "yyyy-MM-dd HH:mm:ss.SSS",
+    "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSS",
+    "yyyy-MM-dd HH:mm",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy-MM-dd'T'HH:mm",
     "yyyy-MM-dd",
 )
+# a zone written after a time of day; the wall clock before it is kept
+WRITTEN_ZONE = r"(:\d{2}(?:\.\d+)?)\s*(?:Z|[+-]\d{2}:?\d{2})$"
 
 
 def _c(col: Column | str) -> Column:
@@ -35,7 +40,7 @@ def parse_timestamp(col: Column | str, patterns: tuple[str, ...] = DEFAULT_PATTE
     written wall clock is kept exactly in any session zone, also for times
     that fall into a daylight-saving gap of the session zone.
     """
-    c = _c(col)
+    c = F.regexp_replace(_c(col), WRITTEN_ZONE, "$1")
     utc_text = F.concat(c, F.lit("+00:00"))
     parsed = [F.try_to_timestamp(utc_text, F.lit(p + "XXX")) for p in patterns]
     return add_micros(F.expr(EPOCH_NTZ), F.unix_micros(F.coalesce(*parsed)))

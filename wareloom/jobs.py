@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,8 +47,25 @@ def run_overwrite(spark: SparkSession, ref: TableRef, target_layer: str = "maste
     return f"overwrote {dst}"
 
 
+APPEND_MARK = "wareloom.append.before"
+
+
+def _files_mark(spark: SparkSession, table: str) -> str:
+    """A digest of the data files a table has now."""
+    import hashlib
+
+    spark.catalog.refreshTable(table)
+    return hashlib.sha256("\n".join(sorted(spark.table(table).inputFiles())).encode()).hexdigest()
+
+
 def run_append(spark: SparkSession, ref: TableRef, target_layer: str = "master", exclude: list[str] | None = None,
                id_cols=None, require_new_ids: bool = False) -> str:
+    """Append staging to the target, then drop staging.
+
+    The target's files are noted on the staging table before the insert.  A rerun
+    after a stop between insert and drop sees that they changed and only
+    drops, so no row is appended twice.
+    """
     src, dst = ref.at("staging").qualified, ref.at(target_layer).qualified
     if not catalog.exists(spark, src):
         return f"skipped: {src} does not exist"
@@ -55,11 +73,16 @@ def run_append(spark: SparkSession, ref: TableRef, target_layer: str = "master",
     if not catalog.exists(spark, dst):
         catalog.move(spark, src, dst)
         return f"moved {src} to {dst}"
+    before, noted = _files_mark(spark, dst), catalog._properties(spark, src).get(APPEND_MARK)
+    if noted and noted != f"{dst} {before}" and noted.startswith(f"{dst} "):
+        catalog.drop(spark, src)
+        return f"already appended to {dst}"
     master = spark.table(dst)
     if require_new_ids:
         load.require_new_ids(staging, master, id_cols)
     # only the staging rows are written (new files added to the table); the
     # master's existing files are not rewritten
+    catalog.set_property(spark, src, APPEND_MARK, f"{dst} {before}")
     catalog.publish(load.align_by_name(master, staging, exclude), dst, "append")
     catalog.drop(spark, src)
     return f"appended to {dst}"
@@ -88,7 +111,7 @@ def run_replace(spark: SparkSession, ref: TableRef, keys: list[str], target_laye
     m = master.observe(om, F.count(F.lit(1)).alias("n"))
     s = staging.observe(os_, F.count(F.lit(1)).alias("n"))
     kept = load.delete_by_key(m, staging, keys, collation).observe(ok, F.count(F.lit(1)).alias("n"))
-    new = kept.unionByName(s.select(*master.columns))
+    new = kept.unionByName(load.align_by_name(master, s))
     catalog.publish(new, dst, "overwrite")
     catalog.drop(spark, src)
     deleted = om.get["n"] - ok.get["n"]
@@ -117,45 +140,75 @@ def copy_tables(spark: SparkSession, tables: dict[str, DataFrame], target_db: st
     written = for_each_table(list(tables), copy, parallel=min(parallel, len(tables)))
     parts = [spark.table(out).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
              for name, out in written.items()]
-    from functools import reduce
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def run_replace_generated_id(spark: SparkSession, ref: TableRef, keys: list[str], id_col: str, order_cols: list[str],
+                             target_layer: str = "master") -> str:
+    """Replace by key into a target whose ``id_col`` is generated: staging's own
+    values of it are left out and new ids follow the target's largest."""
+    src, dst = ref.at("staging").qualified, ref.at(target_layer).qualified
+    if not catalog.exists(spark, src):
+        return f"skipped: {src} does not exist"
+    staging = spark.table(src)
+    if not catalog.exists(spark, dst):
+        catalog.publish(load.with_sequence_id(staging.drop(id_col), id_col, order_cols), dst, "overwrite")
+    else:
+        catalog.publish(load.replace_generated_id(spark.table(dst), staging, keys, id_col, order_cols), dst, "overwrite")
+    catalog.drop(spark, src)
+    return f"replaced {dst}"
+
+
+def convert_datetimes(spark: SparkSession, ref: TableRef, columns: list[str]) -> str:
+    """Convert text columns of a staged table to timestamps in place."""
+    from wareloom.functions import dates
+
+    src = ref.at("staging").qualified
+    if not catalog.exists(spark, src):
+        return f"skipped: {src} does not exist"
+    catalog.publish(dates.try_convert(spark.table(src), columns), src, "overwrite")
+    return f"converted {', '.join(columns)} of {src}"
+
+
 def run_replace_partitions(spark: SparkSession, ref: TableRef, keys: list[str], partition_cols: list[str],
                            target_layer: str = "master") -> dict:
     """Replace by key on a master partitioned by ``partition_cols``, rewriting
     only the partitions that staging touches (dynamic partition overwrite).
 
     Exact only when the partition columns are part of the key (then a key
-    match implies the same partition); this is enforced.  The replaced
-    partitions are first written to the shared checkpoint folder, because a
-    table cannot be overwritten while it is read.
+    match implies the same partition) and the master is partitioned by just
+    these columns; both are enforced, and a first load creates the master so.
+    The replaced partitions (the NULL partition too) are first written to the
+    shared checkpoint folder, because a table cannot be overwritten while it
+    is read.  The overwrite mode is set in a session of its own, so jobs that
+    run side by side do not change each other's.
     """
-    if not set(partition_cols) <= set(keys):
+    if not partition_cols or not set(partition_cols) <= set(keys):
         raise ValueError("partition columns must be part of the key for a partition-wise replace")
-    from wareloom.session import cut_lineage
+    from wareloom.session import remove_scratch, scratch_path
 
     src, dst = ref.at("staging").qualified, ref.at(target_layer).qualified
     if not catalog.exists(spark, src):
         return {"status": f"skipped: {src} does not exist"}
     staging = spark.table(src)
     if not catalog.exists(spark, dst):
-        catalog.move(spark, src, dst)
+        catalog.move(spark, src, dst, partition_cols)
         return {"status": f"moved {src} to {dst}"}
+    if sorted(catalog.partition_columns(spark, dst)) != sorted(partition_cols):
+        raise ValueError(f"{dst} is partitioned by {catalog.partition_columns(spark, dst)}, not by {partition_cols}")
     master = spark.table(dst)
-    touched = staging.select(*partition_cols).distinct()
+    staged = load.align_by_name(master, staging)
+    touched = staged.select(*[F.col(f"`{c}`").alias(f"__t_{c}") for c in partition_cols]).distinct()
     n_parts = touched.count()
-    affected = master.join(touched, partition_cols, "left_semi")  # partition pruning on the master scan
-    new_parts = cut_lineage(load.replace(affected, staging, keys), "replace-partitions")
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        new_parts.select(*spark.table(dst).columns).write.mode("overwrite").insertInto(dst)
-    finally:
-        if previous is None:
-            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-        else:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    same = reduce(lambda a, b: a & b, [master[f"`{c}`"].eqNullSafe(touched[f"`__t_{c}`"]) for c in partition_cols])
+    affected = master.join(touched, same, "left_semi")  # partition pruning on the master scan
+    path = scratch_path(spark, "replace-partitions")
+    kept = load.delete_by_key(affected, staging, keys)  # keys are compared before staging takes the master's types
+    kept.unionByName(staged).write.parquet(path)
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.read.schema(master.schema).parquet(path).select(*[F.col(f"`{c}`") for c in master.columns]).write.mode("overwrite").insertInto(dst)
+    remove_scratch(spark, path)
     spark.catalog.refreshTable(dst)
     catalog.drop(spark, src)
     return {"status": f"replaced {n_parts} partition(s) of {dst}"}

@@ -17,8 +17,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LOOKUP_BROADCAST_BYTES = 64 * 1024 * 1024
-
 
 def address(df: DataFrame, sql_expr: str, name: str = "FULL_ADDRESS") -> DataFrame:
     """Computed address column from SQL text (use concat_ws: NULL parts become empty)."""
@@ -63,12 +61,16 @@ def best_candidates(locator: DataFrame, address_col: str = "FULL_ADDRESS", score
 def geocode(df: DataFrame, locator: DataFrame, address_col: str = "FULL_ADDRESS", score: str = "score",
             x: str = "longitude", y: str = "latitude") -> DataFrame:
     """Left join each row to the best locator candidate of its address (NULL when none)."""
-    best = best_candidates(locator, address_col, score, x, y)
-    # join on struct(key): the best-candidate aggregate is then re-shuffled
+    from wareloom.operators.load import spread
+
+    # join on struct(key, salt): the best-candidate aggregate is then re-shuffled
     # instead of feeding the join directly, which lets AQE split a partition
-    # that one very frequent address makes huge
-    best = best.withColumn("__jk", F.struct("__key")).drop("__key")
-    keyed = df.withColumn("__jk", F.struct(address_key(address_col).alias("__key")))
+    # that one very frequent address makes huge; a NULL address matches nothing
+    # (the locator side has none, and rows without one are spread by a salt)
+    best = best_candidates(locator.where(F.col(address_col).isNotNull()), address_col, score, x, y)
+    best = best.withColumn("__jk", F.struct("__key", F.lit(0).cast("bigint").alias("__salt"))).drop("__key")
+    salt = F.when(F.col(address_col).isNotNull(), F.lit(0).cast("bigint")).otherwise(spread(df))
+    keyed = df.withColumn("__jk", F.struct(address_key(address_col).alias("__key"), salt.alias("__salt")))
     return keyed.join(best, "__jk", "left").drop("__jk")
 
 
@@ -85,15 +87,9 @@ def misses(geocoded: DataFrame, source: DataFrame, id_col: str, geo_cols: list[s
     return out.where(F.expr(where)) if where else out
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left",
-           broadcast_bytes: int = LOOKUP_BROADCAST_BYTES) -> DataFrame:
-    """Dimension lookup join.  The dimension is broadcast only after one small
-    job measured its size (bytes of its rows as JSON text, an upper estimate
-    of the in-memory size); otherwise the planner and AQE choose."""
-    size = dim.agg(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in dim.columns]))))
-                   .alias("b")).first()["b"] or 0
-    side = F.broadcast(dim) if size <= broadcast_bytes else dim
-    return df.join(side, on, how)
+def lookup(df: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left") -> DataFrame:
+    """Dimension lookup join, without a hint: AQE broadcasts a dimension that it measured to be small."""
+    return df.join(dim, on, how)
 
 
 def join_back(df: DataFrame, results: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -102,19 +98,23 @@ def join_back(df: DataFrame, results: DataFrame, keys: list[str] | None = None)
 
 
 def with_client(df: DataFrame, client_factory: Callable[[], Callable], address_col: str = "FULL_ADDRESS",
-                x: str = "longitude", y: str = "latitude") -> DataFrame:
+                x: str = "longitude", y: str = "latitude", parallelism: int | None = None) -> DataFrame:
     """Geocode through a user client: ``client_factory()`` is called once per
     partition and returns ``f(list[str]) -> list[(x, y) | None]``.
 
     Only distinct addresses are sent (the distinct is a partial aggregation),
-    then the results are joined back.
+    spread over ``parallelism`` tasks (default: the shuffle partitions).  The answers
+    are kept as a table in the shared scratch folder before they are joined back,
+    so later uses of the result do not call the service again.
     """
     import pandas as pd
 
-    from wareloom.session import ship_package
+    from wareloom.session import cut_lineage, ship_package
 
     ship_package(df.sparkSession)
     addrs = df.select(F.col(address_col).alias("__addr")).where(F.col("__addr").isNotNull()).distinct()
+    tasks = parallelism or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    addrs = addrs.repartition(tasks, "__addr")
 
     def run(batches):
         client = client_factory()
@@ -125,7 +125,7 @@ def with_client(df: DataFrame, client_factory: Callable[[], Callable], address_c
             yield pd.DataFrame({"__addr": pdf["__addr"], x: pd.array(xs, dtype="Float64"),
                                 y: pd.array(ys, dtype="Float64")})
 
-    res = addrs.mapInPandas(run, f"__addr string, {x} double, {y} double")
+    res = cut_lineage(addrs.mapInPandas(run, f"__addr string, {x} double, {y} double"), "geocoded")
     return df.join(res, df[address_col] == res["__addr"], "left").drop("__addr")
 
 
@@ -133,12 +133,15 @@ def run(source: DataFrame, geo_table: str, geocoder: Callable[[DataFrame], DataF
         address_col: str = "FULL_ADDRESS", incremental: bool = True) -> str:
     """Load geocodes into ``geo_table``: only pending rows and append when
     incremental (and the table exists), else geocode all and overwrite;
-    nothing is written when no row is pending (one short ``isEmpty`` job)."""
+    nothing is written when no row is pending (one short ``isEmpty`` job).
+    Rows with a NULL id are geocoded by a full load only: as they match no
+    loaded row, every incremental run would append them again."""
     from wareloom import catalog
 
     spark = source.sparkSession
     if incremental and catalog.exists(spark, geo_table):
-        todo, mode = pending(source, spark.table(geo_table), id_col, address_col), "append"
+        known = source.where(F.col(id_col).isNotNull())
+        todo, mode = pending(known, spark.table(geo_table), id_col, address_col), "append"
     else:
         todo, mode = source.dropDuplicates([id_col, address_col]), "overwrite"
     if todo.isEmpty():

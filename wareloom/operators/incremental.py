@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from wareloom.functions.dates import day_floor
 
 # Allow-lists: the aggregate and the comparison come from job configuration.
-AGGREGATES = {"max": F.max, "min": F.min}
+AGGREGATES = {"max": F.max, "min": F.min, "avg": F.avg, "sum": F.sum, "count": F.count}
+TYPED_LITERALS = {"timestamp_ntz": "TIMESTAMP_NTZ", "timestamp": "TIMESTAMP_LTZ", "date": "DATE"}
 OPERATORS = {
     ">": lambda c, v: c > v, ">=": lambda c, v: c >= v,
     "<": lambda c, v: c < v, "<=": lambda c, v: c <= v,
@@ -23,7 +24,10 @@ OPERATORS = {
 
 
 def high_water(target: DataFrame | None, column: str, agg: str = "max", trunc: str | None = None):
-    """The mark (python value) or None for a missing / empty target."""
+    """The mark as a literal column of its own type, or None for a missing / empty target.
+
+    Dates and timestamps cross the driver as text and come back as literals of
+    their own type, so neither the driver's nor the session's zone shifts them."""
     if target is None:
         return None
     fn = AGGREGATES[agg.lower()]
@@ -32,7 +36,13 @@ def high_water(target: DataFrame | None, column: str, agg: str = "max", trunc: s
         value = day_floor(value)
     elif trunc is not None:
         raise ValueError(f"unknown truncation {trunc!r}")
-    return target.agg(value.alias("v")).first()["v"]
+    found = target.agg(value.alias("v"))
+    kind = found.schema["v"].dataType.simpleString()
+    if kind not in TYPED_LITERALS:
+        mark = found.first()["v"]
+        return None if mark is None else F.lit(mark)
+    text = found.select(F.col("v").cast("string").alias("v")).first()["v"]
+    return None if text is None else F.expr(f"{TYPED_LITERALS[kind]}'{text}'")
 
 
 def pull(source: DataFrame, target: DataFrame | None, column: str, agg: str = "max", op: str = ">",
@@ -42,7 +52,7 @@ def pull(source: DataFrame, target: DataFrame | None, column: str, agg: str = "m
     if mark is None:
         return source
     col = F.col(f"`{source_column or column}`")
-    return source.where(OPERATORS[op](col, F.lit(mark)))
+    return source.where(OPERATORS[op](col, mark))
 
 
 def pull_sql(spark: SparkSession, sql: str, target: DataFrame | None, column: str, agg: str = "max",

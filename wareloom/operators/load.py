@@ -9,6 +9,8 @@ Pure functions ``(master, staging) -> DataFrame`` describe the new master;
 * Master rows with a NULL key can never match (plain equality, as the
   warehouse DELETE ... JOIN does).  They are spread over shuffle partitions
   by a hash salt instead of all landing in the NULL-key partition.
+* Keys of different types are compared in their wider common type, so a
+  staging key is never narrowed into a master key it does not equal.
 * No broadcast hint: AQE switches the anti join to a broadcast hash join
   from the *measured* size of the distinct key set when it is small, and
   splits skewed master partitions otherwise.
@@ -22,7 +24,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NULL_SALT_BUCKETS = 64
 _SALT = "__wl_salt"
 
 
@@ -37,15 +38,52 @@ def _all_not_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns that ``xxhash64`` takes (no maps inside)."""
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+
+
+def spread(df: DataFrame) -> Column:
+    """A hash of the row, for rows that need no partner: never 0."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(df)])
+    return F.when(h == 0, F.lit(1).cast("bigint")).otherwise(h)
+
+
 def _null_salt(df: DataFrame, keys: list[str], by_position: bool = False) -> Column:
-    """0 for rows that can match; a spread bucket for NULL-key rows.
+    """0 for rows that can match; a spreading number for NULL-key rows.
 
-    The bucket is a hash of the whole row, or (``by_position``, when only the
+    The number is a hash of the whole row, or (``by_position``, when only the
     key columns are read) the row's position in its input split, which is
     stable for a file scan."""
-    spread = F.monotonically_increasing_id() if by_position else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return F.when(_all_not_null(keys), F.lit(0).cast("bigint")).otherwise(
-        F.pmod(spread, F.lit(NULL_SALT_BUCKETS)).cast("bigint") + 1)
+    away = F.monotonically_increasing_id() + 1 if by_position else spread(df)
+    return F.when(_all_not_null(keys), F.lit(0).cast("bigint")).otherwise(away)
+
+
+def common_key_types(left: DataFrame, right: DataFrame, keys: list[str]) -> dict[str, str | None]:
+    """For each key whose types differ, the type both are compared in.
+
+    Catalyst's own widening (int and double: double, date and timestamp:
+    timestamp); text against another type is read as that type, and text that
+    does not read as it is NULL, so it matches nothing."""
+    from pyspark.sql import types as T
+
+    out = {}
+    for k in keys:
+        a, b = left.schema[k].dataType, right.schema[k].dataType
+        if a == b:
+            continue
+        texts = [isinstance(t, T.StringType) for t in (a, b)]
+        if any(texts):
+            out[k] = None if all(texts) else (b if texts[0] else a).simpleString()
+            continue
+        both = F.coalesce(F.lit(None).cast(a), F.lit(None).cast(b)).alias("k")
+        out[k] = left.sparkSession.range(0).select(both).schema["k"].dataType.simpleString()
+    return {k: t for k, t in out.items() if t}
+
+
+def _comparable(df: DataFrame, types: dict[str, str | None]) -> dict[str, Column]:
+    """Key columns cast to the types they are compared in."""
+    return {k: F.col(f"`{k}`").try_cast(t) for k, t in types.items()}
 
 
 _KEY = "__wl_key"
@@ -76,11 +114,6 @@ def _string_keys(df: DataFrame, keys: list[str]) -> set:
     return {f.name for f in df.schema.fields if f.name in keys and isinstance(f.dataType, T.StringType)}
 
 
-def key_set(staging: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct non-NULL keys of staging (map-side combined)."""
-    return staging.select(*[F.col(f"`{k}`") for k in keys]).where(_all_not_null(keys)).distinct()
-
-
 def _key_side(staging: DataFrame, keys: list[str], key_type=None, collation: str | None = None) -> DataFrame:
     """Distinct non-NULL staging keys as match keys.
 
@@ -106,6 +139,12 @@ def anti_by_key(left: DataFrame, right: DataFrame, keys, collation: str | None =
     """Rows of ``left`` whose key (plain equality: NULL never matches) is not
     among the keys of ``right``; NULL-key rows are salted, hot keys split by AQE."""
     keys = _check_keys(keys)
+    types = common_key_types(left, right, keys)
+    if types:
+        named = {k: f"__wl_as_{i}" for i, k in enumerate(keys)}
+        wide = left.withColumns({n: _comparable(left, types).get(k, F.col(f"`{k}`")) for k, n in named.items()})
+        thin = right.select(*[_comparable(right, types).get(k, F.col(f"`{k}`")).alias(n) for k, n in named.items()])
+        return anti_by_key(wide, thin, list(named.values()), collation).drop(*named.values())
     m = left.withColumn(_KEY, _match_key(keys, _null_salt(left, keys), _string_keys(left, keys), collation))
     return m.join(_key_side(right, keys, m.schema[_KEY].dataType, collation), _KEY, "left_anti").drop(_KEY)
 
@@ -117,10 +156,9 @@ def delete_by_key(master: DataFrame, staging: DataFrame, keys, collation: str |
 
 def replace(master: DataFrame, staging: DataFrame, keys, collation: str | None = None) -> DataFrame:
     """Replace by key: delete master rows matched by staging keys, then insert
-    every staging row (duplicates kept).  Columns are matched by name."""
-    _same_columns(master, staging)
-    return delete_by_key(master, staging, keys, collation).unionByName(
-        staging.select(*[F.col(f"`{c}`") for c in master.columns]))
+    every staging row (duplicates kept).  Columns are matched by name and take
+    the master's types; master columns that staging lacks become NULL."""
+    return delete_by_key(master, staging, keys, collation).unionByName(align_by_name(master, staging))
 
 
 def _same_columns(master: DataFrame, staging: DataFrame) -> None:
@@ -204,18 +242,21 @@ class Report:
 
 
 def report_message(deleted: int, inserted: int) -> str:
-    if inserted - deleted < 0:
-        return f"Difference of {deleted - inserted} rows deleted within master without replacement/update from staging"
-    return f"{inserted} records added back"
+    """One line for the job log: how a replace changed the master's size."""
+    if inserted < deleted:
+        return f"master shrank by {deleted - inserted}: {deleted} removed, {inserted} inserted"
+    return f"{inserted} inserted, {deleted} removed"
 
 
 def replace_report(master: DataFrame, staging: DataFrame, keys) -> DataFrame:
     """One-row load report of a replace-by-key, computed in one job:
     master_rows, deleted, inserted, result_rows, delta, message."""
     keys = _check_keys(keys)
-    mk = master.select(*[F.col(f"`{k}`") for k in keys])
+    types = common_key_types(master, staging, keys)
+    as_key = lambda df: df.select(*[_comparable(df, types).get(k, F.col(f"`{k}`")).alias(k) for k in keys])
+    mk = as_key(master)
     mkeys = mk.select(_match_key(keys, _null_salt(mk, keys, by_position=True)).alias(_KEY))
-    ks = _key_side(staging, keys, mkeys.schema[_KEY].dataType).withColumn("__hit", F.lit(True))
+    ks = _key_side(as_key(staging), keys, mkeys.schema[_KEY].dataType).withColumn("__hit", F.lit(True))
     m = (mkeys.join(ks, _KEY, "left")
          .select(F.lit("m").alias("side"), F.coalesce(F.col("__hit"), F.lit(False)).alias("hit")))
     s = staging.select(F.lit("s").alias("side"), F.lit(False).alias("hit"))
@@ -223,14 +264,15 @@ def replace_report(master: DataFrame, staging: DataFrame, keys) -> DataFrame:
         F.count_if(F.col("side") == "m").alias("master_rows"),
         F.count_if((F.col("side") == "m") & F.col("hit")).alias("deleted"),
         F.count_if(F.col("side") == "s").alias("inserted"))
+    removed, added = F.col("deleted").cast("string"), F.col("inserted").cast("string")
+    shrank = (F.col("deleted") - F.col("inserted")).cast("string")
+    message = (F.when(F.col("inserted") < F.col("deleted"),
+                      F.concat(F.lit("master shrank by "), shrank, F.lit(": "), removed, F.lit(" removed, "), added, F.lit(" inserted")))
+               .otherwise(F.concat(added, F.lit(" inserted, "), removed, F.lit(" removed"))))
     return agg.select(
         "master_rows", "deleted", "inserted",
         (F.col("master_rows") - F.col("deleted") + F.col("inserted")).alias("result_rows"),
-        (F.col("inserted") - F.col("deleted")).alias("delta"),
-        F.when(F.col("inserted") - F.col("deleted") < 0,
-               F.concat(F.lit("Difference of "), (F.col("deleted") - F.col("inserted")).cast("string"),
-                        F.lit(" rows deleted within master without replacement/update from staging")))
-         .otherwise(F.concat(F.col("inserted").cast("string"), F.lit(" records added back"))).alias("message"))
+        (F.col("inserted") - F.col("deleted")).alias("delta"), message.alias("message"))
 
 
 # ---- generated ids ---------------------------------------------------------
@@ -270,7 +312,7 @@ def append_generated_id(master: DataFrame, staging: DataFrame, id_col: str, orde
     """Append staging without its id column; new ids continue after max(master id)."""
     start = master.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("m")).first()["m"]
     staged = with_sequence_id(staging.drop(id_col), id_col, order_cols, start=int(start))
-    return master.unionByName(staged.select(*master.columns))
+    return master.unionByName(align_by_name(master, staged))
 
 
 def replace_generated_id(master: DataFrame, staging: DataFrame, keys, id_col: str, order_cols: list[str]) -> DataFrame:
@@ -278,4 +320,4 @@ def replace_generated_id(master: DataFrame, staging: DataFrame, keys, id_col: st
     kept = delete_by_key(master, staging, keys)
     start = master.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("m")).first()["m"]
     staged = with_sequence_id(staging.drop(id_col), id_col, order_cols, start=int(start))
-    return kept.unionByName(staged.select(*master.columns))
+    return kept.unionByName(align_by_name(master, staged))

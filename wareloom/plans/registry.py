@@ -85,9 +85,9 @@ c AS (SELECT (SELECT count(*) FROM master_lines) AS master_rows,
                  WHERE s.l_orderkey = m.l_orderkey AND s.l_linenumber = m.l_linenumber)) AS deleted,
              (SELECT count(*) FROM staging_lines) AS inserted)
 SELECT master_rows, deleted, inserted, master_rows - deleted + inserted AS result_rows, inserted - deleted AS delta,
-  CASE WHEN inserted - deleted < 0
-       THEN 'Difference of ' || CAST(deleted - inserted AS VARCHAR) || ' rows deleted within master without replacement/update from staging'
-       ELSE CAST(inserted AS VARCHAR) || ' records added back' END AS message
+  CASE WHEN inserted < deleted
+       THEN 'master shrank by ' || CAST(deleted - inserted AS VARCHAR) || ': ' || CAST(deleted AS VARCHAR) || ' removed, ' || CAST(inserted AS VARCHAR) || ' inserted'
+       ELSE CAST(inserted AS VARCHAR) || ' inserted, ' || CAST(deleted AS VARCHAR) || ' removed' END AS message
 FROM c""")
 def q_replace_report(spark, d):
     return LD.replace_report(FX.master_lines(spark, d), FX.staging_lines(spark, d), ["l_orderkey", "l_linenumber"])
