@@ -107,7 +107,7 @@ def test_point_in_polygon_concave_and_hole(spark):
                                 "pid int, longitude double, latitude double")
     from wareloom.operators.spatial import locate
 
-    got = {r["pid"]: r["NAME"] for r in locate(pts, polys, ["NAME"], cell=1.0).collect()}
+    got = {r["pid"]: r["NAME"] for r in locate(pts, polys, ["NAME"]).collect()}
     assert got == {1: "U", 2: None, 3: "H", 4: None, 5: None}
 
 

@@ -100,7 +100,7 @@ def test_locate_without_broadcast_equals_broadcast(spark, sf):
     small = sorted(map(tuple, locate(pts, polys, ["STATE", "NAME"]).collect()), key=repr)
     old = _small_skew_conf(spark)
     try:
-        shuffled = locate(pts, polys, ["STATE", "NAME"], broadcast_limit=0)
+        shuffled = locate(pts, polys, ["STATE", "NAME"])
         got = sorted(map(tuple, shuffled.collect()), key=repr)
         assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
     finally:

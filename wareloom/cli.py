@@ -3,9 +3,9 @@
     python -m wareloom.cli load replace      # staging -> master by key
     python -m wareloom.cli load replace-partitions   # same, rewriting only touched partitions
     python -m wareloom.cli load append | overwrite
-    python -m wareloom.cli validate          # schema + null contract of a staged table
+    python -m wareloom.cli validate          # schema + null contract of the staged tables
     python -m wareloom.cli generate-schema   # contract of a staged table (JSON on stdout)
-    python -m wareloom.cli pull              # incremental pull of a source into staging
+    python -m wareloom.cli pull              # incremental pull of the tables into staging
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (spark-submit
 decides the master); every data step is the library's DataFrame code.
@@ -36,6 +36,7 @@ ENV_SQL = "SQL"
 ENV_MAX_COLS = "MAX_COLS"
 # additions of this library
 ENV_SOURCE_PATH = "SOURCE_PATH"
+ENV_JDBC_URL = "JDBC_URL"
 ENV_COLLATION = "KEY_COLLATION"
 ENV_PARTITION_COLS = "PARTITION_COLS"
 
@@ -84,14 +85,21 @@ def load(mode: str, env: Mapping[str, str]) -> list:
 
 
 def validate(env: Mapping[str, str]) -> None:
-    """Raise ContractError when the staged table breaks its contract."""
+    """Raise ContractError when a listed staged table breaks the contract; every
+    table is checked before the first error is raised."""
     from wareloom.naming import TableRef
     from wareloom.operators import quality
 
     spark = _spark()
-    ref = TableRef(env[ENV_DEPT], env[ENV_SOURCE], env[ENV_TABLE])
     contract = quality.contract_from_json(spark, env[ENV_COL_SCHEMA])
-    quality.validate(spark.table(ref.qualified), contract)
+    broken = []
+    for t in _tables(env):
+        try:
+            quality.validate(spark.table(TableRef(env[ENV_DEPT], env[ENV_SOURCE], t).qualified), contract)
+        except quality.ContractError as e:
+            broken.append(f"{t}: {e}")
+    if broken:
+        raise quality.ContractError("; ".join(broken))
 
 
 def generate_schema(env: Mapping[str, str]) -> str:
@@ -110,25 +118,38 @@ def generate_schema(env: Mapping[str, str]) -> str:
     return json.dumps(recs)
 
 
-def pull(env: Mapping[str, str]) -> str:
-    """Incremental pull of ``SOURCE_PATH`` (Parquet) or ``SQL`` into staging,
-    above the master's high-water mark of ``APPEND_COL`` when given."""
+def pull(env: Mapping[str, str]) -> list[str]:
+    """Incremental pull of every listed table into staging, above the master's
+    high-water mark of ``APPEND_COL`` when given.
+
+    The source is ``JDBC_URL`` (the table of that name, or ``SQL``),
+    ``SOURCE_PATH`` (Parquet) or ``SQL``; ``{table}`` in path and SQL stands for
+    the table's name."""
     from wareloom import catalog, jobs
     from wareloom.functions.columns import long_text_last
     from wareloom.naming import TableRef
     from wareloom.operators import incremental
+    from wareloom.sources import jdbc
 
-    spark = _spark()
-    t = _tables(env)[0]
-    ref = TableRef(env[ENV_DEPT], env[ENV_SOURCE], t)
-    src = spark.read.parquet(env[ENV_SOURCE_PATH]) if env.get(ENV_SOURCE_PATH) else spark.sql(env[ENV_SQL])
-    col = env.get(ENV_APPEND_COL)
-    if col:
-        master = ref.at("master").qualified
-        target = spark.table(master) if catalog.exists(spark, master) else None
-        src = incremental.pull(src, target, col, env.get(ENV_APPEND_TYPE, "MAX"), env.get(ENV_APPEND_SIGN, ">"))
-    src = long_text_last(src, _list(env, ENV_MAX_COLS))
-    return jobs.stage(src, ref)
+    spark, out = _spark(), []
+    tables = _tables(env)
+    if len(tables) > 1 and not env.get(ENV_JDBC_URL) and "{table}" not in (env.get(ENV_SOURCE_PATH) or env.get(ENV_SQL, "")):
+        raise ValueError("several tables need {table} in the source")
+    for t in tables:
+        ref = TableRef(env[ENV_DEPT], env[ENV_SOURCE], t)
+        named = lambda v: env[v].replace("{table}", t)  # noqa: E731, B023
+        if env.get(ENV_JDBC_URL):
+            url = env[ENV_JDBC_URL]
+            src = jdbc.query(spark, url, named(ENV_SQL)) if env.get(ENV_SQL) else jdbc.table(spark, url, t)
+        else:
+            src = spark.read.parquet(named(ENV_SOURCE_PATH)) if env.get(ENV_SOURCE_PATH) else spark.sql(named(ENV_SQL))
+        col = env.get(ENV_APPEND_COL)
+        if col:
+            master = ref.at("master").qualified
+            target = spark.table(master) if catalog.exists(spark, master) else None
+            src = incremental.pull(src, target, col, env.get(ENV_APPEND_TYPE, "MAX"), env.get(ENV_APPEND_SIGN, ">"))
+        out.append(jobs.stage(long_text_last(src, _list(env, ENV_MAX_COLS)), ref))
+    return out
 
 
 def main(argv: list[str] | None = None, env: Mapping[str, str] | None = None) -> int:
@@ -147,7 +168,8 @@ def main(argv: list[str] | None = None, env: Mapping[str, str] | None = None) ->
     elif cmd == "generate-schema":
         print(generate_schema(env))
     elif cmd == "pull":
-        print(pull(env))
+        for t in pull(env):
+            print(t)
     else:
         print(__doc__)
         return 2

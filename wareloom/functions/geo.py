@@ -32,10 +32,22 @@ def point_parts(col: Column | str) -> tuple[Column, Column]:
     return F.try_element_at(coords, F.lit(1)), F.try_element_at(coords, F.lit(2))
 
 
+def free_name(name: str, taken) -> str:
+    """``name``, or its first form ``name_2``, ``name_3``, ... that is not taken."""
+    n, out = 2, name
+    while out in taken:
+        out, n = f"{name}_{n}", n + 1
+    return out
+
+
 def split_point(df: DataFrame, column: str) -> DataFrame:
-    """Replace a point column by ``longitude`` and ``latitude`` doubles."""
+    """Replace a point column by ``longitude`` and ``latitude`` doubles; columns
+    that have these names already stay, and the new ones get a suffix."""
     lon, lat = point_parts(F.col(f"`{column}`"))
-    return df.withColumns({"longitude": lon, "latitude": lat}).drop(column)
+    taken = set(df.columns) - {column}
+    names = [free_name(n, taken) for n in ("longitude", "latitude")]
+    split = df.select("*", lon.alias("__lon"), lat.alias("__lat")).drop(column)
+    return split.withColumnsRenamed({"__lon": names[0], "__lat": names[1]})
 
 
 def point(lon: Column | str, lat: Column | str) -> Column:
@@ -45,10 +57,6 @@ def point(lon: Column | str, lat: Column | str) -> Column:
                   F.struct(F.lit("Point").alias("type"), F.array(lon.cast("double"), lat.cast("double")).alias("coordinates")))
 
 
-def point_json(lon: Column | str, lat: Column | str) -> Column:
-    return F.to_json(point(lon, lat))
-
-
 # ---- GeoJSON geometry -> WKT ---------------------------------------------
 
 def _pos(p: str) -> str:
@@ -61,26 +69,38 @@ def _seq(a: str, var: str) -> str:
     return f"array_join(transform({a}, {var} -> {_pos(var)}), ', ')"
 
 
-def _wkt_sql(g: str) -> str:
-    coords = "coordinates"
-    pt = f"from_json({g}, 'struct<{coords}: array<double>>').{coords}"
-    line = f"from_json({g}, 'struct<{coords}: array<array<double>>>').{coords}"
-    poly = f"from_json({g}, 'struct<{coords}: array<array<array<double>>>>').{coords}"
-    mpoly = f"from_json({g}, 'struct<{coords}: array<array<array<array<double>>>>>').{coords}"
+def _wkt_sql(g: str, nested: int = 2) -> str:
+    """SQL text of the WKT of GeoJSON text ``g``; collections nest ``nested`` deep."""
+    def coords(depth: int) -> str:
+        return f"from_json({g}, 'struct<coordinates: {'array<' * depth}double{'>' * depth}>').coordinates"
+
+    def shape(kind: str, inner: str, depth: int) -> str:
+        return f"CASE WHEN size({coords(depth)}) > 0 THEN concat('{kind} (', {inner}, ')') ELSE '{kind} EMPTY' END"
+
+    def joined(a: str, var: str, inner: str) -> str:
+        return f"array_join(transform({a}, {var} -> concat('(', {inner}, ')')), ', ')"
+
+    parts = f"from_json({g}, 'struct<geometries: array<string>>').geometries"
+    collection = ""
+    if nested:
+        v = f"g{nested}"
+        collection = f"""WHEN 'GeometryCollection' THEN CASE WHEN size({parts}) > 0
+          THEN concat('GEOMETRYCOLLECTION (', array_join(transform({parts}, {v} -> {_wkt_sql(v, nested - 1)}), ', '), ')')
+          ELSE 'GEOMETRYCOLLECTION EMPTY' END"""
     return f"""CASE get_json_object({g}, '$.type')
-      WHEN 'Point' THEN concat('POINT (', {_pos(pt)}, ')')
-      WHEN 'MultiPoint' THEN concat('MULTIPOINT (', array_join(transform({line}, q -> concat('(', {_pos('q')}, ')')), ', '), ')')
-      WHEN 'LineString' THEN concat('LINESTRING (', {_seq(line, 'q')}, ')')
-      WHEN 'MultiLineString' THEN concat('MULTILINESTRING (', array_join(transform({poly}, r -> concat('(', {_seq('r', 'q')}, ')')), ', '), ')')
-      WHEN 'Polygon' THEN concat('POLYGON (', array_join(transform({poly}, r -> concat('(', {_seq('r', 'q')}, ')')), ', '), ')')
-      WHEN 'MultiPolygon' THEN concat('MULTIPOLYGON (', array_join(transform({mpoly},
-             s -> concat('(', array_join(transform(s, r -> concat('(', {_seq('r', 'q')}, ')')), ', '), ')')), ', '), ')')
+      WHEN 'Point' THEN {shape('POINT', _pos(coords(1)), 1)}
+      WHEN 'MultiPoint' THEN {shape('MULTIPOINT', joined(coords(2), 'q', _pos('q')), 2)}
+      WHEN 'LineString' THEN {shape('LINESTRING', _seq(coords(2), 'q'), 2)}
+      WHEN 'MultiLineString' THEN {shape('MULTILINESTRING', joined(coords(3), 'r', _seq('r', 'q')), 3)}
+      WHEN 'Polygon' THEN {shape('POLYGON', joined(coords(3), 'r', _seq('r', 'q')), 3)}
+      WHEN 'MultiPolygon' THEN {shape('MULTIPOLYGON', joined(coords(4), 's', joined('s', 'r', _seq('r', 'q'))), 4)}
+      {collection}
     END"""
 
 
 def to_wkt(col: str) -> Column:
-    """GeoJSON geometry text to WKT (Point, MultiPoint, LineString,
-    MultiLineString, Polygon, MultiPolygon); NULL geometry gives NULL."""
+    """GeoJSON geometry text to WKT: the seven geometry types (collections up to
+    two deep), ``EMPTY`` without coordinates; NULL geometry gives NULL."""
     return F.expr(_wkt_sql(f"`{col}`"))
 
 

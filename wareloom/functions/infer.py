@@ -11,6 +11,7 @@ instead of hundreds of aggregate expressions, which keeps codegen small.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +20,11 @@ from pyspark.sql import types as T
 from wareloom.functions import dates as D
 from wareloom.functions import geo as G
 from wareloom.functions.columns import COMPUTED_MARK
-from wareloom.functions.types import safe_cast
 
 DIGITS = r"^[0-9]+$"
 # bigint holds every 18-digit number; longer digit strings go to decimal(38,0)
 BIGINT_DIGITS = 18
+DECIMAL_DIGITS = 38
 WIDE_PROFILE_COLUMNS = 200
 
 
@@ -76,13 +77,11 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> dict[str, Column
 
 
 def _digits_cast(c, p: ColumnProfile):
-    """Cast an all-digit column: plain ``try_cast`` when the profile proves every
-    value fits (no overflow path possible), the guarded ``safe_cast`` otherwise."""
-    t = digits_type(p)
-    limit = BIGINT_DIGITS if isinstance(t, T.LongType) else t.precision
-    if p.max_len is None or p.max_len <= limit:
-        return c.try_cast(t)
-    return safe_cast(c, t)
+    """Cast an all-digit column to the type that the profile proves every value
+    fits; a column with more digits than any number type holds stays text."""
+    if p.max_len is not None and p.max_len > DECIMAL_DIGITS:
+        return c
+    return c.try_cast(digits_type(p))
 
 
 def digits_type(p: ColumnProfile) -> T.DataType:
@@ -92,7 +91,7 @@ def digits_type(p: ColumnProfile) -> T.DataType:
 
 
 def digits(df: DataFrame, prof: dict[str, ColumnProfile] | None = None) -> DataFrame:
-    """Cast every all-digit string column to bigint (decimal(38,0) when too wide)."""
+    """Cast every all-digit string column to bigint (decimal(38,0) when too wide, text above 38 digits)."""
     prof = prof if prof is not None else profile(df)
     cols = []
     for f in df.schema.fields:
@@ -120,12 +119,14 @@ def convert_types(df: DataFrame, prof: dict[str, ColumnProfile] | None = None,
     """Ordered rule cascade, first match wins, one projection:
 
     1. name contains ``:@computed``       -> dropped
-    2. every non-null value is ASCII digits -> bigint / decimal(38,0)
+    2. every non-null value is ASCII digits -> bigint / decimal(38,0); over 38 digits: text
     3. name contains ``date``             -> timestamp (bad text -> NULL)
     4. name contains latitude and longitude -> ``longitude``, ``latitude`` doubles
+       (with a suffix ``_2``, ... where the table has such a column already)
     """
     prof = prof if prof is not None else profile(df)
     out = []
+    taken = set(df.columns)
     for f in df.schema.fields:
         name = f.name
         c = F.col(f"`{name}`")
@@ -141,7 +142,10 @@ def convert_types(df: DataFrame, prof: dict[str, ColumnProfile] | None = None,
             out.append(D.parse_timestamp(c, patterns).alias(name))
         elif "latitude" in name and "longitude" in name:
             lon, lat = G.point_parts(c)
-            out += [lon.alias("longitude"), lat.alias("latitude")]
+            for part, plain in ((lon, "longitude"), (lat, "latitude")):
+                free = G.free_name(plain, taken - {name})
+                taken.add(free)
+                out.append(part.alias(free))
         else:
             out.append(c)
     return df.select(*out)
@@ -154,16 +158,14 @@ def long_text_profile(df: DataFrame, limit: int = 255) -> DataFrame:
     ``long_text`` is true when the longest value exceeds ``limit``.
     """
     names = df.columns
-    lengths = [F.length(F.col(f"`{c}`").cast("string")) for c in names]
     if len(names) > WIDE_PROFILE_COLUMNS:
-        keyed = {f"m{i}": c for i, c in enumerate(names)}
-        flat = df.select(*[ln.alias(k) for ln, k in zip(lengths, keyed)]).unpivot([], list(keyed), "k", "len")
-        mapping = F.create_map(*[x for k, c in keyed.items() for x in (F.lit(k), F.lit(c))])
-        long = (flat.groupBy("k").agg(F.max("len").alias("max_length"))
-                .select(mapping[F.col("k")].alias("column_name"), "max_length"))
-    else:
-        wide = df.agg(*[F.max(ln).alias(f"m{i}") for i, ln in enumerate(lengths)])
-        stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', m{i}" for i, c in enumerate(names))
-        long = wide.selectExpr(f"stack({len(names)}, {stack}) as (column_name, max_length)")
+        # one aggregate per block of columns keeps the generated code small
+        blocks = [names[i : i + WIDE_PROFILE_COLUMNS] for i in range(0, len(names), WIDE_PROFILE_COLUMNS)]
+        parts = [long_text_profile(df.select(*[F.col(f"`{c}`") for c in b]), limit) for b in blocks]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+    lengths = [F.length(F.col(f"`{c}`").cast("string")) for c in names]
+    wide = df.agg(*[F.max(ln).alias(f"m{i}") for i, ln in enumerate(lengths)])
+    stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', m{i}" for i, c in enumerate(names))
+    long = wide.selectExpr(f"stack({len(names)}, {stack}) as (column_name, max_length)")
     return long.select("column_name", F.col("max_length").cast("bigint").alias("max_length"),
                        F.coalesce(F.col("max_length") > F.lit(limit), F.lit(False)).alias("long_text"))

@@ -6,13 +6,13 @@ operator is a join, never a loop:
 
 * exact-name matches pre-aggregate the listing by (name, path) before the
   join, so a name shared by a third of all files collapses map-side;
-* "name contains" matches use an n-gram equi-join: a file row is exploded
-  into the distinct 3-grams of its name (plus 1- and 2-grams only when some
-  pattern is that short); a request joins on the
-  rarest 3-gram of its pattern (gram frequencies come from one aggregate over
-  the exploded listing), so its candidates are only the files holding that
-  gram; the exact ``contains`` test then runs on the candidates.  No
-  nested-loop join, no pairs beyond candidates;
+* "name contains" matches use an n-gram equi-join over the distinct names: a
+  name is exploded into its grams of the lengths that the patterns need (6 for
+  patterns of 6 characters on, else 3, else the pattern's own 2 or 1); a
+  request joins on the rarest gram of its pattern, so its candidates are only
+  the names that hold it, and the exact ``contains`` test runs on them.  Gram
+  counts are taken for the requests' grams only, and the files' columns
+  join the matching names last;
 * top-n per request is two-phase (salted, then exact), so a request that
   matches a third of the listing is ranked by many tasks.
 """
@@ -22,53 +22,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRAM = 3
+GRAMS = (6, 3, 2, 1)
 TOPN_SALT_BUCKETS = 32
 
 
-def _grams(name: Column, shortest: int = 1) -> Column:
-    """Distinct substrings of length ``shortest``..GRAM of ``name``."""
-    n = F.length(name)
+def _cut(text: Column, k: int) -> Column:
+    """The substrings of length ``k`` (none of a shorter text)."""
+    n = F.length(text)
+    cut = F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.substr(text, i, F.lit(k)))
+    return F.filter(cut, lambda g: F.length(g) == k)
 
-    def cut(k: int):
-        return lambda i: F.substr(name, i, F.lit(k))
 
-    grams = [F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), cut(k))
-             for k in range(max(1, min(shortest, GRAM)), GRAM + 1)]
-    return F.array_distinct(F.filter(F.flatten(F.array(*grams)), lambda g: F.length(g) > 0))
+def _gram_length(pattern: Column) -> Column:
+    """The longest gram length that a pattern has."""
+    n = F.length(pattern)
+    return F.coalesce(*[F.when(n >= k, k) for k in GRAMS])
 
 
 def contains_matches(files: DataFrame, requests: DataFrame, name_col: str = "name", pattern_col: str = "pattern",
                      req_cols: list[str] | None = None) -> DataFrame:
-    """(request columns..., file columns...) for every file whose name contains the pattern.
+    """(file columns..., request columns...) for every file whose name contains the pattern.
 
     Requests with an empty or NULL pattern match nothing.
     """
     req_cols = req_cols or requests.columns
-    # grams shorter than GRAM are only needed for patterns shorter than GRAM
-    # (one tiny aggregate over the requests decides; usually it saves 2/3 of
-    # the exploded listing)
-    shortest = requests.agg(F.min(F.length(F.col(pattern_col))).alias("m")).first()["m"] or GRAM
-    fg = files.withColumn("__g", F.explode(_grams(F.col(name_col), shortest)))
-    # how many files hold each gram (partial aggregation; one row per distinct gram)
-    gram_counts = fg.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
     pat = F.col(pattern_col)
     rq = requests.where(pat.isNotNull() & (F.length(pat) > 0)).select(*[F.col(c) for c in req_cols])
-    rq_grams = rq.withColumn("__g", F.explode(_pattern_grams(F.col(pattern_col))))
-    # each request joins the listing on its rarest gram: candidates = files holding it
-    chosen = (rq_grams.join(gram_counts, "__g", "left")
-              .groupBy(*req_cols)
-              .agg(F.min_by("__g", F.coalesce(F.col("__n"), F.lit(0))).alias("__g")))
-    joined = fg.join(chosen, "__g").drop("__g")
-    return joined.where(F.col(name_col).contains(F.col(pattern_col)))
-
-
-def _pattern_grams(pattern: Column) -> Column:
-    """The GRAM-long substrings of a pattern (the whole pattern when shorter)."""
-    n = F.length(pattern)
-    cut = F.transform(F.sequence(F.lit(1), F.greatest(n - GRAM + 1, F.lit(1))),
-                      lambda i: F.substr(pattern, i, F.lit(GRAM)))
-    return F.array_distinct(cut)
+    patterns = rq.select(pat.alias("__pattern")).distinct()
+    used = [r[0] for r in patterns.select(_gram_length(F.col("__pattern"))).distinct().collect()]  # of four lengths
+    if not used:
+        return files.crossJoin(rq.limit(0)).limit(0)
+    wanted = F.coalesce(*[F.when(_gram_length(F.col("__pattern")) == k, F.array_distinct(_cut(F.col("__pattern"), k))) for k in used])
+    wanted = patterns.withColumn("__g", F.explode(wanted))
+    names = files.select(F.col(name_col).alias("__name")).where(F.col(name_col).isNotNull()).distinct()
+    grams = names.withColumn("__g", F.explode(F.array_distinct(F.flatten(F.array(*[_cut(F.col("__name"), k) for k in used])))))
+    counts = (grams.join(wanted.select("__g").distinct(), "__g", "left_semi").groupBy("__g").agg(F.count(F.lit(1)).alias("__n")))
+    rarest = (wanted.join(counts, "__g", "left").groupBy("__pattern")
+              .agg(F.min_by("__g", F.struct(F.coalesce("__n", F.lit(0)), "__g")).alias("__g")))
+    hits = grams.join(rarest, "__g").where(F.col("__name").contains(F.col("__pattern"))).select("__name", "__pattern")
+    wide = rq.join(hits, pat == F.col("__pattern")).drop("__pattern")
+    return files.join(wide, F.col(name_col) == F.col("__name")).drop("__name")
 
 
 def top_n_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Column], n: int | str,
@@ -107,9 +100,10 @@ def resolve(requests: DataFrame, files: DataFrame) -> DataFrame:
         return resolve(named, files).unionByName(ids)
     by_name_path = files.groupBy("name", "path").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("min_id"))
     r = requests.select("req_id", F.col("name").alias("r_name"), "path_prefix")
-    cand = r.join(by_name_path, r["r_name"] == by_name_path["name"], "left")
+    # the path test is part of the join condition, so paths that fail it make no row
     ok_path = F.col("path_prefix").isNull() | F.col("path").startswith(F.col("path_prefix"))
-    cand = cand.withColumn("n", F.when(F.col("n").isNotNull() & ok_path, F.col("n")).otherwise(F.lit(0)))
+    cand = r.join(by_name_path, (r["r_name"] == by_name_path["name"]) & ok_path, "left")
+    cand = cand.withColumn("n", F.coalesce("n", F.lit(0)))
     per = cand.groupBy("req_id").agg(F.sum("n").cast("bigint").alias("n_matches"),
                                      F.min(F.when(F.col("n") > 0, F.col("min_id"))).alias("any_id"))
     status = (F.when(F.col("n_matches") == 1, "ok").when(F.col("n_matches") > 1, "ambiguous").otherwise("missing"))

@@ -69,8 +69,12 @@ def actual_columns(df: DataFrame) -> DataFrame:
     return local_rows(df.sparkSession, rows, schema)
 
 
-def generate_contract(df: DataFrame, required: list[str] | None = None) -> DataFrame:
-    """Contract of a staged table; listed columns get ``NAs = false``, others NULL."""
+def generate_contract(df: DataFrame, required: list[str] | str | None = None) -> DataFrame:
+    """Contract of a staged table; listed columns get ``NAs = false``, others NULL.
+
+    ``required="complete"`` lists the columns that hold no NULL now (one job)."""
+    if required == "complete":
+        required = [r["column_name"] for r in null_counts(df).where("null_count = 0").collect()]
     required = set(required or [])
     rows = [(f.name, sql_type_name(f), (False if f.name in required else None)) for f in df.schema.fields]
     return local_rows(df.sparkSession, rows, CONTRACT_DDL)
@@ -103,14 +107,23 @@ def _required(contract: DataFrame, any_declared: bool) -> F.Column:
     return F.col("NAs").isNotNull() if any_declared else F.coalesce(~F.col("NAs"), F.lit(False))
 
 
-def schema_report(df: DataFrame, contract: DataFrame, any_declared: bool = False) -> DataFrame:
+def _required_names(df: DataFrame, contract: DataFrame, any_declared: bool) -> list[str]:
+    """The required columns that the table has (a contract is one row per column)."""
+    names = {r["COLUMN_NAME"] for r in contract.where(_required(contract, any_declared)).select("COLUMN_NAME").collect()}
+    return [c for c in df.columns if c in names]
+
+
+def schema_report(df: DataFrame, contract: DataFrame, any_declared: bool = False, profile: bool = False) -> DataFrame:
     """One row per column of contract or table:
     column_name, expected_type, actual_type, required, null_count, status
-    with status in ok / missing / extra / type_mismatch / null_violation."""
+    with status in ok / missing / extra / type_mismatch / null_violation.
+
+    Only required columns are scanned, and ``null_count`` is NULL for the
+    others; with ``profile`` every column's NULLs are counted."""
     exp = contract.select(F.col("COLUMN_NAME").alias("column_name"), F.col("DATA_TYPE").alias("expected_type"),
                           _required(contract, any_declared).alias("required"))
     act = actual_columns(df).select("column_name", "actual_type")
-    nulls = null_counts(df)
+    nulls = null_counts(df, None if profile else _required_names(df, contract, any_declared))
     joined = (exp.join(act, "column_name", "full_outer")
               .join(nulls, "column_name", "left"))
     status = (F.when(F.col("actual_type").isNull(), "missing")
@@ -150,9 +163,9 @@ def validate(df: DataFrame, contract: DataFrame, any_declared: bool = False) ->
     check_nulls(df, contract, any_declared)
 
 
-def validate_all(tables: dict[str, tuple[DataFrame, DataFrame]], any_declared: bool = False) -> DataFrame:
+def validate_all(tables: dict[str, tuple[DataFrame, DataFrame]], any_declared: bool = False, profile: bool = False) -> DataFrame:
     """Reports of many tables in one DataFrame with a ``table_name`` column."""
-    parts = [schema_report(df, c, any_declared).select(F.lit(name).alias("table_name"), "*")
+    parts = [schema_report(df, c, any_declared, profile).select(F.lit(name).alias("table_name"), "*")
              for name, (df, c) in tables.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -177,7 +190,7 @@ def quarantine(df: DataFrame, contract: DataFrame, any_declared: bool = False) -
 
 def schema_reports(df: DataFrame, contracts: dict[str, DataFrame], any_declared: bool = False) -> DataFrame:
     """Reports of one table against several contracts (``variant`` column);
-    the null counts are computed once and shared by all variants."""
+    the null counts (of columns that some variant requires) are computed once."""
     spark = df.sparkSession
     exp = reduce(lambda a, b: a.unionByName(b), [
         c.select(F.lit(v).alias("variant"), F.col("COLUMN_NAME").alias("column_name"),
@@ -185,12 +198,14 @@ def schema_reports(df: DataFrame, contracts: dict[str, DataFrame], any_declared:
         for v, c in contracts.items()])
     actual_rows = [(v, f.name, sql_type_name(f)) for v in contracts for f in df.schema.fields]
     act = local_rows(spark, actual_rows, "variant string, column_name string, actual_type string")
-    joined = exp.join(act, ["variant", "column_name"], "full_outer").join(null_counts(df), "column_name", "left")
+    needed = {c for contract in contracts.values() for c in _required_names(df, contract, any_declared)}
+    nulls = null_counts(df, [c for c in df.columns if c in needed])
+    joined = exp.join(act, ["variant", "column_name"], "full_outer").join(nulls, "column_name", "left")
+    required = F.coalesce(F.col("required"), F.lit(False))
     status = (F.when(F.col("actual_type").isNull(), "missing")
               .when(F.col("expected_type").isNull(), "extra")
               .when(F.lower("expected_type") != F.lower("actual_type"), "type_mismatch")
-              .when(F.coalesce(F.col("required"), F.lit(False)) & (F.col("null_count") > 0), "null_violation")
+              .when(required & (F.col("null_count") > 0), "null_violation")
               .otherwise("ok"))
-    return joined.select("variant", "column_name", "expected_type", "actual_type",
-                         F.coalesce(F.col("required"), F.lit(False)).alias("required"),
-                         F.col("null_count").cast("bigint").alias("null_count"), status.alias("status"))
+    return joined.select("variant", "column_name", "expected_type", "actual_type", required.alias("required"),
+                         F.when(required, F.col("null_count").cast("bigint")).alias("null_count"), status.alias("status"))

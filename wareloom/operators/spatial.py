@@ -2,18 +2,18 @@
 order) polygon that contains it, or NULLs.
 
 Plan:
-1. Polygons are cut into grid cells of their bounding box; per cell the
-   candidate polygons are gathered into one array sorted by polygon order
-   (one row per cell, bounded by polygons per cell).
-2. Points get their cell by ``floor(x / cell)``, ``floor(y / cell)`` and
-   equi-join the cell table (a left join: every point is kept once).
-3. ``filter`` with an even-odd ray-casting lambda keeps the containing
-   candidates; the first one wins.  No group-by over points is needed, so
-   points are never shuffled when the cell table is broadcast.
-
-The cell table is broadcast only after a size check (one small aggregate
-over the polygons: cells x vertices); above the limit the join is a shuffle
-join on the cell key, where AQE splits a hot cell on the point side.
+1. A polygon is filed in a grid as coarse as itself: the cell size is the power
+   of two at or above the longer side of its bounding box, so it covers at
+   most four cells of that grid, whatever the unit of the coordinates and
+   however different the polygons are.  One row per (polygon, cell).
+2. The distinct coordinates of the points are looked up once per grid size in
+   use (a handful) by an equi-join on (size, cell x, cell y); candidates pass the
+   bounding box and then the even-odd ray-casting test.
+3. The smallest polygon per coordinate (partial aggregation) joins back to the
+   points.  Points without coordinates are in no polygon.
+
+There are no hints: AQE broadcasts a polygon side that it measured to be
+small and splits hot cells otherwise.
 """
 
 from __future__ import annotations
@@ -23,45 +23,37 @@ from pyspark.sql import functions as F
 
 from wareloom.functions.geo import bbox, close_rings, inside_sql
 
-BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
-_BYTES_PER_VERTEX = 40  # two doubles plus array overhead
+SMALLEST_LEVEL = -40  # cells of 2^-40 for polygons without extent
 
 
-def polygon_cells(polygons: DataFrame, attrs: list[str], rings: str = "rings", order: str = "poly_order",
-                  cell: float = 0.5) -> DataFrame:
-    b = bbox(F.col("__rings"))
-    cx = F.explode(F.sequence(F.floor(b["xmin"] / cell).cast("long"), F.floor(b["xmax"] / cell).cast("long")))
-    cy = F.explode(F.sequence(F.floor(b["ymin"] / cell).cast("long"), F.floor(b["ymax"] / cell).cast("long")))
-    polys = polygons.select(F.col(order).alias("ord"), *[F.col(f"`{a}`") for a in attrs],
-                            close_rings(F.col(rings)).alias("__rings")).where(F.size("__rings") > 0)
-    cells = polys.select("*", cx.alias("cx")).select("*", cy.alias("cy"))
-    cand = F.struct(F.col("ord"), *[F.col(f"`{a}`") for a in attrs], F.col("__rings").alias("rings"))
-    return cells.groupBy("cx", "cy").agg(F.sort_array(F.collect_list(cand)).alias("cands"))
+def polygon_cells(polygons: DataFrame, attrs: list[str], rings: str = "rings", order: str = "poly_order") -> DataFrame:
+    """(level, cx, cy, hit, rings, box): one row per polygon and cell of its grid."""
+    filled = polygons.where(F.size(F.flatten(F.col(rings))) > 0)
+    polys = filled.select(F.struct(F.col(order).alias("ord"), *[F.col(f"`{a}`") for a in attrs]).alias("hit"),
+                          close_rings(F.filter(F.col(rings), lambda r: F.size(r) > 0)).alias("rings")).withColumn("box", bbox("rings"))
+    side = F.greatest(F.col("box.xmax") - F.col("box.xmin"), F.col("box.ymax") - F.col("box.ymin"))
+    level = F.when(side > 0, F.greatest(F.ceil(F.log2(side)), F.lit(SMALLEST_LEVEL))).otherwise(SMALLEST_LEVEL)
+    polys = polys.withColumn("level", level.cast("int"))
+    cell = F.pow(F.lit(2.0), F.col("level"))
+    span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / cell).cast("long"), F.floor(F.col(hi) / cell).cast("long")))
+    return polys.withColumn("cx", span("box.xmin", "box.xmax")).withColumn("cy", span("box.ymin", "box.ymax"))
 
 
 def locate(points: DataFrame, polygons: DataFrame, attrs: list[str], x: str = "longitude", y: str = "latitude",
-           rings: str = "rings", order: str = "poly_order", cell: float = 0.5,
-           broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+           rings: str = "rings", order: str = "poly_order") -> DataFrame:
     """Add ``attrs`` of the first containing polygon to every point."""
-    cells = polygon_cells(polygons, attrs, rings, order, cell)
-    # exact size bound of the cell table: every polygon's vertices are copied
-    # once per grid cell its bounding box covers
-    b = bbox(F.col(rings))
-    n_cells = ((F.floor(b["xmax"] / cell) - F.floor(b["xmin"] / cell) + 1)
-               * (F.floor(b["ymax"] / cell) - F.floor(b["ymin"] / cell) + 1))
-    size = polygons.agg(F.sum(F.size(F.flatten(F.col(rings))) * n_cells).alias("v")).first()
-    est = int(size["v"] or 0) * _BYTES_PER_VERTEX
-    # the cell key is a struct so that, without broadcast, the per-cell
-    # aggregate is re-shuffled rather than feeding the join, and AQE may split
-    # a cell that holds a large share of the points
-    cells = cells.withColumn("__cell", F.struct("cx", "cy")).drop("cx", "cy")
-    if est <= broadcast_limit:
-        cells = F.broadcast(cells)
-    pts = points.withColumn("__cell", F.struct(F.floor(F.col(f"`{x}`") / cell).cast("long").alias("cx"),
-                                               F.floor(F.col(f"`{y}`") / cell).cast("long").alias("cy")))
-    joined = pts.join(cells, "__cell", "left")
-    px, py = f"`{x}`", f"`{y}`"
-    hit = F.expr(f"try_element_at(filter(cands, p -> {inside_sql(px, py, 'p.rings')}), 1)")
-    out = joined.withColumn("__hit", hit)
-    return out.select(*[pts[f"`{c}`"] for c in points.columns],
-                      *[F.col("__hit")[a].alias(a) for a in attrs])
+    cells = polygon_cells(polygons, attrs, rings, order)
+    levels = sorted(r[0] for r in cells.select("level").distinct().collect())  # bounded by the exponents of a double
+    spots = points.select(F.col(f"`{x}`").cast("double").alias("__x"), F.col(f"`{y}`").cast("double").alias("__y"))
+    spots = spots.where("__x is not null and __y is not null and not isnan(__x) and not isnan(__y)").distinct()
+    at = spots.withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")))
+    cell = F.pow(F.lit(2.0), F.col("level"))
+    at = at.withColumns({"cx": F.floor(F.col("__x") / cell).cast("long"), "cy": F.floor(F.col("__y") / cell).cast("long")})
+    inside = (F.col("__x").between(F.col("box.xmin"), F.col("box.xmax")) & F.col("__y").between(F.col("box.ymin"), F.col("box.ymax"))
+              & F.expr(inside_sql("__x", "__y", "rings")))
+    # the key is a struct, so that a hot cell's rows come straight from a shuffle and AQE may split them
+    key = F.struct("level", "cx", "cy").alias("__cell")
+    found = at.select("__x", "__y", key).join(cells.select(key, "hit", "rings", "box"), "__cell").where(inside)
+    first = found.groupBy("__x", "__y").agg(F.min("hit").alias("__hit"))
+    out = points.join(first, (points[f"`{x}`"].cast("double") == F.col("__x")) & (points[f"`{y}`"].cast("double") == F.col("__y")), "left")
+    return out.select(*[points[f"`{c}`"] for c in points.columns], *[F.col("__hit")[a].alias(a) for a in attrs])

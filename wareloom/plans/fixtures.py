@@ -211,13 +211,14 @@ def points(spark, d):
 
 
 def counties(spark, d):
-    """12 unit squares (x -80..-74, y 40..42) named after nations 0..11."""
-    n = table(spark, d, "nation").where("n_nationkey < 12")
+    """One square per nation (x -80.., y 40..): sides of 1 for even and 2 for odd nations, so many overlap."""
+    n = table(spark, d, "nation")
     r = table(spark, d, "region")
     j = n.join(r, n.n_regionkey == r.r_regionkey)
     x0 = _dbl("-80 + n_nationkey % 6")
     y0 = _dbl("40 + n_nationkey div 6")
-    ring = F.array(F.array(x0, y0), F.array(x0 + 1, y0), F.array(x0 + 1, y0 + 1), F.array(x0, y0 + 1), F.array(x0, y0))
+    w = _dbl("1 + n_nationkey % 2")
+    ring = F.array(F.array(x0, y0), F.array(x0 + w, y0), F.array(x0 + w, y0 + w), F.array(x0, y0 + w), F.array(x0, y0))
     return j.select(F.col("n_nationkey").alias("poly_order"), F.col("r_name").alias("STATE"),
                     F.col("n_name").alias("NAME"), F.array(ring).alias("rings"))
 
@@ -333,11 +334,16 @@ def csv_customers(spark, d):
     return c.select("c_custkey", name.alias("c_name"), "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
+# The windows-1252 bytes that differ from ISO-8859-1, and their characters
+CP1252_BYTES = "80 82 83 84 85 86 87 88 89 8A 8B 8C 8E 91 92 93 94 95 96 97 98 99 9A 9B 9C 9E 9F"
+CP1252_CHARS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+
+
 def latin1_docs(spark, d):
-    """windows-1252 bytes of every document: curly quotes around the text and a euro sign."""
+    """windows-1252 bytes of every document in curly quotes, followed by all 27 mapped bytes."""
     docs = table(spark, d, "documents")
     safe = F.regexp_replace("text", r"[^\x00-\xFF]", "?")
-    raw = F.concat(F.unhex(F.lit("93")), F.encode(safe, "ISO-8859-1"), F.unhex(F.lit("94")), F.unhex(F.lit("80")))
+    raw = F.concat(F.unhex(F.lit("93")), F.encode(safe, "ISO-8859-1"), F.unhex(F.lit("94")), F.unhex(F.lit(CP1252_BYTES.replace(" ", ""))))
     return docs.select("doc_id", raw.alias("raw"))
 
 
@@ -397,8 +403,8 @@ SQL = {
     "points": ("SELECT c_custkey, CAST(-80 + (c_custkey % 100) * 0.1 + 0.03 AS DOUBLE) AS longitude, "
                "CAST(40 + (c_custkey % 50) * 0.1 + 0.03 AS DOUBLE) AS latitude FROM customer"),
     "counties": ("SELECT n_nationkey AS poly_order, r_name AS STATE, n_name AS NAME, "
-                 "CAST(-80 + n_nationkey % 6 AS DOUBLE) AS xmin, CAST(40 + n_nationkey // 6 AS DOUBLE) AS ymin "
-                 "FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 12"),
+                 "CAST(-80 + n_nationkey % 6 AS DOUBLE) AS xmin, CAST(40 + n_nationkey // 6 AS DOUBLE) AS ymin, "
+                 "1 + n_nationkey % 2 AS side FROM nation JOIN region ON n_regionkey = r_regionkey"),
     "files": ("SELECT 'd' || CAST(doc_id AS VARCHAR) AS id, source || '_' || lang || '.txt' AS name, "
               "'/docs/' || lang AS path, TIMESTAMP '2024-01-01' + to_minutes(doc_id) AS created FROM documents "
               "UNION ALL SELECT 'p' || CAST(page_id AS VARCHAR), 'page_' || CAST(page_id AS VARCHAR) || '.html', "

@@ -162,7 +162,7 @@ act AS (SELECT v.variant, a.column_name, a.actual_type FROM variants v, actual a
 j AS (SELECT coalesce(c.variant, a.variant) AS variant, coalesce(c.COLUMN_NAME, a.column_name) AS column_name,
              c.DATA_TYPE AS expected_type, a.actual_type, coalesce(c.NAs = FALSE, FALSE) AS required
       FROM contracts c FULL OUTER JOIN act a ON c.variant = a.variant AND c.COLUMN_NAME = a.column_name)
-SELECT j.variant, j.column_name, expected_type, actual_type, required, n.null_count,
+SELECT j.variant, j.column_name, expected_type, actual_type, required, CASE WHEN required THEN n.null_count END AS null_count,
   CASE WHEN actual_type IS NULL THEN 'missing' WHEN expected_type IS NULL THEN 'extra'
        WHEN lower(expected_type) <> lower(actual_type) THEN 'type_mismatch'
        WHEN required AND n.null_count > 0 THEN 'null_violation' ELSE 'ok' END AS status
@@ -194,16 +194,17 @@ def q_quarantine_rows(spark, d):
     return bad.select("address", "date", F.array_join("violations", ",").alias("violations"))
 
 
-@register("contract_generate", """
-SELECT * FROM (VALUES ('id', 'int', FALSE), ('address', 'varchar', NULL), ('date', 'datetime', NULL),
-  ('boolean', 'bit', NULL), ('longitude', 'float', NULL), ('latitude', 'float', NULL), ('geography', 'geography', NULL))
-  AS t(COLUMN_NAME, DATA_TYPE, NAs)""")
+@register("contract_generate", with_("contract_table") + ",\n" + _NULLS + """,
+types(COLUMN_NAME, DATA_TYPE) AS (VALUES ('id', 'int'), ('address', 'varchar'), ('date', 'datetime'), ('boolean', 'bit'),
+  ('longitude', 'float'), ('latitude', 'float'), ('geography', 'geography'))
+SELECT types.COLUMN_NAME, DATA_TYPE, CASE WHEN null_count = 0 THEN FALSE END AS NAs FROM types JOIN nulls n ON types.COLUMN_NAME = n.column_name""")
 def q_contract_generate(spark, d):
+    """Contract whose required columns are those that hold no NULL, written and read back."""
     from wareloom.session import scratch_path
 
     df = FX.contract_table(spark, d)
     path = scratch_path(spark, "contract")
-    Q.write_contract(Q.generate_contract(df, ["id"]), path)
+    Q.write_contract(Q.generate_contract(df, "complete"), path)
     return Q.contract_from_json(spark, path)
 
 
@@ -334,8 +335,8 @@ def q_long_text_columns(spark, d):
     return a.unionByName(b)
 
 
-@register("cp1252_repair", """
-SELECT doc_id, '“' || regexp_replace(text, '[^\\x{00}-\\x{FF}]', '?', 'g') || '”€' AS text FROM documents""")
+@register("cp1252_repair", f"""
+SELECT doc_id, '“' || regexp_replace(text, '[^\\x{{00}}-\\x{{FF}}]', '?', 'g') || '”{FX.CP1252_CHARS}' AS text FROM documents""")
 def q_cp1252_repair(spark, d):
     return FX.latin1_docs(spark, d).select("doc_id", TX.from_cp1252("raw").alias("text"))
 
@@ -444,10 +445,11 @@ def q_geojson_features_out(spark, d):
 
 
 @register("locate_points", with_("points", "counties") + """
-SELECT p.c_custkey, p.longitude, p.latitude, c.STATE, c.NAME FROM points p
-LEFT JOIN counties c ON p.longitude BETWEEN c.xmin AND c.xmin + 1 AND p.latitude BETWEEN c.ymin AND c.ymin + 1""")
+SELECT p.c_custkey, p.longitude, p.latitude, arg_min(c.STATE, c.poly_order) AS STATE, arg_min(c.NAME, c.poly_order) AS NAME FROM points p
+LEFT JOIN counties c ON p.longitude BETWEEN c.xmin AND c.xmin + side AND p.latitude BETWEEN c.ymin AND c.ymin + side
+GROUP BY ALL""")
 def q_locate_points(spark, d):
-    return SP.locate(FX.points(spark, d), FX.counties(spark, d), ["STATE", "NAME"], cell=0.5)
+    return SP.locate(FX.points(spark, d), FX.counties(spark, d), ["STATE", "NAME"])
 
 
 @register("lookup_left", """
@@ -725,7 +727,7 @@ def _validate_many_sql() -> str:
             f"req(table_name, column_name) AS (VALUES {keys})\n"
             "SELECT t.table_name, t.column_name,\n"
             "  CASE WHEN t.table_name = 'customer' AND t.column_name = 'c_acctbal' THEN 'int' ELSE t.actual_type END AS expected_type,\n"
-            "  t.actual_type, r.column_name IS NOT NULL AS required, n.null_count,\n"
+            "  t.actual_type, r.column_name IS NOT NULL AS required, CASE WHEN r.column_name IS NOT NULL THEN n.null_count END AS null_count,\n"
             "  CASE WHEN t.table_name = 'customer' AND t.column_name = 'c_acctbal' THEN 'type_mismatch'\n"
             "       WHEN r.column_name IS NOT NULL AND n.null_count > 0 THEN 'null_violation' ELSE 'ok' END AS status\n"
             "FROM typed t JOIN nulls n ON t.table_name = n.table_name AND t.column_name = n.column_name\n"

@@ -45,21 +45,22 @@ def table(spark: SparkSession, url: str, dbtable: str, partition_column: str | N
 
 
 def prepare_export(df: DataFrame, int64_to_int: bool = True) -> DataFrame:
-    """Target-ready columns in one projection: spaces in names become ``_``,
-    dots are dropped, and 64-bit integers narrow to int (overflow -> NULL)."""
+    """Target-ready columns in one projection: spaces in names become ``_``, dots
+    are dropped, and 64-bit integer columns narrow to int where every value
+    fits (one aggregate of their bounds); the others keep their type."""
     from pyspark.sql import functions as F
     from pyspark.sql import types as T
 
     from wareloom.functions.columns import replace_chars, unique_names
 
     names = unique_names(replace_chars(c) for c in df.columns)
-    cols = []
-    for f, n in zip(df.schema.fields, names):
-        c = F.col(f"`{f.name}`")
-        if int64_to_int and isinstance(f.dataType, T.LongType):
-            c = c.try_cast("int")
-        cols.append(c.alias(n))
-    return df.select(*cols)
+    longs = [f.name for f in df.schema.fields if isinstance(f.dataType, T.LongType)] if int64_to_int else []
+    fits = set()
+    if longs:
+        out_of_int = lambda c: F.count_if(~F.col(f"`{c}`").between(-(2**31), 2**31 - 1))
+        row = df.agg(*[out_of_int(c).alias(f"n{i}") for i, c in enumerate(longs)]).first()
+        fits = {c for i, c in enumerate(longs) if row[f"n{i}"] == 0}
+    return df.select(*[(F.col(f"`{c}`").cast("int") if c in fits else F.col(f"`{c}`")).alias(n) for c, n in zip(df.columns, names)])
 
 
 def column_types(df: DataFrame, long_cols: list[str] | None = None, width: int = 255) -> str:

@@ -131,10 +131,11 @@ class FolderTransport:
 
     def fetch(self, offset: int, limit: int) -> list:
         size = int(self.meta()["page_size"])
-        if limit != size or offset % size:
+        page, skip = divmod(offset, size)
+        if skip + limit != size:
             raise ValueError(f"folder pages hold {size} rows; asked offset={offset} limit={limit}")
         # records are already JSON text: passed through unparsed
-        return self._lines(os.path.join(self.root, f"page={offset // size}"))
+        return self._lines(os.path.join(self.root, f"page={page}"))[skip:]
 
     def follow(self, link: str):
         lines = self._lines(os.path.join(self.root, link))
@@ -162,9 +163,9 @@ def transport(opts: dict):
 # ---- the data source -----------------------------------------------------------
 
 class OffsetWindows(InputPartition):
-    def __init__(self, first_page: int, pages: int, page_size: int):
-        super().__init__((first_page, pages, page_size))
-        self.first_page, self.pages, self.page_size = first_page, pages, page_size
+    def __init__(self, first_page: int, pages: int, page_size: int, count: int):
+        super().__init__((first_page, pages, page_size, count))
+        self.first_page, self.pages, self.page_size, self.count = first_page, pages, page_size, count
 
 
 class CursorChain(InputPartition):
@@ -195,7 +196,7 @@ class PagedRecordsReader(DataSourceReader):
             per = max(1, int(opts["pages_per_partition"]))
         else:
             per = max(1, math.ceil(n_pages / max(1, int(opts.get("target_partitions", 64)))))
-        return [OffsetWindows(p, min(per, n_pages - p), size) for p in range(0, n_pages, per)]
+        return [OffsetWindows(p, min(per, n_pages - p), size, count) for p in range(0, n_pages, per)]
 
     def _transport(self):
         return transport(self.opts)
@@ -206,17 +207,29 @@ class PagedRecordsReader(DataSourceReader):
         if isinstance(partition, CursorChain):
             link, page = partition.start, 0
             seen = set()
-            while link and link not in seen:
+            while link:
+                if link in seen:
+                    raise RuntimeError(f"the chain from {partition.start} comes back to {link}")
                 seen.add(link)
                 recs, link = t.follow(link)
                 yield page, recs
                 page += 1
             return
         for p in range(partition.first_page, partition.first_page + partition.pages):
-            recs = t.fetch(p * partition.page_size, partition.page_size)
-            yield p, recs
-            if len(recs) < partition.page_size:
-                break  # a short page is the last one
+            first, got = p * partition.page_size, 0
+            planned = min(partition.page_size, partition.count - first)
+            while got < planned:  # a service may answer fewer rows than asked
+                recs = t.fetch(first + got, partition.page_size - got)
+                if not recs:
+                    break
+                got += len(recs)
+                yield p, recs
+            if got < planned and self._count_holds():
+                raise RuntimeError(f"rows {first} to {first + planned - 1} were planned, but the service gave {got} of them")
+
+    def _count_holds(self) -> bool:
+        """Whether every planned row must come."""
+        return True
 
     def read(self, partition):
         if partition is None:  # no pages planned (an empty service)
@@ -229,13 +242,13 @@ class PagedRecordsReader(DataSourceReader):
 # ---- typed mode with filter pushdown -------------------------------------------
 
 def _supported(f, columns: set) -> bool:
+    """Filters whose result on NULL is the same here as in Spark: plain
+    comparisons, never true on NULL, and the NULL tests.  Negations and ``<=>``
+    are left to Spark."""
     from pyspark.sql import datasource as ds
 
-    simple = (ds.EqualTo, ds.EqualNullSafe, ds.GreaterThan, ds.GreaterThanOrEqual, ds.LessThan,
-              ds.LessThanOrEqual, ds.In, ds.IsNull, ds.IsNotNull, ds.StringStartsWith, ds.StringEndsWith,
-              ds.StringContains)
-    if isinstance(f, ds.Not):
-        return _supported(f.child, columns)
+    simple = (ds.EqualTo, ds.GreaterThan, ds.GreaterThanOrEqual, ds.LessThan, ds.LessThanOrEqual, ds.In, ds.IsNull, ds.IsNotNull,
+              ds.StringStartsWith, ds.StringEndsWith, ds.StringContains)
     return isinstance(f, simple) and len(f.attribute) == 1 and f.attribute[0] in columns
 
 
@@ -325,6 +338,10 @@ class TypedPagedReader(PagedRecordsReader):
             else:
                 yield f
 
+    def _count_holds(self) -> bool:
+        # a count given by the caller knows nothing of the filters pushed later
+        return not (self.pushed and "count" in self.opts)
+
     def _transport(self):
         opts = dict(self.opts)
         if self.pushed and opts.get("transport", "http") == "http":
