@@ -5,8 +5,12 @@ workbook is a zip and cannot be split); ``mapInPandas`` turns each file into
 long cell rows ``(file, sheet_index, sheet, row_no, col_no, value)`` with the
 standard library only (zip + XML); everything after that is Spark:
 
+* numbers in a date or time style become ISO text (both date systems);
+* the cells are written once to the shared scratch folder, so header, body and
+  checks read them there instead of parsing the files again;
 * the header row (after ``skip`` rows) names the columns per (file, sheet);
-  empty headers get the placeholder ``Unnamed: <k>`` and are dropped;
+  empty headers get the placeholder ``Unnamed: <k>`` and are dropped, and a
+  header that repeats in a sheet gets ``_2``, ``_3``, ...;
 * cells are joined to their header name and pivoted back to rows with
   ``groupBy(file, sheet, row).pivot(name, names)`` (the distinct header names
   are metadata and read on the driver to fix the pivot columns);
@@ -16,15 +20,16 @@ standard library only (zip + XML); everything after that is Spark:
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
 from xml.etree import ElementTree as ET
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wareloom.functions.columns import UNNAMED_PREFIX
+from wareloom.functions.columns import UNNAMED_PREFIX, clean_name, unique_names
 
 CELL_SCHEMA = "file string, sheet_index int, sheet string, row_no int, col_no int, value string"
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
@@ -44,21 +49,57 @@ def _text(el) -> str:
     return "".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t"))
 
 
+# The built-in number formats that show dates or times
+DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+
+
+def _date_styles(z: zipfile.ZipFile) -> set[int]:
+    """Numbers of the cell styles that show a date or a time."""
+    if "xl/styles.xml" not in z.namelist():
+        return set()
+    root = ET.fromstring(z.read("xl/styles.xml"))
+    own = {int(f.get("numFmtId")): f.get("formatCode", "") for f in root.iter(f"{{{_NS['m']}}}numFmt")}
+    xfs = root.find("m:cellXfs", _NS)
+
+    def shows_time(number: int) -> bool:
+        if number not in own:
+            return number in DATE_FORMATS
+        code = re.sub(r'"[^"]*"|\\.|\[(?!h|m|s)[^\]]*\]', "", own[number].lower())
+        return code != "general" and any(c in code for c in "dmyhs")
+
+    return {i for i, xf in enumerate(xfs if xfs is not None else ()) if shows_time(int(xf.get("numFmtId", 0)))}
+
+
+def serial_text(value: str, base1904: bool) -> str:
+    """ISO text of a date serial: date, date and time, or time alone (under one day)."""
+    micros = round(float(value) * 86_400_000) * 1000
+    moment = (dt.datetime(1904, 1, 1) if base1904 else dt.datetime(1899, 12, 30)) + dt.timedelta(microseconds=micros)
+    if 0 <= float(value) < 1:
+        return moment.time().isoformat()
+    return moment.date().isoformat() if moment.time() == dt.time() else moment.isoformat(" ")
+
+
+def _sheets(z: zipfile.ZipFile):
+    """(index, name, path) of the sheets."""
+    wb = ET.fromstring(z.read("xl/workbook.xml"))
+    rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
+    target = {r.get("Id"): r.get("Target") for r in rels.findall("pr:Relationship", _NS)}
+    for idx, sh in enumerate(wb.find("m:sheets", _NS).findall("m:sheet", _NS)):
+        path = target[sh.get(f"{{{_NS['r']}}}id")].lstrip("/")
+        yield idx, sh.get("name"), path if path.startswith("xl/") else "xl/" + path
+
+
 def parse_xlsx(data: bytes):
     """Yield (sheet_index, sheet_name, row_no, col_no, value) for every non-empty cell."""
     z = zipfile.ZipFile(io.BytesIO(data))
-    names = set(z.namelist())
     shared = []
-    if "xl/sharedStrings.xml" in names:
+    if "xl/sharedStrings.xml" in z.namelist():
         root = ET.fromstring(z.read("xl/sharedStrings.xml"))
         shared = [_text(si) for si in root.findall("m:si", _NS)]
-    wb = ET.fromstring(z.read("xl/workbook.xml"))
-    rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
-    target = {r.get("Id"): r.get("Target") for r in rels.findall("pr:Relationship", _NS)}
-    for idx, sh in enumerate(wb.find("m:sheets", _NS).findall("m:sheet", _NS)):
-        rid = sh.get(f"{{{_NS['r']}}}id")
-        path = target[rid].lstrip("/")
-        path = path if path.startswith("xl/") else "xl/" + path
+    dated = _date_styles(z)
+    props = ET.fromstring(z.read("xl/workbook.xml")).find("m:workbookPr", _NS)
+    base1904 = props is not None and props.get("date1904") in ("1", "true")
+    for idx, name, path in _sheets(z):
         root = ET.fromstring(z.read(path))
         for row in root.iter(f"{{{_NS['m']}}}row"):
             r_no = int(row.get("r"))
@@ -73,13 +114,16 @@ def parse_xlsx(data: bytes):
                     val = "TRUE" if v.text == "1" else "FALSE"
                 else:
                     val = v.text if v is not None else None
+                    if val and t in (None, "n") and int(c.get("s", 0)) in dated:
+                        val = serial_text(val, base1904)
                 if val is None or val == "":
                     continue
-                yield idx, sh.get("name"), r_no, _col_index(c.get("r")), val
+                yield idx, name, r_no, _col_index(c.get("r")), val
 
 
 def cells(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
-    """Long cell rows of every workbook below ``path``."""
+    """Long cell rows of every workbook below ``path``, and one row without
+    position or value for each of its sheets."""
     import pandas as pd
 
     from wareloom.session import ship_package
@@ -90,6 +134,8 @@ def cells(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
         for pdf in batches:
             out = []
             for p, content in zip(pdf["path"], pdf["content"]):
+                for sidx, sname, _ in _sheets(zipfile.ZipFile(io.BytesIO(content))):
+                    out.append((p, sidx, sname, 0, 0, None))
                 for sidx, sname, r, c, v in parse_xlsx(bytes(content)):
                     out.append((p, sidx, sname, r, c, v))
             yield pd.DataFrame(out, columns=["file", "sheet_index", "sheet", "row_no", "col_no", "value"]).astype(
@@ -102,22 +148,30 @@ def cells(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
 
 def read_folder(spark: SparkSession, path: str, sheet: str | int | None = None, skip: int = 0,
                 column_types: dict[str, str] | None = None, glob: str = "*.xlsx",
-                keep_source: bool = False) -> DataFrame:
+                keep_source: bool = False, clean: bool = False) -> DataFrame:
     """Workbooks of a folder as one table.
 
     ``sheet``: None = all sheets concatenated, an int = that sheet position
-    (0 = first), a str = the sheet of that name.  ``skip`` rows precede the
-    header row.
+    (0 = first), a str = the sheet of that name; a workbook without that sheet is
+    an error.  ``skip`` rows precede the header row.  ``clean`` turns the headers into
+    lower snake case; ``column_types`` then goes by the clean names.
     """
-    cl = cells(spark, path, glob)
-    if isinstance(sheet, int):
-        cl = cl.where(F.col("sheet_index") == sheet)
-    elif isinstance(sheet, str):
-        cl = cl.where(F.col("sheet") == sheet)
+    from wareloom.session import cut_lineage
+
+    cl = cut_lineage(cells(spark, path, glob), "workbook-cells")
+    if sheet is not None:
+        here = F.col("sheet_index") == sheet if isinstance(sheet, int) else F.col("sheet") == sheet
+        without = cl.groupBy("file").agg(F.max(here).alias("has")).where("not has").select("file").limit(5).collect()
+        if without:
+            raise ValueError(f"no sheet {sheet!r} in {', '.join(r.file for r in without)}")
+        cl = cl.where(here)
+    cl = cl.where("row_no > 0")
     header_row = skip + 1
     # first row of each sheet at or after the header position is the header
     heads = cl.where(F.col("row_no") == header_row).select(
         "file", "sheet_index", "col_no", F.col("value").alias("name"))
+    nth = F.row_number().over(Window.partitionBy("file", "sheet_index", "name").orderBy("col_no"))
+    heads = heads.withColumn("name", F.when(nth > 1, F.concat("name", F.lit("_"), nth.cast("string"))).otherwise(F.col("name")))
     body = cl.where(F.col("row_no") > header_row)
     named = body.join(heads, ["file", "sheet_index", "col_no"], "left").withColumn(
         "name", F.coalesce(F.col("name"), F.concat(F.lit(UNNAMED_PREFIX + ": "), (F.col("col_no") - 1).cast("string"))))
@@ -130,6 +184,9 @@ def read_folder(spark: SparkSession, path: str, sheet: str | int | None = None,
         if n not in wide.columns:
             wide = wide.withColumn(n, F.lit(None).cast("string"))
     out = wide.select(*(keys if keep_source else []), *[F.col(f"`{n}`") for n in names])
+    if clean:
+        fresh = unique_names(clean_name(n) for n in names)
+        out = out.toDF(*(keys if keep_source else []), *fresh)
     if column_types:
         from wareloom.functions.types import safe_cast
 
