@@ -82,3 +82,50 @@ def test_pushed_filters_become_where(calls):
     r._transport().fetch(0, 5)
     q = dict(urllib.parse.parse_qsl(urllib.parse.urlsplit(calls[-1]).query))
     assert q["$where"] == "(kind = 'a') AND (id > 10)"
+
+
+@pytest.fixture
+def layers(monkeypatch):
+    """A map service: counts on request, records two levels deep, no more than 400 to a page, a token."""
+    seen = []
+
+    def fake_urlopen(req, timeout=None):
+        url, form = req.full_url, req.data
+        q = dict(urllib.parse.parse_qsl(urllib.parse.urlsplit(url).query))
+        seen.append((url, form))
+        if "token" in url and form:
+            assert form == b"user=u"
+            body = {"access": {"token": "t1"}}
+        elif q.get("returnCountOnly"):
+            body = {"result": {"count": 900}}
+        else:
+            assert q["token"] == "t1"
+            total = 900 if q.get("year", "2020") == "2020" else 30
+            off, lim = int(q["resultOffset"]), min(int(q["resultRecordCount"]), 400)
+            body = {"result": {"records": [{"id": i} for i in range(off, min(off + lim, total))]}}
+        return FakeResponse(json.dumps(body).encode())
+
+    monkeypatch.setattr(P.urllib.request, "urlopen", fake_urlopen)
+    return seen
+
+
+LAYER = {"transport": "http", "url": "https://h/layer/query", "page_size": "500", "records_key": "result.records", "limit_param": "resultRecordCount",
+         "offset_param": "resultOffset", "count_params": '{"returnCountOnly": "true"}', "count_key": "result.count", "token_url": "https://h/token",
+         "token_form": '{"user": "u"}', "token_key": "access.token", "pages_per_partition": "1"}
+
+
+def rows(options):
+    reader = P.PagedRecordsReader(options)
+    return [json.loads(r) for p in reader.partitions() for _, r in reader.read(p)]
+
+
+def test_counted_layer_with_nested_records_and_a_token(layers):
+    assert [r["id"] for r in rows(LAYER)] == list(range(900))
+    assert sum(form is not None for _, form in layers) == 3  # one token for the plan and one per task
+
+
+def test_count_free_paging_and_loop_values(layers):
+    looped = LAYER | {"paging": "open", "loop_values": "[2020, 2021]", "loop_param": "year", "loop_column": "yr"}
+    got = rows(looped)
+    assert [(r["yr"], r["id"]) for r in got] == [(2020, i) for i in range(900)] + [(2021, i) for i in range(30)]
+    assert not any("returnCountOnly" in url for url, _ in layers)

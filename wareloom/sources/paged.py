@@ -6,12 +6,18 @@ fetches them inside executors:
 * ``paging=offset``: the row count (option ``count`` or the service's own
   count) and ``page_size`` give ``ceil(count / page_size)`` disjoint offset
   windows; consecutive windows are grouped into partitions
-  (``pages_per_partition``).  Pages must be ordered by a stable key
+  (``pages_per_partition``).  A short page is followed up inside its window; a
+  planned row that does not come is an error.  Pages must be ordered by a stable key
   (``order``) or rows move between pages; retries re-fetch a page, so pages
   must be idempotent.
 * ``paging=cursor``: a chain of pages linked by ``next`` cannot be split;
   every chain (``starts``: one start link per chain, e.g. per mailbox or per
   loop value) is one partition, and chains run in parallel.
+* ``paging=open``: a service without a count is read page by page until an
+  empty one, in one partition per loop value.
+
+``loop_values`` (a list) with ``loop_param`` repeats the plan for each value, bound as
+a request parameter; ``loop_column`` adds the value to each record.
 
 Rows come out as ``(page bigint, record string)`` with the record as JSON
 text; ``read`` parses them with ``from_json`` against a schema.
@@ -61,7 +67,11 @@ class HttpTransport:
         self.p_where = opts.get("where_param", "$where")
         self.order = opts.get("order")
         self.where = opts.get("where")
-        self.records_key = opts.get("records_key")  # None: the body is a list
+        self.records_key = opts.get("records_key")  # a dotted path; None: the body is a list
+        self.count_params = json.loads(opts.get("count_params", "null")) or {"$select": "count(*) as n"}
+        self.count_key = opts.get("count_key")  # a dotted path; None: the first value of the (first) record
+        self.extra = json.loads(opts.get("extra_params", "{}"))
+        self.token = {k: opts.get(f"token_{k}") for k in ("url", "form", "key", "param")}
         self.next_key = opts.get("next_key", "next")
         self.headers = json.loads(opts.get("headers", "{}"))
 
@@ -77,28 +87,48 @@ class HttpTransport:
                 time.sleep(min(2 ** attempt, 30))
         raise err
 
+    def _get_token(self) -> str:
+        """A token from ``token_url``: a form post, the token at ``token_key`` of the answer."""
+        form = urllib.parse.urlencode(json.loads(self.token["form"] or "{}")).encode()
+        with urllib.request.urlopen(urllib.request.Request(self.token["url"], data=form), timeout=self.timeout) as r:
+            return _walk(json.loads(r.read().decode("utf-8")), self.token["key"] or "token")
+
     def _url(self, params: dict) -> str:
-        q = {k: v for k, v in params.items() if v is not None}
+        if self.token["url"] and (self.token["param"] or "token") not in self.extra:
+            self.extra[self.token["param"] or "token"] = self._get_token()  # once per task
+        q = {k: v for k, v in (params | self.extra).items() if v is not None}
         sep = "&" if "?" in self.url else "?"
         return self.url + sep + urllib.parse.urlencode(q)
 
     def count(self) -> int:
-        body = self._get(self._url({"$select": "count(*) as n", self.p_where: self.where}))
+        body = self._get(self._url(self.count_params | {self.p_where: self.where}))
+        if self.count_key:
+            return int(_walk(body, self.count_key))
         row = body[0] if isinstance(body, list) else body
         return int(next(iter(row.values())))
 
     def fetch(self, offset: int, limit: int) -> list:
         body = self._get(self._url({self.p_limit: limit, self.p_offset: offset, self.p_order: self.order,
                                     self.p_where: self.where}))
-        return body if self.records_key is None else body.get(self.records_key, [])
+        return body if self.records_key is None else _walk(body, self.records_key) or []
 
     def follow(self, link: str):
         body = self._get(link)
-        recs = body if isinstance(body, list) else body.get(self.records_key or "value", [])
-        nxt = None if isinstance(body, list) else body.get(self.next_key)
+        recs = body if isinstance(body, list) else _walk(body, self.records_key or "value") or []
+        nxt = None if isinstance(body, list) else _walk(body, self.next_key)
         return recs, nxt
 
 
+def _walk(body, path: str):
+    """The value at a dotted path of nested objects (numbers index lists); None where it ends."""
+    for key in path.split("."):
+        if isinstance(body, list):
+            body = body[int(key)] if key.isdigit() and int(key) < len(body) else None
+        else:
+            body = body.get(key) if isinstance(body, dict) else None
+    return body
+
+
 class FolderTransport:
     """Pages stored as files below a (shared) folder.
 
@@ -163,9 +193,15 @@ def transport(opts: dict):
 # ---- the data source -----------------------------------------------------------
 
 class OffsetWindows(InputPartition):
-    def __init__(self, first_page: int, pages: int, page_size: int, count: int):
-        super().__init__((first_page, pages, page_size, count))
-        self.first_page, self.pages, self.page_size, self.count = first_page, pages, page_size, count
+    def __init__(self, first_page: int, pages: int, page_size: int, count: int, bound=None):
+        super().__init__((first_page, pages, page_size, count, bound))
+        self.first_page, self.pages, self.page_size, self.count, self.bound = first_page, pages, page_size, count, bound
+
+
+class OpenPages(InputPartition):
+    def __init__(self, page_size: int, bound=None):
+        super().__init__((page_size, bound))
+        self.page_size, self.bound = page_size, bound
 
 
 class CursorChain(InputPartition):
@@ -190,20 +226,46 @@ class PagedRecordsReader(DataSourceReader):
             starts = json.loads(opts["starts"])
             return [CursorChain(i, s) for i, s in enumerate(starts)]
         size = int(opts.get("page_size", DEFAULT_PAGE_SIZE))
-        count = int(opts["count"]) if "count" in opts else self._transport().count()
-        n_pages = math.ceil(count / size) if count > 0 else 0
-        if "pages_per_partition" in opts:
-            per = max(1, int(opts["pages_per_partition"]))
-        else:
-            per = max(1, math.ceil(n_pages / max(1, int(opts.get("target_partitions", 64)))))
-        return [OffsetWindows(p, min(per, n_pages - p), size, count) for p in range(0, n_pages, per)]
+        out = []
+        for bound in json.loads(opts["loop_values"]) if "loop_values" in opts else [None]:
+            if opts.get("paging", "offset") == "open":
+                out.append(OpenPages(size, bound))
+                continue
+            count = int(opts["count"]) if "count" in opts else self._transport(bound).count()
+            n_pages = math.ceil(count / size) if count > 0 else 0
+            if "pages_per_partition" in opts:
+                per = max(1, int(opts["pages_per_partition"]))
+            else:
+                per = max(1, math.ceil(n_pages / max(1, int(opts.get("target_partitions", 64)))))
+            out += [OffsetWindows(p, min(per, n_pages - p), size, count, bound) for p in range(0, n_pages, per)]
+        return out
 
-    def _transport(self):
-        return transport(self.opts)
+    def _options(self, bound) -> dict:
+        """The options of a request with its loop value bound."""
+        if bound is None:
+            return dict(self.opts)
+        extra = json.loads(self.opts.get("extra_params", "{}")) | {self.opts["loop_param"]: bound}
+        return self.opts | {"extra_params": json.dumps(extra)}
+
+    def _transport(self, bound=None):
+        return transport(self._options(bound))
+
+    def _looped(self, partition, recs: list) -> list:
+        """Records with their loop value, when a column is asked for."""
+        bound, column = getattr(partition, "bound", None), self.opts.get("loop_column")
+        if bound is None or not column:
+            return recs
+        return [(json.loads(r) if isinstance(r, str) else r) | {column: bound} for r in recs]
 
     def pages(self, partition):
         """(page number, records) of a partition, fetched in the task."""
-        t = self._transport()
+        t = self._transport(getattr(partition, "bound", None))
+        if isinstance(partition, OpenPages):
+            got, page = 0, 0
+            while recs := t.fetch(got, partition.page_size):
+                yield page, self._looped(partition, recs)
+                got, page = got + len(recs), page + 1
+            return
         if isinstance(partition, CursorChain):
             link, page = partition.start, 0
             seen = set()
@@ -223,7 +285,7 @@ class PagedRecordsReader(DataSourceReader):
                 if not recs:
                     break
                 got += len(recs)
-                yield p, recs
+                yield p, self._looped(partition, recs)
             if got < planned and self._count_holds():
                 raise RuntimeError(f"rows {first} to {first + planned - 1} were planned, but the service gave {got} of them")
 
@@ -342,8 +404,8 @@ class TypedPagedReader(PagedRecordsReader):
         # a count given by the caller knows nothing of the filters pushed later
         return not (self.pushed and "count" in self.opts)
 
-    def _transport(self):
-        opts = dict(self.opts)
+    def _transport(self, bound=None):
+        opts = self._options(bound)
         if self.pushed and opts.get("transport", "http") == "http":
             extra = soql_where(self.pushed)
             opts["where"] = f"({opts['where']}) AND {extra}" if opts.get("where") else extra
