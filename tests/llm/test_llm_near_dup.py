@@ -82,6 +82,26 @@ def test_superminhash_registers():
     assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.03
 
 
+def test_sketch_keeps_pairs_at_the_limit():
+    rng = np.random.default_rng(8)
+    for _ in range(40):
+        pool = rng.integers(0, 2**63, 1000).astype(np.uint64)
+        a, b = np.sort(pool[:900]), np.sort(pool[100:])  # 800 / 1000
+        sketch = nd._nibbles(nd.signatures(np.repeat([0, 1], [900, 900]), np.concatenate([a, b]), 2))
+        assert nd._EQUAL[sketch[0] ^ sketch[1]].sum() >= nd.least_equal(80)
+
+
+def test_blocks_against_brute_force(spark, monkeypatch):
+    """Stragglers around a large group, over many small blocks."""
+    monkeypatch.setattr(nd, "BLOCK", 16)
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(120)]
+    rows = [(i, edited(rng, words, rng.choice([1, 2, 4, 6, 8]))) for i in range(220)]
+    got = sorted(tuple(r) for r in nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=4).collect())
+    want = brute(rows)
+    assert len({r[2] for r in want}) > 20 and got == want
+
+
 def test_hot_group_gives_few_candidates(spark):
     """400 near copies of one text: linear candidates, one component."""
     rng = random.Random(2)

@@ -13,10 +13,15 @@ done, which is the early stop.  ``BANDS`` bands of ``ROWS`` registers make the
 buckets: at similarity 0.8 a pair shares none with probability 4e-8.
 
 Candidates are not all pairs of a bucket.  First every member is checked
-against its bucket's smallest member and components are formed.  Then only
-buckets that still hold two components give pairs, across components, that the
-sizes and a 512-bit sketch (seven standard deviations below 0.8) let through.
-Nothing is capped.  Every candidate is verified on its full shingle sets.
+against its bucket's smallest member, and the verified links make components.
+Pairs to that member with an estimated similarity of ``LOOSE`` or more also make
+loose clusters.  What can still be missing are links between components: inside
+a cluster they are looked for in blocks of at most ``2 * BLOCK`` vertices, which
+skip chunks of one and the same component and return only pairs that sizes
+and sketch let through; across clusters, the buckets give them.  A sketch holds
+four bits of each register; pairs more than ``SIGMAS`` standard deviations below the
+similarity are let go (2e-8 of the pairs at the limit).  Nothing is capped.
+Every candidate is verified on its full shingle sets.
 
 Defined cases: a null, empty or blank text has an empty set and links with
 nothing; a null doc_id links with nothing, has component_id null and is kept;
@@ -39,8 +44,9 @@ from wareloom.llm.components import components, smallest_ids, vertex_ids
 from wareloom.llm.text_hash import BASE, NOT_SPACE, mix, ngrams, slices, words
 from wareloom.session import cut_lineage, ship_package
 
-M, ROWS, BANDS = 512, 7, 73
-SKETCH_BITS = 512
+M, ROWS, BANDS = 1024, 7, 73
+BITS = 512  # of the short sketch, one of each of the first registers
+SIGMAS, LOOSE, BLOCK = 5.5, 50, 256
 
 
 def shingles(raw: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,9 +73,9 @@ def _register(e: np.ndarray, level: int) -> np.ndarray:
     """The register that each element visits at a level: a permutation of the levels per element."""
     m = np.uint64(M - 1)
     x = (e + np.uint64(level)) & m
-    x = (x * (((e >> np.uint64(9)) << np.uint64(1)) | np.uint64(1)) + (e >> np.uint64(40))) & m
+    x = (x * (((e >> np.uint64(10)) << np.uint64(1)) | np.uint64(1)) + (e >> np.uint64(40))) & m
     x ^= x >> np.uint64(5)
-    x = (x * (((e >> np.uint64(18)) << np.uint64(1)) | np.uint64(1)) + (e >> np.uint64(50))) & m
+    x = (x * (((e >> np.uint64(20)) << np.uint64(1)) | np.uint64(1)) + (e >> np.uint64(50))) & m
     return x ^ (x >> np.uint64(4))
 
 
@@ -102,9 +108,25 @@ def _bands(sig: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sketch(sig: np.ndarray) -> np.ndarray:
-    bits = (mix(sig) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(bits, axis=1).view(np.int64)
+def _bits(sig: np.ndarray) -> np.ndarray:
+    """The short sketch, for join conditions."""
+    return np.packbits((mix(sig[:, :BITS]) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+
+
+def _nibbles(sig: np.ndarray) -> np.ndarray:
+    """The sketch: four bits of every register, two registers to a byte."""
+    low = (mix(sig) >> np.uint64(8) & np.uint64(15)).astype(np.uint8)
+    return low[:, 0::2] << 4 | low[:, 1::2]
+
+
+#: number of equal nibbles of two bytes, by their exclusive or
+_EQUAL = np.array([(b >> 4 == 0) + (b & 15 == 0) for b in range(256)], dtype=np.uint8)
+
+
+def least_equal(percent: int, sigmas: float = SIGMAS) -> int:
+    """Registers whose nibbles agree at least, if the similarity is reached."""
+    p = percent / 100 + (1 - percent / 100) / 16
+    return math.floor(M * p - sigmas * math.sqrt(M * p * (1 - p)))
 
 
 def word_digest(raw: bytes) -> bytes:
@@ -122,8 +144,9 @@ def _sign(k: int):
                 size = np.bincount(docs, minlength=n)
                 rows = lambda a: pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * a.shape[1], pa.int32()), pa.array(np.ascontiguousarray(a).reshape(-1)))
                 digest = pa.array([word_digest(data[a:b]) for a, b in zip(off[:-1], off[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays([ids.slice(row, n), digest, pa.array(size, pa.int64()), rows(_bands(sig)), rows(_sketch(sig))],
-                                                 ["doc_id", "digest", "n_shingles", "bands", "sketch"])
+                sketch = pa.array([x.tobytes() for x in _nibbles(sig)], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids.slice(row, n), digest, pa.array(size, pa.int64()), rows(_bands(sig)), rows(_bits(sig)), sketch],
+                                                 ["doc_id", "digest", "n_shingles", "bands", "bits", "sketch"])
 
     return run
 
@@ -155,11 +178,76 @@ def _verify(k: int, percent: int):
 
 
 def _near(percent: int) -> F.Column:
-    """Sizes and sketches of rows a_ and b_ that allow the similarity."""
+    """Sizes and short sketches of rows a_ and b_ that allow the similarity."""
     sizes = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
-    differ = sum((F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    half = (100 - percent) / 200  # share of differing sketch bits expected at the similarity
-    return sizes & (differ <= math.ceil(SKETCH_BITS * half + 7 * math.sqrt(SKETCH_BITS * half * (1 - half))))
+    differ = sum((F.bit_count(F.col("a_bits")[i].bitwiseXOR(F.col("b_bits")[i])) for i in range(BITS // 64)), F.lit(0))
+    half = (100 - percent) / 200  # share of differing bits expected at the similarity
+    return sizes & (differ <= math.ceil(BITS * half + SIGMAS * math.sqrt(BITS * half * (1 - half))))
+
+
+def _sketches(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, M // 2)
+
+
+def _compare(percent: int):
+    """Task: which pairs the sizes and sketches let through (near), and which are loosely alike (loose)."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            equal = _EQUAL[_sketches(batch.column("a_sketch")) ^ _sketches(batch.column("b_sketch"))].sum(axis=1, dtype=np.int64)
+            a, b = batch.column("a_n").to_numpy(), batch.column("b_n").to_numpy()
+            near = (equal >= least_equal(percent)) & (np.minimum(a, b) * 100 >= np.maximum(a, b) * percent)
+            kept = [batch.column(c) for c in PAIR]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(near), pa.array(equal >= least_equal(LOOSE, 0))], [*PAIR, "near", "loose"])
+
+    return run
+
+
+def _block(percent: int):
+    """Task: the pairs of a block that are of two components and may be near."""
+    least = least_equal(percent)
+
+    def run(table: pa.Table) -> pa.Table:
+        part, n, group = (table.column(c).to_numpy() for c in ("part", "n", "group"))
+        sketch, own = _sketches(table.column("sketch")), table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        two = np.flatnonzero(part == (0 if own else 1))
+        left, right = [], []
+        for r in np.flatnonzero(part == 0):
+            may = two[(group[two] != group[r]) & (np.minimum(n[two], n[r]) * 100 >= np.maximum(n[two], n[r]) * percent)]
+            if own:
+                may = may[may > r]
+            near = may[_EQUAL[sketch[may] ^ sketch[r]].sum(axis=1, dtype=np.int64) >= least]
+            left.append(np.full(len(near), r))
+            right.append(near)
+        left, right = np.concatenate([np.zeros(0, int), *left]), np.concatenate([np.zeros(0, int), *right])
+        node = table.column("node").to_numpy()
+        flip = node[left] < node[right]
+        left, right = np.where(flip, right, left), np.where(flip, left, right)
+        take = lambda c, at: table.column(c).take(pa.array(at, pa.int64()))
+        return pa.table([take(c, at) for c in ("node", "least", "digest") for at in (left, right)], PAIR)
+
+    return run
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Vertices (cluster, group, node, ...) dealt to pairs i <= j of chunks of about BLOCK.
+
+    A large component has chunks of its own, small ones share chunks, and
+    pairs of chunks of the same component are left out."""
+    size = rows.groupBy("cluster", "group").agg(F.count(F.lit(1)).alias("_n"))
+    totals = size.groupBy("cluster").agg(F.sum(F.when(F.col("_n") < BLOCK, F.col("_n")).otherwise(0)).alias("_small"), F.count(F.lit(1)).alias("_groups")).where("_groups > 1")
+    large = size.where(F.col("_n") >= BLOCK).select("cluster", F.col("group").alias("_home"), F.ceil(F.col("_n") / BLOCK).cast("int").alias("_chunks"))
+    small = totals.where("_small > 0").select("cluster", F.lit(-1).cast("long").alias("_home"), F.ceil(F.col("_small") / BLOCK).cast("int").alias("_chunks"))
+    homes = cut_lineage(large.join(totals.select("cluster"), "cluster", "left_semi").unionByName(small), "homes")
+    at = rows.join(size.withColumnRenamed("_n", "_size"), ["cluster", "group"])
+    at = at.withColumn("_home", F.when(F.col("_size") >= BLOCK, F.col("group")).otherwise(F.lit(-1))).drop("_size")
+    at = at.join(homes, ["cluster", "_home"]).withColumn("_chunk", F.pmod(F.xxhash64("node"), F.col("_chunks")).cast("int")).drop("_chunks")
+    chunks = homes.select("cluster", F.col("_home").alias("_h"), F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_c"))
+    dealt = at.join(chunks, "cluster").where((F.col("_home") != F.col("_h")) | (F.col("_home") == -1))
+    mine, other = F.struct("_home", "_chunk"), F.struct(F.col("_h").alias("_home"), F.col("_c").alias("_chunk"))
+    dealt = dealt.withColumns({"i": F.least(mine, other), "j": F.greatest(mine, other)})
+    return dealt.withColumn("part", F.when(mine == F.col("i"), 0).otherwise(1)).drop("_home", "_chunk", "_h", "_c")
 
 
 PAIR = ["a", "b", "id_a", "id_b", "digest_a", "digest_b"]
@@ -178,36 +266,45 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept for every row of ``docs``."""
     ship_package(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sig = cut_lineage(texts.mapInArrow(_sign(k), "doc_id long, digest binary, n_shingles long, bands array<long>, sketch array<long>"), "signatures")
+    sig = cut_lineage(texts.mapInArrow(_sign(k), "doc_id long, digest binary, n_shingles long, bands array<long>, bits array<long>, sketch binary"), "signatures")
     named, repeated = vertex_ids(sig.where("n_shingles > 0 and doc_id is not null"), "doc_id")
-    vertices = named.groupBy("digest").agg(F.min("_vertex").alias("node"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    vertices = named.groupBy("digest").agg(F.min("_vertex").alias("node"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"),
+                                           F.first("bands").alias("bands"), F.first("bits").alias("bits"), F.first("sketch").alias("sketch"))
     vertices = cut_lineage(vertices, "vertices")
-    about = vertices.select("node", "least", "digest", "n", "sketch")
+    named_texts = texts.where("doc_id is not null")
 
     members = vertices.select("node", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("_last")).where("head < _last").drop("_last")
     held = cut_lineage(members.join(shared, "bucket"), "buckets")
-    side = lambda x: about.select(F.col("node").alias(x), F.col("least").alias(f"id_{x}"), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch"), F.col("digest").alias(f"digest_{x}"))
+    about = vertices.join(held.select("node").distinct(), "node", "left_semi").select("node", "least", "digest", "n", "bits", "sketch")
+    about = cut_lineage(about, "candidates")
+    side = lambda x: about.select(F.col("node").alias(x), F.col("least").alias(f"id_{x}"), F.col("digest").alias(f"digest_{x}"), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch"))
 
     star = held.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-    star = star.join(side("a"), "a").join(side("b"), "b").where(_near(percent)).select(*PAIR)
-    star = cut_lineage(star, "star")
-    links = _links(star, texts.where("doc_id is not null"), k, percent)
+    star = star.join(side("a"), "a").join(side("b"), "b").select(*PAIR, "a_n", "b_n", "a_sketch", "b_sketch")
+    star = cut_lineage(star.mapInArrow(_compare(percent), "a long, b long, id_a long, id_b long, digest_a binary, digest_b binary, near boolean, loose boolean"), "star")
+    links = _links(star.where("near").select(*PAIR), named_texts, k, percent)
     groups = components(links)
+    clusters = components(star.where("near or loose").select("a", "b"))
+
+    label = about.join(groups.withColumnRenamed("component", "_g"), "node", "left").join(clusters.withColumnRenamed("component", "_c"), "node", "left")
+    label = label.select("node", "least", "digest", "n", "bits", "sketch", F.coalesce("_g", "node").alias("group"), F.coalesce("_c", "node").alias("cluster"))
+    label = cut_lineage(label, "labelled")
+    schema = "a long, b long, id_a long, id_b long, digest_a binary, digest_b binary"
+    within = _blocks(label.drop("bits")).groupBy("cluster", "i", "j").applyInArrow(_block(percent), schema)
 
-    label = held.join(groups, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("group"))
-    open_ = label.groupBy("bucket").agg(F.min("group").alias("_lo"), F.max("group").alias("_hi")).where("_lo < _hi").select("bucket")
-    rest = label.join(open_, "bucket", "left_semi").join(about, "node")
+    thin = held.select("bucket", "node").join(label.select("node", "group", "cluster"), "node")
+    open_ = thin.groupBy("bucket").agg(F.min("cluster").alias("_lo"), F.max("cluster").alias("_hi")).where("_lo < _hi").select("bucket")
+    rest = thin.select("bucket", "node").join(open_, "bucket", "left_semi").join(label.drop("sketch"), "node")
     rest = cut_lineage(rest, "open-buckets")
-    columns = ("node", "group", "least", "n", "sketch", "digest")
+    columns = ("node", "cluster", "group", "least", "n", "bits", "digest")
     one = rest.select("bucket", *[F.col(c).alias(f"a_{c}") for c in columns])
     two = rest.select("bucket", *[F.col(c).alias(f"b_{c}") for c in columns])
-    on = (one["bucket"] == two["bucket"]) & (F.col("a_node") > F.col("b_node")) & (F.col("a_group") != F.col("b_group")) & _near(percent)
-    cross = one.join(two, on).select(*[F.col(c).alias(n) for c, n in zip(("a_node", "b_node", "a_least", "b_least", "a_digest", "b_digest"), PAIR)])
-    cross = cut_lineage(cross.distinct().join(star.select("a", "b"), ["a", "b"], "left_anti"), "cross")
-    if not cross.isEmpty():
-        more = _links(cross, texts.where("doc_id is not null"), k, percent)
-        groups = components(links.unionByName(more))
+    on = (one["bucket"] == two["bucket"]) & (F.col("a_node") > F.col("b_node")) & (F.col("a_cluster") != F.col("b_cluster")) & (F.col("a_group") != F.col("b_group")) & _near(percent)
+    across = one.join(two, on).select(*[F.col(c).alias(n) for c, n in zip(("a_node", "b_node", "a_least", "b_least", "a_digest", "b_digest"), PAIR)]).distinct()
+    more = cut_lineage(within.unionByName(across).join(star.where("near").select("a", "b"), ["a", "b"], "left_anti"), "cross")
+    if not more.isEmpty():
+        groups = components(links.unionByName(_links(more.select(*PAIR), named_texts, k, percent)))
 
     found = smallest_ids(vertices.select("digest", "node", "least"), groups, repeated)
     out = sig.select("doc_id", "digest", "n_shingles").join(found, "digest", "left")
