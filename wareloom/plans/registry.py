@@ -749,4 +749,5 @@ def q_validate_many(spark, d):
 
 # more registered queries live in sibling modules
 from wareloom.plans import registry_exports  # noqa: E402,F401
+from wareloom.plans import registry_hard  # noqa: E402,F401
 from wareloom.plans import registry_loads  # noqa: E402,F401
