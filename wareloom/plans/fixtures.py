@@ -278,11 +278,11 @@ def resolve_requests(spark, d):
     one = pages.select(F.concat(F.lit("rp"), F.col("page_id").cast("string")).alias("req_id"),
                        F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".html")).alias("name"),
                        F.lit(None).cast("string").alias("path_prefix"))
-    several = docs.where("doc_id % 10 = 0").select(
+    several = docs.where("doc_id % 2 = 0").select(
         F.concat(F.lit("rd"), F.col("doc_id").cast("string")).alias("req_id"),
         F.concat_ws("", "source", F.lit("_"), "lang", F.lit(".txt")).alias("name"),
         F.lit("/docs/").alias("path_prefix"))
-    none = docs.where("doc_id % 10 = 1").select(
+    none = docs.where("doc_id % 2 = 1").select(
         F.concat(F.lit("rm"), F.col("doc_id").cast("string")).alias("req_id"),
         F.concat(F.lit("missing_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"),
         F.lit(None).cast("string").alias("path_prefix"))

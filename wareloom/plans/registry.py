@@ -112,13 +112,16 @@ def q_append_new_keys(spark, d):
                          ["o_orderdate", "o_orderkey", "o_orderstatus"])
 
 
-@register("overwrite_novel_ids", with_("master_orders_nk", "staging_orders_nk") + """
-SELECT DISTINCT o_orderkey FROM staging_orders_nk s
-WHERE NOT EXISTS (SELECT 1 FROM master_orders_nk m WHERE m.o_orderkey IS NOT DISTINCT FROM s.o_orderkey)""")
+@register("overwrite_novel_ids", with_("master_orders_nk", "staging_orders_nk") + f"""
+SELECT {ORDER_COLS}, NOT EXISTS (SELECT 1 FROM master_orders_nk m WHERE m.o_orderkey IS NOT DISTINCT FROM s.o_orderkey) AS is_new
+FROM staging_orders_nk s""")
 def q_overwrite_novel_ids(spark, d):
+    """The gated overwrite's new master, each row told apart by the gate's ids."""
     master, staging = FX.master_orders_nk(spark, d), FX.staging_orders_nk(spark, d)
-    LD.overwrite(master, staging, ["o_orderkey"], require_new=True)  # the gate: raises when nothing is new
-    return LD.new_ids(staging, master, ["o_orderkey"])
+    new = LD.overwrite(master, staging, ["o_orderkey"], require_new=True)
+    ids = LD.new_ids(staging, master, ["o_orderkey"]).select(F.col("o_orderkey").alias("_id"), F.lit(True).alias("_new"))
+    out = new.join(ids, new["o_orderkey"].eqNullSafe(ids["_id"]), "left")
+    return out.withColumn("is_new", F.coalesce("_new", F.lit(False))).drop("_id", "_new")
 
 
 @register("load_without_generated_id", with_("master_gen", "staging_gen") + """
@@ -187,11 +190,14 @@ def q_null_report(spark, d):
 
 
 @register("quarantine_rows", with_("contract_table") + """
-SELECT address, date, 'id' AS violations FROM contract_table WHERE id IS NULL""")
+SELECT address, date, CASE WHEN id IS NULL THEN 'id' ELSE '' END AS violations, CASE WHEN id IS NULL THEN 'bad' ELSE 'good' END AS side
+FROM contract_table""")
 def q_quarantine_rows(spark, d):
+    """Both halves of the split."""
     df = FX.contract_table(spark, d)
-    _, bad = Q.quarantine(df, Q.contract_from_records(spark, FX.SAMPLE_CONTRACT))
-    return bad.select("address", "date", F.array_join("violations", ",").alias("violations"))
+    good, bad = Q.quarantine(df, Q.contract_from_records(spark, FX.SAMPLE_CONTRACT))
+    good = good.select("address", "date", F.lit("").alias("violations"), F.lit("good").alias("side"))
+    return good.unionByName(bad.select("address", "date", F.array_join("violations", ",").alias("violations"), F.lit("bad").alias("side")))
 
 
 @register("contract_generate", with_("contract_table") + ",\n" + _NULLS + """,
@@ -499,9 +505,9 @@ def q_geocode_misses(spark, d):
 _RESOLVE_REQ = """requests AS (
   SELECT 'rp' || CAST(page_id AS VARCHAR) AS req_id, 'page_' || CAST(page_id AS VARCHAR) || '.html' AS name,
          CAST(NULL AS VARCHAR) AS path_prefix FROM pages
-  UNION ALL SELECT 'rd' || CAST(doc_id AS VARCHAR), source || '_' || lang || '.txt', '/docs/' FROM documents WHERE doc_id % 10 = 0
+  UNION ALL SELECT 'rd' || CAST(doc_id AS VARCHAR), source || '_' || lang || '.txt', '/docs/' FROM documents WHERE doc_id % 2 = 0
   UNION ALL SELECT 'rm' || CAST(doc_id AS VARCHAR), 'missing_' || CAST(doc_id AS VARCHAR) || '.txt', NULL
-    FROM documents WHERE doc_id % 10 = 1)"""
+    FROM documents WHERE doc_id % 2 = 1)"""
 
 
 @register("listing_resolve", with_("files") + ", " + _RESOLVE_REQ + """,
