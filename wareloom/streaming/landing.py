@@ -9,17 +9,24 @@ stream; each micro-batch is applied to the master table with a keyed load
   the reference, without a scheduler-side "what is new" bookkeeping.
 * The stream checkpoint (in the shared checkpoint folder) records which files
   were consumed, so a restarted job neither skips nor re-reads files.
+* ``load_backlog`` publishes once for everything that has landed, however many
+  bounded micro-batches it takes: a replace rewrites the master, so one per
+  batch would rewrite it once per small drop.
 * Replace-by-key is idempotent for a given batch, so an epoch that is
   retried after a failure publishes the same master.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wareloom import catalog
 from wareloom.operators import load
+from wareloom.session import remove_scratch
 
 
 def apply_batch(master_table: str, keys: list[str], mode: str = "replace", caller: SparkSession | None = None):
@@ -60,3 +67,39 @@ def load_landing(spark: SparkSession, landing: str, schema, master_table: str, k
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def load_backlog(spark: SparkSession, landing: str, schema, master_table: str, keys: list[str], checkpoint: str,
+                 fmt: str = "parquet", max_files_per_trigger: int | None = None) -> str:
+    """Replace by key from everything that has landed, in one published version.
+
+    Micro-batches are kept beside the stream checkpoint, numbered; of a key that
+    several batches hold the latest batch's rows count, as if the batches had been
+    applied in order (rows with a NULL key are all kept).  A run that stops before
+    the publish leaves the kept batches for the next run; one that stops after
+    it publishes the same rows again, which changes nothing unless keys are NULL.
+    """
+    kept = f"{checkpoint.rstrip('/')}-backlog"
+
+    def keep(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{kept}/batch={epoch_id}")
+
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    writer = reader.load(landing).writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(kept)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return "nothing landed"
+    wanted = spark.createDataFrame([], schema).withColumn("batch", F.lit(0).cast("long"))
+    rows = spark.read.schema(wanted.schema).parquet(kept)
+    last = rows.groupBy(*keys).agg(F.max("batch").alias("__last")).withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [rows[f"`{k}`"] == last[f"`__k_{k}`"] for k in keys])
+    newest = rows.join(last, same, "left").where(F.col("__last").isNull() | (F.col("batch") == F.col("__last")))
+    staged = newest.select(*[F.col(f"`{c}`") for c in wanted.columns if c != "batch"])
+    if catalog.exists(spark, master_table):
+        staged = load.replace(spark.table(master_table), staged, keys)
+    catalog.publish(staged, master_table, "overwrite")
+    remove_scratch(spark, kept)
+    return f"published {master_table}"
