@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from wareloom.llm import embedding_dedup as ed
 
@@ -26,7 +27,9 @@ def brute(rows, cosine=0.95):
     return out
 
 
-def test_against_brute_force_in_full(spark):
+@pytest.mark.parametrize("few", [0, 16])
+def test_against_brute_force_in_full(spark, monkeypatch, few):
+    monkeypatch.setattr(ed, "FEW", few)
     rng = np.random.default_rng(3)
     rows = []
     for c in range(6):
@@ -54,4 +57,4 @@ def test_collision_probability():
     for n in (10, 10**5, 10**9):
         k, tables = ed.parameters(n, 0.95)
         assert (1 - ed.collision(math.sqrt(0.1)) ** k) ** tables <= ed.MISS * 1.01
-        assert ed.collision(math.sqrt(2)) ** k <= max(1 / n, ed.collision(math.sqrt(2)) ** ed.LEAST_K) * 1.01
+        assert ed.collision(math.sqrt(2)) ** k <= 0.25 / n * 1.01

@@ -8,10 +8,10 @@ Candidates are checked by cosine in double precision; links are pairs at
 ``cosine`` or above, groups are their connected components.
 
 How: equal vectors are one vertex with a multiplicity.  In a bucket every
-member is first checked against the smallest member; buckets that then still
-hold two components are checked across components in blocks of at most
-``2 * BLOCK`` vectors, which return a spanning forest of the links found, never all
-pairs.  As links lie inside components, each vertex's links are then counted
+member is first checked against the smallest member.  Buckets that then still
+hold two components are checked across components: those of up to ``FEW``
+members by their pairs, larger ones in blocks of at most ``2 * BLOCK`` vectors,
+which return a spanning forest of the links found, never all pairs.  As links lie inside components, each vertex's links are then counted
 exactly by matrix products over blocks of its component.  No bucket is capped.
 
 Defined cases: a vector that is null, empty, zero, or holds null or non-finite
@@ -36,7 +36,7 @@ from wareloom.llm.components import find, forest, smallest_ids, vertex_ids
 from wareloom.llm.text_hash import BASE, mix
 from wareloom.session import cut_lineage, ship_package
 
-WIDTH, MISS, LEAST_K, BLOCK, SEED = 2.0, 1e-4, 18, 256, 11
+WIDTH, MISS, BLOCK, FEW, SEED = 2.0, 1e-4, 256, 16, 11
 
 
 def collision(distance: float, width: float = WIDTH) -> float:
@@ -46,8 +46,8 @@ def collision(distance: float, width: float = WIDTH) -> float:
 
 
 def parameters(n: int, cosine: float) -> tuple[int, int]:
-    """(cells per bucket, tables) for n vectors: a random pair meets in a table with probability 1 / n at most."""
-    k = max(LEAST_K, math.ceil(math.log(max(n, 2)) / -math.log(collision(math.sqrt(2)))))
+    """(cells per bucket, tables) for n vectors: random pairs meet in a table with probability 1 / (4 n) at most."""
+    k = math.ceil(math.log(4 * max(n, 2)) / -math.log(collision(math.sqrt(2))))
     return k, math.ceil(math.log(MISS) / math.log1p(-collision(math.sqrt(2 - 2 * cosine)) ** k))
 
 
@@ -187,10 +187,16 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     groups = connected(links)
 
     label = held.join(groups, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("group"))
-    open_ = label.groupBy("bucket").agg(F.min("group").alias("_lo"), F.max("group").alias("_hi")).where("_lo < _hi").select("bucket")
-    rest = label.join(open_, "bucket", "left_semi").join(vertices.select("node", "unit"), "node")
-    more = _blocks(rest, "bucket").groupBy("bucket", "i", "j").applyInArrow(_cross(cosine), "a long, b long")
-    more = cut_lineage(more, "cross-links")
+    open_ = label.groupBy("bucket").agg(F.min("group").alias("_lo"), F.max("group").alias("_hi"), F.count(F.lit(1)).alias("_n")).where("_lo < _hi")
+    rest = cut_lineage(label.join(open_.select("bucket", "_n"), "bucket"), "open-vector-buckets")
+    few = rest.where(F.col("_n") <= FEW)
+    one = few.select("bucket", F.col("node").alias("a"), F.col("group").alias("_ga"))
+    two = few.select("bucket", F.col("node").alias("b"), F.col("group").alias("_gb"))
+    pairs = one.join(two, "bucket").where("a > b and _ga <> _gb").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_check(cosine), "a long, b long")
+    many = rest.where(F.col("_n") > FEW).drop("_n").join(vertices.select("node", "unit"), "node")
+    blocks = _blocks(many, "bucket").groupBy("bucket", "i", "j").applyInArrow(_cross(cosine), "a long, b long")
+    more = cut_lineage(pairs.unionByName(blocks), "cross-links")
     if not more.isEmpty():
         groups = connected(links.unionByName(more))
 
