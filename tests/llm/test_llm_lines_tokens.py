@@ -39,6 +39,13 @@ def test_lines_against_brute_force(spark, odd_docs, group, monkeypatch):
     assert sorted(got, key=key) == sorted(brute_lines(rows), key=key)
 
 
+def test_lines_of_few_documents_can_stay(spark):
+    rows = [(i, "held by three\n" + ("held by just two" if i < 2 else "held by nobody else")) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.n_dropped for r in dedup_lines(df, min_docs=3).orderBy("doc_id").collect()] == [0, 1, 1]
+    assert [r.n_dropped for r in dedup_lines(df).orderBy("doc_id").collect()] == [0, 2, 1]
+
+
 def test_lines_empty_and_extra_columns(odd_docs, no_docs):
     out = dedup_lines(odd_docs)
     assert out.count() == odd_docs.count() and {"size", "taken", "n_dropped"} <= set(out.columns)

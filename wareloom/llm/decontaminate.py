@@ -127,7 +127,7 @@ def _hits(block: Block, raw: np.ndarray, off: np.ndarray):
     return np.diff(first), hit, items
 
 
-def _judge(held, last: bool, state: str, ratio: int):
+def _judge(held, last: bool, ratio: int):
     def run(batches):
         block = held.value if held else Block([], 1)
         for batch in batches:
@@ -180,6 +180,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, ratio
     held = None
     for items in _blocks(benchmark, block_bytes):
         if held is not None:
-            state = cut_lineage(state.mapInArrow(_judge(held, False, schema, ratio), schema + ", _hits array<int>, _items array<string>"), "hits")
+            state = cut_lineage(state.mapInArrow(_judge(held, False, ratio), schema + ", _hits array<int>, _items array<string>"), "hits")
         held = spark.sparkContext.broadcast(Block(items, window))
-    return state.mapInArrow(_judge(held, True, schema, ratio), f"{schema}, {MADE}")
+    return state.mapInArrow(_judge(held, True, ratio), f"{schema}, {MADE}")

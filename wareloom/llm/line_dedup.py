@@ -126,11 +126,11 @@ def _groups(index: DataFrame, group_bytes: int):
         yield group
 
 
-def _probe(shards: int, held, min_chars: int, last: bool):
+def _probe(shards: int, held, min_chars: int, min_docs: int, last: bool):
     """Task: mark the lines that the shards in ``held`` (a broadcast) give to another document."""
 
     def run(batches):
-        index = {s: (PerfectHash(h), np.frombuffer(p, np.int64), np.frombuffer(o, np.int64)) for s, h, p, o in (held.value if held else ())}
+        index = {s: (PerfectHash(h), np.frombuffer(p, np.int64), np.frombuffer(c, np.uint32), np.frombuffer(o, np.int64)) for s, h, p, c, o in (held.value if held else ())}
         for batch in batches:
             ids, raws = batch.column("doc_id").to_pylist(), list(_texts(batch, "text"))
             marked = [set(x or ()) for x in batch.column("_marked").to_pylist()]
@@ -148,10 +148,10 @@ def _probe(shards: int, held, min_chars: int, last: bool):
                 pair = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
                 h1, h2 = np.ascontiguousarray(pair[:, 0]), np.ascontiguousarray(pair[:, 1])
                 docs, shard = np.array(owner_of, dtype=np.int64), h1 % shards
-                for s, (perfect, prints, owners) in index.items():
+                for s, (perfect, prints, counts, owners) in index.items():
                     here = np.flatnonzero(shard == s)
                     at = perfect.index(_keys(h1[here], h2[here]))
-                    hit = (at >= 0) & (prints[at] == h2[here]) & (owners[at] != docs[here])
+                    hit = (at >= 0) & (prints[at] == h2[here]) & (counts[at] >= min_docs) & (owners[at] != docs[here])
                     for k in here[hit]:
                         marked[row[k]].add(line[k])
             columns = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
@@ -169,8 +169,10 @@ def _probe(shards: int, held, min_chars: int, last: bool):
     return run
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 10, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """``docs`` with text reduced to its kept lines, n_lines (before) and n_dropped."""
+def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """``docs`` with text reduced to its kept lines, n_lines (before) and n_dropped.
+
+    ``min_docs`` spares lines that fewer document rows hold."""
     sc = docs.sparkSession.sparkContext
     index, shards = line_index(docs, min_chars)
     state = docs.drop("n_lines", "n_dropped", "_marked").withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -179,8 +181,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, group_bytes: int = GROUP_B
     state = state.withColumn("_marked", F.lit(None).cast("array<int>"))
     groups = list(_groups(index, group_bytes)) if shards else [[]]
     for i, group in enumerate(groups):
-        rows = [tuple(map(lambda v: bytes(v) if isinstance(v, bytearray) else v, r)) for r in index.where(F.col("shard").isin(group)).select("shard", "hash", "prints", "owners").collect()] if group else []
+        rows = [tuple(map(lambda v: bytes(v) if isinstance(v, bytearray) else v, r)) for r in index.where(F.col("shard").isin(group)).select("shard", "hash", "prints", "counts", "owners").collect()] if group else []
         held = sc.broadcast(rows) if rows else None
         if i + 1 < len(groups):
-            state = cut_lineage(state.mapInArrow(_probe(shards, held, min_chars, False), fields([*plain, "_marked"])), "lines-marked")
-    return state.mapInArrow(_probe(shards, held, min_chars, True), fields(plain) + ", n_lines long, n_dropped long")
+            state = cut_lineage(state.mapInArrow(_probe(shards, held, min_chars, min_docs, False), fields([*plain, "_marked"])), "lines-marked")
+    return state.mapInArrow(_probe(shards, held, min_chars, min_docs, True), fields(plain) + ", n_lines long, n_dropped long")

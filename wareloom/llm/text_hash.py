@@ -116,7 +116,3 @@ def ngrams(hashes: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     for j in range(k):
         acc = mix(acc * np.uint64(BASE) + hashes[j : j + n])
     return acc
-
-
-def lower_ascii(raw: bytes) -> bytes:
-    return raw.lower()  # bytes.lower() changes A-Z only
