@@ -43,8 +43,3 @@ def from_utf8_lenient(col: Column | str) -> Column:
     """UTF-8 bytes to text; invalid sequences become U+FFFD instead of failing."""
     # cast(binary as string) keeps the raw bytes; make_valid_utf8 repairs them
     return F.make_valid_utf8(_c(col).cast("string"))
-
-
-def to_latin1_bytes(col: Column | str) -> Column:
-    """Text as ISO-8859-1 bytes (every character must be in Latin-1)."""
-    return F.encode(_c(col), "ISO-8859-1")

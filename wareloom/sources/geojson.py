@@ -34,14 +34,6 @@ def features(spark: SparkSession, path: str, properties_schema: T.StructType | s
     return f.select(props.alias("p"), F.col("f.geometry").alias("geometry")).select("p.*", "geometry")
 
 
-def features_from_text(df: DataFrame, text_col: str, properties_schema: T.StructType | str) -> DataFrame:
-    """Same as ``features`` for FeatureCollection text already in a column."""
-    coll = F.from_json(F.col(text_col), COLLECTION_SCHEMA)
-    f = df.select(F.explode(coll["features"]).alias("f"))
-    props = F.from_json(F.col("f.properties"), properties_schema)
-    return f.select(props.alias("p"), F.col("f.geometry").alias("geometry")).select("p.*", "geometry")
-
-
 def standard_fixes(df: DataFrame, int_cols: list[str] | None = None, float_cols: list[str] | None = None,
                    date_cols: list[str] | None = None) -> DataFrame:
     """The layer fixes in one projection: epoch-ms dates, int / float coercion,
