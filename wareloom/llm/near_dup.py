@@ -47,6 +47,8 @@ from wareloom.session import cut_lineage, ship_package
 M, ROWS, BANDS = 1024, 7, 73
 BITS = 512  # of the short sketch, one of each of the first registers
 SIGMAS, LOOSE, BLOCK = 5.5, 50, 256
+SIGNED = 512  # documents whose registers are held at once (8 kB each)
+SHARED = -(1 << 63)  # stands for the chunks that small components share; no component has this number
 
 
 def shingles(raw: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +139,7 @@ def _sign(k: int):
     def run(batches):
         for batch in batches:
             ids = batch.column("doc_id")
-            for row, raw, off in slices(batch.column("text")):
+            for row, raw, off in slices(batch.column("text"), rows=SIGNED):
                 n, data = len(off) - 1, raw.tobytes()
                 docs, hashes = shingles(raw, off, k)
                 sig = signatures(docs, hashes, n)
@@ -238,13 +240,13 @@ def _blocks(rows: DataFrame) -> DataFrame:
     size = rows.groupBy("cluster", "group").agg(F.count(F.lit(1)).alias("_n"))
     totals = size.groupBy("cluster").agg(F.sum(F.when(F.col("_n") < BLOCK, F.col("_n")).otherwise(0)).alias("_small"), F.count(F.lit(1)).alias("_groups")).where("_groups > 1")
     large = size.where(F.col("_n") >= BLOCK).select("cluster", F.col("group").alias("_home"), F.ceil(F.col("_n") / BLOCK).cast("int").alias("_chunks"))
-    small = totals.where("_small > 0").select("cluster", F.lit(-1).cast("long").alias("_home"), F.ceil(F.col("_small") / BLOCK).cast("int").alias("_chunks"))
+    small = totals.where("_small > 0").select("cluster", F.lit(SHARED).alias("_home"), F.ceil(F.col("_small") / BLOCK).cast("int").alias("_chunks"))
     homes = cut_lineage(large.join(totals.select("cluster"), "cluster", "left_semi").unionByName(small), "homes")
     at = rows.join(size.withColumnRenamed("_n", "_size"), ["cluster", "group"])
-    at = at.withColumn("_home", F.when(F.col("_size") >= BLOCK, F.col("group")).otherwise(F.lit(-1))).drop("_size")
+    at = at.withColumn("_home", F.when(F.col("_size") >= BLOCK, F.col("group")).otherwise(F.lit(SHARED))).drop("_size")
     at = at.join(homes, ["cluster", "_home"]).withColumn("_chunk", F.pmod(F.xxhash64("node"), F.col("_chunks")).cast("int")).drop("_chunks")
     chunks = homes.select("cluster", F.col("_home").alias("_h"), F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_c"))
-    dealt = at.join(chunks, "cluster").where((F.col("_home") != F.col("_h")) | (F.col("_home") == -1))
+    dealt = at.join(chunks, "cluster").where((F.col("_home") != F.col("_h")) | (F.col("_home") == SHARED))
     mine, other = F.struct("_home", "_chunk"), F.struct(F.col("_h").alias("_home"), F.col("_c").alias("_chunk"))
     dealt = dealt.withColumns({"i": F.least(mine, other), "j": F.greatest(mine, other)})
     return dealt.withColumn("part", F.when(mine == F.col("i"), 0).otherwise(1)).drop("_home", "_chunk", "_h", "_c")

@@ -62,13 +62,13 @@ def text_bytes(col) -> tuple[np.ndarray, np.ndarray]:
     return data, off
 
 
-def slices(col, limit: int = CHUNK):
-    """Cut a text column into runs of rows of about ``limit`` bytes: (first row, data, offsets)."""
+def slices(col, limit: int = CHUNK, rows: int = 1 << 30):
+    """Cut a text column into runs of at most ``rows`` rows and about ``limit`` bytes: (first row, data, offsets)."""
     data, off = text_bytes(col)
     n, i = len(off) - 1, 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + limit, side="right")) - 1)
-        j = min(j, n)
+        j = min(j, n, i + rows)
         yield i, data[off[i] : off[j]], off[i : j + 1] - off[i]
         i = j
 
