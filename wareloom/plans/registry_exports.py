@@ -11,11 +11,11 @@ from wareloom.plans.registry import register
 @register("db_export_prepare", """
 SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS Customer_Key,
   o_orderstatus AS orderstatus, o_totalprice AS total_price, o_orderdate AS Order_Date,
-  CASE WHEN o_orderkey % 5 = 1 THEN CAST(o_orderkey * 1000 AS INTEGER) END AS bigvalue_raw
+  CASE WHEN o_orderkey % 5 = 0 THEN 9000000000 + o_orderkey WHEN o_orderkey % 5 = 1 THEN o_orderkey * 1000 END::BIGINT AS bigvalue_raw
 FROM orders""")
 def q_db_export_prepare(spark, d):
     """Orders with warehouse-style names prepared for a database export:
-    spaces to ``_``, dots dropped, bigint narrowed to int (too large -> NULL)."""
+    spaces to ``_``, dots dropped, bigint narrowed to int where every value fits."""
     from wareloom.sources.jdbc import prepare_export
 
     o = FX.table(spark, d, "orders")
