@@ -15,8 +15,8 @@ def duck(sf):
     return con
 
 
-def test_eleven_queries():
-    assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted([f"op{i}" for i in range(1, 11)] + ["pipeline"])
+def test_query_names():
+    assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted([f"op{i}" for i in range(1, 14)] + ["pipeline"])
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))

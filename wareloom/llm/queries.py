@@ -82,6 +82,28 @@ def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareloom.llm.alignment import align
+
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    digest = lambda g: F.when(g == "", "").otherwise(F.sha2(g.cast("binary"), 256))
+    return align(docs, groups=digest).withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareloom.llm.license_scan import scan
+
+    return scan(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareloom.llm.hard_negatives import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives(vectors, F.col("id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -97,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_warc": op9_warc,
     "op10_quality_crf": op10_quality_crf,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_license_scan": op12_license_scan,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": pipeline,
 }
 
@@ -108,6 +133,8 @@ ORACLES: dict[str, str] = {
     "op6_line_dedup": sql.OP6,
     "op8_source_mixing": sql.OP8,
     "op9_warc": sql.OP9,
+    "op12_license_scan": sql.OP12,
+    "op13_hard_negatives": sql.OP13,
 }
 
 if corpus_pipeline.ORACLE_SQL is not None:

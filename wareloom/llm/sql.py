@@ -1,5 +1,6 @@
 """DuckDB oracles of the llm queries that SQL can express."""
 
+from wareloom.llm.license_scan import COVER, GAP, K, PHRASES, TEMPLATES
 from wareloom.llm.url_filters import PAGE_RULES
 
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in PAGE_RULES)
@@ -129,3 +130,61 @@ counts AS (SELECT a AS rid, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(vec_id = coalesce(component_id, vec_id), true) AS kept
 FROM usable LEFT JOIN groups USING (rid) LEFT JOIN counts USING (rid)
 """
+
+_TEXTS = [(label, text, "false") for label, text in TEMPLATES] + [(label, text, "true") for text, label in PHRASES]
+_TEMPLATES = ", ".join(f"({i}, '{label}', '{text}', {phrase})" for i, (label, text, phrase) in enumerate(_TEXTS))
+
+OP12 = rf"""
+WITH given(template, label, text, phrase) AS (VALUES {_TEMPLATES}),
+known AS (
+  SELECT template, label, phrase, w, len(w) AS length, CASE WHEN phrase THEN len(w) ELSE least(len(w), {K}) END AS k
+  FROM (SELECT *, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM given)),
+grams AS (
+  SELECT template, label, phrase, length, k, i - 1 AS tpos, array_to_string(w[i : i + k - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, length - k + 2)) AS i FROM known)),
+doc AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+doc_grams AS (
+  SELECT rid, k, i - 1 AS pos, array_to_string(w[i : i + k - 1], ' ') AS gram
+  FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc, (SELECT DISTINCT k FROM grams) WHERE len(w) >= k)),
+votes AS (SELECT * FROM doc_grams JOIN grams USING (k, gram)),
+base AS (
+  SELECT rid, count(*) AS n_base, min(pos)::BIGINT AS first_word, max(pos)::BIGINT AS last_word FROM votes WHERE phrase GROUP BY rid),
+diagonals AS (SELECT DISTINCT rid, template, pos - tpos AS diagonal FROM votes WHERE NOT phrase),
+apart AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, template ORDER BY diagonal) > {GAP} THEN 1 ELSE 0 END AS new FROM diagonals),
+bands AS (SELECT *, sum(new) OVER (PARTITION BY rid, template ORDER BY diagonal) AS band FROM apart),
+covers AS (
+  SELECT DISTINCT v.rid, template, band, label, length, unnest(range(tpos, tpos + k)) AS word
+  FROM votes v JOIN bands b USING (rid, template) WHERE b.diagonal = pos - tpos),
+spans AS (SELECT rid, template, band, label, length, count(*) AS covered FROM covers GROUP BY ALL),
+found AS (SELECT rid, max(covered::DOUBLE / length::DOUBLE) AS share FROM spans GROUP BY rid),
+every AS (
+  SELECT DISTINCT rid, label, true AS own FROM votes WHERE phrase
+  UNION ALL SELECT DISTINCT rid, label, false FROM spans WHERE covered * 100 >= length * {COVER}),
+names AS (
+  SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE own) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM every GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+FROM doc LEFT JOIN base USING (rid) LEFT JOIN found USING (rid) LEFT JOIN names USING (rid)
+"""
+
+OP13 = """
+WITH ints AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.rid AS anchor, a.vec_id AS anchor_id, b.rid, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM ints a JOIN ints b ON a.vec_id % 100 = 0 AND a.rid <> b.rid),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, rid) AS pos FROM scores WHERE same QUALIFY pos <= 5),
+windows AS (
+  SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.rid ORDER BY s.score DESC, s.id, s.rid) AS rank
+  FROM positives p JOIN scores s ON p.anchor = s.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 5
+"""
