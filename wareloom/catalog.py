@@ -6,7 +6,11 @@ cannot be renamed across databases.  Publishing a new version of
 ``db.t -> db.t__old``, ``db.t__new -> db.t`` and drops ``db.t__old``.  A
 failure before the first rename leaves ``db.t`` untouched; ``recover`` finishes
 a swap that stopped between the renames, and ``exists`` always recovers first, so
-no job takes an interrupted table for a missing one.
+no job takes an interrupted table for a missing one.  Changes that only add or
+replace files go through ``wareloom.transactions``, which ``recover`` finishes too.
+
+Both kinds carry ``marks``: properties that become true of the table in the same
+step as its new content (the load ledger of ``wareloom.jobs``).
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wareloom import transactions
 from wareloom.functions.types import sql_type_name
 
 NEW, OLD = "__new", "__old"
@@ -40,6 +45,25 @@ def set_property(spark: SparkSession, table: str, key: str, value: str) -> None:
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{quoted}')")
 
 
+def unset_property(spark: SparkSession, table: str, key: str) -> None:
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{key}')")
+
+
+def get_property(spark: SparkSession, table: str, key: str) -> str | None:
+    return _properties(spark, table).get(key)
+
+
+def _provider(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE EXTENDED {table}").collect()
+    return next(r["data_type"] for r in reversed(rows) if r["col_name"].strip() == "Provider").lower()
+
+
+def data_files(spark: SparkSession, table: str) -> set[str]:
+    """The data files a table has now."""
+    spark.catalog.refreshTable(table)
+    return set(spark.table(table).inputFiles())
+
+
 def ensure_database(spark: SparkSession, db: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
 
@@ -98,25 +122,78 @@ def _relocate(spark: SparkSession, table: str) -> None:
 
 
 def recover(spark: SparkSession, table: str) -> None:
-    """Finish or roll back an interrupted swap of ``table``."""
+    """Finish or roll back an interrupted swap of ``table``, then finish its committed file changes."""
     there = spark.catalog.tableExists
     db, name = _split(table)
     new, old = f"{table}{NEW}", f"{table}{OLD}"
-    if not there(old):
-        return
-    if not there(table):
-        spark.sql(f"ALTER TABLE {new if there(new) else old} RENAME TO {db + '.' if db else ''}{name}")
-    _relocate(spark, table)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if there(old):
+        if not there(table):
+            spark.sql(f"ALTER TABLE {new if there(new) else old} RENAME TO {db + '.' if db else ''}{name}")
+        _relocate(spark, table)
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if there(table):
+        _finish(spark, table)
+
+
+def _finish(spark: SparkSession, table: str) -> None:
+    """Carry out the committed file changes of a table."""
+    location = _location(spark, table)
+    for folder in transactions.undecided(spark, location):
+        properties, parts = transactions.apply(spark, location, folder)
+        for part in parts:
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_partition_clause(part)}")
+        for key, value in properties.items():
+            set_property(spark, table, key, value)
+        transactions.close(spark, location, folder)
+        spark.catalog.refreshTable(table)
+
+
+def relative_files(spark: SparkSession, table: str, uris: list[str]) -> list[str]:
+    """Paths below the table's folder of the files that ``_metadata.file_path`` names."""
+    jvm = spark.sparkContext._jvm
+    plain = lambda text: jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(text)).toUri().getPath()
+    home = jvm.org.apache.hadoop.fs.Path(_location(spark, table)).toUri().getPath().rstrip("/") + "/"
+    out = []
+    for uri in uris:
+        path = plain(uri)
+        if not path.startswith(home):
+            raise ValueError(f"{path} lies outside of {home}")
+        out.append(path[len(home):])
+    return out
+
+
+def rows_of(spark: SparkSession, table: str, files: list[str]) -> DataFrame:
+    """The rows of some files of a table, with its schema."""
+    schema = spark.table(table).schema
+    if not files:
+        return spark.createDataFrame([], schema)
+    home = _location(spark, table).rstrip("/")
+    read = spark.read.format(_provider(spark, table)).schema(schema).option("basePath", home)
+    return read.load([f"{home}/{f}" for f in files]).select(*[F.col(f"`{f.name}`") for f in schema.fields])
+
+
+def change_files(df: DataFrame, table: str, marks: dict[str, str] | None = None, removed: list[str] = (), batch: str | None = None) -> None:
+    """Add the files of ``df`` (the table's columns) to ``table`` and take ``removed`` out, as one whole."""
+    import uuid
 
+    spark, batch = df.sparkSession, batch or uuid.uuid4().hex
+    location, parts = _location(spark, table), partition_columns(spark, table)
+    transactions.prepare(df, location, batch, _provider(spark, table), parts)
+    transactions.commit(spark, location, batch, marks or {}, removed)
+    _finish(spark, table)
 
-def publish(df: DataFrame, table: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+
+def publish(df: DataFrame, table: str, mode: str = "overwrite", partition_by: list[str] | None = None, marks: dict[str, str] | None = None,
+            read_files: set[str] | None = None, before_swap=None, batch: str | None = None) -> None:
     """Make ``df`` the content of ``table``.
 
     ``overwrite`` goes through the swap (``df`` may read ``table``); the new
     version keeps the partitioning (unless ``partition_by`` is given) and the
-    properties of the old one.  ``append`` inserts by name; ``errorifexists``
-    refuses an existing target.
+    properties of the old one.  ``append`` adds files as one whole, columns by name; ``errorifexists``
+    refuses an existing target.  ``marks`` are properties of the new content.
+    With ``read_files`` (the files that ``df`` was planned on) the swap is refused
+    when another writer has changed the table since; ``before_swap`` is called with the
+    name of the written, still hidden version.
     """
     spark = df.sparkSession
     db, name = _split(table)
@@ -124,9 +201,9 @@ def publish(df: DataFrame, table: str, mode: str = "overwrite", partition_by: li
         ensure_database(spark, db)
     present = exists(spark, table)
     if mode == "append" and present:
-        target_cols = spark.table(table).columns
-        df.select(*[F.col(f"`{c}`") for c in target_cols]).write.mode("append").insertInto(table)
-        spark.catalog.refreshTable(table)
+        schema = spark.table(table).schema
+        fitted = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+        change_files(fitted, table, marks, batch=batch)
         return
     if mode == "errorifexists" and present:
         raise RuntimeError(f"{table} already exists")
@@ -136,10 +213,15 @@ def publish(df: DataFrame, table: str, mode: str = "overwrite", partition_by: li
         partition_by = [c for c in partition_columns(spark, table) if c in df.columns]
     writer = df.write.mode("overwrite").format("parquet")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(new)
+    for key, value in ((_properties(spark, table) if present else {}) | (marks or {})).items():
+        set_property(spark, new, key, value)
+    if before_swap is not None:
+        before_swap(new)
+    if read_files is not None and present and data_files(spark, table) != read_files:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise transactions.ChangedMeanwhile(f"{table} was changed by another writer while its new version was written")
     prefix = f"{db}." if db else ""
     if present:
-        for key, value in _properties(spark, table).items():
-            set_property(spark, new, key, value)
         spark.sql(f"ALTER TABLE {table} RENAME TO {prefix}{name}{OLD}")
     spark.sql(f"ALTER TABLE {new} RENAME TO {prefix}{name}")
     _relocate(spark, table)
@@ -148,9 +230,9 @@ def publish(df: DataFrame, table: str, mode: str = "overwrite", partition_by: li
     spark.catalog.refreshTable(table)
 
 
-def move(spark: SparkSession, source_table: str, target_table: str, partition_by: list[str] | None = None) -> None:
+def move(spark: SparkSession, source_table: str, target_table: str, partition_by: list[str] | None = None, marks: dict[str, str] | None = None) -> None:
     """Move a table to another database (copy + drop: no cross-database rename)."""
-    publish(spark.table(source_table), target_table, "overwrite", partition_by)
+    publish(spark.table(source_table), target_table, "overwrite", partition_by, marks)
     spark.sql(f"DROP TABLE IF EXISTS {source_table}")
 
 

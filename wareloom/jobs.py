@@ -4,6 +4,12 @@ Each job is the pure operator from ``wareloom.operators.load`` plus
 ``catalog.publish``.  Many tables are run by ``for_each_table``; Spark runs
 their jobs side by side when ``parallel > 1`` (driver threads only submit
 lazily planned jobs; the data work stays on the executors).
+
+The load ledger: every staging version has a batch id, a property of the staging
+table.  A load notes it on the target in the same step in which its rows become
+visible (the swap's new version, or the commit of a file change), and a rerun asks
+the target first.  So a load that stopped anywhere is done once, whatever other
+writers did to the target in between; the note goes when staging is gone.
 """
 
 from __future__ import annotations
@@ -27,65 +33,86 @@ def for_each_table(tables: list[str], step: Callable[[str], object], parallel: i
         return dict(zip(tables, pool.map(step, tables)))
 
 
-def stage(df: DataFrame, ref: TableRef) -> str:
-    """Overwrite the staging table of ``ref``."""
+BATCH, LOADED, PULLED = "wareloom.batch", "wareloom.loaded", "wareloom.pulled"
+
+
+def stage(df: DataFrame, ref: TableRef, pulled: str | None = None, before_swap=None, batch: str | None = None) -> str:
+    """Overwrite the staging table of ``ref`` with a new batch.
+
+    ``pulled`` names the stored mark that the batch was pulled by (see ``wareloom.operators.marks``)."""
+    import uuid
+
     target = ref.at("staging").qualified
-    catalog.publish(df, target, "overwrite")
+    marks = {BATCH: batch or uuid.uuid4().hex, PULLED: pulled or ""}
+    catalog.publish(df, target, "overwrite", marks=marks, before_swap=before_swap)
     return target
 
 
-def run_overwrite(spark: SparkSession, ref: TableRef, target_layer: str = "master", id_cols=None,
-                  require_new_ids: bool = False) -> str:
-    """Staging replaces the target; skipped (with a message) when staging is missing."""
-    src, dst = ref.at("staging").qualified, ref.at(target_layer).qualified
-    if not catalog.exists(spark, src):
-        return f"skipped: {src} does not exist"
-    master = spark.table(dst) if catalog.exists(spark, dst) else None
-    new = load.overwrite(master, spark.table(src), id_cols, require_new_ids)
-    catalog.publish(new, dst, "overwrite")
+def _ledger(spark: SparkSession, staging: str) -> tuple[str, dict[str, str]]:
+    """The batch id of a staging version (given now when it has none) and the marks that its load leaves on the target."""
+    import uuid
+
+    noted = catalog._properties(spark, staging)
+    if not noted.get(BATCH):
+        noted[BATCH] = uuid.uuid4().hex
+        catalog.set_property(spark, staging, BATCH, noted[BATCH])
+    marks = {f"{LOADED}.{noted[BATCH]}": "true"}
+    if noted.get(PULLED):
+        marks[f"{PULLED}.{noted[PULLED]}"] = noted[BATCH]
+    return noted[BATCH], marks
+
+
+def _done(spark: SparkSession, src: str, dst: str, batch: str) -> None:
+    """Staging goes, and then the note of its batch."""
     catalog.drop(spark, src)
-    return f"overwrote {dst}"
+    catalog.unset_property(spark, dst, f"{LOADED}.{batch}")
+
 
+def _load(spark: SparkSession, ref: TableRef, target_layer: str, apply, partition_by: list[str] | None = None, first=None) -> dict:
+    """Load staging into the target once: ``apply(staging, dst, batch, marks)`` publishes and returns its report.
 
-APPEND_MARK = "wareloom.append.before"
+    A missing target takes the staging rows as they are (or ``first(staging)``)."""
+    src, dst = ref.at("staging").qualified, ref.at(target_layer).qualified
+    if not catalog.exists(spark, src):
+        return {"status": f"skipped: {src} does not exist"}
+    batch, marks = _ledger(spark, src)
+    if not catalog.exists(spark, dst):
+        staging = spark.table(src)
+        catalog.publish(first(staging) if first else staging, dst, "overwrite", partition_by, marks)
+        report = {"status": f"moved {src} to {dst}"}
+    elif f"{LOADED}.{batch}" in catalog._properties(spark, dst):
+        report = {"status": f"already loaded into {dst}"}
+    else:
+        report = apply(spark.table(src), dst, batch, marks)
+    _done(spark, src, dst, batch)
+    return report
 
 
-def _files_mark(spark: SparkSession, table: str) -> str:
-    """A digest of the data files a table has now."""
-    import hashlib
+def run_overwrite(spark: SparkSession, ref: TableRef, target_layer: str = "master", id_cols=None,
+                  require_new_ids: bool = False) -> str:
+    """Staging replaces the target; skipped (with a message) when staging is missing."""
+    def apply(staging, dst, batch, marks):
+        new = load.overwrite(spark.table(dst), staging, id_cols, require_new_ids)
+        catalog.publish(new, dst, "overwrite", marks=marks)
+        return {"status": f"overwrote {dst}"}
 
-    spark.catalog.refreshTable(table)
-    return hashlib.sha256("\n".join(sorted(spark.table(table).inputFiles())).encode()).hexdigest()
+    return _load(spark, ref, target_layer, apply)["status"]
 
 
 def run_append(spark: SparkSession, ref: TableRef, target_layer: str = "master", exclude: list[str] | None = None,
                id_cols=None, require_new_ids: bool = False) -> str:
     """Append staging to the target, then drop staging.
 
-    The target's files are noted on the staging table before the insert.  A rerun
-    after a stop between insert and drop sees that they changed and only
-    drops, so no row is appended twice.
-    """
-    src, dst = ref.at("staging").qualified, ref.at(target_layer).qualified
-    if not catalog.exists(spark, src):
-        return f"skipped: {src} does not exist"
-    staging = spark.table(src)
-    if not catalog.exists(spark, dst):
-        catalog.move(spark, src, dst)
-        return f"moved {src} to {dst}"
-    before, noted = _files_mark(spark, dst), catalog._properties(spark, src).get(APPEND_MARK)
-    if noted and noted != f"{dst} {before}" and noted.startswith(f"{dst} "):
-        catalog.drop(spark, src)
-        return f"already appended to {dst}"
-    master = spark.table(dst)
-    if require_new_ids:
-        load.require_new_ids(staging, master, id_cols)
-    # only the staging rows are written (new files added to the table); the
-    # master's existing files are not rewritten
-    catalog.set_property(spark, src, APPEND_MARK, f"{dst} {before}")
-    catalog.publish(load.align_by_name(master, staging, exclude), dst, "append")
-    catalog.drop(spark, src)
-    return f"appended to {dst}"
+    Only the staging rows are written, as new files that join the target as one
+    whole together with the batch's note; the master's files are not rewritten."""
+    def apply(staging, dst, batch, marks):
+        master = spark.table(dst)
+        if require_new_ids:
+            load.require_new_ids(staging, master, id_cols)
+        catalog.publish(load.align_by_name(master, staging, exclude), dst, "append", marks=marks, batch=batch)
+        return {"status": f"appended to {dst}"}
+
+    return _load(spark, ref, target_layer, apply)["status"]
 
 
 def run_replace(spark: SparkSession, ref: TableRef, keys: list[str], target_layer: str = "master",
@@ -93,31 +120,27 @@ def run_replace(spark: SparkSession, ref: TableRef, keys: list[str], target_laye
     """Replace by key, publish one new version, drop staging, return the report.
 
     The report counts come from ``observe`` metrics of the publishing job
-    itself (no extra pass over the data).
+    itself (no extra pass over the data).  The swap is refused (and nothing lost) when
+    another writer changed the master while the new version was written.
     """
-    src, dst = ref.at("staging").qualified, ref.at(target_layer).qualified
-    if not catalog.exists(spark, src):
-        return {"status": f"skipped: {src} does not exist"}
-    staging = spark.table(src)
-    if not catalog.exists(spark, dst):
-        catalog.move(spark, src, dst)
-        return {"status": f"moved {src} to {dst}"}
-    master = spark.table(dst)
-    if require_new_ids:
-        load.require_new_ids(staging, master, keys)
-    from pyspark.sql import Observation
-
-    om, ok, os_ = Observation("master"), Observation("kept"), Observation("staged")
-    m = master.observe(om, F.count(F.lit(1)).alias("n"))
-    s = staging.observe(os_, F.count(F.lit(1)).alias("n"))
-    kept = load.delete_by_key(m, staging, keys, collation).observe(ok, F.count(F.lit(1)).alias("n"))
-    new = kept.unionByName(load.align_by_name(master, s))
-    catalog.publish(new, dst, "overwrite")
-    catalog.drop(spark, src)
-    deleted = om.get["n"] - ok.get["n"]
-    inserted = os_.get["n"]
-    return {"status": f"replaced {dst}", "deleted": deleted, "inserted": inserted,
-            "delta": inserted - deleted, "message": load.report_message(deleted, inserted)}
+    def apply(staging, dst, batch, marks):
+        from pyspark.sql import Observation
+
+        read = catalog.data_files(spark, dst)
+        master = spark.table(dst)
+        if require_new_ids:
+            load.require_new_ids(staging, master, keys)
+        om, ok, os_ = Observation("master"), Observation("kept"), Observation("staged")
+        m = master.observe(om, F.count(F.lit(1)).alias("n"))
+        s = staging.observe(os_, F.count(F.lit(1)).alias("n"))
+        kept = load.delete_by_key(m, staging, keys, collation).observe(ok, F.count(F.lit(1)).alias("n"))
+        new = kept.unionByName(load.align_by_name(master, s))
+        catalog.publish(new, dst, "overwrite", marks=marks, read_files=read)
+        deleted, inserted = om.get["n"] - ok.get["n"], os_.get["n"]
+        return {"status": f"replaced {dst}", "deleted": deleted, "inserted": inserted,
+                "delta": inserted - deleted, "message": load.report_message(deleted, inserted)}
+
+    return _load(spark, ref, target_layer, apply)
 
 
 def copy_tables(spark: SparkSession, tables: dict[str, DataFrame], target_db: str, suffix: str = "",
@@ -147,16 +170,15 @@ def run_replace_generated_id(spark: SparkSession, ref: TableRef, keys: list[str]
                              target_layer: str = "master") -> str:
     """Replace by key into a target whose ``id_col`` is generated: staging's own
     values of it are left out and new ids follow the target's largest."""
-    src, dst = ref.at("staging").qualified, ref.at(target_layer).qualified
-    if not catalog.exists(spark, src):
-        return f"skipped: {src} does not exist"
-    staging = spark.table(src)
-    if not catalog.exists(spark, dst):
-        catalog.publish(load.with_sequence_id(staging.drop(id_col), id_col, order_cols), dst, "overwrite")
-    else:
-        catalog.publish(load.replace_generated_id(spark.table(dst), staging, keys, id_col, order_cols), dst, "overwrite")
-    catalog.drop(spark, src)
-    return f"replaced {dst}"
+    def apply(staging, dst, batch, marks):
+        read = catalog.data_files(spark, dst)
+        new = load.replace_generated_id(spark.table(dst), staging, keys, id_col, order_cols)
+        catalog.publish(new, dst, "overwrite", marks=marks, read_files=read)
+        return {"status": f"replaced {dst}"}
+
+    numbered = lambda staging: load.with_sequence_id(staging.drop(id_col), id_col, order_cols)
+    out = _load(spark, ref, target_layer, apply, first=numbered)
+    return out["status"].replace(f"moved {ref.at('staging').qualified} to", "replaced")
 
 
 def convert_datetimes(spark: SparkSession, ref: TableRef, columns: list[str]) -> str:
@@ -173,42 +195,32 @@ def convert_datetimes(spark: SparkSession, ref: TableRef, columns: list[str]) ->
 def run_replace_partitions(spark: SparkSession, ref: TableRef, keys: list[str], partition_cols: list[str],
                            target_layer: str = "master") -> dict:
     """Replace by key on a master partitioned by ``partition_cols``, rewriting
-    only the partitions that staging touches (dynamic partition overwrite).
+    only the partitions that staging touches.
 
     Exact only when the partition columns are part of the key (then a key
     match implies the same partition) and the master is partitioned by just
     these columns; both are enforced, and a first load creates the master so.
-    The replaced partitions (the NULL partition too) are first written to the
-    shared checkpoint folder, because a table cannot be overwritten while it
-    is read.  The overwrite mode is set in a session of its own, so jobs that
-    run side by side do not change each other's.
+    The files of the touched partitions (the NULL partition too) are listed
+    first; their rows that staging does not replace and the staging rows are written beside
+    the table, and one commit takes the listed files out and the new ones in.
+    Files that other writers add meanwhile stay; when they replaced a listed
+    file the commit is refused.
     """
     if not partition_cols or not set(partition_cols) <= set(keys):
         raise ValueError("partition columns must be part of the key for a partition-wise replace")
-    from wareloom.session import remove_scratch, scratch_path
 
-    src, dst = ref.at("staging").qualified, ref.at(target_layer).qualified
-    if not catalog.exists(spark, src):
-        return {"status": f"skipped: {src} does not exist"}
-    staging = spark.table(src)
-    if not catalog.exists(spark, dst):
-        catalog.move(spark, src, dst, partition_cols)
-        return {"status": f"moved {src} to {dst}"}
-    if sorted(catalog.partition_columns(spark, dst)) != sorted(partition_cols):
-        raise ValueError(f"{dst} is partitioned by {catalog.partition_columns(spark, dst)}, not by {partition_cols}")
-    master = spark.table(dst)
-    staged = load.align_by_name(master, staging)
-    touched = staged.select(*[F.col(f"`{c}`").alias(f"__t_{c}") for c in partition_cols]).distinct()
-    n_parts = touched.count()
-    same = reduce(lambda a, b: a & b, [master[f"`{c}`"].eqNullSafe(touched[f"`__t_{c}`"]) for c in partition_cols])
-    affected = master.join(touched, same, "left_semi")  # partition pruning on the master scan
-    path = scratch_path(spark, "replace-partitions")
-    kept = load.delete_by_key(affected, staging, keys)  # keys are compared before staging takes the master's types
-    kept.unionByName(staged).write.parquet(path)
-    own = spark.newSession()
-    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    own.read.schema(master.schema).parquet(path).select(*[F.col(f"`{c}`") for c in master.columns]).write.mode("overwrite").insertInto(dst)
-    remove_scratch(spark, path)
-    spark.catalog.refreshTable(dst)
-    catalog.drop(spark, src)
-    return {"status": f"replaced {n_parts} partition(s) of {dst}"}
+    def apply(staging, dst, batch, marks):
+        if sorted(catalog.partition_columns(spark, dst)) != sorted(partition_cols):
+            raise ValueError(f"{dst} is partitioned by {catalog.partition_columns(spark, dst)}, not by {partition_cols}")
+        spark.catalog.refreshTable(dst)
+        master = spark.table(dst).select("*", F.col("_metadata.file_path").alias("__file"))
+        staged = load.align_by_name(spark.table(dst), staging)
+        touched = staged.select(*[F.col(f"`{c}`").alias(f"__t_{c}") for c in partition_cols]).distinct()
+        same = reduce(lambda a, b: a & b, [master[f"`{c}`"].eqNullSafe(touched[f"`__t_{c}`"]) for c in partition_cols])
+        listed = master.join(touched, same, "left_semi").select("__file").distinct()  # reads no column but the partitions'
+        old = catalog.relative_files(spark, dst, [r["__file"] for r in listed.collect()])
+        kept = load.delete_by_key(catalog.rows_of(spark, dst, old), staging, keys)  # keys are compared before staging takes the master's types
+        catalog.change_files(kept.unionByName(staged), dst, marks, old, batch)
+        return {"status": f"replaced {touched.count()} partition(s) of {dst}"}
+
+    return _load(spark, ref, target_layer, apply, partition_cols)
