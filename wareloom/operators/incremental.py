@@ -15,7 +15,7 @@ from wareloom.functions.dates import day_floor
 
 # Allow-lists: the aggregate and the comparison come from job configuration.
 AGGREGATES = {"max": F.max, "min": F.min, "avg": F.avg, "sum": F.sum, "count": F.count}
-TYPED_LITERALS = {"timestamp_ntz": "TIMESTAMP_NTZ", "timestamp": "TIMESTAMP_LTZ", "date": "DATE"}
+TYPED_LITERALS = {"timestamp_ntz": "TIMESTAMP_NTZ", "date": "DATE"}
 OPERATORS = {
     ">": lambda c, v: c > v, ">=": lambda c, v: c >= v,
     "<": lambda c, v: c < v, "<=": lambda c, v: c <= v,
@@ -26,8 +26,9 @@ OPERATORS = {
 def high_water(target: DataFrame | None, column: str, agg: str = "max", trunc: str | None = None):
     """The mark as a literal column of its own type, or None for a missing / empty target.
 
-    Dates and timestamps cross the driver as text and come back as literals of
-    their own type, so neither the driver's nor the session's zone shifts them."""
+    Instants cross the driver as epoch microseconds, dates and zone-free timestamps as
+    text, and come back as literals of their own type, so neither the driver's nor
+    the session's zone shifts them, also not in the hour that a zone repeats."""
     if target is None:
         return None
     fn = AGGREGATES[agg.lower()]
@@ -38,6 +39,9 @@ def high_water(target: DataFrame | None, column: str, agg: str = "max", trunc: s
         raise ValueError(f"unknown truncation {trunc!r}")
     found = target.agg(value.alias("v"))
     kind = found.schema["v"].dataType.simpleString()
+    if kind == "timestamp":
+        micros = found.select(F.unix_micros("v").alias("v")).first()["v"]
+        return None if micros is None else F.timestamp_micros(F.lit(micros))
     if kind not in TYPED_LITERALS:
         mark = found.first()["v"]
         return None if mark is None else F.lit(mark)
