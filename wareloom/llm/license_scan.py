@@ -54,41 +54,56 @@ TEMPLATES = [
     ("unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 K, GAP, COVER = 5, 8, 80
 BROADCAST_GRAMS = 100_000
 MADE = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
 
 
-def word_list(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+def with_words(df: DataFrame, text: str) -> DataFrame:
+    """``words`` in place of the column ``text``: A-Z lower-cased, what lies between runs of other characters."""
+    rest = [c for c in df.columns if c != text]
+    parts = df.select(*rest, F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), BETWEEN).alias("parts"))
+    empty = lambda at: (F.element_at("parts", at) == "").cast("int")
+    inner = F.slice("parts", empty(1) + 1, F.greatest(F.size("parts") - empty(1) - empty(-1), F.lit(0)))
+    return parts.select(*rest, inner.alias("words"))
 
 
-def _grams(words: Column, n: Column, k) -> Column:
-    """Hashes of all k words in a row, by position."""
-    hashes = F.transform(F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(F.slice(words, i + 1, F.lit(k) if isinstance(k, int) else k)))
-    return F.when(n >= k, hashes).otherwise(F.array().cast("array<bigint>"))
+def _grams(hashes: Column, n: Column, k: int) -> Column:
+    """Hashes of all k words in a row, by position, from the words' hashes."""
+    rolled = F.transform(F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(k)]))
+    return F.when(n >= k, rolled).otherwise(F.array().cast("array<bigint>"))
 
 
-def template_grams(spark, templates: list[tuple], phrases: list[tuple], k: int = K) -> DataFrame:
-    """template, label, phrase (boolean), length, k, tpos, gram (words) and its hash."""
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def template_grams(spark, templates: list[tuple], phrases: list[tuple], k: int = K) -> tuple[DataFrame, list[int]]:
+    """(template, label, phrase (boolean), length, k, tpos, gram (words) and its hash; the gram sizes)."""
     rows = [(i, label, text, False) for i, (label, text) in enumerate(templates)]
     rows += [(len(rows) + i, label, text, True) for i, (text, label) in enumerate(phrases)]
     known = local_rows(spark, rows, "template int, label string, text string, phrase boolean").where("label is not null")
-    known = known.select("template", "label", "phrase", word_list(F.col("text")).alias("words")).withColumn("length", F.size("words")).where("length > 0")
+    known = with_words(known, "text").withColumn("length", F.size("words")).where("length > 0")
     known = known.withColumn("k", F.when(F.col("phrase"), F.col("length")).otherwise(F.least("length", F.lit(k))))
-    known = known.select("*", F.posexplode(_grams(F.col("words"), F.col("length"), F.col("k"))).alias("tpos", "hash"))
-    return known.withColumn("gram", F.slice("words", F.col("tpos") + 1, F.col("k"))).drop("words")
+    known = cut_lineage(known.withColumn("hashes", _word_hashes(F.col("words"))), "license-templates")
+    sizes = sorted(r.k for r in known.select("k").distinct().collect())  # at most k and the phrase lengths
+    rolled = F.array().cast("array<bigint>")
+    for size in sizes:
+        rolled = F.when(F.col("k") == size, _grams(F.col("hashes"), F.col("length"), size)).otherwise(rolled)
+    known = known.select("*", F.posexplode_outer(rolled).alias("tpos", "hash"))
+    return known.withColumn("gram", F.slice("words", F.col("tpos") + 1, F.col("k"))).drop("words", "hashes"), sizes
 
 
-def _matches(docs: DataFrame, grams: DataFrame, rest: list) -> DataFrame:
+def _matches(docs: DataFrame, grams: DataFrame, sizes: list[int], rest: list) -> DataFrame:
     """Confirmed matches (template >= 0) and one row per document (template -1) with its columns."""
-    sizes = sorted(r.k for r in grams.select("k").distinct().collect())  # at most k and the phrase lengths
     doc = F.struct(F.lit(0).alias("_"), *[F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(rest)])
-    split = docs.select(F.monotonically_increasing_id().alias("row"), doc.alias("doc"), word_list(F.col("text")).alias("words")).withColumn("n", F.size("words"))
+    split = with_words(docs.select(F.monotonically_increasing_id().alias("row"), doc.alias("doc"), "text"), "text")
+    split = split.withColumns({"n": F.size("words"), "hashes": _word_hashes(F.col("words"))})
     # position 0 is the document's own row; then the grams of each size in turn
-    held = split.withColumn("hashes", F.concat(F.array(F.lit(0).cast("long")), *[_grams(F.col("words"), F.col("n"), k) for k in sizes]))
-    each = held.select("row", "doc", "words", "n", F.posexplode("hashes").alias("at", "hash"))
+    rolled = F.concat(F.array(F.lit(0).cast("long")), *[_grams(F.col("hashes"), F.col("n"), k) for k in sizes])
+    # outer, as a plain explode would filter on the array's size, which computes it a second time with every input written out
+    each = split.select("row", "doc", "words", "n", rolled.alias("rolled")).select("row", "doc", "words", "n", F.posexplode_outer("rolled").alias("at", "hash"))
     own = local_rows(docs.sparkSession, [(-1, None, False, 0, 0, 0, 0)], "template int, label string, phrase boolean, length int, k int, tpos int, hash long")
     known = grams.unionByName(own.withColumn("gram", F.array().cast("array<string>")))
     if grams.count() <= BROADCAST_GRAMS:
@@ -126,8 +141,8 @@ def scan(docs: DataFrame, templates: list[tuple] = TEMPLATES, phrases: list[tupl
     """
     spark = docs.sparkSession
     rest = [f for f in docs.schema.fields if f.name not in (*MADE, "text")]
-    grams = template_grams(spark, templates, phrases, k)
-    met = cut_lineage(_matches(docs, grams, rest), "license-matches")
+    grams, sizes = template_grams(spark, templates, phrases, k)
+    met = cut_lineage(_matches(docs, grams, sizes, rest), "license-matches")
     base = met.where("phrase").groupBy("row").agg(
         F.count(F.lit(1)).alias("n_base"), F.min("pos").cast("long").alias("first_word"), F.max("pos").cast("long").alias("last_word"), F.collect_set("label").alias("_base"))
     share = F.col("covered") / F.col("length")
