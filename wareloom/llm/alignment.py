@@ -15,9 +15,10 @@ rank differences give the token ranges of a group.  Links are counted by
 frequent pairs in a broadcast table of that size; the rarer pairs of each
 document, and only those, join the counts, so no pair is hot in that join.
 
-Long texts are encoded in pieces, cut before a space between two word
-characters: no pre-token of A and no piece of B crosses it (the files are checked
-for this).  A run without such a space is encoded whole.
+Texts are cut into segments at single spaces between visible characters: no pre-token
+of A and no piece of B crosses them (the files are checked for this).  A worker
+encodes each segment it meets once and keeps them in a cache of bounded size; a
+run without such a space is one segment.
 
 Defined cases: null and empty texts, and those whose joined token bytes differ
 from space + text (a text with U+2581, for one), have zeros and empty
@@ -42,10 +43,11 @@ from wareloom.llm.token_counts import model_path
 from wareloom.session import cut_lineage, ship_package
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-RUN_BYTES, PIECE_CHARS, FREQUENT, STRIDE = 1 << 20, 1 << 15, 1 << 17, 32
+RUN_BYTES, FREQUENT, STRIDE = 1 << 19, 1 << 17, 32
+ENCODED, CACHE_CHARS = 1 << 12, 1 << 20  # segments encoded at a time; a worker's cache starts anew beyond so many characters
 MARK = "▁"
 MADE = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
-_CUT = re.compile(r"(?<=\w) (?=\w)")
+_CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 _loaded: dict = {}
 
 
@@ -85,6 +87,7 @@ class Pair:
         if not all(self.bytes_a[i] for i in vocabulary.values()) or not all(self.bytes_b):
             raise ValueError("a token without bytes ends nowhere")
         self.size_a, self.size_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.cache = Segments()
         self.digits = [b"%d%s" % (i, end) for n, ends in ((len(self.bytes_a), (b",", b"|")), (len(self.bytes_b), (b",", b";"))) for end in ends for i in range(n)]
 
 
@@ -94,13 +97,42 @@ def load(path_a: str, path_b: str) -> Pair:
     return _loaded[path_a, path_b]
 
 
-def pieces(text: str) -> list[str]:
-    """Space + text, cut into pieces of about PIECE_CHARS; each begins with a space."""
-    full, out, at = " " + text, [], 0
-    while len(full) - at > PIECE_CHARS and (cut := _CUT.search(full, at + PIECE_CHARS)):
-        out.append(full[at : cut.start()])
-        at = cut.start()
-    return [*out, full[at:]]
+def segments(text: str) -> list[str]:
+    """The parts of a text; each is encoded with a space in front."""
+    return _CUT.split(text)
+
+
+class Segments:
+    """Segments by number: whether both tokenizers give their bytes back, and their ids of A and of B in two flat arrays."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.chars = 0
+        self.good = np.zeros(0, dtype=bool)
+        self.ids = [np.zeros(0, dtype=np.int64) for _ in range(2)]
+        self.ends = [np.zeros(1, dtype=np.int64) for _ in range(2)]
+
+    def add(self, pair: Pair, texts: list[str]) -> None:
+        """Encode new segments."""
+        if len(texts) > ENCODED:
+            for a in range(0, len(texts), ENCODED):
+                self.add(pair, texts[a : a + ENCODED])
+            return
+        full = [" " + t for t in texts]
+        good = np.ones(len(texts), dtype=bool)
+        found = ([e.ids for e in pair.a.encode_batch_fast(full, add_special_tokens=False)], pair.b.encode(texts, num_threads=1))
+        for side, (ids, entry) in enumerate(zip(found, (pair.bytes_a, pair.bytes_b))):
+            good &= [b"".join([entry[i] for i in x]) == t.encode("utf-8") for x, t in zip(ids, full)]
+            self.ids[side] = np.concatenate([self.ids[side], np.array([i for x in ids for i in x], dtype=np.int64)])
+            self.ends[side] = np.concatenate([self.ends[side], self.ends[side][-1] + np.cumsum([len(x) for x in ids])])
+        self.good = np.concatenate([self.good, good])
+        self.chars += sum(map(len, texts))
+
+    def tokens(self, side: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the segments ``codes`` in a row, and how many each has."""
+        begin, n = self.ends[side][codes], np.diff(self.ends[side])[codes]
+        at = np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n)
+        return self.ids[side][at], n
 
 
 def gallop(driver: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -142,27 +174,32 @@ def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _encoded(pair: Pair, texts: list[str]):
-    """Token ids of A and of B, with the text of each, for the texts that both give back; and which texts those are."""
-    cut = [pieces(t) if t else [] for t in texts]
-    of = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
-    flat = [p for c in cut for p in c]
-    found = []
-    for ids, entry, size in (([e.ids for e in pair.a.encode_batch_fast(flat, add_special_tokens=False)], pair.bytes_a, pair.size_a),
-                             (pair.b.encode([p[1:] for p in flat], num_threads=1), pair.bytes_b, pair.size_b)):
-        row = np.repeat(of, np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
-        token = np.fromiter((i for x in ids for i in x), dtype=np.int64, count=len(row))
-        found.append((token, row, entry, size))
+    """(token ids, text of each, sizes of all ids) of A and of B, for the texts that both give back."""
+    if pair.cache.chars > CACHE_CHARS:
+        pair.cache = Segments()
+    cache = pair.cache
+    cut = [segments(t) if t else [] for t in texts]
+    row = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
+    number, first = cache.number, len(cache.number)
+    codes = np.array([number.setdefault(x, len(number)) for c in cut for x in c], dtype=np.int64)
+    fresh = list(number)[first:]
+    if fresh:
+        cache.add(pair, fresh)
     good = np.array([bool(t) for t in texts], dtype=bool)
-    want = [(" " + t).encode("utf-8") if t else b"" for t in texts]
-    for token, row, entry, _ in found:
-        cuts = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
-        good &= [b"".join(map(entry.__getitem__, token[x:y].tolist())) == w for x, y, w in zip(cuts[:-1], cuts[1:], want)]
-    return [(token[keep], row[keep], size) for token, row, _, size in found for keep in (good[row],)], good
+    for i in np.unique(row[~cache.good[codes]]).tolist():  # as a whole the text may still be given back
+        mine, want = codes[row == i], (" " + texts[i]).encode("utf-8")
+        good[i] = all(b"".join(map(entry.__getitem__, cache.tokens(side, mine)[0].tolist())) == want for side, entry in ((0, pair.bytes_a), (1, pair.bytes_b)))
+    codes, row = codes[good[row]], row[good[row]]
+    out = []
+    for side, size in ((0, pair.size_a), (1, pair.size_b)):
+        ids, n = cache.tokens(side, codes)
+        out.append((ids, np.repeat(row, n), size))
+    return out
 
 
 def align_run(pair: Pair, texts: list[str]) -> dict[str, list]:
     """Counts, groups, and distinct links with how often, for each text of a run."""
-    ((a, row_a, size_a), (b, row_b, size_b)), _ = _encoded(pair, texts)
+    (a, row_a, size_a), (b, row_b, size_b) = _encoded(pair, texts)
     n = len(texts)
     at_a, at_b = common_ends(np.cumsum(size_a[a]), np.cumsum(size_b[b]))
     group_row = row_a[at_a]
