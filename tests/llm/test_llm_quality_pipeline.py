@@ -3,6 +3,8 @@ import math
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from wareloom.llm import quality as q
 
@@ -53,6 +55,93 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert q.classify(no_docs, labels).count() == 0
 
 
+def test_line_odds_are_those_of_the_wide_matrix(monkeypatch):
+    monkeypatch.setattr(q, "BLOCK", 3)
+    rng = np.random.default_rng(7)
+    own, first = rng.standard_normal((11, q.WIDTH)), np.array([0, 1, 6, 11])
+    model = {"mean": rng.standard_normal(q.WIDTH), "spread": rng.random(q.WIDTH) + 0.5, "w": rng.standard_normal(3 * q.WIDTH + 3)}
+    wide = q.with_neighbours((own - model["mean"]) / model["spread"], first) @ model["w"]
+    assert np.allclose(q.line_odds(model, own, first), wide)
+
+
+def test_the_sample_gives_no_document_up():
+    assert q.allowance([5, 5, 5], 100) == 5 and q.allowance([], 100) == 1
+    for lines, total in (([100, 1, 2, 50], 60), ([1000] * 10, 50), ([7, 7, 7], 2)):
+        most = q.allowance(lines, total)
+        assert most >= 1 and sum(min(n, most) for n in lines) <= max(total, len(lines))
+        assert sum(min(n, most + 1) for n in lines) > total
+    assert q.parts(10, 10) == [(0, 10)]
+    for n, most in ((1000, 130), (1000, 1), (65, 64), (10**6, 999)):
+        runs = q.parts(n, most)
+        assert all(b - a <= q.CHAIN and 0 <= a < b <= n for a, b in runs) and sum(b - a for a, b in runs) <= most
+        assert all(x[1] <= y[0] for x, y in zip(runs, runs[1:])) and (len(runs) == 1 or runs[-1][1] == n)
+
+
+def test_a_long_labelled_document_leaves_the_others_in(spark, monkeypatch):
+    """Bound of 50 lines, one document of 100: the model is still that of the labels."""
+    monkeypatch.setattr(q, "SAMPLE_LINES", 50)
+    good, bad = "This is a fine sentence of plain words.", "$$$ BUY!!! NOW|||"
+    texts = [(i, "\n".join([good if i % 2 else bad] * (100 if i == 4 else 3))) for i in range(12)]
+    docs = spark.createDataFrame(texts + texts[:2], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)] * 2, "doc_id long, quality int")
+    model = q.train(docs, labels)
+    assert "curve" in model
+    rows = q.score(docs, model).collect()
+    assert all((r.score > 0.5) == bool(r.doc_id % 2) for r in rows) and len(rows) == 14
+
+
+def test_the_operator_against_a_plain_computation(spark):
+    """Scores of the whole operator against enumerated labelings of each text's lines, with the fitted model."""
+    good, bad = "This is a fine sentence of plain words.", "$$$ BUY!!! NOW|||"
+    docs = spark.createDataFrame([(i, "\n".join([good if (i + j) % 3 else bad for j in range(i % 5)])) for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(30)], "doc_id long, quality int")
+    model = q.train(docs, labels.where(~q.held_out()))
+    want = {}
+    for r in docs.collect():
+        raw = np.frombuffer(r.text.encode(), np.uint8)
+        own, size, first = q.line_features(raw, np.array([0, len(raw)]))
+        s = q.with_neighbours((own - model["mean"]) / model["spread"], first) @ model["w"]
+        marginal, total = np.zeros(len(s)), 0.0
+        for y in itertools.product((0, 1), repeat=len(s)):
+            w = math.exp(sum(a for a, b in zip(s, y) if b) + sum(model["stay"][y[i]] for i in range(1, len(s)) if y[i] == y[i - 1]))
+            marginal, total = marginal + w * np.array(y), total + w
+        quality = float((marginal / total * (size + 1)).sum() / (size + 1).sum())
+        odds = math.log(min(max(quality, 1e-6), 1 - 1e-6) / (1 - min(max(quality, 1e-6), 1 - 1e-6)))
+        want[r.doc_id] = 1 / (1 + math.exp(-(odds * model["curve"][0] + model["curve"][1])))
+    out = q.classify(docs, labels).collect()
+    assert len(out) == 30 and all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-6) for r in out)
+
+
+def test_near_dedup_of_rows_that_share_ids(spark):
+    """Each row is judged by its own text: the copy goes though its doc_id stays with another text."""
+    base = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, base), (2, base + " z"), (2, other), (3, other + " y"), (4, ""), (4, other + " x"), (5, base), (5, base), (6, "own " + " ".join(f"u{i}" for i in range(9))), (6, base + " q")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t), "x") for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long, row string")
+    out = corpus_pipeline.near_dedup(spark, docs, "")
+    assert out.columns == docs.columns
+    assert plain((r.doc_id, r.text) for r in out.collect()) == plain([(1, base), (2, other), (4, ""), rows[8]])
+    twins = spark.createDataFrame([(7, base), (7, base + " b")], "doc_id long, text string")
+    assert corpus_pipeline.near_dedup(spark, twins, "").count() == 1
+
+
+def test_mixing_of_one_text_in_two_sources(spark):
+    from wareloom.llm.mixing import mix
+
+    rows = [(1, "A", "one two three"), (1, "B", "one two three"), (2, "A", "four five"), (3, None, "six"), (3, None, "six"), (4, "B", "seven " * 9), (4, "B", None)]
+    docs = spark.createDataFrame([(d, t, "en", s, 1, "x") for d, s, t in rows], "doc_id long, text string, lang string, source string, n_chars long, digest string")
+    got = {}
+    for r in corpus_pipeline.mixing(spark, docs, "").collect():
+        assert (r.doc_id, r.source, r.text) not in got and r.digest == "x"
+        got[r.doc_id, r.source, r.text] = (r["size"], r.source_size, r.target, r.taken)
+    want = {}
+    plan = mix(docs.withColumn("copy_of", F.col("text"))).where("taken > 0").collect()
+    for r in plan:
+        k = (r.doc_id, r.source, r.copy_of)
+        want[k] = (r["size"], r.source_size, r.target, r.taken + (want[k][3] if k in want else 0))
+    assert got == want and len(got) >= 3
+
+
 def plain(rows):
     return sorted(map(tuple, rows), key=str)
 

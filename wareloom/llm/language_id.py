@@ -5,10 +5,11 @@ A word's probability is the sum over all its segmentations into pieces, by the
 forward algorithm; a text's is the product over its words, times the share of
 the language among the training documents.
 
-Words are runs of ASCII letters and non-ASCII characters, lower-cased, with the
-vocabulary's space mark in front; runs over ``RUN`` characters are cut into
-parts of that length.  A character that no piece covers counts as the unknown
-piece.
+Words are runs of ASCII letters and non-ASCII characters of any length,
+lower-cased, with the vocabulary's space mark in front.  A character that no piece
+covers counts as the unknown piece.  Words of up to ``RUN`` characters are worked
+by length, all of one length in step; longer ones position by position, with a
+window of the longest piece that rolls over the word, rescaled as it goes.
 
 Training is expectation maximisation from a rank-based start (piece
 probability ~ 1 / (rank + 10), alike in all languages): each round is one pass
@@ -35,14 +36,14 @@ from wareloom.llm.text_hash import LETTERS, mix, slices, words
 from wareloom.llm.token_counts import MARK, MODEL, load, model_path
 from wareloom.session import ship_package
 
-RUN = 32
+RUN, LONG_BLOCK, LONG_CELLS = 32, 1024, 1 << 13
 SCALE = 1e5  # per character, so that products of small probabilities stay in range
 FLOOR = 1e-9
 MAX_LANGUAGES = 1000
 ROUNDS = 1
 SMOOTH = 0.5
 BASE = np.uint64(0x9E3779B97F4A7C55)
-WORDS_AT_ONCE = 1 << 14
+CELLS_AT_ONCE = 1 << 16  # words x languages
 
 
 class Pieces:
@@ -94,13 +95,14 @@ def pieces(path: str) -> Pieces:
     return _pieces[path]
 
 
-def _by_length(texts: list[str]):
-    """(word numbers, their characters with the space mark in front) for each length."""
+def _by_length(texts: list[str], languages: int):
+    """(word numbers, their characters with the space mark in front) for each length up to RUN."""
     lengths = np.array([len(t) for t in texts])
-    for n in np.unique(lengths):
+    at_once = max(1, CELLS_AT_ONCE // max(1, languages))
+    for n in np.unique(lengths[lengths <= RUN]):
         at = np.flatnonzero(lengths == n)
-        for a in range(0, len(at), WORDS_AT_ONCE):
-            part = at[a : a + WORDS_AT_ONCE]
+        for a in range(0, len(at), at_once):
+            part = at[a : a + at_once]
             chars = np.frombuffer("".join(MARK + texts[i] for i in part).encode("utf-32-le"), np.uint32)
             yield part, chars.reshape(len(part), n + 1).astype(np.uint64)
 
@@ -133,13 +135,143 @@ def _forward(edges, p: np.ndarray, rows: int) -> list[np.ndarray]:
     return alpha
 
 
+def _long(texts: list[str]):
+    """(word numbers, characters padded with zeros, lengths with the mark) of words over RUN, those of like length together."""
+    order = sorted((i for i, t in enumerate(texts) if len(t) > RUN), key=lambda i: len(texts[i]))
+    while order:
+        rows = max(1, min(len(order), LONG_CELLS // (len(texts[order[0]]) + 1)))
+        part, order = order[:rows], order[rows:]
+        sizes = np.array([len(texts[i]) + 1 for i in part])
+        chars = np.zeros((len(part), int(sizes.max())), np.uint64)
+        for r, i in enumerate(part):
+            chars[r, : sizes[r]] = np.frombuffer((MARK + texts[i]).encode("utf-32-le"), np.uint32)
+        yield np.array(part), chars, sizes
+
+
+class _Chain:
+    """Forward and backward sums of a batch of long words, block by block.
+
+    Sums are kept times SCALE to the power of the characters they cover, over a factor of
+    their own for each word and language (``scale``, its logarithm).
+    """
+
+    def __init__(self, vocabulary: Pieces, chars: np.ndarray, sizes: np.ndarray, p: np.ndarray):
+        self.v, self.chars, self.sizes, self.p = vocabulary, chars, sizes, p
+        self.rows, self.n = chars.shape
+        self.w = vocabulary.longest
+        self.powers = (SCALE ** np.arange(1, self.w + 1))[:, None, None]
+        self.block = max(1, LONG_BLOCK // max(1, self.rows * p.shape[1] // 64))
+
+    def ids(self, begin: int, end: int) -> np.ndarray:
+        """Pieces that end at begin + 1 .. end: [end, length - 1, row]; the last row of p (zeros) where there is none."""
+        lo = max(0, begin - self.w + 1)
+        span = self.chars[:, lo:end]
+        out = np.full((end - begin, self.w, self.rows), len(self.p) - 1, np.int32)
+        h = np.zeros(span.shape, np.uint64)
+        for length in range(1, min(self.w, end) + 1):
+            starts = span.shape[1] - length + 1
+            if starts <= 0:
+                break
+            h = Pieces.step(h[:, :starts], span[:, length - 1 :])
+            found = self.v.find(h.reshape(-1)).reshape(h.shape)
+            if length == 1:
+                found = np.where(found < 0, self.v.n - 1, found)
+            found = np.where(found < 0, len(self.p) - 1, found)
+            first_end = lo + length  # the piece from lo ends here
+            skip = max(0, begin + 1 - first_end)
+            out[first_end + skip - begin - 1 :, length - 1, :] = found[:, skip:].T
+        past = np.arange(begin + 1, end + 1)[:, None] > self.sizes[None, :]
+        out[np.broadcast_to(past[:, None, :], out.shape)] = len(self.p) - 1
+        return out
+
+    def forward(self, window: np.ndarray, scale: np.ndarray, begin: int, end: int, ids: np.ndarray):
+        """Sums at begin + 1 .. end and their scales; ``window`` has the sums at begin, begin - 1, ..."""
+        sums, scales = np.zeros((end - begin, *scale.shape)), np.zeros((end - begin, *scale.shape))
+        window, scale = window.copy(), scale.copy()
+        for t in range(end - begin):
+            now = (window * self.p[ids[t]] * self.powers).sum(axis=0)
+            window[1:] = window[:-1]
+            window[0] = now
+            top = window.max(axis=0)
+            far = (top > 1e50) | ((top < 1e-50) & (top > 0))
+            if far.any():
+                by = np.where(far, top, 1.0)
+                window /= by
+                scale += np.log(by)
+            sums[t], scales[t] = window[0], scale
+        return sums, scales, window, scale
+
+    def start(self):
+        window = np.zeros((self.w, self.rows, self.p.shape[1]))
+        window[0] = 1.0
+        return window, np.zeros(window.shape[1:])
+
+    def blocks(self):
+        return [(a, min(a + self.block, self.n)) for a in range(0, self.n, self.block)]
+
+    def total(self, keep: list | None = None) -> np.ndarray:
+        """log of the sum over all segmentations, SCALE taken in; ``keep`` takes the state before each block."""
+        window, scale = self.start()
+        out = np.zeros(scale.shape)
+        for a, b in self.blocks():
+            if keep is not None:
+                keep.append((window, scale))
+            sums, scales, window, scale = self.forward(window, scale, a, b, self.ids(a, b))
+            done = np.flatnonzero((self.sizes > a) & (self.sizes <= b))
+            at = self.sizes[done] - a - 1
+            out[done] = np.log(np.maximum(sums[at, done], 1e-300)) + scales[at, done]
+        return out
+
+    def expected(self, counts: np.ndarray, out: np.ndarray) -> None:
+        """Adds the expected uses of each piece; blocks are worked from the last, their forward sums taken anew."""
+        keep: list = []
+        log_total = self.total(keep)
+        w, langs = self.w, self.p.shape[1]
+        back, scale = np.zeros((w, self.rows, langs)), np.zeros((self.rows, langs))  # sums from position end, end + 1, ...
+        for (a, b), (window, before) in zip(reversed(self.blocks()), reversed(keep)):
+            hi = min(self.n, b + w)
+            ids = self.ids(a, hi)
+            sums, scales, _, _ = self.forward(window, before, a, b, ids[: b - a])
+            heads = np.concatenate([window[:1], sums])  # at a .. b
+            head_scales = np.concatenate([before[None], scales])
+            flows, used = np.zeros((b - a, w, self.rows, langs)), np.full((b - a, w, self.rows), len(self.p) - 1, np.int32)
+            for i in range(b, a - 1, -1):
+                ending = self.sizes == i
+                if i == b and i < self.n:
+                    continue  # that position belongs to the next block, and is in ``back``
+                now = np.zeros((self.rows, langs))
+                if i < self.n:
+                    reach = min(w, self.n - i)
+                    piece = ids[i - a + np.arange(reach), np.arange(reach)]  # from i, by length
+                    step = back[:reach] * self.p[piece] * self.powers[:reach]
+                    now = step.sum(axis=0)
+                    if i < b:
+                        with np.errstate(under="ignore"):
+                            share = np.exp(np.clip(head_scales[i - a] + scale - log_total, -700, 700))
+                        flows[i - a, :reach] = step * (heads[i - a] * share * counts)[None]
+                        used[i - a, :reach] = piece
+                now[ending], scale[ending] = 1.0, 0.0
+                back[1:] = back[:-1]
+                back[0] = now
+                top = back.max(axis=0)
+                far = (top > 1e50) | ((top < 1e-50) & (top > 0))
+                if far.any():
+                    by = np.where(far, top, 1.0)
+                    back /= by
+                    scale += np.log(by)
+            for lang in range(langs):
+                out[:, lang] += np.bincount(used.reshape(-1), flows[..., lang].reshape(-1), len(out))
+
+
 def score_words(vocabulary: Pieces, texts: list[str], p: np.ndarray) -> np.ndarray:
     """log P(word | language), one row per word."""
     p = np.vstack([p, np.zeros(p.shape[1])])
     out = np.zeros((len(texts), p.shape[1]))
-    for at, chars in _by_length(texts):
+    for at, chars in _by_length(texts, p.shape[1]):
         alpha = _forward(_edges(vocabulary, chars), p, len(at))
         out[at] = np.log(np.maximum(alpha[-1], 1e-300)) - chars.shape[1] * np.log(SCALE)
+    for at, chars, sizes in _long(texts):
+        out[at] = _Chain(vocabulary, chars, sizes, p).total() - (sizes * np.log(SCALE))[:, None]
     return out
 
 
@@ -147,7 +279,9 @@ def expected_counts(vocabulary: Pieces, texts: list[str], counts: np.ndarray, p:
     """Expected uses of each piece (rows) by language, over words with counts by language."""
     p = np.vstack([p, np.zeros(p.shape[1])])
     out = np.zeros_like(p)
-    for at, chars in _by_length(texts):
+    for at, chars, sizes in _long(texts):
+        _Chain(vocabulary, chars, sizes, p).expected(counts[at], out)
+    for at, chars in _by_length(texts, p.shape[1]):
         edges = _edges(vocabulary, chars)
         n = len(edges)
         alpha = _forward(edges, p, len(at))
@@ -165,7 +299,7 @@ def expected_counts(vocabulary: Pieces, texts: list[str], counts: np.ndarray, p:
 
 
 def _unique_words(raw: np.ndarray, off: np.ndarray):
-    """(distinct words cut into runs, run -> word, word of each occurrence, text of each occurrence)."""
+    """(distinct words with a letter, their numbers, number of words, word of each occurrence, text of each occurrence)."""
     s, e, h, first = words(raw, off, LETTERS)
     _, at, which = np.unique(h, return_index=True, return_inverse=True)
     data = raw.tobytes()
@@ -173,9 +307,8 @@ def _unique_words(raw: np.ndarray, off: np.ndarray):
     for k, i in enumerate(at.tolist()):
         word = data[s[i] : e[i]].decode("utf-8", "replace").lower()
         if any(map(str.isalpha, word)):
-            for a in range(0, len(word), RUN):
-                texts.append(word[a : a + RUN])
-                owner.append(k)
+            texts.append(word)
+            owner.append(k)
     doc = np.repeat(np.arange(len(off) - 1), np.diff(first))
     return texts, np.array(owner, dtype=np.int64), len(at), which, doc
 

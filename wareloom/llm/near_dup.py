@@ -147,8 +147,8 @@ def _sign(k: int):
                 rows = lambda a: pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * a.shape[1], pa.int32()), pa.array(np.ascontiguousarray(a).reshape(-1)))
                 digest = pa.array([word_digest(data[a:b]) for a, b in zip(off[:-1], off[1:])], pa.binary())
                 sketch = pa.array([x.tobytes() for x in _nibbles(sig)], pa.binary())
-                yield pa.RecordBatch.from_arrays([ids.slice(row, n), digest, pa.array(size, pa.int64()), rows(_bands(sig)), rows(_bits(sig)), sketch],
-                                                 ["doc_id", "digest", "n_shingles", "bands", "bits", "sketch"])
+                yield pa.RecordBatch.from_arrays([ids.slice(row, n), batch.column("key").slice(row, n), digest, pa.array(size, pa.int64()), rows(_bands(sig)), rows(_bits(sig)), sketch],
+                                                 ["doc_id", "key", "digest", "n_shingles", "bands", "bits", "sketch"])
 
     return run
 
@@ -264,16 +264,20 @@ def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return cut_lineage(whole.mapInArrow(_verify(k, percent), "a long, b long"), "near-links")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept for every row of ``docs``."""
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, key: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept for every row of ``docs``.
+
+    With ``key`` (a long column that tells rows of one doc_id apart) also ``key`` and ``group``, a number of the row's own
+    component, which rows of other components do not share even where their smallest doc_id is the same; null without shingles.
+    """
     ship_package(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sig = cut_lineage(texts.mapInArrow(_sign(k), "doc_id long, digest binary, n_shingles long, bands array<long>, bits array<long>, sketch binary"), "signatures")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (F.col(key).cast("long") if key else F.lit(0).cast("long")).alias("key"))
+    sig = cut_lineage(texts.mapInArrow(_sign(k), "doc_id long, key long, digest binary, n_shingles long, bands array<long>, bits array<long>, sketch binary"), "signatures")
     named, repeated = vertex_ids(sig.where("n_shingles > 0 and doc_id is not null"), "doc_id")
     vertices = named.groupBy("digest").agg(F.min("_vertex").alias("node"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"),
                                            F.first("bands").alias("bands"), F.first("bits").alias("bits"), F.first("sketch").alias("sketch"))
     vertices = cut_lineage(vertices, "vertices")
-    named_texts = texts.where("doc_id is not null")
+    named_texts = texts.where("doc_id is not null").drop("key")
 
     members = vertices.select("node", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("_last")).where("head < _last").drop("_last")
@@ -309,7 +313,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         groups = components(links.unionByName(_links(more.select(*PAIR), named_texts, k, percent)))
 
     found = smallest_ids(vertices.select("digest", "node", "least"), groups, repeated)
-    out = sig.select("doc_id", "digest", "n_shingles").join(found, "digest", "left")
+    if key:
+        found = found.join(vertices.join(groups, "node", "left").select("digest", F.coalesce("component", "node").alias("group")), "digest")
+    out = sig.select("doc_id", "key", "digest", "n_shingles").join(found, "digest", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-    out = out.select("doc_id", "n_shingles", own.alias("component_id"))
+    out = out.select("doc_id", "n_shingles", own.alias("component_id"), *(["key", "group"] if key else []))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

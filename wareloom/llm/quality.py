@@ -7,15 +7,17 @@ backward sums), weighted by line length, mapped to a probability by a logistic
 curve fitted on the training documents.
 
 Training: lines take their document's label.  The sample is bounded: at most
-``SAMPLE`` labelled documents (smallest hash of doc_id first), whole documents
-up to ``SAMPLE_LINES`` lines together; only features reach the driver.  For
-training, documents are cut into chains of at most ``CHAIN`` lines.  Scoring is
-map-side over whole texts with the broadcast model.
+``SAMPLE`` labelled documents (smallest hash of doc_id first) and about
+``SAMPLE_LINES`` lines; when they have more, the longest documents give a part of their lines
+(chains spread evenly over the text), so that no document is left out.  Only
+features reach the driver.  For training, documents are cut into chains of at
+most ``CHAIN`` lines.  Scoring is map-side over whole texts with the broadcast model.
 
 Defined cases: a null or empty text is one empty line and gets the score that
 such a line has; without usable labels every score is 0.5, with one class only
 the share of that class; labels without a document, or with a null quality,
-are not used; repeated labels count repeatedly; an empty table gives no rows;
+are not used; labels of a document that disagree both count, repeated labels and
+repeated rows count once; an empty table gives no rows;
 ``held_out``, ``score`` and ``predicted`` of the input are replaced.
 """
 
@@ -23,13 +25,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wareloom.llm.text_hash import NOT_SPACE, slices, words
 from wareloom.session import ship_package
 
-SAMPLE, SAMPLE_LINES, CHAIN = 6000, 200_000, 64
+SAMPLE, SAMPLE_LINES, CHAIN, BLOCK = 6000, 200_000, 64, 1 << 15
 STEPS, RATE, RIDGE = 150, 0.1, 1e-3
 THRESHOLD = 0.3
 
@@ -112,10 +114,25 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
+def line_odds(model: dict, own: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """``with_neighbours(...) @ w`` without the wide matrix: each line's share for itself, its next and its previous line."""
+    width, w = own.shape[1], model["w"]
+    by_place = w[: 3 * width].reshape(3, width).T
+    share = np.empty((len(own), 3))
+    for a in range(0, len(own), BLOCK):
+        share[a : a + BLOCK] = ((own[a : a + BLOCK] - model["mean"]) / model["spread"]) @ by_place
+    out = share[:, 0] + w[3 * width + 2]
+    begin, end = np.zeros(len(own), bool), np.zeros(len(own), bool)
+    begin[first[:-1]], end[first[1:] - 1] = True, True
+    inner, last = np.flatnonzero(~begin), np.flatnonzero(~end)
+    out[inner] += share[inner - 1, 1]
+    out[last] += share[last + 1, 2]
+    return out + begin * w[3 * width] + end * w[3 * width + 1]
+
+
 def document_quality(model: dict, own: np.ndarray, size: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Length-weighted mean of the lines' good marginals, by text."""
-    x = with_neighbours((own - model["mean"]) / model["spread"], first)
-    f, b = messages(x @ model["w"], first, model["stay"])
+    f, b = messages(line_odds(model, own, first), first, model["stay"])
     weight = size + 1.0
     total = np.add.reduceat(_sigmoid(f + b) * weight, first[:-1])
     return total / np.add.reduceat(weight, first[:-1])
@@ -159,26 +176,61 @@ def fit(own: np.ndarray, size: np.ndarray, first: np.ndarray, label: np.ndarray)
     return model | {"curve": curve}
 
 
-def _featured(batches):
-    for batch in batches:
-        label = batch.column("quality")
-        for row, raw, off in slices(batch.column("text")):
-            own, size, first = line_features(raw, off)
-            for i, (a, b) in enumerate(zip(first[:-1], first[1:])):
-                yield pa.RecordBatch.from_arrays([label.slice(row + i, 1), pa.array([own[a:b].tobytes()], pa.binary()), pa.array([size[a:b].tobytes()], pa.binary())], ["quality", "own", "size"])
+def parts(n: int, most: int) -> list[tuple[int, int]]:
+    """Runs of lines to learn from: all n, or chains of at most CHAIN lines spread evenly, ``most`` lines together."""
+    if n <= most:
+        return [(0, n)]
+    chains = -(-most // CHAIN)
+    size = most // chains
+    return [(a, a + size) for a in (np.arange(chains) * (n - size) // max(1, chains - 1)).tolist()]
+
+
+def allowance(lines: list[int], total: int = SAMPLE_LINES) -> int:
+    """The most lines a document may give, so that all together give about ``total``; every document gives at least one."""
+    left, rest = total, sorted(lines)
+    for i, n in enumerate(rest):
+        if n * (len(rest) - i) > left:
+            return max(1, left // (len(rest) - i))
+        left -= n
+    return max(rest, default=1)
+
+
+def _featured(most: int):
+    def run(batches):
+        for batch in batches:
+            quality, digest = batch.column("quality"), batch.column("digest")
+            for row, raw, off in slices(batch.column("text")):
+                own, size, first = line_features(raw, off)
+                for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+                    for n, (x, y) in enumerate(parts(b - a, most)):
+                        yield pa.RecordBatch.from_arrays([quality.slice(row + i, 1), digest.slice(row + i, 1), pa.array([n], pa.int32()), pa.array([own[a + x : a + y].tobytes()], pa.binary()),
+                                                          pa.array([size[a + x : a + y].tobytes()], pa.binary())], ["quality", "digest", "part", "own", "size"])
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame) -> dict:
-    """Fit on a bounded sample of ``labels`` (doc_id, quality) with a document."""
+    """Fit on a bounded sample of ``labels`` (doc_id, quality) with a document.
+
+    Two passes: line counts of the labelled documents choose the sample, then only its
+    texts are turned into features, in the tasks that read them.
+    """
     ship_package(docs.sparkSession)
     usable = labels.where("quality in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    ids = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(SAMPLE)
+    ids = usable.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(SAMPLE)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sample = texts.join(F.broadcast(ids), "doc_id")  # SAMPLE ids at most
-    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0)
+    digest = F.xxhash64("doc_id", "quality", "text")
+    marked = texts.join(F.broadcast(ids), "doc_id").withColumn("digest", digest)  # SAMPLE ids at most
     lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    sample = sample.withColumn("_lines", F.sum(lines).over(order)).where(F.col("_lines") <= SAMPLE_LINES).select("text", "quality")
-    rows = sample.mapInArrow(_featured, "quality int, own binary, size binary").collect()
+    counted = marked.select("digest", lines.alias("lines")).groupBy("digest").agg(F.first("lines").alias("lines"))
+    chosen = counted.orderBy("digest").limit(SAMPLE).collect()
+    if not chosen:
+        return {"share": 0.5}
+    wanted = docs.sparkSession.createDataFrame([(r["digest"],) for r in chosen], "digest long")
+    sample = marked.join(F.broadcast(wanted), "digest", "left_semi").select("digest", "quality", "text")
+    features = sample.mapInArrow(_featured(allowance([r["lines"] for r in chosen])), "quality int, digest long, part int, own binary, size binary")
+    once = features.groupBy("digest", "part").agg(F.first("quality").alias("quality"), F.first("own").alias("own"), F.first("size").alias("size"))
+    rows = sorted(once.collect(), key=lambda r: (r["digest"], r["part"]))
     label = np.array([r.quality for r in rows], dtype=np.float64)
     if len(set(label)) < 2:
         return {"share": float(label[0]) if len(label) else 0.5}

@@ -51,6 +51,14 @@ def _power(base: int, n: int) -> np.ndarray:
     return have
 
 
+def spare(name: str, columns) -> str:
+    """``name``, with underscores in front until no column of the input has it (names differ beyond case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_bytes(col) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string column; a null text has length 0."""
     if isinstance(col, pa.ChunkedArray):
