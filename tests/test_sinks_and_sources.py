@@ -3,6 +3,7 @@
 import io
 import zipfile
 
+import folder_pages as FP
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +14,12 @@ from wareloom.sources import paged as P
 from wareloom.sources import workbooks as WB
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    """The test service, for the tasks."""
+    spark.sparkContext.addPyFile(FP.__file__)
+
+
 def test_publish_swap_and_recover(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS t_master")
     t = "t_master.swap"
@@ -60,18 +67,18 @@ def test_target_names():
 def test_offset_pages_reunite(spark, tmp_path, size):
     d = spark.range(0, 2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     path = str(tmp_path / f"p{size}")
-    n = P.write_offset_pages(d, path, "k", size)
-    back = P.read(spark, "k bigint, v bigint", transport="folder", location=path, page_size=size, count=n,
+    n = FP.write_offset_pages(d, path, "k", size)
+    back = P.read(spark, "k bigint, v bigint", transport=FP.NAME, location=path, page_size=size, count=n,
                   pages_per_partition=3)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, d.collect()))
 
 
 def test_empty_service_and_cursor_chains(spark, tmp_path):
-    empty = P.read(spark, "k bigint", transport="folder", location=str(tmp_path), count=0)
+    empty = P.read(spark, "k bigint", transport=FP.NAME, location=str(tmp_path), count=0)
     assert empty.count() == 0
     d = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") % 3).alias("chain"))
-    starts = P.write_cursor_pages(d, str(tmp_path / "c"), "chain", "k", 7)
-    back = P.read(spark, "k bigint, chain bigint", transport="folder", location=str(tmp_path / "c"),
+    starts = FP.write_cursor_pages(d, str(tmp_path / "c"), "chain", "k", 7)
+    back = P.read(spark, "k bigint, chain bigint", transport=FP.NAME, location=str(tmp_path / "c"),
                   paging="cursor", starts=starts)
     assert sorted(r[0] for r in back.collect()) == list(range(50))
 
@@ -115,8 +122,8 @@ def test_parse_xlsx_shared_strings():
 def test_typed_pages_push_filters(spark, tmp_path):
     d = spark.range(0, 3000).select(F.col("id").alias("k"), (F.col("id") % 7).cast("string").alias("g"))
     path = str(tmp_path / "typed")
-    n = P.write_offset_pages(d, path, "k", 500)
-    typed = P.read_typed(spark, "k bigint, g string", transport="folder", location=path, page_size=500, count=n)
+    n = FP.write_offset_pages(d, path, "k", 500)
+    typed = P.read_typed(spark, "k bigint, g string", transport=FP.NAME, location=path, page_size=500, count=n)
     got = typed.where((F.col("k") >= 100) & (F.col("g").isin("1", "2")) & F.col("g").isNotNull())
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Filter (" not in plan  # every predicate was taken by the source

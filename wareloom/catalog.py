@@ -40,13 +40,16 @@ def _properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in rows if not r["key"].startswith(("spark.", "transient", "numFiles", "totalSize"))}
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def set_property(spark: SparkSession, table: str, key: str, value: str) -> None:
-    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{quoted}')")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_quoted(key)} = {_quoted(value)})")
 
 
 def unset_property(spark: SparkSession, table: str, key: str) -> None:
-    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{key}')")
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({_quoted(key)})")
 
 
 def get_property(spark: SparkSession, table: str, key: str) -> str | None:

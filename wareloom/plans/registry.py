@@ -581,25 +581,44 @@ def q_copy_tables_report(spark, d):
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
+def _event_pages(spark, d, name, size, **grouped):
+    """The events as captured pages: (table, its zones)."""
+    from wareloom.plans.scratch import scratch_database
+    from wareloom.sources import captures as CP
+
+    table = f"{scratch_database(spark, name)}.pages"
+    zones = ["event_id", "event_type", "value"]
+    CP.add(CP.pages_of(T(spark, d, "events"), "event_id", size, **grouped), table, EVENT_SCHEMA, zones)
+    return table
+
+
 @register("paged_records", "SELECT * FROM events")
 def q_paged_records(spark, d):
-    from wareloom.session import scratch_path
-    from wareloom.sources import paged as P
+    from wareloom.sources import captures as CP
 
-    path = scratch_path(spark, "offset-pages")
-    n = P.write_offset_pages(T(spark, d, "events"), path, "event_id", 1000)
-    return P.read(spark, EVENT_SCHEMA, transport="folder", location=path, paging="offset", page_size=1000,
-                  count=n, pages_per_partition=4)
+    return CP.read(spark, _event_pages(spark, d, "records", 1000), EVENT_SCHEMA)
 
 
 @register("paged_cursor", "SELECT * FROM events")
 def q_paged_cursor(spark, d):
-    from wareloom.session import scratch_path
-    from wareloom.sources import paged as P
+    """Linked pages, a chain per event type; the capture must hold every link that a page names."""
+    from wareloom.sources import captures as CP
 
-    path = scratch_path(spark, "cursor-pages")
-    starts = P.write_cursor_pages(T(spark, d, "events"), path, "event_type", "event_id", 500)
-    return P.read(spark, EVENT_SCHEMA, transport="folder", location=path, paging="cursor", starts=starts)
+    table = _event_pages(spark, d, "cursor", 500, chain_col="event_type")
+    if not CP.incomplete(spark, table).isEmpty():
+        raise RuntimeError("the capture lacks pages")
+    return CP.read(spark, table, EVENT_SCHEMA)
+
+
+@register("paged_loop_values", """
+SELECT event_type AS asked_for, event_id, value FROM events WHERE event_type IN ('click', 'purchase', 'none') AND value <= 50""")
+def q_paged_loop_values(spark, d):
+    """One capture per loop value, read for three of them (one has no pages) with a filter."""
+    from wareloom.sources import captures as CP
+
+    table = _event_pages(spark, d, "loops", 300, loop_col="event_type")
+    rows = CP.read(spark, table, EVENT_SCHEMA, [("value", "<=", 50)], ["click", "purchase", "none"], loop_column="asked_for")
+    return rows.select("asked_for", "event_id", "value")
 
 
 # ---- workbooks and streams -------------------------------------------------------------------------------------
@@ -645,15 +664,12 @@ def q_stream_replace_landing(spark, d):
 @register("paged_filtered_count", """
 SELECT event_type, count(*) AS n FROM events WHERE value > 10 AND event_type IN ('click', 'view') GROUP BY event_type""")
 def q_paged_filtered_count(spark, d):
-    from wareloom.session import scratch_path
-    from wareloom.sources import paged as P
-
-    path = scratch_path(spark, "filtered-pages")
-    n = P.write_offset_pages(T(spark, d, "events"), path, "event_id", 1000)
-    df = P.read_typed(spark, EVENT_SCHEMA, transport="folder", location=path, page_size=1000, count=n)
-    # both predicates are offered to the source (pushFilters) and applied per page there
-    return (df.where((F.col("value") > 10) & F.col("event_type").isin("click", "view"))
-            .groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
+    """Both predicates are put to the pages' zones before bodies are parsed, and to the records."""
+    from wareloom.sources import captures as CP
+
+    table = _event_pages(spark, d, "filtered", 1000)
+    rows = CP.read(spark, table, EVENT_SCHEMA, [("value", ">", 10), ("event_type", "in", ["click", "view"])])
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---- more enrichment and contracts (L1, D6, I9, J5, H4) ---------------------------------------------------------
