@@ -110,8 +110,9 @@ def test_partition_loads_side_by_side(spark):
 
 def test_keys_meet_in_the_common_type(spark):
     m = table(spark, [(1, "a"), (2, "b")], "k int, v string")
-    got = LD.replace(m, table(spark, [(1.5, "x"), (2.0, "y")], "k double, v string").where("k <> 2"), ["k"])
-    assert got.schema == m.schema and {r.v for r in got.collect()} == {"a", "b", "x"}
+    mixed = table(spark, [(1.5, "x"), (2.0, "y")], "k double, v string")
+    got = LD.replace(m, LD.fits(m, mixed, ["k"]), ["k"])
+    assert got.schema == m.schema and {r.v for r in got.collect()} == {"a", "y"} and [r.v for r in LD.misfits(m, mixed, ["k"]).collect()] == ["x"]
     got = LD.delete_by_key(m, table(spark, [(2.0, "y"), (1.5, "x")], "k double, v string"), ["k"])
     assert [tuple(r) for r in got.collect()] == [(1, "a")]
     days = table(spark, [(dt.date(2024, 1, 1), "a"), (dt.date(2024, 1, 2), "b")], "k date, v string")

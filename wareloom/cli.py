@@ -3,6 +3,11 @@
     python -m wareloom.cli load replace      # staging -> master by key
     python -m wareloom.cli load replace-partitions   # same, rewriting only touched partitions
     python -m wareloom.cli load append | overwrite
+    python -m wareloom.cli load replace-generated    # by key, ids in GENERATED_ID made anew (order: ID_COLS)
+    python -m wareloom.cli convert-datetime  # text columns COLS of the staged tables to timestamps
+    python -m wareloom.cli copy              # master tables (COLUMN_Q columns) to TARGET_DB, SUFFIX added
+    python -m wareloom.cli export            # master tables as CSV below TARGET_PATH
+    python -m wareloom.cli misses            # geocoded rows without a place, as CSV below TARGET_PATH
     python -m wareloom.cli validate          # schema + null contract of the staged tables
     python -m wareloom.cli generate-schema   # contract of a staged table (JSON on stdout)
     python -m wareloom.cli pull              # incremental pull of the tables into staging
@@ -39,6 +44,13 @@ ENV_SOURCE_PATH = "SOURCE_PATH"
 ENV_JDBC_URL = "JDBC_URL"
 ENV_COLLATION = "KEY_COLLATION"
 ENV_PARTITION_COLS = "PARTITION_COLS"
+ENV_COLS = "COLS"
+ENV_COLUMN_Q = "COLUMN_Q"
+ENV_SUFFIX = "SUFFIX"
+ENV_TARGET_DB = "TARGET_DB"
+ENV_TARGET_PATH = "TARGET_PATH"
+ENV_GENERATED_ID = "GENERATED_ID"
+ENV_WHERE = "WHERE"
 
 
 def _list(env: Mapping[str, str], name: str) -> list[str]:
@@ -79,11 +91,82 @@ def load(mode: str, env: Mapping[str, str]) -> list:
             out.append(jobs.run_append(spark, ref, target, id_cols=keys or None, require_new_ids=gate))
         elif mode == "overwrite":
             out.append(jobs.run_overwrite(spark, ref, target, id_cols=keys or None, require_new_ids=gate))
+        elif mode == "replace-generated":
+            out.append(jobs.run_replace_generated_id(spark, ref, keys, env[ENV_GENERATED_ID], keys, target))
         else:
             raise ValueError(f"unknown load mode {mode!r}")
     return out
 
 
+def convert_datetime(env: Mapping[str, str]) -> list[str]:
+    from wareloom import jobs
+    from wareloom.naming import TableRef
+
+    return [jobs.convert_datetimes(_spark(), TableRef(env[ENV_DEPT], env[ENV_SOURCE], t), _list(env, ENV_COLS)) for t in _tables(env)]
+
+
+def _masters(env: Mapping[str, str]) -> dict:
+    """The listed master tables, reduced to the columns of ``COLUMN_Q`` where given."""
+    from wareloom import jobs
+    from wareloom.naming import TableRef
+
+    refs = {t: TableRef(env[ENV_DEPT], env[ENV_SOURCE], t, env.get(ENV_TARGET_SCHEMA, "master").lower()) for t in _tables(env)}
+    return {ref.name: jobs.read_table(_spark(), ref, _list(env, ENV_COLUMN_Q)) for ref in refs.values()}
+
+
+def copy(env: Mapping[str, str]) -> list:
+    """Copy the listed master tables to ``TARGET_DB``; contents are compared."""
+    from wareloom import jobs
+
+    out = jobs.copy_tables(_spark(), _masters(env), env[ENV_TARGET_DB], env.get(ENV_SUFFIX, ""), long_text=_list(env, ENV_MAX_COLS) or None)
+    return [tuple(r) for r in out.collect()]  # one row per table
+
+
+def export(env: Mapping[str, str]) -> list[str]:
+    from wareloom.sinks import export as sink
+
+    out = []
+    for name, df in _masters(env).items():
+        out.append(f"{env[ENV_TARGET_PATH].rstrip('/')}/{name}")
+        sink.csv(df, out[-1])
+    return out
+
+
+def misses(env: Mapping[str, str]) -> list[str]:
+    """Rows of ``<table>_G`` without a latitude, with the source's columns ``COLS``, as CSV."""
+    from wareloom.naming import TableRef
+    from wareloom.operators import enrich
+    from wareloom.sinks import export as sink
+
+    spark, out = _spark(), []
+    for t in _tables(env):
+        ref = TableRef(env[ENV_DEPT], env[ENV_SOURCE], t, "master")
+        id_col = _list(env, ENV_ID_COLS)[0]
+        geo = spark.table(ref.geocoded)
+        rows = enrich.misses(geo, spark.table(ref.qualified), id_col, [c for c in geo.columns if c == "FULL_ADDRESS"], _list(env, ENV_COLS), where=env.get(ENV_WHERE) or None)
+        out.append(f"{env[ENV_TARGET_PATH].rstrip('/')}/{ref.name}_misses")
+        sink.csv(rows, out[-1])
+    return out
+
+
+def contracts(env: Mapping[str, str]) -> dict[str, str]:
+    """The contract of each listed table.
+
+    ``COL_SCHEMA`` is one contract (a JSON list, or the path of one) for a single table, or a JSON object
+    from table to contract; ``COL_SCHEMA_<TABLE>`` gives a table its own."""
+    text, tables = env.get(ENV_COL_SCHEMA, ""), _tables(env)
+    by_table = json.loads(text) if text.lstrip().startswith("{") else {}
+    out = {}
+    for t in tables:
+        own = env.get(f"{ENV_COL_SCHEMA}_{t}") or env.get(f"{ENV_COL_SCHEMA}_{t.upper()}") or by_table.get(t)
+        if own is None and not by_table and len(tables) == 1:
+            own = text
+        if not own:
+            raise ValueError(f"no contract for {t}: set {ENV_COL_SCHEMA}_{t.upper()}, or give {ENV_COL_SCHEMA} as an object by table")
+        out[t] = own if isinstance(own, str) else json.dumps(own)
+    return out
+
+
 def validate(env: Mapping[str, str]) -> None:
     """Raise ContractError when a listed staged table breaks the contract; every
     table is checked before the first error is raised."""
@@ -91,11 +174,10 @@ def validate(env: Mapping[str, str]) -> None:
     from wareloom.operators import quality
 
     spark = _spark()
-    contract = quality.contract_from_json(spark, env[ENV_COL_SCHEMA])
     broken = []
-    for t in _tables(env):
+    for t, contract in contracts(env).items():
         try:
-            quality.validate(spark.table(TableRef(env[ENV_DEPT], env[ENV_SOURCE], t).qualified), contract)
+            quality.validate(spark.table(TableRef(env[ENV_DEPT], env[ENV_SOURCE], t).qualified), quality.contract_from_json(spark, contract))
         except quality.ContractError as e:
             broken.append(f"{t}: {e}")
     if broken:
@@ -152,6 +234,9 @@ def pull(env: Mapping[str, str]) -> list[str]:
     return out
 
 
+JOBS = {"pull": pull, "convert-datetime": convert_datetime, "copy": copy, "export": export, "misses": misses}
+
+
 def main(argv: list[str] | None = None, env: Mapping[str, str] | None = None) -> int:
     argv = list(sys.argv[1:] if argv is None else argv)
     env = os.environ if env is None else env
@@ -167,8 +252,8 @@ def main(argv: list[str] | None = None, env: Mapping[str, str] | None = None) ->
         print("contract ok")
     elif cmd == "generate-schema":
         print(generate_schema(env))
-    elif cmd == "pull":
-        for t in pull(env):
+    elif cmd in JOBS:
+        for t in JOBS[cmd](env):
             print(t)
     else:
         print(__doc__)

@@ -7,6 +7,8 @@ against the epoch instead of zone-dependent casts.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,18 +34,56 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def parse_timestamp(col: Column | str, patterns: tuple[str, ...] = DEFAULT_PATTERNS) -> Column:
+#: a pattern's letters as the shape that a text must have: lengths per field, other characters themselves
+FIELDS = {"y": r"[0-9]{4}", "M": r"[0-9]{2}", "d": r"[0-9]{2}", "H": r"[0-9]{2}", "m": r"[0-9]{2}", "s": r"[0-9]{2}"}
+
+
+def pattern_shape(pattern: str) -> str | None:
+    """A regular expression that every text of the pattern matches; None for patterns with other letters.
+
+    The pattern's fields must be as long as FIELDS has them; a fraction has one to as many digits as it has letters."""
+    out, quoted = "", False
+    for run in re.finditer(r"'|([A-Za-z])\1*|.", pattern):
+        text = run.group(0)
+        if text == "'":
+            quoted = not quoted
+        elif quoted or not run.group(1):
+            out += re.escape(text)
+        elif run.group(1) == "S":
+            out += f"[0-9]{{1,{len(text)}}}"
+        elif run.group(1) in FIELDS and len(text) == (4 if run.group(1) == "y" else 2):
+            out += FIELDS[run.group(1)]
+        else:
+            return None
+    return f"^{out}$"
+
+
+def parse_timestamp(col: Column | str, patterns: tuple[str, ...] = DEFAULT_PATTERNS, convert_zone: bool = False) -> Column:
     """First pattern that parses; anything else NULL.  Returns timestamp_ntz.
 
+    A text is parsed by the one pattern whose shape (digits and separators) it has; only
+    patterns with names or single-letter fields are tried one after the other.
     The text is parsed as UTC (an explicit ``+00:00`` offset is appended) and
     the instant is turned into a naive timestamp by epoch arithmetic, so the
     written wall clock is kept exactly in any session zone, also for times
-    that fall into a daylight-saving gap of the session zone.
+    that fall into a daylight-saving gap of the session zone.  A written zone is
+    left out; with ``convert_zone`` the time is converted from it to UTC.
     """
     c = F.regexp_replace(_c(col), WRITTEN_ZONE, "$1")
     utc_text = F.concat(c, F.lit("+00:00"))
-    parsed = [F.try_to_timestamp(utc_text, F.lit(p + "XXX")) for p in patterns]
-    return add_micros(F.expr(EPOCH_NTZ), F.unix_micros(F.coalesce(*parsed)))
+    shapes = [(p, pattern_shape(p)) for p in patterns]
+    # one parser call: the pattern is chosen by the text's shape (shapes of two patterns may meet, the first then counts)
+    chosen = F.coalesce(*[F.when(c.rlike(s), F.lit(p + "XXX")) for p, s in shapes if s], F.lit(None).cast("string"))
+    parsed = [F.when(chosen.isNotNull(), F.try_to_timestamp(utc_text, chosen))]
+    parsed += [F.try_to_timestamp(utc_text, F.lit(p + "XXX")) for p, s in shapes if not s]
+    micros = F.unix_micros(F.coalesce(*parsed))
+    if convert_zone:
+        zone = F.regexp_extract(_c(col), r":\d{2}(?:\.\d+)?\s*([+-]\d{2}):?(\d{2})$", 1)
+        rest = F.regexp_extract(_c(col), r":\d{2}(?:\.\d+)?\s*([+-]\d{2}):?(\d{2})$", 2)
+        sign = F.when(zone.startswith("-"), -1).otherwise(1)
+        minutes = F.abs(zone.try_cast("int")) * 60 + rest.try_cast("int")
+        micros = micros - F.coalesce(sign * minutes, F.lit(0)).cast("bigint") * 60_000_000
+    return add_micros(F.expr(EPOCH_NTZ), micros)
 
 
 def try_convert(df: DataFrame, columns: list[str], patterns: tuple[str, ...] = DEFAULT_PATTERNS) -> DataFrame:
@@ -73,15 +113,20 @@ def from_epoch_millis(df: DataFrame, columns: list[str] | None = None, mark: str
     """Epoch-millisecond columns to timestamps.
 
     Without an explicit list: every column whose name contains ``mark``
-    (case-insensitive) and that is numeric, or whose type is void / all
-    NULL, is converted.
+    (case-insensitive) and that is numeric, or that holds nothing but NULLs whatever
+    its type, is converted (text columns are looked at in one aggregate job).
     """
     from pyspark.sql import types as T
 
     if columns is None:
         columns = []
+        texts = [f.name for f in df.schema.fields if mark.lower() in f.name.lower() and isinstance(f.dataType, (T.StringType, T.BooleanType))]
+        if texts:
+            full = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(texts)]).first()
+            columns += [c for i, c in enumerate(texts) if full[i] == 0]
+            df = df.withColumns({c: F.lit(None).cast("bigint") for c in columns})
         for f in df.schema.fields:
-            if mark.lower() in f.name.lower() and isinstance(
+            if mark.lower() in f.name.lower() and f.name not in columns and isinstance(
                     f.dataType, (T.IntegerType, T.LongType, T.ShortType, T.DoubleType, T.FloatType,
                                  T.DecimalType, T.NullType)):
                 columns.append(f.name)

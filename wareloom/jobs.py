@@ -88,6 +88,15 @@ def _load(spark: SparkSession, ref: TableRef, target_layer: str, apply, partitio
     return report
 
 
+def read_table(spark: SparkSession, ref: TableRef, columns: list[str] | None = None) -> DataFrame:
+    """A warehouse table, or the listed columns of it in their order; a column it lacks is named in the error."""
+    table = spark.table(ref.qualified)
+    missing = [c for c in columns or [] if c not in table.columns]
+    if missing:
+        raise ValueError(f"{ref.qualified} has no column {', '.join(missing)}")
+    return table.select(*[F.col(f"`{c}`") for c in columns]) if columns else table
+
+
 def run_overwrite(spark: SparkSession, ref: TableRef, target_layer: str = "master", id_cols=None,
                   require_new_ids: bool = False) -> str:
     """Staging replaces the target; skipped (with a message) when staging is missing."""
@@ -134,7 +143,7 @@ def run_replace(spark: SparkSession, ref: TableRef, keys: list[str], target_laye
         m = master.observe(om, F.count(F.lit(1)).alias("n"))
         s = staging.observe(os_, F.count(F.lit(1)).alias("n"))
         kept = load.delete_by_key(m, staging, keys, collation).observe(ok, F.count(F.lit(1)).alias("n"))
-        new = kept.unionByName(load.align_by_name(master, s))
+        new = kept.unionByName(load.align_by_name(master, load.refuse_misfits(master, s, keys)))
         catalog.publish(new, dst, "overwrite", marks=marks, read_files=read)
         deleted, inserted = om.get["n"] - ok.get["n"], os_.get["n"]
         return {"status": f"replaced {dst}", "deleted": deleted, "inserted": inserted,
@@ -143,11 +152,35 @@ def run_replace(spark: SparkSession, ref: TableRef, keys: list[str], target_laye
     return _load(spark, ref, target_layer, apply)
 
 
+class CopyError(RuntimeError):
+    """A copy does not hold what its source held."""
+
+
+def digest_columns(df: DataFrame) -> list:
+    """Aggregates that tell a table's content in any order of rows: the row count and the sums of two hashes of each row.
+
+    Hash sums are taken as decimals, so they neither overflow nor round; columns count by name."""
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    plain = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), options)
+    total = lambda h: F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("string")
+    return [F.count(F.lit(1)).alias("rows"), total(F.xxhash64(plain)).alias("one"), total(F.xxhash64(F.reverse(plain), F.lit(1))).alias("two")]
+
+
+def content_digest(df: DataFrame) -> DataFrame:
+    """rows, one and two (see ``digest_columns``) of a table, as one row."""
+    return df.agg(*digest_columns(df))
+
+
 def copy_tables(spark: SparkSession, tables: dict[str, DataFrame], target_db: str, suffix: str = "",
-                mode: str = "overwrite", long_text: list[str] | None = None, parallel: int = 4) -> DataFrame:
+                mode: str = "overwrite", long_text: list[str] | None = None, parallel: int = 4, check: bool = True) -> DataFrame:
     """Copy tables into ``target_db`` (names get ``suffix``); returns (table_name, rows)
     read back from the written tables.  Up to ``parallel`` copies are
-    submitted at once, so small tables do not leave the cluster idle."""
+    submitted at once, so small tables do not leave the cluster idle.
+
+    Unless ``check`` is off (or rows are appended), the content digests of source and copy must agree, else ``CopyError``;
+    the source's is taken while it is written."""
+    from pyspark.sql import Observation
+
     from wareloom.functions.columns import long_text_last
 
     catalog.ensure_database(spark, target_db)
@@ -157,7 +190,13 @@ def copy_tables(spark: SparkSession, tables: dict[str, DataFrame], target_db: st
         df = tables[name]
         if long_text:
             df = long_text_last(df, long_text)
-        catalog.publish(df, out, mode)
+        seen = Observation(f"copy-{name}")
+        checked = check and mode != "append"
+        catalog.publish(df.observe(seen, *digest_columns(df)) if checked else df, out, mode)
+        if checked:
+            was, now = seen.get, content_digest(spark.table(out)).first().asDict()
+            if was != now:
+                raise CopyError(f"{out} differs from its source: {now} against {was}")
         return out
 
     written = for_each_table(list(tables), copy, parallel=min(parallel, len(tables)))
@@ -214,7 +253,7 @@ def run_replace_partitions(spark: SparkSession, ref: TableRef, keys: list[str],
             raise ValueError(f"{dst} is partitioned by {catalog.partition_columns(spark, dst)}, not by {partition_cols}")
         spark.catalog.refreshTable(dst)
         master = spark.table(dst).select("*", F.col("_metadata.file_path").alias("__file"))
-        staged = load.align_by_name(spark.table(dst), staging)
+        staged = load.align_by_name(spark.table(dst), load.refuse_misfits(spark.table(dst), staging, keys))
         touched = staged.select(*[F.col(f"`{c}`").alias(f"__t_{c}") for c in partition_cols]).distinct()
         same = reduce(lambda a, b: a & b, [master[f"`{c}`"].eqNullSafe(touched[f"`__t_{c}`"]) for c in partition_cols])
         listed = master.join(touched, same, "left_semi").select("__file").distinct()  # reads no column but the partitions'

@@ -7,7 +7,8 @@
   key (``max_by``, partial aggregation) BEFORE joining, so the join is
   one-to-at-most-one and no window runs over joined rows.
 * ``with_client`` calls a user geocoding client once per distinct address,
-  batched per partition with ``mapInPandas``.
+  batched per partition with ``mapInPandas``; ``answers`` keeps what it said in a
+  table, across runs and failures.
 """
 
 from __future__ import annotations
@@ -97,36 +98,75 @@ def join_back(df: DataFrame, results: DataFrame, keys: list[str] | None = None)
     return df.join(results, keys or ["id", "FULL_ADDRESS"], "left")
 
 
+def _ask(client_factory: Callable[[], Callable], x: str, y: str, batch: int):
+    """Task: addresses (key, text) -> answers, ``batch`` addresses to a call."""
+    def run(batches):
+        import pandas as pd
+
+        client = client_factory()
+        for frame in batches:
+            for a in range(0, len(frame), batch):
+                pdf = frame.iloc[a : a + batch]
+                got = client(list(pdf["address"]))
+                if len(got) != len(pdf):
+                    raise ValueError(f"the client gave {len(got)} answers to {len(pdf)} addresses")
+                yield pd.DataFrame({"key": pdf["key"], "address": pdf["address"], x: pd.array([None if g is None else g[0] for g in got], dtype="Float64"),
+                                    y: pd.array([None if g is None else g[1] for g in got], dtype="Float64")})
+
+    return run
+
+
+def answers(df: DataFrame, client_factory: Callable[[], Callable], store: str, address_col: str = "FULL_ADDRESS", x: str = "longitude", y: str = "latitude",
+            in_flight: int = 8, wave: int = 10_000, batch: int = 100) -> int:
+    """Ask for the addresses of ``df`` that the table ``store`` has no answer to; returns how many waves were asked.
+
+    ``store`` (key, address, x, y) is keyed by the normalised address (``address_key``); an answer without a place is kept too.
+    At most ``in_flight`` tasks ask at a time.  Each wave's answers join the store as one whole before the
+    next wave is asked, so a run that fails has lost one wave at most, and a rerun asks only what is left.
+    """
+    from wareloom import catalog
+    from wareloom.session import cut_lineage, local_rows, ship_package
+
+    spark = df.sparkSession
+    ship_package(spark)
+    schema = f"key string, address string, {x} double, {y} double"
+    if not catalog.exists(spark, store):
+        catalog.publish(local_rows(spark, [], schema), store)
+    asked = df.where(F.col(address_col).isNotNull()).groupBy(address_key(address_col).alias("key")).agg(F.min(address_col).alias("address"))
+    todo = cut_lineage(asked.join(spark.table(store).select("key"), "key", "left_anti"), "addresses")
+    n = todo.count()
+    waves = -(-n // wave)
+    for w in range(waves):
+        mine = todo.where(F.pmod(F.xxhash64("key"), F.lit(waves)) == w).repartition(in_flight)
+        catalog.publish(mine.mapInPandas(_ask(client_factory, x, y, batch), schema), store, "append")
+    return waves
+
+
 def with_client(df: DataFrame, client_factory: Callable[[], Callable], address_col: str = "FULL_ADDRESS",
-                x: str = "longitude", y: str = "latitude", parallelism: int | None = None) -> DataFrame:
+                x: str = "longitude", y: str = "latitude", parallelism: int | None = None, store: str | None = None) -> DataFrame:
     """Geocode through a user client: ``client_factory()`` is called once per
     partition and returns ``f(list[str]) -> list[(x, y) | None]``.
 
-    Only distinct addresses are sent (the distinct is a partial aggregation),
-    spread over ``parallelism`` tasks (default: the shuffle partitions).  The answers
-    are kept as a table in the shared scratch folder before they are joined back,
-    so later uses of the result do not call the service again.
+    With ``store`` the answers are taken from that table, which ``answers`` fills first with what it
+    lacks.  Without it only distinct addresses are sent, spread over ``parallelism`` tasks (default: the shuffle
+    partitions), and the answers are kept as a table in the shared scratch folder, so
+    later uses of the result do not call the service again.
     """
-    import pandas as pd
-
+    from wareloom.operators.load import spread
     from wareloom.session import cut_lineage, ship_package
 
-    ship_package(df.sparkSession)
-    addrs = df.select(F.col(address_col).alias("__addr")).where(F.col("__addr").isNotNull()).distinct()
-    tasks = parallelism or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    addrs = addrs.repartition(tasks, "__addr")
-
-    def run(batches):
-        client = client_factory()
-        for pdf in batches:
-            got = client(list(pdf["__addr"]))
-            xs = [None if g is None else g[0] for g in got]
-            ys = [None if g is None else g[1] for g in got]
-            yield pd.DataFrame({"__addr": pdf["__addr"], x: pd.array(xs, dtype="Float64"),
-                                y: pd.array(ys, dtype="Float64")})
-
-    res = cut_lineage(addrs.mapInPandas(run, f"__addr string, {x} double, {y} double"), "geocoded")
-    return df.join(res, df[address_col] == res["__addr"], "left").drop("__addr")
+    spark = df.sparkSession
+    tasks = parallelism or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.when(F.col(address_col).isNotNull(), F.lit(0).cast("bigint")).otherwise(spread(df))  # rows without an address are spread
+    if store:
+        answers(df, client_factory, store, address_col, x, y, in_flight=tasks)
+        held, key = spark.table(store).drop("address"), address_key(address_col)
+    else:
+        ship_package(spark)
+        addrs = df.select(F.col(address_col).alias("key"), F.col(address_col).alias("address")).where("key is not null").distinct().repartition(tasks, "key")
+        held, key = cut_lineage(addrs.mapInPandas(_ask(client_factory, x, y, 10_000), f"key string, address string, {x} double, {y} double"), "geocoded").drop("address"), F.col(address_col)
+    held = held.select(F.struct("key", F.lit(0).cast("bigint").alias("salt")).alias("__jk"), x, y)
+    return df.withColumn("__jk", F.struct(key.alias("key"), salt.alias("salt"))).join(held, "__jk", "left").drop("__jk")
 
 
 def run(source: DataFrame, geo_table: str, geocoder: Callable[[DataFrame], DataFrame], id_col: str = "id",

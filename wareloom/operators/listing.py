@@ -98,12 +98,27 @@ def resolve(requests: DataFrame, files: DataFrame) -> DataFrame:
                          F.when(F.col("n_matches") == 1, "ok").otherwise("missing").alias("status"))
         named = requests.where(F.col("file_id").isNull()).drop("file_id")
         return resolve(named, files).unionByName(ids)
-    by_name_path = files.groupBy("name", "path").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("min_id"))
     r = requests.select("req_id", F.col("name").alias("r_name"), "path_prefix")
-    # the path test is part of the join condition, so paths that fail it make no row
-    ok_path = F.col("path_prefix").isNull() | F.col("path").startswith(F.col("path_prefix"))
-    cand = r.join(by_name_path, (r["r_name"] == by_name_path["name"]) & ok_path, "left")
-    cand = cand.withColumn("n", F.coalesce("n", F.lit(0)))
+    # a prefix is the folder up to its last "/" and the begin of the next part; files are counted under every
+    # folder of their path, so a request meets one row (by folder) or the parts below one folder, however often its name occurs
+    prefix = F.col("path_prefix")
+    folder = F.regexp_extract(prefix, "(?s)^(.*/)?", 0)
+    r = r.withColumns({"folder": folder, "begin": F.substr(prefix, F.length(folder) + 1)})
+    wanted = r.select(F.col("r_name").alias("name"), "folder").distinct()
+    parts = F.split("path", "/")
+    below = files.select("name", "id", F.posexplode(parts).alias("i", "part"), parts.alias("parts"))
+    below = below.select("name", "id", "part", F.concat_ws("/", F.slice("parts", 1, F.col("i")), F.when(F.col("i") > 0, "")).alias("folder"))
+    below = below.join(wanted, ["name", "folder"], "left_semi")
+    count = (F.count(F.lit(1)).alias("n"), F.min("id").alias("min_id"))
+    by_part = below.groupBy("name", "folder", "part").agg(*count)
+    by_folder = by_part.groupBy("name", "folder").agg(F.sum("n").alias("n"), F.min("min_id").alias("min_id"))
+    by_name = files.groupBy("name").agg(*count)
+    one = r.where(prefix.isNull()).join(by_name, F.col("r_name") == by_name["name"], "left").select("req_id", "n", "min_id")
+    two = r.where(F.col("begin") == "").withColumnRenamed("folder", "r_folder")
+    two = two.join(by_folder, (F.col("r_name") == by_folder["name"]) & (F.col("r_folder") == by_folder["folder"]), "left").select("req_id", "n", "min_id")
+    three = r.where(F.col("begin") != "").withColumnRenamed("folder", "r_folder")
+    three = three.join(by_part, (F.col("r_name") == by_part["name"]) & (F.col("r_folder") == by_part["folder"]) & F.col("part").startswith(F.col("begin")), "left").select("req_id", "n", "min_id")
+    cand = one.unionByName(two).unionByName(three).withColumn("n", F.coalesce("n", F.lit(0)))
     per = cand.groupBy("req_id").agg(F.sum("n").cast("bigint").alias("n_matches"),
                                      F.min(F.when(F.col("n") > 0, F.col("min_id"))).alias("any_id"))
     status = (F.when(F.col("n_matches") == 1, "ok").when(F.col("n_matches") > 1, "ambiguous").otherwise("missing"))

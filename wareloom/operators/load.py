@@ -9,8 +9,9 @@ Pure functions ``(master, staging) -> DataFrame`` describe the new master;
 * Master rows with a NULL key can never match (plain equality, as the
   warehouse DELETE ... JOIN does).  They are spread over shuffle partitions
   by a hash salt instead of all landing in the NULL-key partition.
-* Keys of different types are compared in their wider common type, so a
-  staging key is never narrowed into a master key it does not equal.
+* Keys of different types are compared exactly: a staging key is never
+  narrowed or rounded into a master key it does not equal, and one that the
+  master's type cannot hold is refused (``misfits`` lists such rows).
 * No broadcast hint: AQE switches the anti join to a broadcast hash join
   from the *measured* size of the distinct key set when it is small, and
   splits skewed master partitions otherwise.
@@ -62,11 +63,14 @@ def _null_salt(df: DataFrame, keys: list[str], by_position: bool = False) -> Col
 def common_key_types(left: DataFrame, right: DataFrame, keys: list[str]) -> dict[str, str | None]:
     """For each key whose types differ, the type both are compared in.
 
-    Catalyst's own widening (int and double: double, date and timestamp:
-    timestamp); text against another type is read as that type, and text that
-    does not read as it is NULL, so it matches nothing."""
+    Whole numbers against floating ones meet as whole numbers (a double cannot tell large
+    ones apart); other types by Catalyst's own widening (date and timestamp: timestamp); text
+    against another type is read as that type.  What the type cannot hold exactly is
+    NULL, so it matches nothing.  Decimals against floating numbers are refused: neither holds the other."""
     from pyspark.sql import types as T
 
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    floating = (T.FloatType, T.DoubleType)
     out = {}
     for k in keys:
         a, b = left.schema[k].dataType, right.schema[k].dataType
@@ -76,14 +80,54 @@ def common_key_types(left: DataFrame, right: DataFrame, keys: list[str]) -> dict
         if any(texts):
             out[k] = None if all(texts) else (b if texts[0] else a).simpleString()
             continue
+        kinds = [next((n for n, t in (("whole", whole), ("floating", floating), ("decimal", T.DecimalType)) if isinstance(x, t)), "other") for x in (a, b)]
+        if sorted(kinds) == ["floating", "whole"]:
+            out[k] = "bigint"
+            continue
+        if sorted(kinds) == ["decimal", "floating"]:
+            raise ValueError(f"key {k}: {a.simpleString()} and {b.simpleString()} cannot be compared exactly; cast one of them")
         both = F.coalesce(F.lit(None).cast(a), F.lit(None).cast(b)).alias("k")
         out[k] = left.sparkSession.range(0).select(both).schema["k"].dataType.simpleString()
     return {k: t for k, t in out.items() if t}
 
 
+def _exactly(c: Column, source, target: str) -> Column:
+    """``c`` in another type, NULL where that type does not hold it exactly."""
+    from pyspark.sql import types as T
+
+    if isinstance(source, (T.FloatType, T.DoubleType)) and target in ("tinyint", "smallint", "int", "bigint"):
+        fits = (c == F.floor(c).cast("double")) & (c >= -(2.0**63)) & (c < 2.0**63)
+        return F.when(fits, c.try_cast("bigint")).try_cast(target)
+    return c.try_cast(target)
+
+
 def _comparable(df: DataFrame, types: dict[str, str | None]) -> dict[str, Column]:
-    """Key columns cast to the types they are compared in."""
-    return {k: F.col(f"`{k}`").try_cast(t) for k, t in types.items()}
+    """Key columns in the types they are compared in."""
+    return {k: _exactly(F.col(f"`{k}`"), df.schema[k].dataType, t) for k, t in types.items()}
+
+
+def _misfit(master: DataFrame, staging: DataFrame, keys: list[str]) -> Column:
+    """Whether a staging row has a key that the master's type would change (or lose)."""
+    tests = []
+    for k in keys:
+        if k not in staging.columns or master.schema[k].dataType == staging.schema[k].dataType:
+            continue
+        c = F.col(f"`{k}`")
+        there = _exactly(c, staging.schema[k].dataType, master.schema[k].dataType.simpleString())
+        back = there.try_cast(staging.schema[k].dataType)
+        is_text = staging.schema[k].dataType.simpleString() == "string"  # a number may be written in many ways
+        tests.append(c.isNotNull() & (there.isNull() if is_text else ~back.eqNullSafe(c)))
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
+def misfits(master: DataFrame, staging: DataFrame, keys) -> DataFrame:
+    """Staging rows whose key the master's type cannot hold; loading them would make other keys of them."""
+    return staging.where(_misfit(master, staging, _check_keys(keys)))
+
+
+def fits(master: DataFrame, staging: DataFrame, keys) -> DataFrame:
+    """Staging rows whose key the master's type holds."""
+    return staging.where(~_misfit(master, staging, _check_keys(keys)))
 
 
 _KEY = "__wl_key"
@@ -157,8 +201,19 @@ def delete_by_key(master: DataFrame, staging: DataFrame, keys, collation: str |
 def replace(master: DataFrame, staging: DataFrame, keys, collation: str | None = None) -> DataFrame:
     """Replace by key: delete master rows matched by staging keys, then insert
     every staging row (duplicates kept).  Columns are matched by name and take
-    the master's types; master columns that staging lacks become NULL."""
-    return delete_by_key(master, staging, keys, collation).unionByName(align_by_name(master, staging))
+    the master's types; master columns that staging lacks become NULL.  A key that
+    the master's type would change fails the job."""
+    return delete_by_key(master, staging, keys, collation).unionByName(align_by_name(master, refuse_misfits(master, staging, keys)))
+
+
+def refuse_misfits(master: DataFrame, staging: DataFrame, keys) -> DataFrame:
+    """``staging``, whose reading fails at a key that the master's type would change."""
+    keys = _check_keys(keys)
+    if all(k not in staging.columns or master.schema[k].dataType == staging.schema[k].dataType for k in keys):
+        return staging
+    shown = F.concat_ws(", ", *[F.col(f"`{k}`").cast("string") for k in keys])
+    message = F.concat(F.lit("the master's types cannot hold the staging key "), shown)
+    return staging.where(F.when(_misfit(master, staging, keys), F.raise_error(message).cast("boolean")).otherwise(True))
 
 
 def _same_columns(master: DataFrame, staging: DataFrame) -> None:
@@ -319,5 +374,5 @@ def replace_generated_id(master: DataFrame, staging: DataFrame, keys, id_col: st
     """Replace by key, leaving the generated id column out of the insert."""
     kept = delete_by_key(master, staging, keys)
     start = master.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("m")).first()["m"]
-    staged = with_sequence_id(staging.drop(id_col), id_col, order_cols, start=int(start))
+    staged = with_sequence_id(refuse_misfits(master, staging, keys).drop(id_col), id_col, order_cols, start=int(start))
     return kept.unionByName(align_by_name(master, staged))

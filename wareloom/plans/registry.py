@@ -567,11 +567,9 @@ UNION ALL SELECT 'lineitem', count(*) FROM lineitem
 UNION ALL SELECT 'customer', count(*) FROM customer""")
 def q_copy_tables_report(spark, d):
     from wareloom import jobs
-    from wareloom.session import scratch_path
+    from wareloom.plans.scratch import scratch_database
 
-    loc = scratch_path(spark, "copy-db")
-    db = "wl_copy_" + loc.rsplit("-", 1)[-1]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{loc}'")
+    db = scratch_database(spark, "copy")
     tables = {n: T(spark, d, n) for n in ("orders", "lineitem", "customer")}
     return jobs.copy_tables(spark, tables, db, suffix="_copy")
 
@@ -625,14 +623,12 @@ def q_paged_loop_values(spark, d):
 
 @register("workbook_folder", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def q_workbook_folder(spark, d):
-    from wareloom.plans.workbook_fixture import write_customer_workbooks
-    from wareloom.session import scratch_path
+    from wareloom.plans.workbook_fixture import customer_workbooks
+    from wareloom.session import cut_lineage
     from wareloom.sources import workbooks as WB
 
-    folder = scratch_path(spark, "workbooks")
-    write_customer_workbooks(T(spark, d, "customer"), folder)
-    return WB.read_folder(spark, folder, sheet=None, skip=1,
-                          column_types={"c_custkey": "bigint", "c_acctbal": "double"})
+    files = cut_lineage(customer_workbooks(T(spark, d, "customer")), "workbooks")
+    return WB.read_files(files, sheet=None, skip=1, column_types={"c_custkey": "bigint", "c_acctbal": "double"})
 
 
 @register("stream_replace_landing", with_("master_orders", "staging_orders") + f"""
@@ -641,12 +637,11 @@ WHERE NOT EXISTS (SELECT 1 FROM staging_orders s WHERE s.o_orderkey = m.o_orderk
 UNION ALL SELECT {ORDER_COLS} FROM staging_orders""")
 def q_stream_replace_landing(spark, d):
     from wareloom import catalog
+    from wareloom.plans.scratch import scratch_database
     from wareloom.session import scratch_path
     from wareloom.streaming import landing as LS
 
-    root = scratch_path(spark, "landing")
-    db = "wl_stream_" + root.rsplit("-", 1)[-1]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/warehouse'")
+    root, db = scratch_path(spark, "landing"), scratch_database(spark, "stream")
     master_table = f"{db}.orders"
     catalog.publish(FX.master_orders(spark, d), master_table, "overwrite")
     staging = FX.staging_orders(spark, d)
@@ -698,11 +693,9 @@ LEFT JOIN best b ON upper(trim(regexp_replace(a.FULL_ADDRESS, '\\s+', ' ', 'g'))
 WHERE NOT EXISTS (SELECT 1 FROM addr_g g WHERE g.id = a.id)""")
 def q_geocode_incremental_load(spark, d):
     from wareloom import catalog
-    from wareloom.session import scratch_path
+    from wareloom.plans.scratch import scratch_database
 
-    root = scratch_path(spark, "geo-load")
-    db = "wl_geo_" + root.rsplit("-", 1)[-1]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}'")
+    db = scratch_database(spark, "geo_load")
     geo_table = f"{db}.addr_G"
     catalog.publish(FX.addr_g(spark, d), geo_table, "overwrite")
     loc = FX.locator(spark, d)
@@ -773,3 +766,4 @@ def q_validate_many(spark, d):
 from wareloom.plans import registry_exports  # noqa: E402,F401
 from wareloom.plans import registry_hard  # noqa: E402,F401
 from wareloom.plans import registry_loads  # noqa: E402,F401
+from wareloom.plans import registry_state  # noqa: E402,F401

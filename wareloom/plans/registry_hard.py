@@ -10,14 +10,34 @@ from wareloom.plans.registry import LD, ORDER_COLS, C, D, E, I, L, Q, T, registe
 
 
 @register("replace_mixed_key_types", with_("master_orders") + f""",
-staging AS (SELECT * REPLACE (o_orderkey + CASE WHEN o_orderkey % 3 = 0 THEN 0.5 ELSE 0 END::DOUBLE AS o_orderkey) FROM orders WHERE o_orderkey % 10 >= 5)
-SELECT {ORDER_COLS} FROM master_orders m WHERE NOT EXISTS (SELECT 1 FROM staging s WHERE s.o_orderkey = m.o_orderkey::DOUBLE)
-UNION ALL SELECT trunc(o_orderkey)::BIGINT, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM staging""")
+given AS (SELECT * REPLACE (o_orderkey + CASE WHEN o_orderkey % 3 = 0 THEN 0.5 ELSE 0 END::DOUBLE AS o_orderkey) FROM orders WHERE o_orderkey % 10 >= 5),
+staging AS (SELECT * REPLACE (o_orderkey::BIGINT AS o_orderkey) FROM given WHERE o_orderkey = trunc(o_orderkey))
+SELECT {ORDER_COLS} FROM master_orders m WHERE NOT EXISTS (SELECT 1 FROM staging s WHERE s.o_orderkey = m.o_orderkey)
+UNION ALL SELECT {ORDER_COLS} FROM staging
+UNION ALL SELECT NULL, o_custkey, 'refused ' || o_orderkey::VARCHAR, o_totalprice, o_orderdate, o_orderpriority FROM given WHERE o_orderkey <> trunc(o_orderkey)""")
 def q_replace_mixed_key_types(spark, d):
-    """Staging keys are doubles, a third of them between two master keys."""
+    """Staging keys are doubles, a third of them between two master keys: those are listed, the others replace."""
     key = F.col("o_orderkey") + F.expr("CASE WHEN o_orderkey % 3 = 0 THEN 0.5D ELSE 0D END")
     staging = T(spark, d, "orders").where("o_orderkey % 10 >= 5").withColumn("o_orderkey", key)
-    return LD.replace(FX.master_orders(spark, d), staging, ["o_orderkey"])
+    master = FX.master_orders(spark, d)
+    refused = LD.misfits(master, staging, ["o_orderkey"]).withColumn("o_orderstatus", F.concat(F.lit("refused "), F.col("o_orderkey").cast("string")))
+    new = LD.replace(master, LD.fits(master, staging, ["o_orderkey"]), ["o_orderkey"])
+    return new.unionByName(refused.withColumn("o_orderkey", F.lit(None).cast("bigint")))
+
+
+_WIDE_KEY = "o_orderkey + 9007199254740000"
+
+
+@register("replace_wide_keys", f"""
+WITH master AS (SELECT {_WIDE_KEY} AS k, o_totalprice FROM orders),
+staging AS (SELECT DISTINCT ({_WIDE_KEY})::DOUBLE AS k, -1.0::DOUBLE AS o_totalprice FROM orders WHERE o_orderkey % 5 = 0)
+SELECT k, o_totalprice FROM master m WHERE NOT EXISTS (SELECT 1 FROM staging s WHERE s.k::BIGINT = m.k)
+UNION ALL SELECT k::BIGINT, o_totalprice FROM staging""")
+def q_replace_wide_keys(spark, d):
+    """Whole keys around 2^53 against doubles, which hold only every second of them there: no neighbour is deleted."""
+    master = T(spark, d, "orders").select((F.col("o_orderkey") + F.lit(9007199254740000)).alias("k"), "o_totalprice")
+    staging = master.where("(k - 9007199254740000) % 5 = 0").select(F.col("k").cast("double").alias("k"), F.lit(-1.0).alias("o_totalprice")).distinct()
+    return LD.replace(master, staging, ["k"])
 
 
 @register("replace_fewer_columns", with_("master_orders", "staging_orders") + f"""
@@ -38,14 +58,11 @@ def q_replace_null_partition(spark, d):
     """Two partition-wise replaces, of the NULL partition (its keys match nothing, so its rows are added) and of ``F``."""
     from wareloom import jobs
     from wareloom.naming import TableRef
-    from wareloom.session import scratch_path
-
-    root = scratch_path(spark, "null-partition")
-    tag = root.rsplit("-", 1)[-1]
-    target = f"wl_null_{tag}"
-    for db in ("staging", target):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/{db}'")
-    ref = TableRef("wl", f"null{tag}", "orders")
+    from wareloom.plans.scratch import scratch_database
+
+    target = scratch_database(spark, "null_partition")
+    spark.sql("CREATE DATABASE IF NOT EXISTS staging")
+    ref = TableRef("wl", target, "orders")
     parted = T(spark, d, "orders").select("o_orderkey", "o_totalprice", F.expr("CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END").alias("status"))
     runs = [parted, parted.where("o_orderkey % 4 = 0 AND status IS NULL").withColumn("o_totalprice", F.col("o_totalprice") + 1),
             parted.where("o_orderkey % 4 = 1 AND status = 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 2)]

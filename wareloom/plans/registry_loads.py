@@ -21,16 +21,11 @@ def q_replace_partitions(spark, d):
     by l_returnflag; staging touches only the 'R' partition, so only it is rewritten."""
     from wareloom import jobs
     from wareloom.naming import TableRef
-    from wareloom.session import scratch_path
+    from wareloom.plans.scratch import scratch_database
 
-    root = scratch_path(spark, "part-replace")
-    tag = root.rsplit("-", 1)[-1]
-    # both databases live below the shared scratch folder (an existing
-    # staging database keeps its own location)
-    for db in ("staging", f"wl_part_{tag}"):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/{db}'")
-    ref = TableRef("wl", f"part{tag}", "lines")
-    target = f"wl_part_{tag}"
+    target = scratch_database(spark, "partitions")
+    spark.sql("CREATE DATABASE IF NOT EXISTS staging")
+    ref = TableRef("wl", target, "lines")
     FX.master_lines(spark, d).write.partitionBy("l_returnflag").saveAsTable(ref.at(target).qualified)
     staging = FX.staging_lines(spark, d).where(F.col("l_returnflag") == "R")
     jobs.stage(staging, ref)

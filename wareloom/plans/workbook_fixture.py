@@ -10,8 +10,6 @@ column with an empty header.
 from __future__ import annotations
 
 import io
-import os
-import uuid
 import zipfile
 from xml.sax.saxutils import escape
 
@@ -19,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_BOOK = 500
+HEADERS = ("c_custkey", "c_name", "c_acctbal")
 
 _CT = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
        '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
@@ -56,11 +55,11 @@ def _cell(ref: str, v) -> str:
     return f'<c r="{ref}" t="inlineStr"><is><t>{escape(str(v))}</t></is></c>'
 
 
-def _sheet(rows: list[tuple]) -> str:
+def _sheet(rows: list[tuple], headers: tuple = HEADERS) -> str:
     out = ['<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
            '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>']
     out.append(f'<row r="1">{_cell("A1", "Customer list")}</row>')
-    out.append(f'<row r="2">{_cell("A2", "c_custkey")}{_cell("B2", "c_name")}{_cell("D2", "c_acctbal")}</row>')
+    out.append(f'<row r="2">{_cell("A2", headers[0])}{_cell("B2", headers[1])}{_cell("D2", headers[2])}</row>')
     for i, (k, name, bal) in enumerate(rows, start=3):
         out.append(f'<row r="{i}">{_cell(f"A{i}", int(k))}{_cell(f"B{i}", name)}{_cell(f"C{i}", "note")}'
                    f'{_cell(f"D{i}", float(bal))}</row>')
@@ -68,44 +67,36 @@ def _sheet(rows: list[tuple]) -> str:
     return "".join(out)
 
 
-def workbook_bytes(even: list[tuple], odd: list[tuple]) -> bytes:
+def workbook_bytes(even: list[tuple], odd: list[tuple], headers: tuple = HEADERS) -> bytes:
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("[Content_Types].xml", _CT)
         z.writestr("_rels/.rels", _RELS)
         z.writestr("xl/workbook.xml", _WB)
         z.writestr("xl/_rels/workbook.xml.rels", _WB_RELS)
-        z.writestr("xl/worksheets/sheet1.xml", _sheet(even))
-        z.writestr("xl/worksheets/sheet2.xml", _sheet(odd))
+        z.writestr("xl/worksheets/sheet1.xml", _sheet(even, headers))
+        z.writestr("xl/worksheets/sheet2.xml", _sheet(odd, headers))
     return buf.getvalue()
 
 
-def write_customer_workbooks(customer: DataFrame, folder: str) -> None:
-    """One workbook per (segment, block of ROWS_PER_BOOK keys), written by executors."""
+def customer_workbooks(customer: DataFrame, headers=None) -> DataFrame:
+    """(path, content) of one workbook per (segment, block of ROWS_PER_BOOK keys), made in the tasks.
+
+    ``headers(segment)`` gives the three header texts of a workbook (default: the column names)."""
     import pandas as pd
 
-    from wareloom.session import local_path, ship_package
+    from wareloom.session import ship_package
 
     ship_package(customer.sparkSession)
-    target = local_path(folder)
 
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        os.makedirs(target, exist_ok=True)
+    def book(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("c_custkey")
         rows = list(zip(pdf["c_custkey"], pdf["c_name"], pdf["c_acctbal"]))
-        even = [r for r in rows if r[0] % 2 == 0]
-        odd = [r for r in rows if r[0] % 2 == 1]
-        seg = str(pdf["c_mktsegment"].iloc[0])
-        block = int(pdf["block"].iloc[0])
-        # one fixed name per group, written aside and renamed into place: a
-        # retried task replaces the file instead of adding a second copy
-        name = os.path.join(target, f"{seg.lower()}-{block}.xlsx")
-        tmp = os.path.join(target, f".{seg.lower()}-{block}.{uuid.uuid4().hex[:8]}.tmp")
-        with open(tmp, "wb") as fh:
-            fh.write(workbook_bytes(even, odd))
-        os.replace(tmp, name)
-        return pd.DataFrame({"file": [name], "rows": [len(rows)]})
+        segment, block = str(pdf["c_mktsegment"].iloc[0]), int(pdf["block"].iloc[0])
+        names = headers(segment) if headers else HEADERS
+        content = workbook_bytes([r for r in rows if r[0] % 2 == 0], [r for r in rows if r[0] % 2 == 1], names)
+        return pd.DataFrame({"path": [f"{segment.lower()}-{block}.xlsx"], "content": [content]})
 
     grouped = customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment",
                               F.floor(F.col("c_custkey") / ROWS_PER_BOOK).alias("block"))
-    grouped.groupBy("c_mktsegment", "block").applyInPandas(write, "file string, rows long").collect()
+    return grouped.groupBy("c_mktsegment", "block").applyInPandas(book, "path string, content binary")

@@ -27,6 +27,7 @@ def csv(df: DataFrame, path: str, null_value: str = "NA", header: bool = True, s
         out = out.coalesce(1)
     (out.write.mode("overwrite").option("header", header).option("sep", sep)
      .option("nullValue", null_value).option("emptyValue", '""').option("quote", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)  # values as they are
      .option("escape", '"').csv(path))
 
 

@@ -12,10 +12,10 @@ from wareloom.functions.text import cp1252_fix
 def delimited(spark: SparkSession, path: str, sep: str = "\t", header: bool = True,
               schema: T.StructType | str | None = None, null_value: str | None = None,
               encoding: str | None = None, quote: str = '"', escape: str = '"',
-              multi_line: bool = False) -> DataFrame:
+              multi_line: bool = True) -> DataFrame:
     """CSV / delimited files (default tab).  Give a schema in production:
-    inference is an extra pass over the data.  ``multi_line`` (quoted values
-    with line breaks) makes every file one task, so it is off unless needed."""
+    inference is an extra pass over the data.  Quoted values may hold line breaks; as that makes
+    every file one task, ``multi_line=False`` splits large files whose values have none."""
     r = spark.read.option("header", header).option("sep", sep).option("quote", quote).option("escape", escape)
     if multi_line:
         r = r.option("multiLine", True)
