@@ -160,3 +160,43 @@ def q_locate_many_edges(spark, d):
     ring = F.transform(F.sequence(F.lit(0), F.lit(_SIDES)), lambda i: F.array(F.cos(turn(i)), F.sin(turn(i))))
     disc = T(spark, d, "region").where("r_regionkey = 0").select(F.lit(1).alias("poly_order"), F.lit("disc").alias("NAME"), F.array(ring).alias("rings"))
     return SP.locate(points, disc, ["NAME"], "x", "y").select("c_custkey", "NAME")
+
+
+@register("geocode_approximate", with_("addr", "locator") + """,
+asked AS (SELECT id, CASE id % 4 WHEN 1 THEN replace(FULL_ADDRESS, 'Customer', 'Custmer') WHEN 2 THEN replace(FULL_ADDRESS, 'stom', 'sotm') WHEN 3 THEN FULL_ADDRESS || ' xyz'
+  ELSE FULL_ADDRESS END AS FULL_ADDRESS FROM addr),
+keyed AS (SELECT *, upper(trim(regexp_replace(FULL_ADDRESS, '\\s+', ' ', 'g'))) AS k FROM asked),
+best AS (SELECT * FROM (SELECT upper(trim(regexp_replace(FULL_ADDRESS, '\\s+', ' ', 'g'))) AS near, longitude, latitude, score,
+    row_number() OVER (PARTITION BY upper(trim(regexp_replace(FULL_ADDRESS, '\\s+', ' ', 'g'))) ORDER BY score DESC, longitude, latitude) AS rn FROM locator) WHERE rn = 1),
+close AS (SELECT DISTINCT k, near, levenshtein(k, near) AS edits, longitude, latitude, score FROM keyed JOIN best ON abs(length(k) - length(near)) <= 2 WHERE levenshtein(k, near) <= 2),
+first AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY edits, score DESC, longitude, latitude) AS pos FROM close)
+SELECT id, FULL_ADDRESS, longitude, latitude, score, edits::INTEGER AS edits FROM keyed LEFT JOIN (SELECT * FROM first WHERE pos = 1) USING (k)""")
+def q_geocode_approximate(spark, d):
+    """Addresses with a letter missing, two swapped, or a word too many; the last are too far from any."""
+    from wareloom.operators import approximate as A
+
+    text = F.col("FULL_ADDRESS")
+    asked = (F.when(F.col("id") % 4 == 1, F.replace(text, F.lit("Customer"), F.lit("Custmer"))).when(F.col("id") % 4 == 2, F.replace(text, F.lit("stom"), F.lit("sotm")))
+             .when(F.col("id") % 4 == 3, F.concat(text, F.lit(" xyz"))).otherwise(text))
+    out = A.geocode(FX.addr(spark, d).withColumn("FULL_ADDRESS", asked), FX.locator(spark, d))
+    return out.select("id", "FULL_ADDRESS", "longitude", "latitude", "score", "edits")
+
+
+_PROFILED = ["id_text", "digits_with_null", "all_null", "mixed", "order_date", "big_digits", "lead_zero"]
+
+
+@register("profile_batches", with_("text_orders") + "".join((
+    "SELECT column_name, n_rows, non_null, non_digit, leading_zero, dated, max_length FROM (" if not i else " UNION ALL ") +
+    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count({c}) AS non_null, count(*) FILTER (WHERE NOT regexp_matches({c}, '^[0-9]+$')) AS non_digit, "
+    f"count(*) FILTER (WHERE starts_with({c}, '0') AND length({c}) > 1) AS leading_zero, "
+    f"count(*) FILTER (WHERE regexp_matches({c}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([ T][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}([.][0-9]{{1,6}})?)?)?$')) AS dated, "
+    f"max(length({c})) AS max_length FROM text_orders" for i, c in enumerate(_PROFILED))) + ")")
+def q_profile_batches(spark, d):
+    """Three batches, one of them sent twice, profiled each by itself; the states add up to the table's."""
+    from wareloom.operators import profiles as P
+
+    table = f"{scratch_database(spark, 'profiles')}.states"
+    rows = FX.text_orders(spark, d)
+    for batch in (0, 1, 2, 1):
+        P.record(rows.where(F.col("o_orderkey") % 3 == batch).select(*_PROFILED), table, "orders", str(batch))
+    return P.merged(spark, table, "orders")
