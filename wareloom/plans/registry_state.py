@@ -185,12 +185,14 @@ def q_geocode_approximate(spark, d):
 _PROFILED = ["id_text", "digits_with_null", "all_null", "mixed", "order_date", "big_digits", "lead_zero"]
 
 
-@register("profile_batches", with_("text_orders") + "".join((
-    "SELECT column_name, n_rows, non_null, non_digit, leading_zero, dated, max_length FROM (" if not i else " UNION ALL ") +
-    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count({c}) AS non_null, count(*) FILTER (WHERE NOT regexp_matches({c}, '^[0-9]+$')) AS non_digit, "
-    f"count(*) FILTER (WHERE starts_with({c}, '0') AND length({c}) > 1) AS leading_zero, "
-    f"count(*) FILTER (WHERE regexp_matches({c}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([ T][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}([.][0-9]{{1,6}})?)?)?$')) AS dated, "
-    f"max(length({c})) AS max_length FROM text_orders" for i, c in enumerate(_PROFILED))) + ")")
+def _profile_sql(c: str) -> str:
+    dated = "^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?)?$"
+    return (f"SELECT '{c}' AS column_name, count(*) AS n_rows, count({c}) AS non_null, count(*) FILTER (WHERE NOT regexp_matches({c}, '^[0-9]+$')) AS non_digit, "
+            f"count(*) FILTER (WHERE starts_with({c}, '0') AND length({c}) > 1) AS leading_zero, count(*) FILTER (WHERE regexp_matches({c}, '{dated}')) AS dated, "
+            f"max(length({c})) AS max_length FROM text_orders")
+
+
+@register("profile_batches", with_("text_orders") + " UNION ALL ".join(map(_profile_sql, _PROFILED)))
 def q_profile_batches(spark, d):
     """Three batches, one of them sent twice, profiled each by itself; the states add up to the table's."""
     from wareloom.operators import profiles as P
