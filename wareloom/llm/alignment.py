@@ -6,20 +6,19 @@ offsets at which a token of A and a token of B end cut both into groups.  The
 tokens of A and B that end at one such offset are linked; as every token has
 bytes, an offset ends one token of each, so there is a link to a group.
 
-How: a task encodes a run of texts and lays their ends out on one byte line.
-The shorter list of ends drives the search in the longer: each end gallops
-(steps of 1, 2, 4 ...) from the rank of an earlier driving end and finishes by
-binary search, all ends of a level in step.  Common ends slice the groups, and
-rank differences give the token ranges of a group.  Links are counted by
+How: texts are cut into segments at single spaces between visible characters: no
+pre-token of A and no piece of B crosses them (the files are checked for this), so a
+segment's end is a common end.  A worker aligns each segment it meets once and keeps it in a
+cache of bounded size; a run without such a space is one segment.  New segments are
+encoded and their ends laid out on one byte line.  The shorter list of ends
+drives the search in the longer: each end gallops (steps of 1, 2, 4 ...) from the rank of
+an earlier driving end and finishes by binary search, all ends of a level in
+step.  Common ends slice the groups, and rank differences give the token ranges
+of a group.  Links are counted by
 (A id, B id) in one aggregation.  Documents look up the ``frequent`` most
 frequent pairs in a broadcast table of that size; the rarer pairs of each
 document, and only those, join the counts, so no pair is hot in that join.
 
-Texts are cut into segments at single spaces between visible characters: no pre-token
-of A and no piece of B crosses them (the files are checked for this).  A worker
-encodes each segment it meets once and keeps them in a cache of bounded size; a
-run without such a space is one segment.
-
 Defined cases: null and empty texts, and those whose joined token bytes differ
 from space + text (a text with U+2581, for one), have zeros and empty
 ``groups``; repeated rows are aligned one by one and all count; an empty table
@@ -31,6 +30,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +43,8 @@ from wareloom.llm.token_counts import model_path
 from wareloom.session import cut_lineage, ship_package
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-RUN_BYTES, FREQUENT, STRIDE = 1 << 19, 1 << 17, 32
-ENCODED, CACHE_CHARS = 1 << 12, 1 << 20  # segments encoded at a time; a worker's cache starts anew beyond so many characters
+RUN_BYTES, FREQUENT, STRIDE = 1 << 19, 1 << 17, 4
+ENCODED, CACHE_CHARS = 1 << 13, 3 << 19  # segments encoded at a time; a worker's cache starts anew beyond so many characters
 MARK = "▁"
 MADE = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
 _CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
@@ -102,37 +102,44 @@ def segments(text: str) -> list[str]:
     return _CUT.split(text)
 
 
+class Numbers(dict):
+    """Numbers in the order of first use."""
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        return n
+
+
 class Segments:
-    """Segments by number: whether both tokenizers give their bytes back, and their ids of A and of B in two flat arrays."""
+    """Aligned segments by number: token and group counts, group texts, and links in one flat array."""
 
     def __init__(self):
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
         self.chars = 0
-        self.good = np.zeros(0, dtype=bool)
-        self.ids = [np.zeros(0, dtype=np.int64) for _ in range(2)]
-        self.ends = [np.zeros(1, dtype=np.int64) for _ in range(2)]
-
-    def add(self, pair: Pair, texts: list[str]) -> None:
-        """Encode new segments."""
-        if len(texts) > ENCODED:
-            for a in range(0, len(texts), ENCODED):
-                self.add(pair, texts[a : a + ENCODED])
-            return
-        full = [" " + t for t in texts]
-        good = np.ones(len(texts), dtype=bool)
-        found = ([e.ids for e in pair.a.encode_batch_fast(full, add_special_tokens=False)], pair.b.encode(texts, num_threads=1))
-        for side, (ids, entry) in enumerate(zip(found, (pair.bytes_a, pair.bytes_b))):
-            good &= [b"".join([entry[i] for i in x]) == t.encode("utf-8") for x, t in zip(ids, full)]
-            self.ids[side] = np.concatenate([self.ids[side], np.array([i for x in ids for i in x], dtype=np.int64)])
-            self.ends[side] = np.concatenate([self.ends[side], self.ends[side][-1] + np.cumsum([len(x) for x in ids])])
-        self.good = np.concatenate([self.good, good])
-        self.chars += sum(map(len, texts))
-
-    def tokens(self, side: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the segments ``codes`` in a row, and how many each has."""
-        begin, n = self.ends[side][codes], np.diff(self.ends[side])[codes]
-        at = np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n)
-        return self.ids[side][at], n
+        self.groups: list[str] = []
+        self.sizes = np.zeros((0, 3), dtype=np.int64)  # n_a, n_b, n_groups; all 0 where a tokenizer does not give the bytes back
+        self.links = np.zeros(0, dtype=np.int64)
+        self.ends = np.zeros(1, dtype=np.int64)
+
+    def codes(self, pair: Pair, texts: list[str]) -> list[int]:
+        """Numbers of segments; new ones are aligned."""
+        first = len(self.number)
+        out = list(map(self.number.__getitem__, texts))
+        fresh = list(self.number)[first:] if len(self.number) > first else []
+        for a in range(0, len(fresh), ENCODED):
+            part = fresh[a : a + ENCODED]
+            sizes, groups, links = align_segments(pair, part)
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.groups += groups
+            self.links = np.concatenate([self.links, links])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes[:, 2])])
+            self.chars += sum(map(len, part))
+        return out
+
+    def links_of(self, codes: np.ndarray) -> np.ndarray:
+        """The links of segments in a row."""
+        begin, n = self.ends[codes], self.sizes[codes, 2]
+        return self.links[np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n)]
 
 
 def gallop(driver: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -173,40 +180,25 @@ def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(same), rank[same]
 
 
-def _encoded(pair: Pair, texts: list[str]):
-    """(token ids, text of each, sizes of all ids) of A and of B, for the texts that both give back."""
-    if pair.cache.chars > CACHE_CHARS:
-        pair.cache = Segments()
-    cache = pair.cache
-    cut = [segments(t) if t else [] for t in texts]
-    row = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
-    number, first = cache.number, len(cache.number)
-    codes = np.array([number.setdefault(x, len(number)) for c in cut for x in c], dtype=np.int64)
-    fresh = list(number)[first:]
-    if fresh:
-        cache.add(pair, fresh)
-    good = np.array([bool(t) for t in texts], dtype=bool)
-    for i in np.unique(row[~cache.good[codes]]).tolist():  # as a whole the text may still be given back
-        mine, want = codes[row == i], (" " + texts[i]).encode("utf-8")
-        good[i] = all(b"".join(map(entry.__getitem__, cache.tokens(side, mine)[0].tolist())) == want for side, entry in ((0, pair.bytes_a), (1, pair.bytes_b)))
-    codes, row = codes[good[row]], row[good[row]]
-    out = []
-    for side, size in ((0, pair.size_a), (1, pair.size_b)):
-        ids, n = cache.tokens(side, codes)
-        out.append((ids, np.repeat(row, n), size))
-    return out
-
+def align_segments(pair: Pair, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """(n_a, n_b and n_groups of each segment, group texts, links of all); nothing where a tokenizer does not give the bytes back."""
+    full = [" " + t for t in texts]
+    want = "".join(full).encode("utf-8")
+    size = np.array(list(map(len, full)) if len(want) == sum(map(len, full)) else [len(t.encode("utf-8")) for t in full], dtype=np.int64)
+    good = np.ones(len(texts), dtype=bool)
+    held = []
+    for ids, entry, sizes in ((([e.ids for e in pair.a.encode_batch_fast(full, add_special_tokens=False)]), pair.bytes_a, pair.size_a), (pair.b.encode(texts, num_threads=1), pair.bytes_b, pair.size_b)):
+        n, flat = np.array(list(map(len, ids)), dtype=np.int64), list(chain.from_iterable(ids))
+        token = np.array(flat, dtype=np.int64)
+        ends = np.concatenate([[0], np.cumsum(sizes[token])])[np.cumsum(n)]
+        if b"".join(map(entry.__getitem__, flat)) != want or (ends != np.cumsum(size)).any():
+            good &= [b"".join([entry[i] for i in x]) == t.encode("utf-8") for x, t in zip(ids, full)]
+        held.append((n, token))
+    (n_a, a), (n_b, b) = ((n * good, ids[np.repeat(good, n)]) for n, ids in held)
 
-def align_run(pair: Pair, texts: list[str]) -> dict[str, list]:
-    """Counts, groups, and distinct links with how often, for each text of a run."""
-    (a, row_a, size_a), (b, row_b, size_b) = _encoded(pair, texts)
-    n = len(texts)
-    at_a, at_b = common_ends(np.cumsum(size_a[a]), np.cumsum(size_b[b]))
-    group_row = row_a[at_a]
-    n_groups = np.bincount(group_row, minlength=n)
-    n_a, n_b = np.bincount(row_a, minlength=n), np.bincount(row_b, minlength=n)
-
-    # texts of the groups: A's tokens of a group, then B's; a group's last token carries the mark that ends its side
+    at_a, at_b = common_ends(np.cumsum(pair.size_a[a]), np.cumsum(pair.size_b[b]))
+    n_groups = np.bincount(np.repeat(np.arange(len(texts)), n_a)[at_a], minlength=len(texts))
+    # A's tokens of a group, then B's; a group's last token carries the mark that ends its side
     len_a, len_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
     code_a, code_b = a.copy(), b + 2 * len(pair.bytes_a)
     code_a[at_a] += len(pair.bytes_a)
@@ -217,10 +209,28 @@ def align_run(pair: Pair, texts: list[str]) -> dict[str, list]:
     parts = list(map(pair.digits.__getitem__, laid.tolist()))
     ends = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
     groups = [b"".join(parts[x:y])[:-1].decode("ascii") for x, y in zip(ends[:-1], ends[1:])]
+    return np.stack([n_a, n_b, n_groups], axis=1), groups, (a[at_a] << 32) | b[at_b]
 
-    link = (a[at_a] << 32) | b[at_b]
-    order = np.lexsort((link, group_row))
-    link, of = link[order], group_row[order]
+
+def align_run(pair: Pair, texts: list[str]) -> dict[str, list]:
+    """Counts, groups, and distinct links with how often, for each text of a run."""
+    if pair.cache.chars > CACHE_CHARS:
+        pair.cache = Segments()
+    cache, n = pair.cache, len(texts)
+    cut = [segments(t) if t else [] for t in texts]
+    by_text = cache.codes(pair, [x for c in cut for x in c])
+    ends = np.cumsum([0] + [len(c) for c in cut]).tolist()
+    codes = [by_text[x:y] for x, y in zip(ends[:-1], ends[1:])]
+    for i in np.unique(np.repeat(np.arange(n), [len(c) for c in cut])[cache.sizes[by_text, 2] == 0]).tolist():
+        codes[i] = cache.codes(pair, [texts[i]])  # as a whole the text may still be given back; it has no tokens otherwise
+    flat = np.array([x for c in codes for x in c], dtype=np.int64)
+    row = np.repeat(np.arange(n), [len(c) for c in codes])
+    n_a, n_b, n_groups = (np.bincount(row, cache.sizes[flat, k], n).astype(np.int64) for k in range(3))
+    groups = [";".join(map(cache.groups.__getitem__, c)) for c in codes]
+
+    link, of = cache.links_of(flat), np.repeat(np.arange(n), n_groups)
+    order = np.lexsort((link, of))
+    link, of = link[order], of[order]
     new = np.ones(len(link), dtype=bool)
     new[1:] = (link[1:] != link[:-1]) | (of[1:] != of[:-1])
     start = np.flatnonzero(new)
