@@ -44,3 +44,22 @@ def test_empty_tables_clashing_columns_long_url(spark):
     assert judge_urls(urls.limit(0), rules).count() == 0
     assert {r.verdict for r in judge_urls(urls, rules.limit(0), default="block").collect()} == {"block"}
     assert "Python" not in judge_urls(urls, rules)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_clashing_names_and_a_hot_url(spark):
+    rows = [(i, "http://a.example.com/de/x" if i % 2 else f"http://h{i}.org/fr/", "v", "k", 1) for i in range(3000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, _verdict string, at string, its_rule int")
+    rules = spark.createDataFrame(PAGE_RULES, "host string, path string, verdict string")
+    was = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                                               "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+    try:
+        for k, v in zip(was, ("-1", "-1", "2k", "2k", "false", "1.5")):
+            spark.conf.set(k, v)
+        out = judge_urls(df.repartition(16), rules)
+        got = out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(got) == 3000 and out.columns == [*df.columns, "host", "path", "rule", "verdict"]
+    assert all(r.verdict == ("block" if r.page_id % 2 else "allow") and r._verdict == "v" and r["at"] == "k" for r in got)

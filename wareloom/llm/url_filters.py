@@ -11,7 +11,8 @@ How: a rule is filed under its *anchor*, its host and its path up to the last
 expression; expressions and anchors meet in an equi-join on the first 32 bits
 of their SHA-256, then the full digest and the whole rule path are confirmed.
 Distinct (host, path) pairs are judged once, so copies of a URL collapse
-map-side before anything is expanded; the verdicts join back by (host, path).
+map-side before anything is expanded; the verdicts join back by (host, path),
+as one struct, so that the join's sides come from shuffles and AQE splits a hot URL.
 Expressions with more labels, more slashes or more characters than any rule
 has are not made: they cannot equal an anchor.
 
@@ -27,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wareloom.llm.text_hash import spare
+
 #: host, path, verdict: fixed values of the pages query
 PAGE_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -92,5 +95,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, url_col: str = "url", default:
                                 F.col("_rule").alias("rule"), (F.col("_rule_verdict") != "block").alias("c"),
                                 F.col("_rule_verdict").alias("verdict"))).alias("_best"))
             .select("host", "path", F.col("_best.rule").alias("rule"), F.col("_best.verdict").alias("_verdict")))
-    out = pages.join(best, ["host", "path"], "left").withColumn("verdict", F.coalesce("_verdict", F.lit(default)))
-    return out.select(*pages.columns, "rule", "verdict")
+    key, rule, verdict = (spare(n, pages.columns) for n in ("at", "its_rule", "its_verdict"))
+    best = best.select(F.struct("host", "path").alias(key), F.col("rule").alias(rule), F.col("_verdict").alias(verdict))
+    out = pages.withColumn(key, F.struct("host", "path")).join(best, key, "left")
+    return out.select(*[F.col(f"`{c}`") for c in pages.columns], F.col(rule).alias("rule"), F.coalesce(verdict, F.lit(default)).alias("verdict"))
