@@ -85,3 +85,16 @@ def test_counts_on_whole_table_and_odd_rows(spark, sf, odd_docs, no_docs):
             n = len(sp.encode(r.text or ""))
             assert (r.n_bytes, r.n_tokens, r.over_limit) == (len((r.text or "").encode()), n, n > 4096)
     assert tc.count_tokens(no_docs).count() == 0
+
+
+def test_tables_hold_no_long_pre_tokens(spark):
+    import pyarrow as pa
+
+    long = "\u65e5\u672c\u8a9e" * 5000
+    docs = spark.createDataFrame([(1, f"{long} {long} word word"), (2, long), (3, "word")], "doc_id long, text string")
+    assert set(tc.frequent_lengths(docs, tc.model_path())) == {"word"}
+    batches = tc._frequent([pa.RecordBatch.from_arrays([pa.array([long, "a " + long])], ["text"])])
+    assert [t for b in batches for t in b.column("token").to_pylist()] == ["a"]
+    got = {r.doc_id: r.n_tokens for r in tc.count_tokens(docs).collect()}
+    sp = tc.load(tc.model_path())
+    assert got == {1: len(sp.encode(f"{long} {long} word word")), 2: len(sp.encode(long)), 3: 1}

@@ -11,7 +11,9 @@ hands up its most frequent ones; the ``frequent`` most frequent of all are
 encoded once and broadcast as a hash table from pre-token to length.
 Documents look up that table, then the worker's cache of earlier misses, and
 encode what is left.  Pre-tokens are never shuffled; only the bounded lists of
-the tasks are.  The table only saves time: counts do not depend on it.
+the tasks are.  The table only saves time: counts do not depend on it.  Table, lists
+and cache hold pre-tokens of at most ``KEPT_CHARS`` characters, so their bytes are
+bounded with their entries; longer ones (a line without spaces, say) are encoded where they stand.
 
 Defined cases: null text is empty; an empty text has 0 bytes and 0 tokens;
 repeated rows are counted one by one; an empty table gives no rows;
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 from wareloom.session import ship_package
 
 MODEL = "piece_bpe_32k.model"
-FREQUENT, PER_TASK, HELD, CACHED = 1 << 16, 1 << 13, 1 << 18, 1 << 19
+FREQUENT, PER_TASK, HELD, CACHED = 1 << 16, 1 << 13, 1 << 18, 1 << 18
+KEPT_CHARS = 48
 MARK = "▁"
 _SLOW = re.compile(f"{MARK}+[^{MARK}\n]*|\n[^{MARK}\n]*")
 _models: dict = {}
@@ -81,7 +84,7 @@ def _frequent(batches):
     held: Counter = Counter()
     for batch in batches:
         for text in batch.column("text"):
-            held.update(pre_tokens(text.as_py() or ""))
+            held.update({t: n for t, n in pre_tokens(text.as_py() or "").items() if len(t) <= KEPT_CHARS})
             if len(held) > HELD:
                 held = Counter(dict(held.most_common(HELD // 4)))
     top = held.most_common(PER_TASK)
@@ -108,9 +111,11 @@ def _count(path: str, table):
                     if size is None:
                         size = cache.get(token)
                         if size is None:
-                            if len(cache) >= CACHED:
-                                cache.clear()
-                            size = cache[token] = length(sp, token)
+                            size = length(sp, token)
+                            if len(token) <= KEPT_CHARS:
+                                if len(cache) >= CACHED:
+                                    cache.clear()
+                                cache[token] = size
                     n += size * times
                 out.append(n)
             columns = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
