@@ -99,3 +99,9 @@ def test_archives_of_no_pages(spark, tmp_path):
 def test_broken_archive_raises():
     with pytest.raises(ValueError):
         list(warc.parse(b"WARC/1.1\r\nContent-Length: 5\r\n\r\nab\r\n\r\n"))
+
+
+def test_mixing_keeps_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a", "x y", "k", 7, "s"), (2, "b", "z", "k", 7, "s")], "doc_id long, source string, text string, _key string, _slice int, _until string")
+    rows = mixing.mix(df).collect()
+    assert len(rows) == 2 and all((r._key, r._slice, r._until) == ("k", 7, "s") for r in rows)

@@ -76,7 +76,8 @@ def source_targets(sources: DataFrame, budget_share: float = 1.0, weights: tuple
 def mix(docs: DataFrame, seed: str = "mix", budget_share: float = 1.0, weights: tuple = (1, 2, 3), epochs: int = 3) -> DataFrame:
     """``docs`` (without text) with size, source_size, target and taken (words the mix takes, repeats counted)."""
     rest = [c for c in docs.columns if c not in (*MADE, "text")]
-    queue = docs.select(*rest, word_count(F.col("text")).alias("size"), shuffle_key(seed).alias("_key"))
+    doc = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)]).alias("_doc")  # no name of the input meets one made here
+    queue = docs.select(doc, "source", word_count(F.col("text")).alias("size"), shuffle_key(seed).alias("_key"))
     queue = cut_lineage(queue.withColumn("_slice", F.conv(F.substring("_key", 1, 3), 16, 10).cast("int")), "mix-queue")
 
     slices = queue.groupBy("source", "_slice").agg(F.sum("size").alias("_words"))
@@ -128,4 +129,4 @@ def mix(docs: DataFrame, seed: str = "mix", budget_share: float = 1.0, weights:
 
     times = sum((taken_once(e) for e in range(epochs)), F.lit(0))
     taken = F.when(live, F.col("size") * times).otherwise(0).cast("long")
-    return queue.withColumn("taken", taken).select(*rest, *MADE)
+    return queue.withColumn("taken", taken).select(*[F.col(f"_doc.c{i}").alias(c) for i, c in enumerate(rest)], *MADE)
