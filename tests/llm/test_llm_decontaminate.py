@@ -55,3 +55,15 @@ def test_empty_tables(spark, odd_docs, no_docs):
     assert decontaminate(no_docs, items).count() == 0
     rows = decontaminate(odd_docs, items.limit(0)).collect()
     assert len(rows) == odd_docs.count() and not any(r.contaminated or r.n_hit for r in rows)
+
+
+def test_repeated_items_do_not_fill_a_block(spark):
+    from wareloom.llm import decontaminate as dc
+
+    text = "one two three four five six seven " * 10
+    items = spark.createDataFrame([(1, text)] * 500 + [(2, text), (3, "other words " * 20)], "item_id long, text string")
+    blocks = list(dc._blocks(items, 1 << 20))
+    assert sorted(x for b in blocks for x in b) == sorted([("1", text), ("2", text), ("3", "other words " * 20)])
+    many = spark.createDataFrame([(i, f"{i} {text}") for i in range(64)], "item_id long, text string")
+    sizes = [sum(len(t) + 16 for _, t in b) for b in dc._blocks(many, 4000)]
+    assert len(sizes) > 4 and max(sizes) <= 2 * 4000

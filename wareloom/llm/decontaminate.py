@@ -161,8 +161,8 @@ def _judge(held, last: bool, ratio: int):
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int):
-    """Lists of (item name, text), each of about ``block_bytes`` of text or one item."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce("text", F.lit("")).alias("text"))
+    """Lists of distinct (item name, text), each of about ``block_bytes`` of text or one item."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     n = max(1, -(-2 * total // block_bytes)) if total > block_bytes else 1
     placed = items.withColumn("_block", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
