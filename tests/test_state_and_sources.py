@@ -277,7 +277,10 @@ def test_command_line_jobs(spark, tmp_path):
         cli.copy({**env, "TARGET_DB": "state", "COLUMN_Q": "nope"})
     out = cli.export({**env, "TARGET_PATH": str(tmp_path / "x")})
     assert FS.delimited(spark, out[0], sep=",", null_value="NA").count() == 2
-    spark.createDataFrame([(1, "a st", None), (2, "b st", 1.0)], "id int, FULL_ADDRESS string, latitude double").write.saveAsTable("master.st_cli_one_G")
+    spark.createDataFrame([("B ST", 90.0, 5.0, 1.0)], "FULL_ADDRESS string, score double, longitude double, latitude double").write.saveAsTable("state.locator")
+    geo = {**env, "TABLES": "one", "ID_COLS": "id", "LOCATOR": "state.locator", "ADDRESS": "CASE WHEN id = 1 THEN 'a st' ELSE 'b  st' END"}
+    assert cli.geocode(geo)[0].startswith("overwrite") and cli.geocode(geo) == ["nothing to geocode"]
+    assert {r.id: r.longitude for r in spark.table("master.st_cli_one_G").collect()} == {1: None, 2: 5.0}
     lost = cli.misses({**env, "TABLES": "one", "ID_COLS": "id", "COLS": "note", "TARGET_PATH": str(tmp_path / "m")})
     assert [r.FULL_ADDRESS for r in FS.delimited(spark, lost[0], sep=",", null_value="NA").collect()] == ["a st"]
 
@@ -286,3 +289,12 @@ def cli_error():
     from wareloom.operators.quality import ContractError
 
     return ContractError
+
+
+def test_part_files_are_feature_collections(spark, tmp_path):
+    df = spark.createDataFrame([(i, None if i == 3 else float(i), 1.0, 'q"') for i in range(7)], "k int, lon double, lat double, note string")
+    for single in (False, True):
+        X.geojson(df.repartition(3), str(tmp_path / str(single)), "lon", "lat", ["k", "note"], single)
+        docs = [json.loads(p.read_text()) for p in (tmp_path / str(single)).glob("part-*")]
+        assert all(d["type"] == "FeatureCollection" for d in docs) and (len(docs) == 1) == single
+        assert sorted(f["properties"]["k"] for d in docs for f in d["features"]) == [0, 1, 2, 4, 5, 6]

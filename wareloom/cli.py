@@ -7,6 +7,7 @@
     python -m wareloom.cli convert-datetime  # text columns COLS of the staged tables to timestamps
     python -m wareloom.cli copy              # master tables (COLUMN_Q columns) to TARGET_DB, SUFFIX added
     python -m wareloom.cli export            # master tables as CSV below TARGET_PATH
+    python -m wareloom.cli geocode           # new rows of the master tables to <table>_G by the table LOCATOR
     python -m wareloom.cli misses            # geocoded rows without a place, as CSV below TARGET_PATH
     python -m wareloom.cli validate          # schema + null contract of the staged tables
     python -m wareloom.cli generate-schema   # contract of a staged table (JSON on stdout)
@@ -51,6 +52,9 @@ ENV_TARGET_DB = "TARGET_DB"
 ENV_TARGET_PATH = "TARGET_PATH"
 ENV_GENERATED_ID = "GENERATED_ID"
 ENV_WHERE = "WHERE"
+ENV_LOCATOR = "LOCATOR"
+ENV_ADDRESS = "ADDRESS"
+ENV_DISTANCE = "DISTANCE"
 
 
 def _list(env: Mapping[str, str], name: str) -> list[str]:
@@ -132,6 +136,25 @@ def export(env: Mapping[str, str]) -> list[str]:
     return out
 
 
+def geocode(env: Mapping[str, str]) -> list[str]:
+    """Load ``<table>_G`` (id, FULL_ADDRESS, place) for the rows it lacks.
+
+    ``ADDRESS`` is the SQL text of the address, ``LOCATOR`` a table of addresses with score and place;
+    with ``DISTANCE`` an address may differ from the locator's by so many edits."""
+    from wareloom.naming import TableRef
+    from wareloom.operators import approximate, enrich
+
+    spark, out = _spark(), []
+    locator, distance = spark.table(env[ENV_LOCATOR]), int(env.get(ENV_DISTANCE, "0"))
+    for t in _tables(env):
+        ref = TableRef(env[ENV_DEPT], env[ENV_SOURCE], t, "master")
+        id_col = _list(env, ENV_ID_COLS)[0]
+        rows = enrich.address(spark.table(ref.qualified), env[ENV_ADDRESS]).select(id_col, "FULL_ADDRESS")
+        find = (lambda todo: approximate.geocode(todo, locator, distance=distance)) if distance else (lambda todo: enrich.geocode(todo, locator))
+        out.append(enrich.run(rows, ref.geocoded, lambda todo, f=find: f(todo).select(id_col, "FULL_ADDRESS", "longitude", "latitude"), id_col))
+    return out
+
+
 def misses(env: Mapping[str, str]) -> list[str]:
     """Rows of ``<table>_G`` without a latitude, with the source's columns ``COLS``, as CSV."""
     from wareloom.naming import TableRef
@@ -234,7 +257,7 @@ def pull(env: Mapping[str, str]) -> list[str]:
     return out
 
 
-JOBS = {"pull": pull, "convert-datetime": convert_datetime, "copy": copy, "export": export, "misses": misses}
+JOBS = {"pull": pull, "convert-datetime": convert_datetime, "copy": copy, "export": export, "geocode": geocode, "misses": misses}
 
 
 def main(argv: list[str] | None = None, env: Mapping[str, str] | None = None) -> int:

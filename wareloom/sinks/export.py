@@ -79,3 +79,25 @@ def extract(df: DataFrame, path: str, mode: str = "overwrite", columns: list[str
     consistent across runs because every run goes through the same typed
     projection) or ``create`` (fails if the extract exists)."""
     extract_types(df, columns, float_cols).write.mode(EXTRACT_MODES[mode]).parquet(path)
+
+
+def _collection(batches):
+    """Task: a partition's features as the lines of one FeatureCollection document."""
+    import pyarrow as pa
+
+    line = lambda texts: pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["value"])
+    yield line(['{"type":"FeatureCollection","features":['])
+    first = True
+    for batch in batches:
+        texts = batch.column(0).to_pylist()
+        if texts:
+            yield line([("" if first and i == 0 else ",") + t for i, t in enumerate(texts)])
+            first = False
+    yield line(["]}"])
+
+
+def geojson(df: DataFrame, path: str, lon: str, lat: str, properties: list[str], single_file: bool = False) -> None:
+    """GeoJSON documents: every part file is a FeatureCollection of its rows (rows without a coordinate are left out)."""
+    out = geojson_features(df, lon, lat, properties)
+    out = (out.coalesce(1) if single_file else out).mapInArrow(_collection, "value string")
+    out.write.mode("overwrite").text(path)
