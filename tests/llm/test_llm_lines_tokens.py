@@ -33,8 +33,10 @@ def test_lines_against_brute_force(spark, odd_docs, group, monkeypatch):
     monkeypatch.setattr(line_dedup, "SHARD_KEYS", 7)
     rows = [(i, "\n".join(f"  Line number {(i * j) % 23} {'é' * 3}" if j % 3 else f"s{j % 5}" for j in range(i % 9))) for i in range(40)]
     rows += [(r.doc_id, r.text) for r in odd_docs.collect()]
-    df = spark.createDataFrame([(d, t, "c") for d, t in rows], "doc_id long, text string, n_dropped string")
-    got = [tuple(r) for r in dedup_lines(df, group_bytes=group).collect()]
+    df = spark.createDataFrame([(d, t, "c", "m", 5) for d, t in rows], "doc_id long, text string, n_dropped string, marked string, row int")
+    out = dedup_lines(df, group_bytes=group)
+    assert out.columns == ["doc_id", "text", "marked", "row", "n_lines", "n_dropped"]
+    got = [tuple(r) for r in out.select("doc_id", "text", "n_lines", "n_dropped").collect()]
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted(got, key=key) == sorted(brute_lines(rows), key=key)
 
@@ -98,3 +100,25 @@ def test_tables_hold_no_long_pre_tokens(spark):
     got = {r.doc_id: r.n_tokens for r in tc.count_tokens(docs).collect()}
     sp = tc.load(tc.model_path())
     assert got == {1: len(sp.encode(f"{long} {long} word word")), 2: len(sp.encode(long)), 3: 1}
+
+
+def test_a_large_index_stays_in_its_tasks(spark, monkeypatch):
+    """Beyond the broadcast bound: a hot line is dealt over salts, no shard reaches the driver, small sort batches split shards."""
+    from pyspark.sql import DataFrame
+
+    from wareloom.llm import line_dedup
+
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 5)
+    rows = [(i, "the very same line everywhere\n" + "\n".join(f"line {j} of a few documents" for j in range(i % 50))) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    seen = []
+    monkeypatch.setattr(DataFrame, "collect", lambda self, real=DataFrame.collect: seen.append(self.columns) or real(self))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = dedup_lines(df, group_bytes=1)
+        assert not any("hash" in c for c in seen)
+        got = sorted(tuple(r) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    assert got == sorted(brute_lines(rows))

@@ -8,10 +8,12 @@ its lines stay.
 How: tasks reduce each batch to distinct key hashes (128 bits) with smallest
 and largest doc_id; one aggregation keeps the hashes with two documents.  Each
 shard of those is built, in its own task, into a minimal perfect hash with a
-fingerprint, a count and an owner array.  Shards are broadcast in groups of at
-most ``group_bytes``; documents probe them map-side, so lines are never
-joined.  Beyond one group the documents pass once per group, with the marked
-lines carried along and the lineage cut in between.
+fingerprint, a count and an owner array.  An index of at most ``group_bytes`` is
+broadcast and documents probe it map-side, so lines are never joined.  A larger index
+stays where it is: documents are written once with row numbers and send a probe of 40 bytes
+per line to the shard's task, which holds one shard at a time and streams the probes
+past its arrays; only marked positions come back to the documents.  Probes of a shard are
+dealt over ``salts`` copies of it, so a very frequent line is not one task's work.
 
 Defined cases: a null or empty text is one empty line; rows with a null doc_id
 neither count nor lose lines; rows with one doc_id are one document; a
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wareloom.llm.mph import PerfectHash, build
-from wareloom.llm.text_hash import mix
+from wareloom.llm.text_hash import mix, spare
 from wareloom.session import cut_lineage, ship_package
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -112,28 +114,99 @@ def line_index(docs: DataFrame, min_chars: int = 10) -> tuple[DataFrame, int]:
     return cut_lineage(built, "line-index"), shards
 
 
-def _groups(index: DataFrame, group_bytes: int):
-    """Lists of shard numbers of at most ``group_bytes`` together."""
-    sizes = index.select("shard", (F.length("hash") + 20 * F.col("n")).alias("b")).orderBy("shard").collect()
-    group, held = [], 0
-    for shard, size in map(tuple, sizes):
-        if group and held + size > group_bytes:
-            yield group
-            group, held = [], 0
-        group.append(shard)
-        held += size
-    if group:
-        yield group
+PROBE = "row long, line int, doc long, h1 long, h2 long"
+ARRAYS = ["hash", "prints", "counts", "owners"]
 
 
-def _probe(shards: int, held, min_chars: int, min_docs: int, last: bool):
-    """Task: mark the lines that the shards in ``held`` (a broadcast) give to another document."""
+def _arrays(raw) -> tuple:
+    """A shard's perfect hash, fingerprints, counts and owners."""
+    h, p, c, o = raw
+    return PerfectHash(h), np.frombuffer(p, np.int64), np.frombuffer(c, np.uint32), np.frombuffer(o, np.int64)
+
+
+def _hit(arrays: tuple, h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, min_docs: int) -> np.ndarray:
+    """Which probes name a line of another document."""
+    perfect, prints, counts, owners = arrays
+    at = perfect.index(_keys(h1, h2))
+    return (at >= 0) & (prints[at] == h2) & (counts[at] >= min_docs) & (owners[at] != doc)
+
+
+def _probes(min_chars: int):
+    """Task: the probes of documents (row, doc_id, text)."""
+
+    def run(batches):
+        for batch in batches:
+            out: list = []
+            for row, doc, raw in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), _texts(batch, "text")):
+                if doc is not None:
+                    out += [(row, j, doc, *np.frombuffer(_digest(k), "<i8").tolist()) for j, x in enumerate(raw.split(b"\n")) if (k := line_key(x, min_chars)) is not None]
+                if len(out) > 100_000:
+                    yield _probe_batch(out)
+                    out = []
+            if out:
+                yield _probe_batch(out)
+
+    return run
+
+
+def _probe_batch(rows: list) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["row", "line", "doc", "h1", "h2"])
+
+
+def _stream(min_docs: int):
+    """Task: rows sorted by shard, the shard's arrays before its probes -> marked (row, line)."""
+
+    def run(batches):
+        held, arrays = None, None
+        for batch in batches:
+            shard, index = batch.column("shard").to_numpy(), batch.column("hash").is_valid().to_numpy(zero_copy_only=False)
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]])
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if shard[a] != held:
+                    held, arrays = shard[a], None
+                for i in (np.flatnonzero(index[a:b]) + a).tolist():
+                    arrays = _arrays([batch.column(c)[i].as_py() for c in ARRAYS])
+                at = np.flatnonzero(~index[a:b]) + a
+                if arrays is None or not len(at):
+                    continue
+                h1, h2, doc = (batch.column(c).take(pa.array(at)).to_numpy() for c in ("h1", "h2", "doc"))  # probes have no nulls
+                mask = pa.array(at[_hit(arrays, h1, h2, doc, min_docs)])
+                yield pa.RecordBatch.from_arrays([batch.column("row").take(mask), batch.column("line").take(mask)], ["row", "line"])
+
+    return run
+
+
+def _marked_apart(numbered: DataFrame, index: DataFrame, shards: int, min_chars: int, min_docs: int, salts: int) -> DataFrame:
+    """(row, marked lines) of the documents ``numbered`` (row, doc_id, text), each shard probed in tasks of its own."""
+    probes = numbered.select("row", "doc_id", "text").mapInArrow(_probes(min_chars), PROBE)
+    probes = probes.withColumns({"shard": F.pmod("h1", F.lit(shards)).cast("int"), "salt": F.pmod(F.xxhash64("row", "line"), F.lit(salts)).cast("int")})
+    arrays = index.select("shard", *ARRAYS).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    both = probes.unionByName(arrays, allowMissingColumns=True)
+    dealt = both.repartition("shard", "salt").sortWithinPartitions("shard", F.col("hash").isNull())
+    hits = dealt.mapInArrow(_stream(min_docs), "row long, line int")
+    return hits.groupBy("row").agg(F.collect_set("line").alias("marked"))  # lines of one document
+
+
+def _reduced(batch: pa.RecordBatch, raws: list[bytes], marked: list, drop: str | None = None) -> pa.RecordBatch:
+    """``batch`` with texts without their marked lines, n_lines and n_dropped."""
+    columns = {f.name: batch.column(i) for i, f in enumerate(batch.schema) if f.name != drop}
+    split = [raw.split(b"\n") for raw in raws]
+    kept = [raw if not m else b"\n".join(x for j, x in enumerate(parts) if j not in m) for raw, parts, m in zip(raws, split, marked)]
+    columns["text"] = pa.array([k.decode("utf-8") for k in kept], pa.string())
+    columns["n_lines"] = pa.array([len(p) for p in split], pa.int64())
+    columns["n_dropped"] = pa.array([len(m) for m in marked], pa.int64())
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
+def _probe(shards: int, held, min_chars: int, min_docs: int):
+    """Task: drop the lines that the shards in ``held`` (a broadcast) give to another document."""
 
     def run(batches):
-        index = {s: (PerfectHash(h), np.frombuffer(p, np.int64), np.frombuffer(c, np.uint32), np.frombuffer(o, np.int64)) for s, h, p, c, o in (held.value if held else ())}
+        index = {s: _arrays(raw) for s, *raw in (held.value if held else ())}
         for batch in batches:
             ids, raws = batch.column("doc_id").to_pylist(), list(_texts(batch, "text"))
-            marked = [set(x or ()) for x in batch.column("_marked").to_pylist()]
+            marked: list = [set() for _ in raws]
             row, line, owner_of, digests = [], [], [], []
             for i, (doc, raw) in enumerate(zip(ids, raws)):
                 if doc is None or not index:
@@ -148,41 +221,41 @@ def _probe(shards: int, held, min_chars: int, min_docs: int, last: bool):
                 pair = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
                 h1, h2 = np.ascontiguousarray(pair[:, 0]), np.ascontiguousarray(pair[:, 1])
                 docs, shard = np.array(owner_of, dtype=np.int64), h1 % shards
-                for s, (perfect, prints, counts, owners) in index.items():
+                for s, arrays in index.items():
                     here = np.flatnonzero(shard == s)
-                    at = perfect.index(_keys(h1[here], h2[here]))
-                    hit = (at >= 0) & (prints[at] == h2[here]) & (counts[at] >= min_docs) & (owners[at] != docs[here])
-                    for k in here[hit]:
+                    for k in here[_hit(arrays, h1[here], h2[here], docs[here], min_docs)]:
                         marked[row[k]].add(line[k])
-            columns = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
-            if not last:
-                columns["_marked"] = pa.array([sorted(m) for m in marked], pa.list_(pa.int32()))
-            else:
-                split = [raw.split(b"\n") for raw in raws]
-                kept = [raw if not m else b"\n".join(x for j, x in enumerate(parts) if j not in m) for raw, parts, m in zip(raws, split, marked)]
-                columns["text"] = pa.array([k.decode("utf-8") for k in kept], pa.string())
-                del columns["_marked"]
-                columns["n_lines"] = pa.array([len(p) for p in split], pa.int64())
-                columns["n_dropped"] = pa.array([len(m) for m in marked], pa.int64())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            yield _reduced(batch, raws, marked)
+
+    return run
+
+
+def _drop(column: str):
+    """Task: drop the lines listed in ``column``."""
+
+    def run(batches):
+        for batch in batches:
+            marked = [set(x or ()) for x in batch.column(column).to_pylist()]
+            yield _reduced(batch, list(_texts(batch, "text")), marked, column)
 
     return run
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, group_bytes: int = GROUP_BYTES, salts: int = 8) -> DataFrame:
     """``docs`` with text reduced to its kept lines, n_lines (before) and n_dropped.
 
     ``min_docs`` spares lines that fewer document rows hold."""
     sc = docs.sparkSession.sparkContext
     index, shards = line_index(docs, min_chars)
-    state = docs.drop("n_lines", "n_dropped", "_marked").withColumn("doc_id", F.col("doc_id").cast("long"))
-    plain = state.columns
-    fields = lambda names: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in state.schema.fields if f.name in names)
-    state = state.withColumn("_marked", F.lit(None).cast("array<int>"))
-    groups = list(_groups(index, group_bytes)) if shards else [[]]
-    for i, group in enumerate(groups):
-        rows = [tuple(map(lambda v: bytes(v) if isinstance(v, bytearray) else v, r)) for r in index.where(F.col("shard").isin(group)).select("shard", "hash", "prints", "counts", "owners").collect()] if group else []
+    state = docs.drop("n_lines", "n_dropped").withColumn("doc_id", F.col("doc_id").cast("long"))
+    made = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in state.schema.fields) + ", n_lines long, n_dropped long"
+    size = index.agg(F.coalesce(F.sum(F.length("hash") + 20 * F.col("n")), F.lit(0))).first()[0] if shards else 0
+    if size <= group_bytes:
+        rows = [tuple(map(lambda v: bytes(v) if isinstance(v, bytearray) else v, r)) for r in index.select("shard", *ARRAYS).collect()] if shards else []
         held = sc.broadcast(rows) if rows else None
-        if i + 1 < len(groups):
-            state = cut_lineage(state.mapInArrow(_probe(shards, held, min_chars, min_docs, False), fields([*plain, "_marked"])), "lines-marked")
-    return state.mapInArrow(_probe(shards, held, min_chars, min_docs, True), fields(plain) + ", n_lines long, n_dropped long")
+        return state.mapInArrow(_probe(shards, held, min_chars, min_docs), made)
+    row, lines = spare("row", state.columns), spare("marked", state.columns)
+    numbered = cut_lineage(state.withColumn(row, F.monotonically_increasing_id()), "numbered-texts")
+    marked = _marked_apart(numbered.select(F.col(row).alias("row"), "doc_id", "text"), index, shards, min_chars, min_docs, salts)
+    marked = cut_lineage(marked, "lines-marked").select(F.col("row").alias(row), F.col("marked").alias(lines))
+    return numbered.join(marked, row, "left").drop(row).mapInArrow(_drop(lines), made)
