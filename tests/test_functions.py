@@ -127,13 +127,15 @@ def test_keep_leading_zero_codes(spark):
 
 
 def test_workbook_sheet_choice(spark, tmp_path):
-    from wareloom.plans.workbook_fixture import write_customer_workbooks
+    from wareloom.plans.workbook_fixture import customer_workbooks
     from wareloom.sources import workbooks as WB
 
     cust = spark.range(0, 10).select(F.col("id").alias("c_custkey"), F.concat(F.lit("n"), F.col("id").cast("string"))
                                      .alias("c_name"), (F.col("id") * 1.5).alias("c_acctbal"),
                                      F.lit("BUILDING").alias("c_mktsegment"))
-    write_customer_workbooks(cust, str(tmp_path / "wb"))
+    (tmp_path / "wb").mkdir()
+    for r in customer_workbooks(cust).collect():
+        (tmp_path / "wb" / r.path).write_bytes(r.content)
     first = WB.read_folder(spark, str(tmp_path / "wb"), sheet=0, skip=1, column_types={"c_custkey": "bigint"})
     named = WB.read_folder(spark, str(tmp_path / "wb"), sheet="more", skip=1, column_types={"c_custkey": "bigint"})
     assert sorted(r[0] for r in first.collect()) == [0, 2, 4, 6, 8]

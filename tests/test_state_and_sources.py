@@ -262,8 +262,9 @@ def test_command_line_jobs(spark, tmp_path):
         jobs.stage(spark.createDataFrame([(1, "2024-01-02", None), (2, "no", "b")], "id int, at string, note string"), ref)
     contract = [{"COLUMN_NAME": c, "DATA_TYPE": k} for c, k in (("id", "int"), ("at", "varchar"), ("note", "varchar"))]
     bad = [dict(c, DATA_TYPE="bigint") if c["COLUMN_NAME"] == "id" else c for c in contract]
-    with pytest.raises(ValueError, match="no contract for one"):
-        cli.validate({**env, "COL_SCHEMA": json.dumps(contract)})
+    with pytest.raises(ValueError, match="no contract for two"):
+        cli.validate({**env, "COL_SCHEMA": json.dumps({"one": contract})})
+    cli.validate({**env, "COL_SCHEMA": json.dumps(contract)})
     cli.validate({**env, "COL_SCHEMA": json.dumps({"one": contract, "two": contract})})
     with pytest.raises(cli_error(), match="two: "):
         cli.validate({**env, "COL_SCHEMA_ONE": json.dumps(contract), "COL_SCHEMA_TWO": json.dumps(bad)})

@@ -100,7 +100,7 @@ def test_polygons_of_very_different_sizes(spark):
     points = spark.createDataFrame([(1, 5.0005, 5.0005), (2, 7.0, 7.0), (3, 2e6, 0.0), (4, None, 1.0), (5, 100.5, 100.5), (5, 100.5, 100.5)], "id int, longitude double, latitude double")
     got = sorted((r.id, r.NAME) for r in SP.locate(points, polygons, ["NAME"]).collect())
     assert got == sorted([(1, "tiny"), (2, "huge"), (3, None), (4, None), (5, "huge"), (5, "huge")], key=lambda r: r[0])
-    cells = SP.polygon_cells(polygons, ["NAME"])
+    cells = SP.polygon_cells(SP.shapes(polygons, ["NAME"]))
     assert cells.count() <= 4 * len(polys)
     few = SP.locate(points, polygons.where("poly_order > 1"), ["NAME"])
     assert {r.id: r.NAME for r in few.collect()}[5] == "p0"

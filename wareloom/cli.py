@@ -175,14 +175,14 @@ def misses(env: Mapping[str, str]) -> list[str]:
 def contracts(env: Mapping[str, str]) -> dict[str, str]:
     """The contract of each listed table.
 
-    ``COL_SCHEMA`` is one contract (a JSON list, or the path of one) for a single table, or a JSON object
+    ``COL_SCHEMA`` is one contract (a JSON list, or the path of one) for all tables, or a JSON object
     from table to contract; ``COL_SCHEMA_<TABLE>`` gives a table its own."""
     text, tables = env.get(ENV_COL_SCHEMA, ""), _tables(env)
     by_table = json.loads(text) if text.lstrip().startswith("{") else {}
     out = {}
     for t in tables:
         own = env.get(f"{ENV_COL_SCHEMA}_{t}") or env.get(f"{ENV_COL_SCHEMA}_{t.upper()}") or by_table.get(t)
-        if own is None and not by_table and len(tables) == 1:
+        if own is None and not by_table:
             own = text
         if not own:
             raise ValueError(f"no contract for {t}: set {ENV_COL_SCHEMA}_{t.upper()}, or give {ENV_COL_SCHEMA} as an object by table")
