@@ -82,9 +82,9 @@ def vertex_ids(rows: DataFrame, id_col: str) -> tuple[DataFrame, bool]:
 
 
 def smallest_ids(vertices: DataFrame, groups: DataFrame, repeated: bool) -> DataFrame:
-    """(digest, component_id): the smallest id in the component of each of ``vertices`` (digest, node, least)."""
+    """(digest, component_id, group): the smallest id in the component of each of ``vertices`` (digest, node, least), and the component's own number."""
     at = vertices.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     if not repeated:
-        return at.select("digest", F.col("component").alias("component_id"))
+        return at.select("digest", F.col("component").alias("component_id"), F.col("component").alias("group"))
     least = at.groupBy("component").agg(F.min("least").alias("component_id"))
-    return at.join(least, "component").select("digest", "component_id")
+    return at.join(least, "component").select("digest", "component_id", F.col("component").alias("group"))

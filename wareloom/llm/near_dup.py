@@ -313,8 +313,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, key: str | N
         groups = components(links.unionByName(_links(more.select(*PAIR), named_texts, k, percent)))
 
     found = smallest_ids(vertices.select("digest", "node", "least"), groups, repeated)
-    if key:
-        found = found.join(vertices.join(groups, "node", "left").select("digest", F.coalesce("component", "node").alias("group")), "digest")
     out = sig.select("doc_id", "key", "digest", "n_shingles").join(found, "digest", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     out = out.select("doc_id", "n_shingles", own.alias("component_id"), *(["key", "group"] if key else []))
