@@ -85,7 +85,7 @@ def q_geocode_answer_store(spark, d):
     from wareloom.plans.clients import make_customer_client
 
     store, addr = f"{scratch_database(spark, 'answers')}.answers", FX.addr(spark, d)
-    E.answers(addr.where("id % 2 = 0"), make_customer_client, store, wave=400)
+    E.answers(addr.where("id % 2 = 0"), make_customer_client, store)
     out = E.with_client(addr, make_customer_client, store=store)
     return out.crossJoin(spark.table(store).agg(F.count(F.lit(1)).alias("stored")))  # one row
 
