@@ -253,6 +253,16 @@ def test_folder_prefixes_against_plain_prefixes(spark):
     assert len(got) == len(requests)
 
 
+def test_begins_of_one_large_folder_meet_by_equality(spark):
+    n = 2000
+    files = spark.range(n).select(F.col("id").cast("string").alias("id"), F.lit("f").alias("name"), F.concat(F.lit("/w/"), F.col("id").cast("string")).alias("path"))
+    requests = spark.range(n).select(F.col("id").cast("string").alias("req_id"), F.lit("f").alias("name"), F.concat(F.lit("/w/"), F.col("id").cast("string")).alias("path_prefix"))
+    out = L.resolve(requests, files)
+    got = {r.req_id: r.n_matches for r in out.collect()}
+    assert got == {str(i): sum(str(j).startswith(str(i)) for j in range(n)) for i in range(n)}
+    assert "StartsWith" not in out._jdf.queryExecution().optimizedPlan().toString()  # no pair of a request and a part but the equal ones
+
+
 # ---- command line -----------------------------------------------------------------
 
 def test_command_line_jobs(spark, tmp_path):

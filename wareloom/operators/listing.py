@@ -116,8 +116,13 @@ def resolve(requests: DataFrame, files: DataFrame) -> DataFrame:
     one = r.where(prefix.isNull()).join(by_name, F.col("r_name") == by_name["name"], "left").select("req_id", "n", "min_id")
     two = r.where(F.col("begin") == "").withColumnRenamed("folder", "r_folder")
     two = two.join(by_folder, (F.col("r_name") == by_folder["name"]) & (F.col("r_folder") == by_folder["folder"]), "left").select("req_id", "n", "min_id")
-    three = r.where(F.col("begin") != "").withColumnRenamed("folder", "r_folder")
-    three = three.join(by_part, (F.col("r_name") == by_part["name"]) & (F.col("r_folder") == by_part["folder"]) & F.col("part").startswith(F.col("begin")), "left").select("req_id", "n", "min_id")
+    # the parts are cut to the lengths of the begins, so that a begin meets its count by equality, however many parts a folder has
+    begins = r.where(F.col("begin") != "").withColumnRenamed("folder", "r_folder")
+    lengths = F.broadcast(begins.agg(F.collect_set(F.length("begin")).alias("lengths")))  # one row: few, however many requests
+    cut = by_part.crossJoin(lengths).select("name", "folder", "part", "n", "min_id", F.explode(F.filter("lengths", lambda k: k <= F.length("part"))).alias("k"))
+    by_begin = cut.groupBy("name", "folder", F.substring("part", 1, F.col("k")).alias("b_begin")).agg(F.sum("n").alias("n"), F.min("min_id").alias("min_id"))
+    three = begins.join(by_begin, (F.col("r_name") == by_begin["name"]) & (F.col("r_folder") == by_begin["folder"]) & (F.col("begin") == F.col("b_begin")), "left")
+    three = three.select("req_id", "n", "min_id")
     cand = one.unionByName(two).unionByName(three).withColumn("n", F.coalesce("n", F.lit(0)))
     per = cand.groupBy("req_id").agg(F.sum("n").cast("bigint").alias("n_matches"),
                                      F.min(F.when(F.col("n") > 0, F.col("min_id"))).alias("any_id"))
