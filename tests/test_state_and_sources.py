@@ -68,6 +68,15 @@ def test_answers_survive_runs_and_failures(spark, tmp_path):
     assert len(calls(tmp_path)) == asked + 1
 
 
+def test_waves_are_bounded_and_read_their_own_part(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(E, "WAVES", 4)
+    df = spark.range(60).select("id", F.concat(F.lit("Road "), F.col("id").cast("string")).alias("FULL_ADDRESS"))
+    assert E.answers(df, asking(str(tmp_path)), "state.bounded", wave=2, in_flight=8) == 4
+    assert spark.table("state.bounded").count() == 60 and len(calls(tmp_path)) == 60
+    assert len(spark.table("state.bounded").inputFiles()) <= 5  # that of the empty table, and one to a wave
+    assert E.answers(df, asking(str(tmp_path)), "state.bounded", wave=2) == 0
+
+
 def test_a_client_must_answer_every_address(spark):
     df = spark.createDataFrame([(1, "a")], "id int, FULL_ADDRESS string")
     with pytest.raises(Exception, match="0 answers to 1"):

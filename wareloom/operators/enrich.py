@@ -18,6 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+WAVES = 100
+
 
 def address(df: DataFrame, sql_expr: str, name: str = "FULL_ADDRESS") -> DataFrame:
     """Computed address column from SQL text (use concat_ws: NULL parts become empty)."""
@@ -123,9 +125,11 @@ def answers(df: DataFrame, client_factory: Callable[[], Callable], store: str, a
     ``store`` (key, address, x, y) is keyed by the normalised address (``address_key``); an answer without a place is kept too.
     At most ``in_flight`` tasks ask at a time.  Each wave's answers join the store as one whole before the
     next wave is asked, so a run that fails has lost one wave at most, and a rerun asks only what is left.
+    A wave is ``wave`` addresses, or of more than ``WAVES`` times as many a share of ``1 / WAVES``: what a wave costs
+    besides its calls is then paid a bounded number of times.  Each wave reads its own part of the addresses only.
     """
     from wareloom import catalog
-    from wareloom.session import cut_lineage, local_rows, ship_package
+    from wareloom.session import cut_lineage, local_rows, scratch_path, ship_package
 
     spark = df.sparkSession
     ship_package(spark)
@@ -135,10 +139,15 @@ def answers(df: DataFrame, client_factory: Callable[[], Callable], store: str, a
     asked = df.where(F.col(address_col).isNotNull()).groupBy(address_key(address_col).alias("key")).agg(F.min(address_col).alias("address"))
     todo = cut_lineage(asked.join(spark.table(store).select("key"), "key", "left_anti"), "addresses")
     n = todo.count()
-    waves = -(-n // wave)
+    waves = min(-(-n // wave), WAVES)
+    if not waves:
+        return 0
+    path, tasks = scratch_path(spark, "waves"), min(in_flight, -(-n // (waves * batch)))  # no more tasks than calls
+    todo.withColumn("wave", F.pmod(F.xxhash64("key"), F.lit(waves))).repartition(waves, "wave").write.partitionBy("wave").parquet(path)
+    held = spark.read.schema("key string, address string, wave bigint").parquet(path)
     for w in range(waves):
-        mine = todo.where(F.pmod(F.xxhash64("key"), F.lit(waves)) == w).repartition(in_flight)
-        catalog.publish(mine.mapInPandas(_ask(client_factory, x, y, batch), schema), store, "append")
+        got = held.where(F.col("wave") == w).drop("wave").repartition(tasks).mapInPandas(_ask(client_factory, x, y, batch), schema)
+        catalog.publish(got.hint("rebalance"), store, "append")  # a few files to a wave, not one of each task
     return waves
 
 
