@@ -76,3 +76,37 @@ def test_the_nearest_place_and_rows_without_one(spark):
     df = spark.createDataFrame([(1, "12 main  stret east"), (2, "12 Main Street Wast"), (3, None), (4, "elsewhere"), (4, "elsewhere")], "id int, FULL_ADDRESS string")
     got = sorted(((r.id, r.longitude, r.edits) for r in A.geocode(df, loc).collect()), key=str)
     assert got == sorted([(1, 1.0, 1), (2, 3.0, 1), (3, None, None), (4, None, None), (4, None, None)], key=str)
+
+
+def test_dense_numbers_make_few_candidates(spark):
+    n = 3000
+    keys = lambda df: df.select(F.concat(F.lit("CUSTOMER#"), F.lpad(F.col("id").cast("string"), 9, "0"), F.lit(", NATION_"), (F.col("id") % 25).cast("string")).alias("key"))
+    asked, near = keys(spark.range(n)).withColumn("key", F.replace("key", F.lit("STOM"), F.lit("SOTM"))), keys(spark.range(n))
+    numbered = lambda df: df.withColumns({"id": F.monotonically_increasing_id(), "length": F.length("key")})
+    assert A._candidates(numbered(asked), numbered(near), 2).select("id", "near_id").distinct().count() < 30 * n  # by grams: hundreds to an address
+    got = A.nearest(asked, near, 2).collect()
+    assert len(got) == n and all(r.edits == 2 and r.near == r.key.replace("SOTM", "STOM") for r in got)
+
+
+def test_rests_of_odd_texts(spark):
+    import itertools
+
+    import pandas as pd
+
+    rest = lambda t, gone: "".join(c for i, c in enumerate(t) if i not in gone)
+    keys = ["", "a", "aa", "0a0", "00012", "é😀x", "é😀xé"]
+    for distance in range(4):
+        out = pd.concat(A._rests(distance, "id")([pd.DataFrame({"id": range(len(keys)), "key": keys})]))
+        got = out.groupby("id")["rest"].agg(set)
+        want = [{rest(t, gone) for d in range(distance + 1) for gone in itertools.combinations(range(len(t)), min(d, len(t)))} for t in keys]
+        assert [len(x) for x in got] == [len(x) for x in want]
+        for a, b in itertools.combinations(range(len(keys)), 2):
+            assert len(got[a] & got[b]) == len(want[a] & want[b])
+
+
+def test_only_the_nearest_places_count(spark):
+    place = lambda t, score, x: (t, score, x, 0.0)
+    loc = spark.createDataFrame([place("100 Long Meadow Road", 50.0, 1.0), place("100 Long Meadow Roads", 99.0, 2.0), place("200 Short Hill Lane", 80.0, 3.0), place("209 Short Hill Lane", 80.0, 2.5),
+                                 place("200 Short Hill Lanes", 95.0, 4.0)], "FULL_ADDRESS string, score double, longitude double, latitude double")
+    df = spark.createDataFrame([(1, "100 Long Meadow Road"), (2, "100 Long Medow Roads"), (3, "201 Short Hill Lane"), (4, "201 Short Hil Lane")], "id int, FULL_ADDRESS string")
+    assert {r.id: (r.longitude, r.edits) for r in A.geocode(df, loc).collect()} == {1: (1.0, 0), 2: (2.0, 1), 3: (2.5, 1), 4: (2.5, 2)}
