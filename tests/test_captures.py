@@ -149,3 +149,14 @@ def test_pages_of_a_hot_group_and_null_groups(spark):
     got = pages.select("chain", "page", "rows", "link", "next").collect()
     assert max(r["rows"] for r in got) == 9 and sum(r["rows"] for r in got) == 100
     assert sum(r["next"] is None for r in got) == 2
+
+
+def test_no_task_places_a_whole_group(spark):
+    """The rows' positions become pages without a shuffle by the group alone."""
+    rows_of = lambda n: spark.range(n).select(F.col("id").alias("k"), F.when(F.col("id") % 9 > 0, "hot").alias("g"), F.col("id").cast("double").alias("v"))
+    alone = CP.pages_of(rows_of(50), "k", 9)
+    assert "Join" not in alone._jdf.queryExecution().optimizedPlan().toString().replace("Join Inner, (__pid", "")
+    pages = CP.pages_of(rows_of(5000), "k", 9, loop_col="g")  # several blocks of positions
+    assert "block" in pages._jdf.queryExecution().optimizedPlan().toString()
+    want = {(None, p): min(9, 556 - 9 * p) for p in range(62)} | {("hot", p): min(9, 4444 - 9 * p) for p in range(494)}
+    assert {(r["loop"], r["page"]): r["rows"] for r in pages.collect()} == want

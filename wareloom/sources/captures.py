@@ -36,6 +36,7 @@ from wareloom.sources import paged
 
 PAGE = "loop string, chain string, page bigint, link string, next string, rows bigint, body string"
 COUNT = "wareloom.capture.count"
+BLOCK_PAGES = 100
 COMPARE = {"=": lambda c, v: c == v, ">": lambda c, v: c > v, ">=": lambda c, v: c >= v, "<": lambda c, v: c < v, "<=": lambda c, v: c <= v,
            "in": lambda c, v: c.isin(*v)}
 
@@ -62,7 +63,8 @@ def pages_of(df: DataFrame, order_col: str, size: int, chain_col: str | None = N
     """The rows of ``df`` as pages of ``size`` records in ``order_col`` order, per loop value or chain.
 
     A chain's pages are linked.  Positions come from one distributed sequence minus each
-    group's first position, so no task holds a whole group; a page is put together from at most ``size`` rows.
+    group's first position, which the rows meet by group and block of positions, so no task holds a whole group; a page
+    is put together from at most ``size`` rows.
     """
     from wareloom.operators.load import with_sequence_id
 
@@ -70,8 +72,15 @@ def pages_of(df: DataFrame, order_col: str, size: int, chain_col: str | None = N
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), paged.JSON_OPTIONS)
     base = df.select((F.col(group).cast("string") if group else F.lit("")).alias("g"), F.col(order_col).alias("o"), record.alias("record"))
     seq = with_sequence_id(base, "at", ["g", "o"], start=-1)
-    first = seq.groupBy("g").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
-    placed = seq.join(first, seq["g"].eqNullSafe(first["g"])).drop(first["g"]).withColumn("page", F.floor((F.col("at") - F.col("first")) / size))
+    if group:
+        block = lambda at: F.floor(at / (BLOCK_PAGES * size))
+        first = seq.groupBy("g").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+        first = first.withColumn("block", F.explode(F.sequence(block(F.col("first")), block(F.col("first") + F.col("n") - 1))))
+        seq = seq.withColumn("block", block(F.col("at")))
+        placed = seq.join(first, seq["g"].eqNullSafe(first["g"]) & (seq["block"] == first["block"])).drop(first["g"], first["block"])
+    else:  # one group: its first position is 0, and no page is linked
+        placed = seq.withColumns({"first": F.lit(0), "n": F.lit(None).cast("bigint")})
+    placed = placed.withColumn("page", F.floor((F.col("at") - F.col("first")) / size))
     pages = placed.groupBy("g", "page", "n").agg(F.sort_array(F.collect_list(F.struct("o", "at", "record"))).alias("rs"))
     link = lambda page: F.concat_ws("/", F.col("g"), page.cast("string"))
     chained = F.lit(chain_col is not None)
